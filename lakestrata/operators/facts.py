@@ -34,9 +34,13 @@ def fact_invoice(invoice_item: DataFrame) -> DataFrame:
     )
 
 
-def fact_invoice_detail(invoice_header: DataFrame) -> DataFrame:
-    """Header -> InvoiceID (raw, not trimmed: Q10), CustomerID (normalised)."""
+def fact_invoice_detail(invoice_header: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Header -> InvoiceID (raw, not trimmed: Q10), CustomerID (normalised).
+
+    ``keep`` carries extra columns through (e.g. ``partition`` for all-partition reads).
+    """
     return invoice_header.select(
+        *keep,
         F.col("inv_num").alias("InvoiceID"),
         normalize_customer_id(F.col("cust_num").cast("int")).alias("CustomerID"),
     )

@@ -106,7 +106,12 @@ def summary_document(silver: DataFrame, report_date=None, partition: str | None
     key into a single row, so the number of groups is checked first (a bounded action
     on the pre-aggregated rows); past ``max_keys`` use :func:`summary_breakdown` instead.
     """
-    rollup = sales_rollup(silver)
+    return summary_from_rollup(sales_rollup(silver), report_date, partition, now, max_keys)
+
+
+def summary_from_rollup(rollup: DataFrame, report_date=None, partition: str | None = None,
+                        now=None, max_keys: int = 100_000) -> DataFrame:
+    """The summary document from a (small, possibly checkpointed) :func:`sales_rollup`."""
     n = rollup.limit(2 * max_keys + 2).count()
     if n > 2 * max_keys + 1:
         raise ValueError(f"more than {max_keys} keys: too many for one summary document")
@@ -126,3 +131,16 @@ def summary_document(silver: DataFrame, report_date=None, partition: str | None
                       F.coalesce(F.col("total_revenue"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
                       "avg_order_value", "by_region", "by_product",
                       _ts_or_now(now).alias("generated_at"))
+
+
+def by_key_from_rollup(rollup: DataFrame, key: str, report_date=None) -> DataFrame:
+    """A1/A2 from the one-pass rollup: the rows of one grouping set."""
+    return (rollup.where(F.col("grouping") == key)
+            .select(F.col("key").alias(key), "order_count", "total_quantity", "total_revenue")
+            .withColumn("report_date", _date_or_today(report_date)))
+
+
+def sales_by_partition(silver: DataFrame, key: str, report_date=None) -> DataFrame:
+    """A1/A2 per (partition, key): the gold rows of several silver partitions at once."""
+    return (drop_null_keys(silver, [key]).groupBy("partition", key).agg(*_measures())
+            .withColumn("report_date", _date_or_today(report_date)))

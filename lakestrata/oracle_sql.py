@@ -11,8 +11,16 @@ from lakestrata.functions.business import (
     REBATE_EXCLUDED_PREFIXES, REBATE_EXCLUDED_REFS, SALES_REBATE_ACCOUNT,
 )
 from lakestrata.sources.fixtures import (
-    FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, oracle_cte,
+    FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, fixture_sql, oracle_cte,
 )
+from lakestrata.specs import CLIENT_TABLES
+
+
+def ctes(names, extra: dict[str, str] | None = None) -> str:
+    """WITH clause: the named fixtures followed by ``extra`` derived CTEs."""
+    parts = [f"{n} AS ({fixture_sql(n, 'duckdb')})" for n in names]
+    parts += [f"{k} AS ({v})" for k, v in (extra or {}).items()]
+    return "WITH " + ",\n".join(parts) + "\n"
 
 
 def _q(v) -> str:
@@ -127,6 +135,90 @@ SELECT {key}, CAST(COALESCE(SUM(total_amount), 0) AS DECIMAL(28,2)) AS total_rev
 FROM ({SILVER_SALES}) s WHERE {key} IS NOT NULL GROUP BY {key}"""
 
 
+PARTITION_RE = r"'^\d{4}-\d{2}-\d{2}-\d{2}$'"
+
+
+def _watermark(t: str) -> str:
+    return (f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS \"rows\", "
+            f"date_trunc('second', max(RecordDate)) AS watermark, "
+            f"COALESCE(strftime(max(RecordDate), '%Y-%m-%d %H:%M:%S'), '1900-01-01') AS watermark_sql FROM {t}")
+
+
+_LATEST_BY_TABLE = "SELECT table_name, max(last_sync_at) AS l, sum(rows_synced) AS t FROM sync_log GROUP BY table_name"
+_REGISTERED = "(VALUES " + ", ".join(f"('{s.target_table}')" for s in CLIENT_TABLES) + ") r(table_name)"
+
+NEW = {
+    "ingest_full_filtered": oracle_cte("general_ledger") + "SELECT * FROM general_ledger WHERE acct = '422200'",
+    "ingest_incremental": oracle_cte("invoice_item", "sync_log") + """
+SELECT * FROM invoice_item
+WHERE RecordDate > (SELECT date_trunc('second', max(last_sync_at)) FROM sync_log WHERE table_name = 'invoice_item')""",
+    "ingest_date_partition": oracle_cte("sales") + "SELECT * FROM sales WHERE order_date = DATE '1996-01-02'",
+    "incremental_watermark": oracle_cte("invoice_item", "invoice_header", "order_item")
+    + "\nUNION ALL\n".join(_watermark(t) for t in ("invoice_item", "invoice_header", "order_item")),
+    "latest_partition_scan": oracle_cte("bronze_invoice_header") + f"""
+SELECT * FROM bronze_invoice_header
+WHERE "partition" = (SELECT max("partition") FROM bronze_invoice_header
+                     WHERE regexp_matches("partition", {PARTITION_RE}))""",
+    "partition_list": oracle_cte("bronze_invoice_header") + f"""
+SELECT DISTINCT "partition" FROM bronze_invoice_header WHERE regexp_matches("partition", {PARTITION_RE})
+ORDER BY 1 DESC LIMIT 10""",
+    "gold_all_partitions": oracle_cte("bronze_invoice_header") + f"""
+SELECT "partition", inv_num AS InvoiceID, CAST({_case_map('cust_num', CUSTOMER_ID_MAPPING)} AS INTEGER) AS CustomerID
+FROM bronze_invoice_header""",
+    "current_by_key": oracle_cte("bronze_invoice_header") + """
+SELECT "partition", inv_num, cust_num, RecordDate, seq FROM (
+  SELECT *, row_number() OVER (PARTITION BY inv_num ORDER BY RecordDate DESC, "partition" DESC, seq DESC) AS rn
+  FROM bronze_invoice_header) x WHERE rn = 1""",
+    "source_count": oracle_cte("invoice_item") + "SELECT CAST(count(*) AS BIGINT) AS row_count FROM invoice_item",
+    "sync_latest": oracle_cte("sync_log") + """
+SELECT table_name, last_sync_at, run_id, rows_synced, sync_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY last_sync_at DESC, run_id DESC) AS rn
+  FROM sync_log) x WHERE rn = 1""",
+    "sync_summary": oracle_cte("sync_log") + f"""
+SELECT CAST(count(*) AS BIGINT) AS total_tables, CAST(COALESCE(sum(t), 0) AS BIGINT) AS total_rows_synced,
+       min(l) AS oldest_sync, max(l) AS newest_sync
+FROM ({_LATEST_BY_TABLE}) s""",
+    "stale_syncs": oracle_cte("sync_log") + f"""
+SELECT table_name AS "table", l AS last_sync,
+       CASE WHEN l IS NOT NULL THEN round(date_diff('second', l, TIMESTAMP '{FIXED_NOW}') / 3600.0, 1) END AS hours_ago,
+       CASE WHEN l IS NULL THEN 'Never synced' ELSE 'Sync older than 24h' END AS reason
+FROM {_REGISTERED} FULL JOIN ({_LATEST_BY_TABLE}) s USING (table_name)
+WHERE l IS NULL OR l < TIMESTAMP '{FIXED_NOW}' - INTERVAL 24 HOUR""",
+    "bronze_audit": ctes(["sync_log", "bronze_invoice_header", "bronze_lineage"], {
+        "expected": "SELECT DISTINCT table_name, concat(substr(CAST(last_sync_at AS VARCHAR), 1, 7), '-01-00') "
+                    "AS \"partition\" FROM sync_log",
+        "counts": "SELECT 'invoice_header' AS table_name, \"partition\", count(*) AS record_count "
+                  "FROM bronze_invoice_header GROUP BY \"partition\"",
+        "lin": "SELECT DISTINCT dataset AS table_name, \"partition\" FROM bronze_lineage"}) + """
+SELECT e.table_name AS "table", e."partition",
+       CASE WHEN c.record_count IS NULL THEN 'MISSING' WHEN c.record_count = 0 THEN 'EMPTY' ELSE 'OK' END AS status,
+       CAST(COALESCE(c.record_count, 0) AS BIGINT) AS record_count,
+       CASE WHEN c.record_count IS NOT NULL THEN l.table_name IS NULL END AS metadata_missing
+FROM expected e
+LEFT JOIN counts c ON e.table_name = c.table_name AND e."partition" = c."partition"
+LEFT JOIN lin l ON e.table_name = l.table_name AND e."partition" = l."partition"
+""",
+    "quality_minima": oracle_cte("sales") + "SELECT min(quantity) AS min_quantity, min(unit_price) AS min_unit_price FROM sales",
+    "view_typed_ids": f"""
+SELECT Account, CAST(Transaction_Date AS DATE) AS Transaction_Date, Domestic_Amount, Foreign_Amount,
+       FromID, Reference, RebateCustomerName,
+       TRY_CAST(TRY_CAST(NULLIF(trim(txt), '') AS DECIMAL(10,0)) AS INTEGER) AS RebateCustomerID
+FROM (SELECT *, COALESCE(CAST(RebateCustomerID AS VARCHAR) || '.0', '') AS txt FROM ({FACT_GENERAL_LEDGER}) f) g""",
+    "sales_rollup": f"""
+SELECT * FROM (
+  SELECT CASE WHEN GROUPING(region) = 0 THEN 'region' WHEN GROUPING(product) = 0 THEN 'product' ELSE 'total' END
+             AS "grouping",
+         CASE WHEN GROUPING(region) = 0 THEN region WHEN GROUPING(product) = 0 THEN product END AS "key",
+         CAST(COUNT(order_id) AS BIGINT) AS order_count,
+         CAST(COALESCE(SUM(quantity), 0) AS BIGINT) AS total_quantity,
+         CAST(COALESCE(SUM(total_amount), 0) AS DECIMAL(28,2)) AS total_revenue,
+         CAST(COUNT(*) AS BIGINT) AS total_orders,
+         CAST(ROUND(AVG(total_amount), 4) AS DECIMAL(18,4)) AS avg_order_value
+  FROM ({SILVER_SALES}) s GROUP BY GROUPING SETS ((region), (product), ())) x
+WHERE "grouping" = 'total' OR "key" IS NOT NULL""",
+}
+
+
 ORACLE: dict[str, str] = {
     "margin_invoice": MARGIN_INVOICE,
     "fact_invoice": FACT_INVOICE,
@@ -142,3 +234,4 @@ ORACLE: dict[str, str] = {
     "daily_summary_by_region": _breakdown("region"),
     "daily_summary_by_product": _breakdown("product"),
 }
+ORACLE.update(NEW)

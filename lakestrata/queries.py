@@ -11,8 +11,16 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.operators import facts, ledger, margin, sales
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from lakestrata.operators import facts, latest, ledger, margin, quality, sales
+from lakestrata.plans import ingest, synclog
+from lakestrata.plans.views import VIEWS, typed_view_frame
 from lakestrata.session import configure
+from lakestrata.sources.jdbc import count_rows
+from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, incremental_tables, spec
 from lakestrata.sources.fixtures import (
     FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, load,
 )
@@ -78,6 +86,125 @@ def q_daily_summary_by_product(spark, sf_dir):
     return sales.summary_breakdown(q_silver_sales(spark, sf_dir), "product")
 
 
+# ---- ingestion (S1-S4, F1, O1, A6, D4) --------------------------------------------------
+
+SALES_BY_DAY = TableSpec("sales_mst", "sales", Pattern.DATE_PARTITION, partition_column="order_date",
+                         keys=("order_id",), domain="erp")
+FIXED_LOAD_DATE = "1996-01-02"
+
+
+def q_ingest_full_filtered(spark, sf_dir):
+    df, _ = ingest.plan_load(spec("general_ledger"), _fx(spark, sf_dir, "general_ledger"))
+    return df
+
+
+def _fixture_state(spark, sf_dir, table: str) -> synclog.SyncState | None:
+    """State of ``table`` from the fixture sync log (one row to the driver)."""
+    row = (synclog.sync_latest(_fx(spark, sf_dir, "sync_log")).where(F.col("table_name") == table)
+           .select("last_sync_at", "rows_synced").first())
+    if row is None:
+        return None
+    return synclog.SyncState(table, "ok", row.last_sync_at, row.last_sync_at, int(row.rows_synced),
+                             int(row.rows_synced))
+
+
+def q_ingest_incremental(spark, sf_dir):
+    state = _fixture_state(spark, sf_dir, "invoice_item")
+    df, _ = ingest.plan_load(spec("invoice_item"), _fx(spark, sf_dir, "invoice_item"), state)
+    return df
+
+
+def q_ingest_date_partition(spark, sf_dir):
+    df, _ = ingest.plan_load(SALES_BY_DAY, _fx(spark, sf_dir, "sales"), partition_value=FIXED_LOAD_DATE)
+    return df
+
+
+def q_incremental_watermark(spark, sf_dir):
+    out = None
+    for s in incremental_tables():
+        w = ingest.batch_watermarks(_fx(spark, sf_dir, s.target_table), s.target_table, s.timestamp_column)
+        out = w if out is None else out.unionByName(w)
+    return out
+
+
+# ---- partitions and versions (S11-S13, O2, U1, scope=current) -------------------------
+
+def q_latest_partition_scan(spark, sf_dir):
+    return latest.latest_partition_scan(_fx(spark, sf_dir, "bronze_invoice_header"))
+
+
+def q_partition_list(spark, sf_dir):
+    return latest.partition_list(_fx(spark, sf_dir, "bronze_invoice_header"), 10)
+
+
+def q_gold_all_partitions(spark, sf_dir):
+    """A fact over every partition of its source (wildcard read), partition kept."""
+    b = _fx(spark, sf_dir, "bronze_invoice_header")
+    return facts.fact_invoice_detail(b, keep=("partition",))
+
+
+def q_current_by_key(spark, sf_dir):
+    return latest.current_by_key(_fx(spark, sf_dir, "bronze_invoice_header"), ["inv_num"],
+                                 ["RecordDate", "partition", "seq"])
+
+
+# ---- sources (S7, S8) ------------------------------------------------------------------------
+
+def q_source_count(spark, sf_dir):
+    return count_rows(_fx(spark, sf_dir, "invoice_item"))
+
+
+def q_source_sample(spark, sf_dir):
+    return _fx(spark, sf_dir, "invoice_header").limit(5)
+
+
+# ---- sync log and freshness (K7-K9, X3, X4, D5) --------------------------------------------
+
+def q_sync_latest(spark, sf_dir):
+    return synclog.sync_latest(_fx(spark, sf_dir, "sync_log"))
+
+
+def q_sync_summary(spark, sf_dir):
+    return synclog.sync_summary(_fx(spark, sf_dir, "sync_log"))
+
+
+def q_stale_syncs(spark, sf_dir):
+    return synclog.stale_syncs(_fx(spark, sf_dir, "sync_log"), [s.target_table for s in CLIENT_TABLES],
+                               now=FIXED_NOW, max_age_hours=24)
+
+
+# ---- checks (X1, X2, A7) -------------------------------------------------------------------
+
+def q_bronze_audit(spark, sf_dir):
+    log = _fx(spark, sf_dir, "sync_log")
+    expected = log.select("table_name", F.concat(F.substring(F.col("last_sync_at").cast("string"), 1, 7),
+                                                 F.lit("-01-00")).alias("partition"))
+    bronze = _fx(spark, sf_dir, "bronze_invoice_header")
+    counts = bronze.groupBy("partition").agg(F.count(F.lit(1)).alias("record_count")) \
+        .withColumn("table_name", F.lit("invoice_header"))
+    return quality.bronze_audit(expected, counts, _fx(spark, sf_dir, "bronze_lineage"))
+
+
+def q_quality_minima(spark, sf_dir):
+    return quality.quality_minima(q_silver_sales(spark, sf_dir), ["quantity", "unit_price"])
+
+
+# ---- serving views (C1, V6) ----------------------------------------------------------------
+
+def q_view_typed_ids(spark, sf_dir):
+    gl = q_fact_general_ledger(spark, sf_dir)
+    # ids as a CSV round trip leaves them: float text, '' for missing
+    as_text = gl.withColumn("RebateCustomerID", F.coalesce(
+        F.concat(F.col("RebateCustomerID").cast("string"), F.lit(".0")), F.lit("")))
+    return typed_view_frame(as_text, VIEWS["fact_general_ledger"][2])
+
+
+# ---- one-pass sales gold (A1-A3 as grouping sets) ---------------------------------------------
+
+def q_sales_rollup(spark, sf_dir):
+    return sales.sales_rollup(q_silver_sales(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "margin_invoice": q_margin_invoice,
     "fact_invoice": q_fact_invoice,
@@ -92,4 +219,21 @@ QUERIES: dict[str, Query] = {
     "daily_summary": q_daily_summary,
     "daily_summary_by_region": q_daily_summary_by_region,
     "daily_summary_by_product": q_daily_summary_by_product,
+    "sales_rollup": q_sales_rollup,
+    "ingest_full_filtered": q_ingest_full_filtered,
+    "ingest_incremental": q_ingest_incremental,
+    "ingest_date_partition": q_ingest_date_partition,
+    "incremental_watermark": q_incremental_watermark,
+    "latest_partition_scan": q_latest_partition_scan,
+    "partition_list": q_partition_list,
+    "gold_all_partitions": q_gold_all_partitions,
+    "current_by_key": q_current_by_key,
+    "source_count": q_source_count,
+    "source_sample": q_source_sample,
+    "sync_latest": q_sync_latest,
+    "sync_summary": q_sync_summary,
+    "stale_syncs": q_stale_syncs,
+    "bronze_audit": q_bronze_audit,
+    "quality_minima": q_quality_minima,
+    "view_typed_ids": q_view_typed_ids,
 }

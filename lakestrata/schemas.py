@@ -79,3 +79,12 @@ LINEAGE = _struct(("target_layer", S), ("target_path", S), ("dataset", S), ("par
 
 INGEST_RESULT = _struct(("table", S), ("rows_synced", L), ("mode", S), ("duration_seconds", DoubleType()),
                         ("skipped", BooleanType()), ("path", S))
+
+
+def with_fields(schema: StructType, *fields: tuple[str, str]) -> StructType:
+    """A copy of ``schema`` with extra nullable fields (StructType.add mutates in place)."""
+    out = StructType(list(schema.fields))
+    for name, dtype in fields:
+        if name not in out.fieldNames():
+            out = out.add(name, dtype)
+    return out

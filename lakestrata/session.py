@@ -44,7 +44,8 @@ def get_session(master: str | None = None, app_name: str = "lakestrata",
 
     On a cluster leave ``master`` unset and let spark-submit decide; tests pass ``local[*]``.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
