@@ -74,12 +74,19 @@ def orphan_address_count(address: DataFrame, limit: int = ORPHAN_BROADCAST_LIMIT
 
 def margin_invoice(invoice_item: DataFrame, invoice_header: DataFrame, order_item: DataFrame,
                    customer_address: DataFrame, strategy: str = "auto") -> DataFrame:
-    """The 10-column margin table. ``strategy``: auto | header_first | literal."""
+    """The 10-column margin table.
+
+    ``strategy='auto'`` picks the header-first plan (with the orphan branch when needed)
+    or, past ``ORPHAN_BROADCAST_LIMIT`` orphans, the literal plan; ``'literal'`` forces
+    the three-join plan. Both give identical rows.
+    """
     item = _item_side(invoice_item)
     has_co = "co_num" in invoice_item.columns and "co_line" in invoice_item.columns
     header = prefixed(invoice_header, "h_", ["inv_num", "cust_num"])
     address0 = _primary_addresses(customer_address)
 
+    if strategy not in ("auto", "literal"):
+        raise ValueError(f"unknown strategy {strategy!r}")
     orphans = 0
     if strategy == "auto":
         orphans = orphan_address_count(customer_address)

@@ -1,0 +1,59 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from lakestrata.functions.coerce import (
+    col_or_null, id_from_text, parse_timestamp, strip_ws, to_decimal_or_zero, to_int_or_null,
+)
+
+
+def test_number_coercion_to_zero(spark):
+    # Q5: ' 12 ' -> 12, '1e3' -> 1000, '1,000' / '0x10' / 'abc' / '' / null -> 0
+    data = [(" 12 ",), ("1e3",), ("1,000",), ("0x10",), ("abc",), ("",), (None,)]
+    df = spark.createDataFrame(data, "s string").select("s", to_decimal_or_zero(F.col("s")).alias("v"))
+    got = {r.s: r.v for r in df.collect()}
+    assert got[" 12 "] == Decimal("12.0000")
+    assert got["1e3"] == Decimal("1000.0000")
+    for bad in ("1,000", "0x10", "abc", "", None):
+        assert got[bad] == Decimal("0")
+    assert df.schema["v"].dataType.simpleString() == "decimal(18,4)"
+
+
+def test_int_coercion_keeps_null(spark):
+    # Q6: OrderLine is coerced but not filled
+    df = spark.createDataFrame([("3",), ("x",), (None,)], "s string")
+    assert [r.v for r in df.select(to_int_or_null(F.col("s")).alias("v")).collect()] == [3, None, None]
+
+
+def test_mixed_dates(spark):
+    # Q7: six parseable layouts (month first), then null for a bare time, junk, '' and null
+    data = ["2025-01-15", "2025-01-15T10:30:00", "2025-01-15 10:30:00.123456", "01/02/2025",
+            "20250115", "Jan 5 2025", "10:30", "bad", "", None]
+    df = spark.createDataFrame([(s,) for s in data], "s string").select(parse_timestamp(F.col("s")).alias("t"))
+    got = [r.t for r in df.collect()]
+    assert got[:6] == [dt.datetime(2025, 1, 15), dt.datetime(2025, 1, 15, 10, 30),
+                       dt.datetime(2025, 1, 15, 10, 30, 0, 123456), dt.datetime(2025, 1, 2),
+                       dt.datetime(2025, 1, 15), dt.datetime(2025, 1, 5)]
+    assert got[6:] == [None] * 4
+    assert df.schema["t"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_strip_whitespace_all_kinds(spark):
+    # Q9: tabs / newlines / spaces trimmed; null stays null (not 'None')
+    df = spark.createDataFrame([("\t INV1 \n",), (None,)], "s string").select(strip_ws(F.col("s")).alias("v"))
+    assert [r.v for r in df.collect()] == ["INV1", None]
+
+
+def test_id_from_float_text(spark):
+    # C1: '1008.0' -> 1008, '' -> null, junk -> null
+    df = spark.createDataFrame([("1008.0",), ("",), ("abc",), (None,), ("1005",)], "s string")
+    assert [r.v for r in df.select(id_from_text(F.col("s")).alias("v")).collect()] == [1008, None, None, None, 1005]
+
+
+def test_optional_column(spark):
+    # A missing column becomes a typed null at plan time
+    df = spark.createDataFrame([(1,)], "a int")
+    out = df.select(col_or_null(df, "a").alias("a"), col_or_null(df, "item").alias("item"))
+    assert out.first() == (1, None)
+    assert out.schema["item"].dataType.simpleString() == "string"

@@ -1,0 +1,134 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakestrata import schemas
+from lakestrata.plans import synclog
+from lakestrata.plans.ingest import (
+    batch_watermarks, committed_batches, ingest_all, ingest_table, plan_load,
+)
+from lakestrata.plans.lake import Lake, read_layer, write_partition
+from lakestrata.sources.jdbc import frame_reader
+from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, spec
+
+T = dt.datetime
+
+
+def _headers(spark, data):
+    return spark.createDataFrame(data, schemas.BRONZE["invoice_header"])
+
+
+def test_incremental_lifecycle(spark, lake_root):
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    batch1 = [("A", 1, T(2025, 1, 1, 10, 0, 0, 500000)), ("B", 2, T(2025, 1, 1, 9)), ("N", 3, None)]
+    r1 = ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": _headers(spark, batch1)}))
+    assert (r1["mode"], r1["rows_synced"], r1["skipped"]) == ("full", 3, False)  # first run: full, nulls too
+    st = synclog.get_state(spark, lake, "invoice_header")
+    assert st.last_sync_value == T(2025, 1, 1, 10, 0, 0, 500000) and st.total_rows_synced == 3
+
+    # second run: watermark truncated to the second -> the boundary row A is re-read (Q21);
+    # the null-timestamp row is never picked up incrementally (Q22)
+    batch2 = batch1 + [("C", 4, T(2025, 1, 1, 11, 0, 0, 250000)), ("A0", 5, T(2025, 1, 1, 10, 0, 0, 100000))]
+    src2 = frame_reader({"invoice_header": _headers(spark, batch2)})
+    r2 = ingest_table(spark, hdr, lake, "2025-01-01-11", src2)
+    assert r2["mode"] == "incremental"
+    got = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"], "partition",
+                     partition="2025-01-01-11")
+    assert sorted(r.inv_num for r in got.collect()) == ["A", "A0", "C"]
+
+    # same-hour rerun appends instead of overwriting: no lost rows (Q26 fix)
+    r3 = ingest_table(spark, hdr, lake, "2025-01-01-11", src2)
+    assert r3["rows_synced"] == 1  # only the boundary second of C again
+    got = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"], "partition",
+                     partition="2025-01-01-11")
+    assert got.count() == 4
+
+    # exact watermark: nothing new -> skipped, nothing written, state untouched (Q25)
+    r4 = ingest_table(spark, hdr, lake, "2025-01-01-12", src2, precision="microsecond")
+    assert r4["skipped"] and r4["rows_synced"] == 0
+    st = synclog.get_state(spark, lake, "invoice_header")
+    assert st.total_rows_synced == 3 + 3 + 1
+    assert st.previous_sync_value == T(2025, 1, 1, 11, 0, 0, 250000)
+
+    # 'current' scope: the latest version per key over all batches (de-dups boundary re-reads)
+    cur = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"], "current",
+                     keys=hdr.keys, order_by=["RecordDate"])
+    assert sorted(r.inv_num for r in cur.collect()) == ["A", "A0", "B", "C", "N"]
+
+    # reset: next load is full again and totals restart (Q23 fix, Q24)
+    assert synclog.reset_sync_state(spark, lake, "invoice_header")
+    assert synclog.get_last_sync_value(spark, lake, "invoice_header") is None
+    r5 = ingest_table(spark, hdr, lake, "2025-01-02-00", src2)
+    assert (r5["mode"], r5["rows_synced"]) == ("full", 5)
+    assert synclog.get_state(spark, lake, "invoice_header").total_rows_synced == 5
+
+
+def test_all_null_timestamps_keep_watermark(spark, lake_root):
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])}))
+    src = _headers(spark, [("A", 1, T(2025, 1, 1)), ("Z", 9, None)])
+    ingest_table(spark, hdr, lake, "2025-01-01-11", frame_reader({"invoice_header": src}), force_full=True)
+    assert synclog.get_last_sync_value(spark, lake, "invoice_header") == T(2025, 1, 1)
+
+
+def test_unknown_table_state_is_none(spark, lake_root):
+    lake = Lake(lake_root)
+    assert synclog.get_state(spark, lake, "invoice_item") is None
+    assert synclog.reset_sync_state(spark, lake, "invoice_item") is False
+
+
+def test_full_refresh_filter_and_overwrite(spark, lake_root):
+    lake = Lake(lake_root)
+    gl = spec("general_ledger")
+    data = [(1, "422200", "2025-01-01", "1", "1", "S", "x y"), (2, "410000", "2025-01-01", "1", "1", "S", "x y")]
+    src = frame_reader({"general_ledger": spark.createDataFrame(data, schemas.BRONZE["general_ledger"])})
+    df, mode = plan_load(gl, src(gl))
+    assert mode == "full" and "acct" in df._jdf.queryExecution().optimizedPlan().toString()
+    ingest_table(spark, gl, lake, "2025-01-01-00", src)
+    ingest_table(spark, gl, lake, "2025-01-01-00", src)  # rerun replaces the partition
+    got = read_layer(spark, lake, "bronze", "general_ledger", schemas.BRONZE["general_ledger"])
+    assert [r.trans_num for r in got.collect()] == [1]
+
+
+def test_date_partition_needs_value(spark):
+    s = TableSpec("sales_mst", "sales", Pattern.DATE_PARTITION, partition_column="order_date")
+    df = spark.createDataFrame([(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2))], "order_id long, order_date date")
+    with pytest.raises(ValueError):
+        plan_load(s, df)
+    out, mode = plan_load(s, df, partition_value="2025-01-02")
+    assert mode == "partition" and [r.order_id for r in out.collect()] == [2]
+
+
+def test_uncommitted_batches_are_invisible(spark, lake_root):
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])}))
+    # a batch whose job died before its log row was written
+    write_partition(_headers(spark, [("GHOST", 1, T(2025, 1, 2))]), lake.path("bronze", "invoice_header"),
+                    "2025-01-01-10", mode="append", batch_id="crashed-batch")
+    got = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"],
+                     committed_batches=committed_batches(spark, lake, "invoice_header"))
+    assert [r.inv_num for r in got.collect()] == ["A"]
+
+
+def test_ingest_all_selection(spark, lake_root):
+    lake = Lake(lake_root)
+    frames = {"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))]),
+              "customer_address": spark.createDataFrame([(1, 0, "x")], schemas.BRONZE["customer_address"])}
+    res = ingest_all(spark, CLIENT_TABLES, lake, "2025-01-01-00", frame_reader(frames),
+                     tables=["invoice_header", "customer_address"])
+    assert sorted((r.table, r.rows_synced, r.mode) for r in res.collect()) == [
+        ("customer_address", 1, "full"), ("invoice_header", 1, "full")]
+    with pytest.raises(KeyError):
+        ingest_all(spark, CLIENT_TABLES, lake, "2025-01-01-00", frame_reader(frames), tables=["nope"])
+
+
+def test_batch_watermark(spark):
+    df = _headers(spark, [("A", 1, T(2025, 1, 1, 10, 0, 0, 900000)), ("B", 1, None)])
+    r = batch_watermarks(df, "invoice_header", "RecordDate").first()
+    assert (r.rows, r.watermark, r.watermark_sql) == (2, T(2025, 1, 1, 10), "2025-01-01 10:00:00")
+    empty = batch_watermarks(df.where(F.lit(False)), "t", "RecordDate").first()
+    assert (empty.rows, empty.watermark_sql) == (0, "1900-01-01")
