@@ -235,3 +235,11 @@ ORACLE: dict[str, str] = {
     "daily_summary_by_product": _breakdown("product"),
 }
 ORACLE.update(NEW)
+
+ORACLE["stream_sales_by_region"] = f"""
+SELECT concat(strftime(order_date, '%Y'), '-01-01-00') AS "partition", region,
+       CAST(COUNT(order_id) AS BIGINT) AS order_count,
+       CAST(COALESCE(SUM(quantity), 0) AS BIGINT) AS total_quantity,
+       CAST(COALESCE(SUM(total_amount), 0) AS DECIMAL(28,2)) AS total_revenue,
+       DATE '{FIXED_REPORT_DATE}' AS report_date
+FROM ({SILVER_SALES}) s WHERE region IS NOT NULL GROUP BY 1, 2"""

@@ -58,8 +58,13 @@ def full_scan(source: DataFrame, where: str | None = None) -> DataFrame:
 
 def incremental_scan(source: DataFrame, ts_column: str, last_value: _dt.datetime | None,
                      precision: str = "second") -> DataFrame:
-    """Rows strictly newer than the watermark (default 1900-01-01); null ts never match (Q22)."""
-    return source.where(F.col(ts_column).cast("timestamp_ntz") > watermark_literal(last_value, precision))
+    """Rows strictly newer than the watermark (default 1900-01-01); null ts never match (Q22).
+
+    The literal is cast to the column's own type (folded at plan time), so the predicate
+    stays ``column > literal`` and is pushed into the source scan (JDBC WHERE / Parquet).
+    """
+    dtype = source.schema[ts_column].dataType
+    return source.where(F.col(ts_column) > watermark_literal(last_value, precision).cast(dtype))
 
 
 def date_partition_scan(source: DataFrame, column: str, value: str) -> DataFrame:

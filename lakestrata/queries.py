@@ -205,6 +205,30 @@ def q_sales_rollup(spark, sf_dir):
     return sales.sales_rollup(q_silver_sales(spark, sf_dir))
 
 
+# ---- arrival-driven sales flow (W1) ---------------------------------------------------------
+
+def year_partition(date_col: str = "order_date"):
+    return F.concat(F.date_format(F.col(date_col), "yyyy"), F.lit("-01-01-00"))
+
+
+def q_stream_sales_by_region(spark, sf_dir):
+    """Land the sales rows in bronze (yearly partitions), run the stream once, read its gold."""
+    import uuid
+
+    from lakestrata import schemas
+    from lakestrata.plans.lake import Lake
+    from lakestrata.plans.sales_flow import write_bronze_sales
+    from lakestrata.session import shared_dir
+    from lakestrata.streaming.sales_stream import run_available_now
+
+    lake = Lake(shared_dir(spark, f"stream-sales-{uuid.uuid4().hex[:12]}"))
+    write_bronze_sales(_fx(spark, sf_dir, "sales"), lake, partition_col=year_partition())
+    run_available_now(spark, lake, report_date=FIXED_REPORT_DATE, now=FIXED_NOW)
+    gold = schemas.with_fields(schemas.GOLD["sales_by_region"], ("partition", "string"))
+    return spark.read.schema(gold).parquet(lake.path("gold", "sales_by_region")) \
+        .select("partition", "region", "order_count", "total_quantity", "total_revenue", "report_date")
+
+
 QUERIES: dict[str, Query] = {
     "margin_invoice": q_margin_invoice,
     "fact_invoice": q_fact_invoice,
@@ -236,4 +260,5 @@ QUERIES: dict[str, Query] = {
     "bronze_audit": q_bronze_audit,
     "quality_minima": q_quality_minima,
     "view_typed_ids": q_view_typed_ids,
+    "stream_sales_by_region": q_stream_sales_by_region,
 }

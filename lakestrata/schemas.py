@@ -81,10 +81,13 @@ INGEST_RESULT = _struct(("table", S), ("rows_synced", L), ("mode", S), ("duratio
                         ("skipped", BooleanType()), ("path", S))
 
 
-def with_fields(schema: StructType, *fields: tuple[str, str]) -> StructType:
+_SIMPLE = {"string": S, "int": I, "bigint": L, "date": DateType(), "timestamp_ntz": TS}
+
+
+def with_fields(schema: StructType, *fields: tuple) -> StructType:
     """A copy of ``schema`` with extra nullable fields (StructType.add mutates in place)."""
     out = StructType(list(schema.fields))
     for name, dtype in fields:
         if name not in out.fieldNames():
-            out = out.add(name, dtype)
+            out = out.add(name, _SIMPLE.get(dtype, dtype) if isinstance(dtype, str) else dtype)
     return out

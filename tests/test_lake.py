@@ -1,0 +1,103 @@
+import datetime as dt
+import json
+import os
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from lakestrata import schemas
+from lakestrata.operators.quality import bronze_audit
+from lakestrata.plans.gold import build_gold
+from lakestrata.plans.ingest import ingest_all
+from lakestrata.plans.lake import (
+    Lake, latest_partition_value, list_partitions, read_csv_layer, read_json_array, read_lineage, read_layer,
+    write_partition,
+)
+from lakestrata.plans.sales_flow import run_sales_flow, write_bronze_sales
+from lakestrata.plans.views import create_views, sample_views
+from lakestrata.sources.fixtures import load
+from lakestrata.sources.jdbc import frame_reader
+from lakestrata.specs import CLIENT_TABLES
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_partitions_listing_and_latest(spark, lake_root):
+    lake = Lake(lake_root)
+    path = lake.path("gold", "t")
+    df = spark.createDataFrame([(1,)], "x int")
+    for p in ["2025-01-01-00", "2025-01-02-05", "2024-12-31-23"]:
+        write_partition(df, path, p)
+    write_partition(df, path, "junk")  # ignored: not YYYY-MM-DD-HH
+    assert latest_partition_value(spark, path) == "2025-01-02-05"
+    assert list_partitions(spark, path, limit=2) == ["2025-01-02-05", "2025-01-01-00"]
+    latest = read_layer(spark, lake, "gold", "t", scope="latest")
+    assert [r.partition for r in latest.collect()] == ["2025-01-02-05"]
+    assert read_layer(spark, lake, "gold", "t").count() == 4  # scope all (U1)
+
+
+def test_json_array_and_csv_readers(spark, tmp_path):
+    # A reference-style bronze file is one JSON array of row objects
+    d = tmp_path / "bronze" / "client" / "invoice_header" / "2025-01-01-10"
+    d.mkdir(parents=True)
+    (d / "data.json").write_text(json.dumps([{"inv_num": "INV1", "cust_num": 5, "RecordDate": "2025-01-01T10:00:00"},
+                                             {"inv_num": "INV2", "cust_num": None}]))
+    df = read_json_array(spark, str(d / "data.json"), schemas.BRONZE["invoice_header"])
+    assert sorted((r.inv_num, r.cust_num) for r in df.collect()) == [("INV1", 5), ("INV2", None)]
+    # Wildcard over partition folders, header skipped, partition from the file path;
+    # '' stays '' and a missing field is null (Q34)
+    for p, body in [("2025-01-01-00", 'a,b\nx,1\n"",2\n'), ("2025-01-02-00", "a,b\ny,\n")]:
+        q = tmp_path / "silver" / "s" / p
+        q.mkdir(parents=True)
+        (q / "cleaned.csv").write_text(body)
+    csv = read_csv_layer(spark, str(tmp_path / "silver" / "s" / "*" / "*.csv"), schemas._struct(
+        ("a", schemas.S), ("b", schemas.I)))
+    assert sorted((r.a, r.b, r.partition) for r in csv.collect()) == [
+        ("", 2, "2025-01-01-00"), ("x", 1, "2025-01-01-00"), ("y", None, "2025-01-02-00")]
+
+
+def test_bronze_audit_statuses(spark):
+    expected = spark.createDataFrame([("t", "p1"), ("t", "p2"), ("t", "p3"), ("u", "p1")], "table_name string, partition string")
+    counts = spark.createDataFrame([("t", "p1", 5), ("t", "p2", 0), ("u", "p1", 2)],
+                                   "table_name string, partition string, record_count long")
+    lineage = spark.createDataFrame([("t", "p1"), ("t", "p2")], "dataset string, partition string")
+    got = sorted(tuple(r) for r in bronze_audit(expected, counts, lineage).collect())
+    assert got == [("t", "p1", "OK", 5, False), ("t", "p2", "EMPTY", 0, False),
+                   ("t", "p3", "MISSING", 0, None), ("u", "p1", "OK", 2, True)]
+
+
+def test_client_gold_end_to_end(spark, lake_root):
+    # E1 + E2: ingest the five client tables from fixtures, build gold, publish views
+    lake = Lake(lake_root)
+    frames = {s.target_table: load(spark, SF, s.target_table) for s in CLIENT_TABLES}
+    res = ingest_all(spark, CLIENT_TABLES, lake, "2001-09-01-00", frame_reader(frames))
+    assert {r.table: r.mode for r in res.collect()}["invoice_item"] == "full"
+    out = build_gold(spark, lake, as_of="1999-06-01")
+    assert out["margin_invoice"].rows == load(spark, SF, "invoice_item").count()
+    assert out["margin_invoice"].partition == "2001-09-01-00"
+    lin = read_lineage(spark, lake).where(F.col("target_layer") == "gold")
+    assert lin.where(F.col("dataset") == "margin_invoice").first().source_tables == [
+        "invoice_item", "invoice_header", "order_item", "customer_address"]
+    status = create_views(spark, lake, ["margin_invoice", "margin_rebate", "sales_by_region", "nope"])
+    assert status == {"margin_invoice": "created", "margin_rebate": "created",
+                      "sales_by_region": "skipped", "nope": "error"}
+    v = spark.table("margin_invoice")
+    assert dict(v.dtypes)["InvoiceDate"] == "date" and dict(v.dtypes)["QtyInvoiced"] == "decimal(18,4)"
+    assert spark.table("margin_rebate").count() > 0
+    assert sample_views(spark, ["margin_invoice"], 5)["margin_invoice"].count() == 5
+
+
+def test_sales_flow_end_to_end(spark, lake_root):
+    # Bronze -> silver -> three gold outputs from one silver scan
+    lake = Lake(lake_root)
+    sales = load(spark, SF, "sales")
+    write_bronze_sales(sales, lake, partition="2001-09-01-00")
+    out = run_sales_flow(spark, lake, "2001-09-01-00", report_date="2001-09-01", now=dt.datetime(2001, 9, 1))
+    assert out["silver_rows"] == sales.count()
+    region = read_layer(spark, lake, "gold", "sales_by_region", scope="latest")
+    expected = sales.groupBy("region").agg(F.sum(F.col("quantity") * F.col("unit_price")).alias("rev"))
+    exp = {r.region: Decimal(r.rev).quantize(Decimal("0.01")) for r in expected.collect()}
+    assert {r.region: r.total_revenue for r in region.collect()} == exp
+    doc_dir = out["daily_summary"].replace("file:", "")
+    doc = json.loads(open([os.path.join(doc_dir, f) for f in os.listdir(doc_dir) if f.endswith(".json")][0]).read())
+    assert doc["total_orders"] == sales.count() and set(doc["by_region"]) == set(exp)
