@@ -52,3 +52,30 @@ def bronze_audit(expected: DataFrame, counts: DataFrame, lineage: DataFrame) ->
         .otherwise(F.lit("OK")).alias("status"),
         F.coalesce(F.col("record_count"), F.lit(0)).cast("bigint").alias("record_count"),
         F.when(exists, F.col("_meta").isNull()).alias("metadata_missing"))
+
+
+def verification_report(summary: DataFrame, stale: DataFrame, latest: DataFrame | None = None,
+                        audit: DataFrame | None = None) -> DataFrame:
+    """The verification report as ONE long DataFrame (section, table, metric, value).
+
+    Unions the sync summary (X3), stale tables (X4), optional per-table latest state and
+    bronze audit rows (X2); printing is just ``.show()`` on the result.
+    """
+    def long(df: DataFrame, section: str, table_col: str | None) -> DataFrame:
+        metrics = [c for c in df.columns if c != table_col]
+        stacked = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value"))
+                                      for m in metrics]))
+        table = F.col(table_col).cast("string") if table_col else F.lit(None).cast("string")
+        return df.select(F.lit(section).alias("section"), table.alias("table"), stacked.alias("kv")) \
+            .select("section", "table", "kv.metric", "kv.value")
+
+    parts = [long(summary, "sync_summary", None), long(stale, "stale", "table")]
+    if latest is not None:
+        parts.append(long(latest, "table_state", "table_name"))
+    if audit is not None:
+        parts.append(long(audit.withColumn("table", F.concat_ws("/", "table", "partition")).drop("partition"),
+                          "bronze_audit", "table"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

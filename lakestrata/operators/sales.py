@@ -48,10 +48,14 @@ def _measures() -> list[Column]:
             F.coalesce(F.sum("total_amount"), F.lit(0)).cast(REVENUE).alias("total_revenue")]
 
 
-def sales_by(silver: DataFrame, key: str, report_date=None) -> DataFrame:
-    """A1/A2 + P7: order_count, total_quantity, total_revenue per ``key`` + report_date."""
-    return (drop_null_keys(silver, [key]).groupBy(key).agg(*_measures())
-            .withColumn("report_date", _date_or_today(report_date)))
+def sales_by(silver: DataFrame, key: str, report_date=None, ordered: bool = False) -> DataFrame:
+    """A1/A2 + P7: order_count, total_quantity, total_revenue per ``key`` + report_date.
+
+    ``ordered`` (O4) sorts by key for presentation only; stored tables stay unsorted.
+    """
+    out = (drop_null_keys(silver, [key]).groupBy(key).agg(*_measures())
+           .withColumn("report_date", _date_or_today(report_date)))
+    return out.orderBy(key) if ordered else out
 
 
 def sales_by_region(silver: DataFrame, report_date=None) -> DataFrame:

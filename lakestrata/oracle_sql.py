@@ -147,6 +147,18 @@ def _watermark(t: str) -> str:
 _LATEST_BY_TABLE = "SELECT table_name, max(last_sync_at) AS l, sum(rows_synced) AS t FROM sync_log GROUP BY table_name"
 _REGISTERED = "(VALUES " + ", ".join(f"('{s.target_table}')" for s in CLIENT_TABLES) + ") r(table_name)"
 
+SYNC_SUMMARY_BODY = f"""
+SELECT CAST(count(*) AS BIGINT) AS total_tables, CAST(COALESCE(sum(t), 0) AS BIGINT) AS total_rows_synced,
+       min(l) AS oldest_sync, max(l) AS newest_sync
+FROM ({_LATEST_BY_TABLE}) s"""
+
+STALE_BODY = f"""
+SELECT table_name AS "table", l AS last_sync,
+       CASE WHEN l IS NOT NULL THEN round(date_diff('second', l, TIMESTAMP '{FIXED_NOW}') / 3600.0, 1) END AS hours_ago,
+       CASE WHEN l IS NULL THEN 'Never synced' ELSE 'Sync older than 24h' END AS reason
+FROM {_REGISTERED} FULL JOIN ({_LATEST_BY_TABLE}) s USING (table_name)
+WHERE l IS NULL OR l < TIMESTAMP '{FIXED_NOW}' - INTERVAL 24 HOUR"""
+
 NEW = {
     "ingest_full_filtered": oracle_cte("general_ledger") + "SELECT * FROM general_ledger WHERE acct = '422200'",
     "ingest_incremental": oracle_cte("invoice_item", "sync_log") + """
@@ -174,16 +186,8 @@ SELECT "partition", inv_num, cust_num, RecordDate, seq FROM (
 SELECT table_name, last_sync_at, run_id, rows_synced, sync_type FROM (
   SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY last_sync_at DESC, run_id DESC) AS rn
   FROM sync_log) x WHERE rn = 1""",
-    "sync_summary": oracle_cte("sync_log") + f"""
-SELECT CAST(count(*) AS BIGINT) AS total_tables, CAST(COALESCE(sum(t), 0) AS BIGINT) AS total_rows_synced,
-       min(l) AS oldest_sync, max(l) AS newest_sync
-FROM ({_LATEST_BY_TABLE}) s""",
-    "stale_syncs": oracle_cte("sync_log") + f"""
-SELECT table_name AS "table", l AS last_sync,
-       CASE WHEN l IS NOT NULL THEN round(date_diff('second', l, TIMESTAMP '{FIXED_NOW}') / 3600.0, 1) END AS hours_ago,
-       CASE WHEN l IS NULL THEN 'Never synced' ELSE 'Sync older than 24h' END AS reason
-FROM {_REGISTERED} FULL JOIN ({_LATEST_BY_TABLE}) s USING (table_name)
-WHERE l IS NULL OR l < TIMESTAMP '{FIXED_NOW}' - INTERVAL 24 HOUR""",
+    "sync_summary": oracle_cte("sync_log") + SYNC_SUMMARY_BODY,
+    "stale_syncs": oracle_cte("sync_log") + STALE_BODY,
     "bronze_audit": ctes(["sync_log", "bronze_invoice_header", "bronze_lineage"], {
         "expected": "SELECT DISTINCT table_name, concat(substr(CAST(last_sync_at AS VARCHAR), 1, 7), '-01-00') "
                     "AS \"partition\" FROM sync_log",
@@ -243,3 +247,21 @@ SELECT concat(strftime(order_date, '%Y'), '-01-01-00') AS "partition", region,
        CAST(COALESCE(SUM(total_amount), 0) AS DECIMAL(28,2)) AS total_revenue,
        DATE '{FIXED_REPORT_DATE}' AS report_date
 FROM ({SILVER_SALES}) s WHERE region IS NOT NULL GROUP BY 1, 2"""
+
+ORACLE["verification_report"] = oracle_cte("sync_log").rstrip() + f"""
+, latest AS (SELECT table_name, last_sync_at, rows_synced, sync_type FROM (
+      SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY last_sync_at DESC, run_id DESC) AS rn
+      FROM sync_log) x WHERE rn = 1),
+  summary AS ({SYNC_SUMMARY_BODY}),
+  stale AS ({STALE_BODY})
+SELECT 'sync_summary' AS section, CAST(NULL AS VARCHAR) AS "table", m.metric, m.value FROM summary,
+  (VALUES ('total_tables', CAST(total_tables AS VARCHAR)), ('total_rows_synced', CAST(total_rows_synced AS VARCHAR)),
+          ('oldest_sync', CAST(oldest_sync AS VARCHAR)), ('newest_sync', CAST(newest_sync AS VARCHAR))) m(metric, value)
+UNION ALL
+SELECT 'stale', "table", m.metric, m.value FROM stale,
+  (VALUES ('last_sync', CAST(last_sync AS VARCHAR)), ('hours_ago', CAST(hours_ago AS VARCHAR)),
+          ('reason', reason)) m(metric, value)
+UNION ALL
+SELECT 'table_state', table_name, m.metric, m.value FROM latest,
+  (VALUES ('last_sync_at', CAST(last_sync_at AS VARCHAR)), ('rows_synced', CAST(rows_synced AS VARCHAR)),
+          ('sync_type', sync_type)) m(metric, value)"""

@@ -32,14 +32,19 @@ Reader = Callable[[TableSpec], DataFrame]
 
 def plan_load(spec: TableSpec, source: DataFrame, state: synclog.SyncState | None = None, *,
               force_full: bool = False, partition_value: str | None = None,
-              precision: str = "second") -> tuple[DataFrame, str]:
-    """(rows to load, mode) for ``spec`` given its sync state. Nothing runs here."""
+              precision: str = "second", ordered: bool = False) -> tuple[DataFrame, str]:
+    """(rows to load, mode) for ``spec`` given its sync state. Nothing runs here.
+
+    ``ordered`` (O1) sorts an incremental read by its timestamp; bronze is unordered, so
+    the default skips that global sort.
+    """
     if force_full:
         return _full(spec, source), "full"
     if spec.pattern is Pattern.INCREMENTAL:
         if state is None or state.is_reset:
             return _full(spec, source), "full"
-        return incremental_scan(source, spec.timestamp_column, state.last_sync_value, precision), "incremental"
+        df = incremental_scan(source, spec.timestamp_column, state.last_sync_value, precision)
+        return (df.orderBy(spec.timestamp_column) if ordered else df), "incremental"
     if spec.pattern is Pattern.DATE_PARTITION:
         if partition_value is None:
             raise ValueError(f"{spec.target_table}: date_partition load needs partition_value")

@@ -189,6 +189,14 @@ def q_quality_minima(spark, sf_dir):
     return quality.quality_minima(q_silver_sales(spark, sf_dir), ["quantity", "unit_price"])
 
 
+def q_verification_report(spark, sf_dir):
+    log = _fx(spark, sf_dir, "sync_log")
+    return quality.verification_report(
+        synclog.sync_summary(log),
+        synclog.stale_syncs(log, [s.target_table for s in CLIENT_TABLES], now=FIXED_NOW, max_age_hours=24),
+        synclog.sync_latest(log).select("table_name", "last_sync_at", "rows_synced", "sync_type"))
+
+
 # ---- serving views (C1, V6) ----------------------------------------------------------------
 
 def q_view_typed_ids(spark, sf_dir):
@@ -260,5 +268,6 @@ QUERIES: dict[str, Query] = {
     "bronze_audit": q_bronze_audit,
     "quality_minima": q_quality_minima,
     "view_typed_ids": q_view_typed_ids,
+    "verification_report": q_verification_report,
     "stream_sales_by_region": q_stream_sales_by_region,
 }
