@@ -74,3 +74,23 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def sizing(input_bytes: int, cores: int, max_tasks: int = 100_000) -> dict[str, str]:
+    """Scan / shuffle sizing for a job reading ``input_bytes`` on ``cores`` executor cores.
+
+    Map-output metadata grows with (map tasks x reduce partitions), so both are capped at
+    ``max_tasks``: scan splits grow beyond 128 MB once the input would need more tasks, and
+    shuffle partitions target ~256 MB of input each (at least 2x the cores). AQE then
+    coalesces small reducers and splits skewed ones at run time.
+    Example: 100 TB on 1000 executors x 8 cores -> ~1.1 GB splits, 100k shuffle partitions.
+    """
+    mb = 1 << 20
+    split = max(128 * mb, -(-input_bytes // max_tasks))
+    partitions = min(max_tasks, max(2 * cores, -(-input_bytes // (256 * mb))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+    }
