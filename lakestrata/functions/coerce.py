@@ -14,8 +14,9 @@ from pyspark.sql.types import StringType
 MONEY = "decimal(18,4)"       # client money / quantities
 SALES_MONEY = "decimal(18,2)"  # ERP sales money
 
-# Whitespace as Python's str.strip() sees it (Unicode-aware).
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Whitespace as Python's str.strip() sees it: every code point for which str.isspace() holds
+# (all of them lie below U+3001).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 # A leading calendar date; guards try_cast against time-only strings such as '10:30'.
 _ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
@@ -32,7 +33,7 @@ def col_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Trim leading/trailing whitespace (tabs, newlines, Unicode spaces); null stays null."""
-    return F.regexp_replace(c.cast(StringType()), _EDGE_WS, "")
+    return F.trim(c.cast(StringType()), F.lit(WHITESPACE))
 
 
 def to_decimal_or_null(c: Column, dtype: str = MONEY) -> Column:

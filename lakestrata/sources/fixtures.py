@@ -9,6 +9,7 @@ they transform whole tables, nothing is sampled.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,41 +133,53 @@ def balance_splits(df: DataFrame, min_bytes: int = MIN_BALANCE_BYTES) -> DataFra
     round-robin repartition (placed after column pruning by the optimizer) fixes that.
     Inputs made of many files / row groups already have enough splits and are untouched.
     """
-    spark = df.sparkSession
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= parallelism:
+    try:
+        spark = df.sparkSession
+        sc = spark.sparkContext
+        parallelism = sc.defaultParallelism
+        if df.rdd.getNumPartitions() >= parallelism:
+            return df
+        jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+        size = 0
+        for f in df.inputFiles():
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    except Exception:  # noqa: BLE001 - no classic SparkContext (e.g. Spark Connect): leave as is
         return df
-    jvm = spark.sparkContext._jvm
-    size = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).getLen()
     return df.repartition(parallelism) if size >= min_bytes else df
 
 
+_registered: set[tuple[int, str]] = set()
+_FROM_TABLE = re.compile(r"\b(FROM|JOIN)(\s+)(" + "|".join(RAW_TABLES) + r")\b")
+
+
+def view_name(table: str, sf_dir: str) -> str:
+    """Session view name of a raw table of one data directory (no clash with user views)."""
+    return f"{table}__{hashlib.sha1(sf_dir.rstrip('/').encode()).hexdigest()[:10]}"
+
+
 def tables_used(sql: str) -> list[str]:
-    words = set(re.findall(r"[a-z_]+", sql))
-    return [t for t in RAW_TABLES if t in words]
+    return sorted({m.group(3) for m in _FROM_TABLE.finditer(sql)})
 
 
 def register_raw(spark: SparkSession, sf_dir: str, tables=RAW_TABLES) -> None:
-    """Temp views over the raw parquet tables (schema from the footers; no data read).
+    """Temp views over the raw parquet tables of ``sf_dir`` (schema from footers; no data read).
 
     Registration is remembered per session, so repeated plans do not re-list files.
     """
     base = sf_dir.rstrip("/")
     for t in tables:
-        key = (id(spark), t)
-        if _registered.get(key) != base or not spark.catalog.tableExists(t):
-            balance_splits(spark.read.parquet(f"{base}/{t}.parquet")).createOrReplaceTempView(t)
-            _registered[key] = base
+        name = view_name(t, base)
+        if (id(spark), name) not in _registered or not spark.catalog.tableExists(name):
+            balance_splits(spark.read.parquet(f"{base}/{t}.parquet")).createOrReplaceTempView(name)
+            _registered.add((id(spark), name))
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived fixture as a lazy DataFrame over the parquet tables in ``sf_dir``."""
     sql = fixture_sql(name, "spark")
     register_raw(spark, sf_dir, tables_used(sql))
-    return spark.sql(sql)
+    return spark.sql(_FROM_TABLE.sub(lambda m: m.group(1) + m.group(2) + view_name(m.group(3), sf_dir), sql))
 
 
 def oracle_cte(*names: str) -> str:

@@ -41,8 +41,10 @@ def test_mixed_dates(spark):
 
 def test_strip_whitespace_all_kinds(spark):
     # Q9: tabs / newlines / spaces trimmed; null stays null (not 'None')
-    df = spark.createDataFrame([("\t INV1 \n",), (None,)], "s string").select(strip_ws(F.col("s")).alias("v"))
-    assert [r.v for r in df.collect()] == ["INV1", None]
+    df = spark.createDataFrame([("\t INV1 \n",), ("\u00a0IN V2\u3000",), (None,)], "s string")
+    got = [r.v for r in df.select(strip_ws(F.col("s")).alias("v")).collect()]
+    assert got == ["INV1", "IN V2", None]
+    assert got[:2] == ["\t INV1 \n".strip(), "\u00a0IN V2\u3000".strip()]
 
 
 def test_id_from_float_text(spark):
