@@ -17,7 +17,7 @@ import datetime as _dt
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata import schemas
@@ -74,33 +74,38 @@ def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:
 
 
 def sync_states(log: DataFrame) -> DataFrame:
-    """K9: per table the latest run, the effective watermark and totals since the last reset."""
+    """K9: per table the latest run, the effective watermark and totals since the last reset.
+
+    One window pass (per-table markers: newest reset, newest run) and one aggregate, both
+    keyed by table_name, so the plan has a single shuffle. The log holds one row per run,
+    so a table's slice is small even for a table with most of the runs.
+    """
     n = normalized(log)
-    last_reset = (n.where(F.col("status") == "reset").groupBy("table_name")
-                  .agg(F.max("_order").alias("_reset_order")))
-    since = (n.join(last_reset, "table_name", "left")
-             .where(F.col("_reset_order").isNull() | (F.col("_order") > F.col("_reset_order"))))
-    totals = since.groupBy("table_name").agg(
-        F.sum("rows_synced").alias("total_rows_synced"),
+    per_table = Window.partitionBy("table_name")
+    n = n.withColumns({
+        "_reset_order": F.max(F.when(F.col("status") == "reset", F.col("_order"))).over(per_table),
+        "_latest_order": F.max("_order").over(per_table),
+    })
+    since_reset = F.col("_reset_order").isNull() | (F.col("_order") > F.col("_reset_order"))
+    row_cols = [c for c in n.columns if c not in ("table_name", "_reset_order", "_latest_order")]
+    agg = n.groupBy("table_name").agg(
+        F.max_by(F.struct(*row_cols), F.col("_order")).alias("r"),
+        F.sum(F.when(since_reset, F.col("rows_synced"))).alias("total_rows_synced"),
         F.max_by(F.col("last_sync_value"),
-                 F.when(F.col("last_sync_value").isNotNull(), F.col("_order"))).alias("watermark"),
-        F.max_by(F.struct("last_sync_at", "last_sync_value"), F.col("_order")).alias("_this"))
-    latest = n.groupBy("table_name").agg(F.max_by(F.struct(*[c for c in n.columns if c != "table_name"]),
-                                                  F.col("_order")).alias("r"))
-    prev = (n.join(latest.select("table_name", F.col("r._order").alias("_lo")), "table_name")
-            .where(F.col("_order") < F.col("_lo")).groupBy("table_name")
-            .agg(F.max_by(F.struct("last_sync_at", "last_sync_value"), F.col("_order")).alias("p")))
-    return (latest.join(totals, "table_name", "left").join(prev, "table_name", "left")
-            .select("table_name", F.col("r.run_id").alias("run_id"), F.col("r.status").alias("status"),
-                    F.col("r.sync_type").alias("sync_type"), F.col("r.last_sync_at").alias("last_sync_at"),
-                    F.col("r.rows_synced").alias("rows_synced"),
-                    F.when(F.col("r.status") == "reset", F.lit(None)).otherwise(F.col("watermark"))
-                    .cast("timestamp_ntz").alias("last_sync_value"),
-                    F.when(F.col("r.status") == "reset", F.lit(0))
-                    .otherwise(F.coalesce(F.col("total_rows_synced"), F.lit(0))).cast("bigint")
-                    .alias("total_rows_synced"),
-                    F.col("p.last_sync_at").alias("previous_sync_at"),
-                    F.col("p.last_sync_value").alias("previous_sync_value")))
+                 F.when(since_reset & F.col("last_sync_value").isNotNull(), F.col("_order"))).alias("watermark"),
+        F.max_by(F.struct("last_sync_at", "last_sync_value"),
+                 F.when(F.col("_order") < F.col("_latest_order"), F.col("_order"))).alias("p"),
+    )
+    is_reset = F.col("r.status") == "reset"
+    return agg.select(
+        "table_name", F.col("r.run_id").alias("run_id"), F.col("r.status").alias("status"),
+        F.col("r.sync_type").alias("sync_type"), F.col("r.last_sync_at").alias("last_sync_at"),
+        F.col("r.rows_synced").alias("rows_synced"),
+        F.when(is_reset, F.lit(None)).otherwise(F.col("watermark")).cast("timestamp_ntz").alias("last_sync_value"),
+        F.when(is_reset, F.lit(0)).otherwise(F.coalesce(F.col("total_rows_synced"), F.lit(0)))
+        .cast("bigint").alias("total_rows_synced"),
+        F.col("p.last_sync_at").alias("previous_sync_at"),
+        F.col("p.last_sync_value").alias("previous_sync_value"))
 
 
 def sync_latest(log: DataFrame) -> DataFrame:
