@@ -152,17 +152,63 @@ def lineage_record(target_layer: str, target_path: str, *, dataset: str | None =
     }
 
 
+OPS_PARTITION = "log_month"  # ops tables (sync log, lineage) are partitioned by month
+
+
+def append_ops(df: DataFrame, path: str, ts_column: str) -> None:
+    """Append a few metadata rows to a month-partitioned ops table."""
+    (df.withColumn(OPS_PARTITION, F.date_format(F.col(ts_column), "yyyy-MM")).coalesce(1)
+     .write.mode("append").partitionBy(OPS_PARTITION).parquet(path))
+
+
+def read_ops(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schemas.with_fields(schema, (OPS_PARTITION, "string"))).parquet(path)
+
+
+def compact_partition(spark: SparkSession, path: str, value: str, column: str = OPS_PARTITION,
+                      files: int = 1) -> None:
+    """Rewrite one partition of an append-only table into ``files`` files.
+
+    Each run appends one small file; compaction keeps listing and reads cheap. The rows
+    are first snapshotted with a reliable ``checkpoint()`` (the folder named by
+    ``spark.checkpoint.dir``) so the rewrite never reads the files it replaces, then the
+    partition is replaced by dynamic overwrite (other partitions untouched).
+    """
+    from lakestrata.session import shared_dir
+    shared_dir(spark, "compaction")
+    part = spark.read.parquet(path).where(F.col(column) == F.lit(value))
+    snapshot = part.checkpoint(eager=True)
+    snapshot.coalesce(files).write.mode("overwrite").partitionBy(column).parquet(path)
+
+
+def compact_ops(spark: SparkSession, lake: Lake, before_month: str) -> list[str]:
+    """Compact every month partition of the sync log and lineage older than ``before_month``."""
+    done = []
+    for path in (lake.sync_log, lake.lineage):
+        fs, p = _fs(spark, path)
+        if not fs.exists(p):
+            continue
+        for status in fs.listStatus(p):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith(OPS_PARTITION + "="):
+                month = name.split("=", 1)[1]
+                if month < before_month:
+                    compact_partition(spark, path, month)
+                    done.append(f"{path}/{name}")
+    return done
+
+
 def append_lineage(spark: SparkSession, lake: Lake, records: Iterable[dict]) -> None:
     """K6: append lineage records (a few metadata rows per job) to the lineage table."""
     rows = list(records)
     if rows:
-        spark.createDataFrame(rows, schemas.LINEAGE).coalesce(1).write.mode("append").parquet(lake.lineage)
+        append_ops(spark.createDataFrame(rows, schemas.LINEAGE), lake.lineage, "written_at")
 
 
 def read_lineage(spark: SparkSession, lake: Lake) -> DataFrame:
-    if not exists(spark, lake.lineage):
-        return spark.createDataFrame([], schemas.LINEAGE)
-    return spark.read.schema(schemas.LINEAGE).parquet(lake.lineage)
+    return read_ops(spark, lake.lineage, schemas.LINEAGE)
 
 
 def write_gold(df: DataFrame, lake: Lake, name: str, partition: str, sources: Sequence[str],

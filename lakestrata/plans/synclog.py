@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import schemas
 from lakestrata.functions.timefmt import hours_between
-from lakestrata.plans.lake import Lake, exists
+from lakestrata.plans.lake import Lake, append_ops, read_ops
 
 
 @dataclass(frozen=True)
@@ -62,15 +62,13 @@ def normalized(log: DataFrame) -> DataFrame:
 
 
 def read_log(spark: SparkSession, lake: Lake) -> DataFrame:
-    if not exists(spark, lake.sync_log):
-        return spark.createDataFrame([], schemas.SYNC_LOG)
-    return spark.read.schema(schemas.SYNC_LOG).parquet(lake.sync_log)
+    return read_ops(spark, lake.sync_log, schemas.SYNC_LOG)
 
 
 def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:
     """K7/K8: the commit point of a run: one row appended after the data is written."""
     full = {f.name: row.get(f.name) for f in schemas.SYNC_LOG.fields}
-    spark.createDataFrame([full], schemas.SYNC_LOG).coalesce(1).write.mode("append").parquet(lake.sync_log)
+    append_ops(spark.createDataFrame([full], schemas.SYNC_LOG), lake.sync_log, "last_sync_at")
 
 
 def sync_states(log: DataFrame) -> DataFrame:

@@ -43,6 +43,22 @@ def jdbc_table(spark: SparkSession, src: JdbcSource, table: str, *, partition_co
     return r.load()
 
 
+def range_partitioning(spark: SparkSession, src: JdbcSource, table: str, column: str,
+                       num_partitions: int, quote: str = "") -> dict:
+    """Bounds for a parallel read, asked from the source (one MIN/MAX row comes back).
+
+    The result feeds :func:`jdbc_table` / :func:`jdbc_reader`: Spark then issues
+    ``num_partitions`` range queries on ``column`` (numeric, date or timestamp) instead of
+    one cursor. Rows outside the bounds are still read (first / last range are open).
+    """
+    c = f"{quote}{column}{quote}"
+    row = jdbc_query(spark, src, f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {table}").first()
+    if row is None or row[0] is None:
+        return {}
+    return {"partition_column": column, "lower_bound": row[0], "upper_bound": row[1],
+            "num_partitions": num_partitions}
+
+
 def jdbc_reader(spark: SparkSession, src: JdbcSource, partitioning: dict | None = None):
     """A ``Reader`` for ingestion: TableSpec -> DataFrame over ``schema.table``.
 

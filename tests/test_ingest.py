@@ -132,3 +132,21 @@ def test_batch_watermark(spark):
     assert (r.rows, r.watermark, r.watermark_sql) == (2, T(2025, 1, 1, 10), "2025-01-01 10:00:00")
     empty = batch_watermarks(df.where(F.lit(False)), "t", "RecordDate").first()
     assert (empty.rows, empty.watermark_sql) == (0, "1900-01-01")
+
+
+def test_ops_tables_compaction(spark, lake_root):
+    import os
+
+    from lakestrata.plans.lake import compact_ops
+
+    lake = Lake(lake_root)
+    for i, ts in enumerate([T(2025, 1, 3), T(2025, 1, 20), T(2025, 2, 1)]):
+        synclog.append_log(spark, lake, {"table_name": "t", "run_id": str(i), "status": "ok", "last_sync_at": ts,
+                                         "rows_synced": 1, "last_sync_value": ts})
+    before = sorted(tuple(r) for r in synclog.read_log(spark, lake).collect())
+    jan = os.path.join(lake.sync_log.replace("file:", ""), "log_month=2025-01")
+    assert len([f for f in os.listdir(jan) if f.endswith(".parquet")]) == 2
+    assert compact_ops(spark, lake, before_month="2025-02") == [lake.sync_log + "/log_month=2025-01"]
+    assert len([f for f in os.listdir(jan) if f.endswith(".parquet")]) == 1
+    assert sorted(tuple(r) for r in synclog.read_log(spark, lake).collect()) == before
+    assert synclog.get_state(spark, lake, "t").total_rows_synced == 3

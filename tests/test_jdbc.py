@@ -10,7 +10,8 @@ from lakestrata.plans import synclog
 from lakestrata.plans.ingest import ingest_table, plan_load
 from lakestrata.plans.lake import Lake, read_layer
 from lakestrata.sources.jdbc import (
-    JdbcSource, jdbc_query, jdbc_reader, jdbc_table, source_row_count, source_sample, source_schema,
+    JdbcSource, jdbc_query, jdbc_reader, jdbc_table, range_partitioning, source_row_count, source_sample,
+    source_schema,
 )
 from lakestrata.specs import Pattern, TableSpec
 
@@ -63,3 +64,10 @@ def test_ingest_from_jdbc(spark, derby, lake_root):
     assert (r2["mode"], r2["rows_synced"], r2["skipped"]) == ("incremental", 0, True)
     got = read_layer(spark, lake, "bronze", "invoice_header", None)
     assert got.count() == 40
+
+
+def test_range_partitioned_read(spark, derby):
+    parts = range_partitioning(spark, derby, "APP.INV_HDR_MST", "RecordDate", 4, quote='"')
+    assert parts["lower_bound"] == T(2025, 1, 1) and parts["num_partitions"] == 4
+    df = jdbc_reader(spark, derby, {"invoice_header": parts})(SPEC)
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 40
