@@ -7,23 +7,25 @@ wall clock (``now``, ``as_of``, report date) are fixed so results are reproducib
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-import datetime as _dt
-
 from pyspark.sql import functions as F
 
+from lakestrata import schemas
 from lakestrata.operators import facts, latest, ledger, margin, quality, sales
 from lakestrata.plans import ingest, synclog
+from lakestrata.plans.lake import Lake
+from lakestrata.plans.sales_flow import write_bronze_sales
 from lakestrata.plans.views import VIEWS, typed_view_frame
-from lakestrata.session import configure
-from lakestrata.sources.jdbc import count_rows
-from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, incremental_tables, spec
+from lakestrata.session import configure, shared_dir
 from lakestrata.sources.fixtures import (
     FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, load,
 )
+from lakestrata.sources.jdbc import count_rows
+from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, incremental_tables, spec
+from lakestrata.streaming.sales_stream import run_available_now
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -221,14 +223,6 @@ def year_partition(date_col: str = "order_date"):
 
 def q_stream_sales_by_region(spark, sf_dir):
     """Land the sales rows in bronze (yearly partitions), run the stream once, read its gold."""
-    import uuid
-
-    from lakestrata import schemas
-    from lakestrata.plans.lake import Lake
-    from lakestrata.plans.sales_flow import write_bronze_sales
-    from lakestrata.session import shared_dir
-    from lakestrata.streaming.sales_stream import run_available_now
-
     lake = Lake(shared_dir(spark, f"stream-sales-{uuid.uuid4().hex[:12]}"))
     write_bronze_sales(_fx(spark, sf_dir, "sales"), lake, partition_col=year_partition())
     run_available_now(spark, lake, report_date=FIXED_REPORT_DATE, now=FIXED_NOW)

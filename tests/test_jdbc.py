@@ -5,7 +5,6 @@ import uuid
 
 import pytest
 
-from lakestrata import schemas
 from lakestrata.plans import synclog
 from lakestrata.plans.ingest import ingest_table, plan_load
 from lakestrata.plans.lake import Lake, read_layer
