@@ -12,25 +12,38 @@ class QualityError(ValueError):
     """A batch failed a data-quality gate; nothing was committed."""
 
 
-def quality_minima(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row with ``min_<col>`` per column (nulls ignored; empty input gives nulls)."""
-    return df.agg(*[F.min(F.col(c)).alias(f"min_{c}") for c in columns])
+def quality_minima(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``min_<col>`` per column (nulls ignored; empty input gives nulls).
 
+    One row, or one row per ``by`` group (e.g. the partitions a micro-batch touches).
+    """
+    aggs = [F.min(F.col(c)).alias(f"min_{c}") for c in columns]
+    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
-def assert_positive(df: DataFrame, columns: Sequence[str] = ("quantity", "unit_price")) -> dict:
-    """Fail the batch unless every listed column has a positive minimum (Q33).
 
-    Empty or all-null input fails, as does any row <= 0. One aggregate job with map-side
-    partials; returns the minima.
+def check_minima(rows: Sequence, columns: Sequence[str]) -> dict:
+    """X1 on collected minima rows (one per group): each column's overall minimum must be > 0.
+
+    Empty or all-null input fails, as does any value <= 0 (Q33).
     """
-    row = quality_minima(df, columns).first().asDict()
+    out = {}
     for c in columns:
-        value = row[f"min_{c}"]
-        if value is None:
+        values = [r[f"min_{c}"] for r in rows if r[f"min_{c}"] is not None]
+        if not values:
             raise QualityError(f"{c}: no values (empty or all-null batch)")
+        value = min(values)
         if value <= 0:
             raise QualityError(f"{c} must be positive (min {value})")
-    return row
+        out[f"min_{c}"] = value
+    return out
+
+
+def assert_positive(df: DataFrame, columns: Sequence[str] = ("quantity", "unit_price")) -> dict:
+    """Fail the batch unless every listed column has a positive minimum (Q33).
+
+    One aggregate job with map-side partials; returns the minima.
+    """
+    return check_minima([quality_minima(df, columns).first()], columns)
 
 
 def bronze_audit(expected: DataFrame, counts: DataFrame, lineage: DataFrame) -> DataFrame:

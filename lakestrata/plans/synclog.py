@@ -17,7 +17,7 @@ import datetime as _dt
 from dataclasses import dataclass
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import schemas
@@ -74,16 +74,16 @@ def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:
 def sync_states(log: DataFrame) -> DataFrame:
     """K9: per table the latest run, the effective watermark and totals since the last reset.
 
-    One window pass (per-table markers: newest reset, newest run) and one aggregate, both
-    keyed by table_name, so the plan has a single shuffle. The log holds one row per run,
-    so a table's slice is small even for a table with most of the runs.
+    Two aggregates with map-side partials and no window: per-table markers (newest reset,
+    newest run; one row per table) are joined back to the runs, then one aggregate per
+    table. A table holding most of the runs is never gathered into one task: each task
+    folds its own rows before the shuffle, and the marker join is one row per table.
     """
     n = normalized(log)
-    per_table = Window.partitionBy("table_name")
-    n = n.withColumns({
-        "_reset_order": F.max(F.when(F.col("status") == "reset", F.col("_order"))).over(per_table),
-        "_latest_order": F.max("_order").over(per_table),
-    })
+    markers = n.groupBy("table_name").agg(
+        F.max(F.when(F.col("status") == "reset", F.col("_order"))).alias("_reset_order"),
+        F.max("_order").alias("_latest_order"))
+    n = n.join(markers, "table_name")
     since_reset = F.col("_reset_order").isNull() | (F.col("_order") > F.col("_reset_order"))
     row_cols = [c for c in n.columns if c not in ("table_name", "_reset_order", "_latest_order")]
     agg = n.groupBy("table_name").agg(

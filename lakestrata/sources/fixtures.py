@@ -118,9 +118,6 @@ def fixture_sql(name: str, engine: str = "spark") -> str:
     return FIXTURE_SQL[name].format(q="`" if engine == "spark" else '"')
 
 
-_registered: dict[tuple[int, str], str] = {}
-
-
 MIN_BALANCE_BYTES = 4 << 20
 
 

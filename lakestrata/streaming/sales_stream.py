@@ -20,18 +20,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata import schemas
-from lakestrata.operators.quality import assert_positive
+from lakestrata.operators.quality import check_minima, quality_minima
 from lakestrata.operators.sales import enrich_sales, sales_by_partition
 from lakestrata.plans.lake import Lake
 
+GATED = ("quantity", "unit_price")
+
 
 def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> None:
-    if batch.isEmpty():
-        return
     silver = enrich_sales(batch, now)
-    assert_positive(silver, ("quantity", "unit_price"))
-    # partitions touched by this micro-batch: a handful of hour values
-    touched = [r[0] for r in silver.select("partition").distinct().collect()]
+    # One job over the new files gives both the quality gate's minima and the partitions
+    # this micro-batch touches (one small row per hour partition; none for an empty batch).
+    stats = quality_minima(silver, GATED, by=("partition",)).collect()
+    if not stats:
+        return
+    check_minima(stats, GATED)
+    touched = [r["partition"] for r in stats]
     (silver.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
      .partitionBy("partition", "epoch").parquet(lake.path("silver", "sales")))
     spark = batch.sparkSession
