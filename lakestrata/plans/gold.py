@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata import schemas
 from lakestrata.operators import facts, ledger, margin
-from lakestrata.plans.ingest import committed_batches
-from lakestrata.plans.lake import Lake, WriteResult, latest_partition_value, read_layer, write_gold
+from lakestrata.plans.ingest import committed_batches, latest_committed_partition
+from lakestrata.plans.lake import Lake, WriteResult, read_layer, write_gold
 from lakestrata.specs import CLIENT_TABLES, TableSpec, spec
 
 GOLD_SOURCES = {
@@ -32,14 +32,18 @@ GOLD_SOURCES = {
 
 def read_bronze(spark: SparkSession, lake: Lake, table: str, scope: str = "latest",
                 specs: Iterable[TableSpec] = CLIENT_TABLES) -> tuple[DataFrame, str]:
-    """A bronze table (committed batches only) and the partition it stands for."""
+    """A bronze table (committed batches only) and the partition it stands for.
+
+    The partition is the newest one with a committed run (sync log), so a run that died
+    before its commit never makes gold read an empty partition.
+    """
     s = spec(table, tuple(specs))
-    path = lake.path("bronze", table)
-    part = latest_partition_value(spark, path)
+    part = latest_committed_partition(spark, lake, table)
     if part is None:
         raise ValueError(f"No partitions found for {table}")
     order_by = [s.timestamp_column] if s.timestamp_column else []
-    df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table), scope,
+    df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table),
+                    "partition" if scope == "latest" else scope, partition=part,
                     keys=s.keys, order_by=order_by, committed_batches=committed_batches(spark, lake, table))
     return df, part
 

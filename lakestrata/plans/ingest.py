@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import schemas
-from lakestrata.functions.timefmt import partition_of, watermark_literal
+from lakestrata.functions.timefmt import PARTITION_PATTERN, partition_of, watermark_literal
 from lakestrata.plans import synclog
 from lakestrata.plans.lake import Lake, append_lineage, lineage_record, new_batch_id, write_partition
 from lakestrata.specs import Pattern, TableSpec
@@ -135,6 +135,20 @@ def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataF
             .select(F.col("run_id").alias("batch_id")).distinct())
 
 
+def latest_committed_partition(spark: SparkSession, lake: Lake, table_name: str) -> str | None:
+    """S12 for bronze: the newest partition that holds a committed batch (one value back).
+
+    Taken from the sync log, not the directory listing: a run that died after writing its
+    data but before its log row may have created a newer partition holding only
+    uncommitted rows, which readers must skip rather than read as empty.
+    """
+    row = (synclog.read_log(spark, lake)
+           .where((F.col("table_name") == table_name) & (F.col("status") == "ok")
+                  & F.col("partition").rlike(PARTITION_PATTERN))
+           .agg(F.max("partition").alias("p")).first())
+    return None if row is None else row.p
+
+
 def batch_watermarks(df: DataFrame, table_name: str, ts_column: str) -> DataFrame:
     """A6 + D4: rows and the new watermark (max non-null ts, truncated to the second)."""
     return df.agg(F.count(F.lit(1)).cast("bigint").alias("rows"),
@@ -151,5 +165,5 @@ def hour_partition(ts: _dt.datetime) -> str:
 
 
 __all__ = ["plan_load", "full_scan", "incremental_scan", "date_partition_scan", "ingest_table",
-           "ingest_all", "select_specs", "committed_batches", "batch_watermarks", "hour_partition",
+           "ingest_all", "select_specs", "committed_batches", "latest_committed_partition", "batch_watermarks", "hour_partition",
            "partition_of"]

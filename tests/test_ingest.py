@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from lakestrata import schemas
 from lakestrata.plans import synclog
 from lakestrata.plans.ingest import (
-    batch_watermarks, committed_batches, ingest_all, ingest_table, plan_load,
+    batch_watermarks, committed_batches, ingest_all, ingest_table, latest_committed_partition, plan_load,
 )
+from lakestrata.plans.gold import build_gold
 from lakestrata.plans.lake import Lake, read_layer, write_partition
 from lakestrata.sources.jdbc import frame_reader
 from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, spec
@@ -114,6 +115,19 @@ def test_uncommitted_batches_are_invisible(spark, lake_root):
     assert [r.inv_num for r in got.collect()] == ["A"]
 
 
+def test_gold_skips_a_newer_partition_with_only_uncommitted_rows(spark, lake_root):
+    # a run died after writing a new hour partition but before its log row: gold keeps
+    # reading the newest committed partition instead of an (invisible, so empty) newer one
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])}))
+    write_partition(_headers(spark, [("GHOST", 1, T(2025, 1, 2))]), lake.path("bronze", "invoice_header"),
+                    "2025-01-01-11", mode="append", batch_id="crashed-batch")
+    assert latest_committed_partition(spark, lake, "invoice_header") == "2025-01-01-10"
+    res = build_gold(spark, lake, ["fact_invoice_detail"])["fact_invoice_detail"]
+    assert (res.partition, res.rows) == ("2025-01-01-10", 1)
+
+
 def test_ingest_all_selection(spark, lake_root):
     lake = Lake(lake_root)
     frames = {"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))]),
