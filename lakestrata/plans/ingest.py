@@ -2,14 +2,18 @@
 
 Patterns (per :class:`~lakestrata.specs.TableSpec`):
 
-* full refresh   -> every row (optionally filtered by ``spec.where``), replaces the partition;
+* full refresh   -> every row (optionally filtered by ``spec.where``), replaces the partition
+                    (once committed, see below);
 * incremental    -> full on first run or after a reset, else ``ts > watermark`` (pushed down
-                    to the source), appended to the partition under a new ``batch_id``;
+                    to the source), added to the partition as a new batch;
 * date partition -> ``partition_column = value`` (value required, Q28).
 
-Exactly-once per batch (Q26 fix): data first, then one sync-log row; readers keep only
-batches with a log row (``committed_batches``). The watermark is truncated to the second
-by default (Q21: at-least-once at the boundary); ``current`` scope de-duplicates by key.
+Exactly-once per batch (Q26 fix): each run writes its own ``batch_id`` folder, then one
+sync-log row; readers keep only batches with a log row that no newer committed full load
+of the partition supersedes (``committed_batches``). Committed files are never replaced
+before the new run commits; a full load deletes the folders it supersedes afterwards.
+The watermark is truncated to the second by default (Q21: at-least-once at the
+boundary); ``current`` scope de-duplicates by key.
 """
 
 from __future__ import annotations
@@ -24,7 +28,9 @@ from pyspark.sql import functions as F
 from lakestrata import schemas
 from lakestrata.functions.timefmt import PARTITION_PATTERN, partition_of, watermark_literal
 from lakestrata.plans import synclog
-from lakestrata.plans.lake import Lake, append_lineage, lineage_record, new_batch_id, write_partition
+from lakestrata.plans.lake import (
+    Lake, append_lineage, drop_batches, lineage_record, new_batch_id, write_partition,
+)
 from lakestrata.specs import Pattern, TableSpec
 
 Reader = Callable[[TableSpec], DataFrame]
@@ -88,8 +94,8 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
                          partition_value=partition_value, precision=precision)
     batch_id = new_batch_id()
     path = lake.path("bronze", spec.target_table)
-    write_mode = "append" if mode == "incremental" else "overwrite"
-    res = write_partition(df, path, partition, mode=write_mode, batch_id=batch_id,
+    # a new write-once batch folder; a retried job replaces only its own batch
+    res = write_partition(df, path, partition, mode="overwrite", batch_id=batch_id,
                           watermark_column=spec.timestamp_column)
     duration = round(time.time() - started, 2)
     if res.rows == 0:  # Q25: nothing written, state untouched
@@ -105,6 +111,8 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
         "sync_type": spec.pattern.value, "mode": mode, "partition": partition,
         "last_sync_value": res.max_ts,  # null for all-null ts batches: watermark unchanged (Q22)
         "rows_synced": res.rows, "sync_duration_seconds": duration, "last_sync_at": now, "path": path})
+    if mode in REPLACING_MODES:  # committed: the batches this load replaces can go
+        drop_batches(spark, path, partition, keep=batch_id)
     return {"table": spec.target_table, "rows_synced": res.rows, "mode": mode,
             "duration_seconds": duration, "skipped": False, "path": f"{path}/partition={partition}"}
 
@@ -129,10 +137,25 @@ def ingest_all(spark: SparkSession, specs: Sequence[TableSpec], lake: Lake, part
     return spark.createDataFrame(results, schemas.INGEST_RESULT)
 
 
+REPLACING_MODES = ("full", "partition")  # loads that replace their partition's earlier batches
+
+
 def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
-    """Batch ids that have a sync-log row (readers ignore uncommitted batches)."""
-    return (synclog.read_log(spark, lake).where(F.col("table_name") == table_name)
-            .select(F.col("run_id").alias("batch_id")).distinct())
+    """Batch ids readers may see: committed (they have a sync-log row) and not superseded
+    by a newer committed full / date-partition load of the same partition.
+
+    Computed from the log (one row per run) with one aggregate and one join; readers
+    semi-join on it, which prunes ``batch_id`` folders at run time.
+    """
+    runs = (synclog.read_log(spark, lake)
+            .where((F.col("table_name") == table_name) & (F.col("status") == "ok"))
+            .select(F.col("run_id").alias("batch_id"), "partition", "mode",
+                    F.struct("last_sync_at", "run_id").alias("_order")))
+    newest_replace = (runs.where(F.col("mode").isin(*REPLACING_MODES)).groupBy("partition")
+                      .agg(F.max("_order").alias("_replaced_before")))
+    live = runs.join(newest_replace, "partition", "left").where(
+        F.col("_replaced_before").isNull() | (F.col("_order") >= F.col("_replaced_before")))
+    return live.select("batch_id").distinct()
 
 
 def latest_committed_partition(spark: SparkSession, lake: Lake, table_name: str) -> str | None:

@@ -2,14 +2,16 @@
 
 Layout (all Parquet, one directory per dataset, Hive-style ``partition=YYYY-MM-DD-HH``)::
 
-    {root}/bronze/{table}/partition=...   (rows tagged with the batch_id of their run)
+    {root}/bronze/{table}/partition=.../batch_id=...   (one write-once folder per run)
     {root}/silver/{dataset}/partition=...
     {root}/gold/{dataset}/partition=...
     {root}/_ops/sync_log      append-only ingestion log
     {root}/_ops/lineage       append-only lineage records
 
 Writes overwrite only the partitions they touch (dynamic partition overwrite: a failed
-job leaves the previous partition in place; lost executors just re-run tasks). Row
+job leaves the previous partition in place; lost executors just re-run tasks). Bronze
+runs never replace committed files: each run writes its own ``batch_id`` folder, and a
+full load drops the folders it supersedes only after its sync-log commit. Row
 counts and watermarks come from an ``Observation`` of the write itself, not a 2nd scan.
 """
 
@@ -108,21 +110,26 @@ class WriteResult:
     max_ts: _dt.datetime | None = None
 
 
-def write_partition(df: DataFrame, path: str, partition: str | None, *, mode: str = "overwrite",
+def write_partition(df: DataFrame, path: str, partition: str | Column | None, *, mode: str = "overwrite",
                     batch_id: str | None = None, watermark_column: str | None = None,
                     fmt: str = "parquet") -> WriteResult:
     """K1/K3/K4: write ``df`` as partition ``partition`` of the dataset at ``path``.
 
+    ``partition`` is one value, or a Column giving each row's partition (several at once).
+
     ``mode='overwrite'`` replaces only that partition (dynamic overwrite); ``'append'``
-    adds files (used for incremental bronze batches, tagged with ``batch_id``).
+    adds files. With ``batch_id`` the rows go to their own ``partition=P/batch_id=B``
+    folder: other batches of the partition are never touched, and a retried job of the
+    same batch replaces its own output instead of duplicating it.
     """
     out = df
     part_cols = []
     if partition is not None:
-        out = out.withColumn("partition", F.lit(partition))
+        out = out.withColumn("partition", partition if isinstance(partition, Column) else F.lit(partition))
         part_cols.append("partition")
-    if batch_id is not None:  # a data column: a full refresh still replaces the whole partition
+    if batch_id is not None:
         out = out.withColumn("batch_id", F.lit(batch_id))
+        part_cols.append("batch_id")
     metrics = [F.count(F.lit(1)).alias("rows")]
     if watermark_column:
         metrics.append(F.max(F.col(watermark_column)).alias("max_ts"))
@@ -135,7 +142,27 @@ def write_partition(df: DataFrame, path: str, partition: str | None, *, mode: st
         writer = writer.partitionBy(*part_cols)
     writer.save(path)
     got = obs.get
-    return WriteResult(path, partition, int(got.get("rows", 0) or 0), got.get("max_ts"))
+    return WriteResult(path, None if isinstance(partition, Column) else partition,
+                       int(got.get("rows", 0) or 0), got.get("max_ts"))
+
+
+def drop_batches(spark: SparkSession, path: str, partition: str, keep: str) -> list[str]:
+    """Delete the ``batch_id`` folders of one partition except ``keep`` (metadata only).
+
+    Run after a full load has committed: the batches it supersedes (and leftovers of
+    runs that never committed) are removed. Readers already ignore them, so a crash
+    before or during this clean-up leaves correct results.
+    """
+    fs, p = _fs(spark, f"{path.rstrip('/')}/partition={partition}")
+    if not fs.exists(p):
+        return []
+    dropped = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("batch_id=") and name != f"batch_id={keep}":
+            fs.delete(status.getPath(), True)
+            dropped.append(name.split("=", 1)[1])
+    return dropped
 
 
 def lineage_record(target_layer: str, target_path: str, *, dataset: str | None = None,

@@ -61,10 +61,9 @@ def run_sales_flow(spark: SparkSession, lake: Lake, partition: str, report_date=
 
 def write_bronze_sales(df: DataFrame, lake: Lake, partition_col: F.Column | None = None,
                        partition: str | None = None) -> int:
-    """K2: land ERP sales rows in bronze (one partition, or one per value of ``partition_col``)."""
-    path = lake.path("bronze", "sales")
-    if partition_col is None:
-        return write_partition(df, path, partition).rows
-    out = df.withColumn("partition", partition_col)
-    out.write.mode("overwrite").partitionBy("partition").parquet(path)
-    return -1
+    """K2: land ERP sales rows in bronze (one partition, or one per value of ``partition_col``).
+
+    Returns the rows written (counted by the write itself).
+    """
+    return write_partition(df, lake.path("bronze", "sales"),
+                           partition_col if partition_col is not None else partition).rows

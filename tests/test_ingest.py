@@ -128,6 +128,41 @@ def test_gold_skips_a_newer_partition_with_only_uncommitted_rows(spark, lake_roo
     assert (res.partition, res.rows) == ("2025-01-01-10", 1)
 
 
+def test_full_rerun_never_replaces_committed_rows_before_its_commit(spark, lake_root):
+    lake = Lake(lake_root)
+    addr = spec("customer_address")
+    path = lake.path("bronze", "customer_address")
+    sch = schemas.BRONZE["customer_address"]
+    ingest_table(spark, addr, lake, "2025-01-01-10", frame_reader({"customer_address": spark.createDataFrame([(1, 0, "a")], sch)}))
+
+    def live():
+        df = read_layer(spark, lake, "bronze", "customer_address", sch, "partition", partition="2025-01-01-10",
+                        committed_batches=committed_batches(spark, lake, "customer_address"))
+        return sorted(r.cust_num for r in df.collect())
+
+    # a same-hour full rerun wrote its own batch folder, then died before its log row
+    write_partition(spark.createDataFrame([(2, 0, "b")], sch), path, "2025-01-01-10", batch_id="rerun")
+    assert live() == [1]
+    # once that run commits it supersedes the older batch, even before the clean-up
+    synclog.append_log(spark, lake, {"table_name": "customer_address", "run_id": "rerun", "status": "ok",
+                                     "mode": "full", "partition": "2025-01-01-10", "rows_synced": 1,
+                                     "last_sync_at": T(2100, 1, 1)})
+    assert live() == [2]
+
+
+def test_ordered_incremental_read(spark):
+    # O1: the incremental read can be ordered by its timestamp (bronze itself is unordered)
+    hdr = spec("invoice_header")
+    src = _headers(spark, [("C", 1, T(2025, 1, 3)), ("A", 1, T(2025, 1, 1)), ("B", 1, T(2025, 1, 2)),
+                           ("OLD", 1, T(2024, 1, 1)), ("N", 1, None)])
+    state = synclog.SyncState("invoice_header", "ok", T(2024, 6, 1), T(2024, 6, 1), 1, 1)
+    df, mode = plan_load(hdr, src, state, ordered=True)
+    assert mode == "incremental" and [r.inv_num for r in df.collect()] == ["A", "B", "C"]
+    unordered, _ = plan_load(hdr, src, state)
+    assert "Sort" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in unordered._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_ingest_all_selection(spark, lake_root):
     lake = Lake(lake_root)
     frames = {"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))]),

@@ -36,7 +36,7 @@ def test_stream_processes_each_file_once(spark, lake_root):
     first = sales.where(F.unix_date("order_date") < cut)
     later = sales.where(F.unix_date("order_date") >= cut)
     assert first.count() > 0 and later.count() > 0
-    write_bronze_sales(first, lake, partition_col=month())
+    assert write_bronze_sales(first, lake, partition_col=month()) == first.count()
     run_available_now(spark, lake, report_date="2001-09-01", now="2001-09-01 00:00:00")
     assert _norm(_gold(spark, lake)) == _norm(_expected(first))
     silver_root = lake.path("silver", "sales").replace("file:", "")
