@@ -29,7 +29,7 @@ from lakestrata import schemas
 from lakestrata.functions.timefmt import PARTITION_PATTERN, partition_of, watermark_literal
 from lakestrata.plans import synclog
 from lakestrata.plans.lake import (
-    Lake, append_lineage, drop_batches, lineage_record, new_batch_id, write_partition,
+    Lake, append_lineage, drop_batches, lineage_record, new_batch_id, rows_frame, write_partition,
 )
 from lakestrata.specs import Pattern, TableSpec
 
@@ -134,7 +134,7 @@ def ingest_all(spark: SparkSession, specs: Sequence[TableSpec], lake: Lake, part
     """Ingest the selected tables; one result row per table (table, rows, mode, ...)."""
     results = [ingest_table(spark, s, lake, partition, reader, force_full=force_full, source_name=source_name)
                for s in select_specs(specs, tables, pattern)]
-    return spark.createDataFrame(results, schemas.INGEST_RESULT)
+    return rows_frame(spark, results, schemas.INGEST_RESULT)
 
 
 REPLACING_MODES = ("full", "partition")  # loads that replace their partition's earlier batches

@@ -24,7 +24,9 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType, DataType, DateType, MapType, StructType, TimestampNTZType,
+)
 
 from lakestrata import schemas
 from lakestrata.functions.timefmt import PARTITION_PATTERN
@@ -179,6 +181,33 @@ def lineage_record(target_layer: str, target_path: str, *, dataset: str | None =
     }
 
 
+def _literal(value, dtype: DataType) -> Column:
+    """One typed literal. Naive datetimes go through text, so no time zone can shift them."""
+    if value is None:
+        return F.lit(None).cast(dtype)
+    if isinstance(dtype, MapType):
+        return F.create_map(*[c for k, v in value.items()
+                              for c in (_literal(k, dtype.keyType), _literal(v, dtype.valueType))]).cast(dtype)
+    if isinstance(dtype, ArrayType):
+        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+    if isinstance(dtype, (TimestampNTZType, DateType)) and isinstance(value, (_dt.datetime, _dt.date)):
+        return F.lit(value.isoformat()).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
+def rows_frame(spark: SparkSession, rows: Sequence[dict], schema: StructType) -> DataFrame:
+    """A handful of metadata rows (run results, log and lineage records) as a literal plan.
+
+    Built from JVM literals (``inline`` of an array of structs over a one-row range), so no
+    Python worker or pickled RDD is involved; meant for a few rows per job, never for data.
+    """
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[_literal(r.get(f.name), f.dataType).alias(f.name) for f in schema.fields])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 OPS_PARTITION = "log_month"  # ops tables (sync log, lineage) are partitioned by month
 
 
@@ -231,7 +260,7 @@ def append_lineage(spark: SparkSession, lake: Lake, records: Iterable[dict]) ->
     """K6: append lineage records (a few metadata rows per job) to the lineage table."""
     rows = list(records)
     if rows:
-        append_ops(spark.createDataFrame(rows, schemas.LINEAGE), lake.lineage, "written_at")
+        append_ops(rows_frame(spark, rows, schemas.LINEAGE), lake.lineage, "written_at")
 
 
 def read_lineage(spark: SparkSession, lake: Lake) -> DataFrame:

@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from lakestrata import schemas
 from lakestrata.functions.timefmt import hours_between
-from lakestrata.plans.lake import Lake, append_ops, read_ops
+from lakestrata.plans.lake import Lake, append_ops, read_ops, rows_frame
+
+REGISTERED = schemas._struct(("table_name", schemas.S))
 
 
 @dataclass(frozen=True)
@@ -68,7 +70,7 @@ def read_log(spark: SparkSession, lake: Lake) -> DataFrame:
 def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:
     """K7/K8: the commit point of a run: one row appended after the data is written."""
     full = {f.name: row.get(f.name) for f in schemas.SYNC_LOG.fields}
-    append_ops(spark.createDataFrame([full], schemas.SYNC_LOG), lake.sync_log, "last_sync_at")
+    append_ops(rows_frame(spark, [full], schemas.SYNC_LOG), lake.sync_log, "last_sync_at")
 
 
 def sync_states(log: DataFrame) -> DataFrame:
@@ -162,7 +164,7 @@ def stale_syncs(log: DataFrame, registered: Sequence[str] | DataFrame | None = N
     spark = log.sparkSession
     if registered is not None:
         reg = registered if isinstance(registered, DataFrame) else \
-            spark.createDataFrame([(t,) for t in registered], "table_name string")
+            rows_frame(spark, [{"table_name": t} for t in registered], REGISTERED)
         states = reg.select("table_name").distinct().join(states, "table_name", "full")
     cutoff = now_col - F.expr(f"INTERVAL {int(max_age_hours)} HOURS")
     never = F.col("last_sync_at").isNull()

@@ -122,3 +122,16 @@ def test_gold_scopes_latest_vs_current(spark, lake_root):
     current = build_gold(spark, lake, ["margin_invoice"], scope="current")["margin_invoice"]
     keys = full["invoice_item"].select("inv_num", "inv_line", "co_line").distinct().count()
     assert current.rows == keys  # one row per documented key, across both batches
+
+
+def test_rows_frame_matches_create_dataframe(spark):
+    # metadata rows built from literals must equal the same rows built from Python objects
+    from lakestrata.plans.lake import lineage_record, rows_frame
+    recs = [lineage_record("gold", "p", dataset="d", partition="2025-01-01-00", record_count=3,
+                           source_tables=["a", "b"], extra={"k": "v", "n": 1},
+                           written_at=dt.datetime(2025, 1, 2, 3, 4, 5, 678901)),
+            lineage_record("bronze", "q", written_at=dt.datetime(1999, 12, 31, 23, 59, 59))]
+    got = rows_frame(spark, recs, schemas.LINEAGE)
+    assert got.schema.simpleString() == schemas.LINEAGE.simpleString()
+    assert sorted(got.collect()) == sorted(spark.createDataFrame(recs, schemas.LINEAGE).collect())
+    assert rows_frame(spark, [], schemas.LINEAGE).count() == 0
