@@ -92,6 +92,10 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
     state = synclog.get_state(spark, lake, spec.target_table)
     df, mode = plan_load(spec, reader(spec), state, force_full=force_full,
                          partition_value=partition_value, precision=precision)
+    if mode == "incremental":
+        # a delta is small next to the scan it filters: rebalance it (sized by AQE) so it
+        # lands as a few well-sized files, not one sliver per scan task and run
+        df = df.hint("rebalance")
     batch_id = new_batch_id()
     path = lake.path("bronze", spec.target_table)
     # a new write-once batch folder; a retried job replaces only its own batch

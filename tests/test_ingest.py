@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,6 +164,20 @@ def test_ordered_incremental_read(spark):
     assert "Sort" not in unordered._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_incremental_delta_lands_as_few_files(spark, lake_root):
+    # a small delta scanned by many tasks is rebalanced (AQE-sized), not one file per task
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    first = _headers(spark, [(f"I{i}", i, T(2025, 1, 1)) for i in range(40)]).repartition(4)
+    ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": first}))
+    later = first.unionByName(_headers(spark, [("NEW1", 1, T(2025, 1, 2)), ("NEW2", 2, T(2025, 1, 2))])).repartition(4)
+    r = ingest_table(spark, hdr, lake, "2025-01-01-11", frame_reader({"invoice_header": later}))
+    assert (r["mode"], r["rows_synced"]) == ("incremental", 2)
+    folder = r["path"].replace("file:", "")
+    files = [f for d, _, fs in os.walk(folder) for f in fs if f.endswith(".parquet")]
+    assert len(files) == 1
+
+
 def test_ingest_all_selection(spark, lake_root):
     lake = Lake(lake_root)
     frames = {"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))]),
