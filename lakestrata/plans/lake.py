@@ -18,6 +18,7 @@ counts and watermarks come from an ``Observation`` of the write itself, not a 2n
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import uuid
 from dataclasses import dataclass
 from typing import Iterable, Sequence
@@ -211,10 +212,16 @@ def rows_frame(spark: SparkSession, rows: Sequence[dict], schema: StructType) ->
 OPS_PARTITION = "log_month"  # ops tables (sync log, lineage) are partitioned by month
 
 
+# Concurrent Spark jobs must not write into the same directory (they would share the file
+# committer's temporary folder), so appends to an ops table from driver threads take turns.
+_OPS_LOCK = threading.Lock()
+
+
 def append_ops(df: DataFrame, path: str, ts_column: str) -> None:
     """Append a few metadata rows to a month-partitioned ops table."""
-    (df.withColumn(OPS_PARTITION, F.date_format(F.col(ts_column), "yyyy-MM")).coalesce(1)
-     .write.mode("append").partitionBy(OPS_PARTITION).parquet(path))
+    with _OPS_LOCK:
+        (df.withColumn(OPS_PARTITION, F.date_format(F.col(ts_column), "yyyy-MM")).coalesce(1)
+         .write.mode("append").partitionBy(OPS_PARTITION).parquet(path))
 
 
 def read_ops(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -236,7 +243,8 @@ def compact_partition(spark: SparkSession, path: str, value: str, column: str =
     shared_dir(spark, "compaction")
     part = spark.read.parquet(path).where(F.col(column) == F.lit(value))
     snapshot = part.checkpoint(eager=True)
-    snapshot.coalesce(files).write.mode("overwrite").partitionBy(column).parquet(path)
+    with _OPS_LOCK:
+        snapshot.coalesce(files).write.mode("overwrite").partitionBy(column).parquet(path)
 
 
 def compact_ops(spark: SparkSession, lake: Lake, before_month: str) -> list[str]:

@@ -190,6 +190,23 @@ def test_ingest_all_selection(spark, lake_root):
         ingest_all(spark, CLIENT_TABLES, lake, "2025-01-01-00", frame_reader(frames), tables=["nope"])
 
 
+def test_parallel_ingest_of_all_tables(spark, lake_root):
+    # Tables run as concurrent jobs; every run still gets exactly one log and lineage row
+    from lakestrata.plans.lake import read_lineage
+    from lakestrata.sources.fixtures import load
+    lake = Lake(lake_root)
+    frames = {s.target_table: load(spark, "/root/testdata/sf0.001", s.target_table) for s in CLIENT_TABLES}
+    res = ingest_all(spark, CLIENT_TABLES, lake, "2001-09-01-00", frame_reader(frames), max_parallel=5)
+    got = {r.table: r.rows_synced for r in res.collect()}
+    expected = {t: (df.where("acct = '422200'") if t == "general_ledger" else df).count() for t, df in frames.items()}
+    assert got == expected
+    log = synclog.read_log(spark, lake)
+    assert sorted(r.table_name for r in log.collect()) == sorted(expected)
+    assert read_lineage(spark, lake).count() == len(expected)
+    for t, n in expected.items():
+        assert synclog.get_state(spark, lake, t).rows_synced == n
+
+
 def test_batch_watermark(spark):
     df = _headers(spark, [("A", 1, T(2025, 1, 1, 10, 0, 0, 900000)), ("B", 1, None)])
     r = batch_watermarks(df, "invoice_header", "RecordDate").first()
