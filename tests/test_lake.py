@@ -76,6 +76,7 @@ def test_client_gold_end_to_end(spark, lake_root):
     assert out["margin_invoice"].rows == load(spark, SF, "invoice_item").count()
     assert out["margin_invoice"].partition == "2001-09-01-00"
     lin = read_lineage(spark, lake).where(F.col("target_layer") == "gold")
+    assert sorted(r.dataset for r in lin.collect()) == sorted(out)  # one record per table (built in parallel)
     assert lin.where(F.col("dataset") == "margin_invoice").first().source_tables == [
         "invoice_item", "invoice_header", "order_item", "customer_address"]
     status = create_views(spark, lake, ["margin_invoice", "margin_rebate", "sales_by_region", "nope"])
