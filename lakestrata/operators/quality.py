@@ -12,12 +12,16 @@ class QualityError(ValueError):
     """A batch failed a data-quality gate; nothing was committed."""
 
 
-def quality_minima(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def quality_minima(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
+                   counted: bool = False) -> DataFrame:
     """``min_<col>`` per column (nulls ignored; empty input gives nulls).
 
-    One row, or one row per ``by`` group (e.g. the partitions a micro-batch touches).
+    One row, or one row per ``by`` group (e.g. the partitions a micro-batch touches);
+    ``counted`` adds the group's row count as ``rows`` in the same pass.
     """
     aggs = [F.min(F.col(c)).alias(f"min_{c}") for c in columns]
+    if counted:
+        aggs.append(F.count(F.lit(1)).alias("rows"))
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 

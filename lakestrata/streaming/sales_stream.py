@@ -7,7 +7,8 @@ directories) feeds ``foreachBatch``. Each micro-batch:
 2. writes them to silver under ``partition=P/epoch=E`` with dynamic overwrite, so a
    retried epoch replaces its own output instead of duplicating it;
 3. recomputes the gold aggregates of the touched partitions only (partition-pruned read
-   of silver, dynamic overwrite of the gold partitions).
+   of silver, dynamic overwrite of the gold partitions);
+4. appends one lineage record per written silver / gold partition.
 
 The checkpoint (offsets + file log) lives in the lake's shared ``_ops`` folder, so a
 restarted driver resumes and a second ``availableNow`` run reads only new files.
@@ -15,6 +16,8 @@ restarted driver resumes and a second ``availableNow`` run reads only new files.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,29 +25,49 @@ from pyspark.sql.streaming import StreamingQuery
 from lakestrata import schemas
 from lakestrata.operators.quality import check_minima, quality_minima
 from lakestrata.operators.sales import enrich_sales, sales_by_partition
-from lakestrata.plans.lake import Lake
+from lakestrata.plans.lake import Lake, append_lineage, lineage_record
 
 GATED = ("quantity", "unit_price")
 
 
 def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> None:
     silver = enrich_sales(batch, now)
-    # One job over the new files gives both the quality gate's minima and the partitions
-    # this micro-batch touches (one small row per hour partition; none for an empty batch).
-    stats = quality_minima(silver, GATED, by=("partition",)).collect()
+    # One job over the new files gives the quality gate's minima, the partitions this
+    # micro-batch touches and their row counts (one small row per hour partition; none
+    # for an empty batch).
+    stats = quality_minima(silver, GATED, by=("partition",), counted=True).collect()
     if not stats:
         return
     check_minima(stats, GATED)
     touched = [r["partition"] for r in stats]
-    (silver.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
-     .partitionBy("partition", "epoch").parquet(lake.path("silver", "sales")))
     spark = batch.sparkSession
+    silver_path = lake.path("silver", "sales")
+    (silver.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
+     .partitionBy("partition", "epoch").parquet(silver_path))
+    records = [lineage_record("silver", silver_path, dataset="sales", partition=r["partition"],
+                              source_layer="bronze", source_path=lake.path("bronze", "sales"),
+                              record_count=r["rows"], written_at=_naive(now),
+                              extra={"epoch": epoch_id, "transformations": "calculate_total_amount,add_processed_at"})
+               for r in stats]
     silver_schema = schemas.with_fields(schemas.SILVER_SALES, ("partition", "string"), ("epoch", "int"))
-    current = (spark.read.schema(silver_schema).parquet(lake.path("silver", "sales"))
+    current = (spark.read.schema(silver_schema).parquet(silver_path)
                .where(F.col("partition").isin(touched)))
     for key in ("region", "product"):
+        gold_path = lake.path("gold", f"sales_by_{key}")
         (sales_by_partition(current, key, report_date).write.mode("overwrite")
-         .partitionBy("partition").parquet(lake.path("gold", f"sales_by_{key}")))
+         .partitionBy("partition").parquet(gold_path))
+        records += [lineage_record("gold", gold_path, dataset=f"sales_by_{key}", partition=p,
+                                   source_layer="silver", source_path=silver_path, source_tables=["sales"],
+                                   written_at=_naive(now), extra={"epoch": epoch_id})
+                    for p in touched]
+    append_lineage(spark, lake, records)
+
+
+def _naive(now) -> _dt.datetime | None:
+    """The run's clock as a naive UTC datetime (None: the writer's wall clock)."""
+    if now is None or isinstance(now, _dt.datetime):
+        return now
+    return _dt.datetime.fromisoformat(str(now))
 
 
 def start_sales_stream(spark: SparkSession, lake: Lake, *, report_date=None, now=None,
