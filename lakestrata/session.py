@@ -82,7 +82,8 @@ def sizing(input_bytes: int, cores: int, max_tasks: int = 100_000) -> dict[str,
     Map-output metadata grows with (map tasks x reduce partitions), so both are capped at
     ``max_tasks``: scan splits grow beyond 128 MB once the input would need more tasks, and
     shuffle partitions target ~256 MB of input each (at least 2x the cores). AQE then
-    coalesces small reducers and splits skewed ones at run time.
+    coalesces small reducers to the advisory size (not to the core count) and splits
+    skewed ones at run time.
     Example: 100 TB on 1000 executors x 8 cores -> ~1.1 GB splits, 100k shuffle partitions.
     """
     mb = 1 << 20
@@ -93,4 +94,7 @@ def sizing(input_bytes: int, cores: int, max_tasks: int = 100_000) -> dict[str,
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        # on a shared cluster coalesce to the advisory size (fewer, well-sized reducers and
+        # output files) instead of maximising the number of small post-shuffle partitions
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }

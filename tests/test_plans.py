@@ -58,3 +58,14 @@ def test_watermark_filter_reaches_the_parquet_scan(spark):
     pushed = pushed[:pushed.index("]")]
     assert "GreaterThan(o_orderdate,1998-01-01T12:30:15)" in pushed  # truncated to the second (Q21)
     assert df.count() == src.where(F.col("RecordDate") > F.lit("1998-01-01 12:30:15").cast("timestamp_ntz")).count()
+
+
+def test_cluster_sizing():
+    from lakestrata.session import sizing
+    big = sizing(100 << 40, 8000)  # 100 TB on 8,000 cores: task counts capped, splits grow
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == -(-(100 << 40) // 100_000)  # ~1 GiB splits
+    assert big["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+    small = sizing(10 << 30, 64)  # 10 GB: default 128 MB splits, at least 2 partitions per core
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
