@@ -50,12 +50,15 @@ def assert_positive(df: DataFrame, columns: Sequence[str] = ("quantity", "unit_p
     return check_minima([quality_minima(df, columns).first()], columns)
 
 
-def bronze_audit(expected: DataFrame, counts: DataFrame, lineage: DataFrame) -> DataFrame:
-    """Status of every expected (table, partition): MISSING / EMPTY / OK + metadata check.
-
-    ``expected``: table_name, partition. ``counts``: table_name, partition, record_count.
-    ``lineage``: dataset, partition. All three are per-partition summaries (small), so
-    this is two left joins of small frames.
+def bronze_audit(expected: DataFrame, counts: DataFrame, lineage: DataFrame,
+                 raw_counts: DataFrame | None = None) -> DataFrame:
+    """Status of every expected (table, partition): MISSING / EMPTY / OK / ERROR + metadata check.
+
+    ``expected``: table_name, partition. ``counts``: table_name, partition, record_count
+    (readable rows). ``lineage``: dataset, partition. Optional ``raw_counts`` (same shape
+    as ``counts``, every row on disk): a partition with rows on disk but none readable is
+    ERROR (e.g. only batches of runs that died before their commit). All inputs are
+    per-partition summaries (small), so this is a few left joins of small frames.
     """
     exp = expected.select("table_name", "partition").distinct()
     cnt = counts.groupBy("table_name", "partition").agg(F.sum("record_count").alias("record_count"))
@@ -63,10 +66,15 @@ def bronze_audit(expected: DataFrame, counts: DataFrame, lineage: DataFrame) ->
         .withColumn("_meta", F.lit(True))
     j = exp.join(cnt, ["table_name", "partition"], "left").join(lin, ["table_name", "partition"], "left")
     exists = F.col("record_count").isNotNull()
+    status = F.when(~exists, F.lit("MISSING"))
+    if raw_counts is not None:
+        raw = raw_counts.groupBy("table_name", "partition").agg(F.sum("record_count").alias("_raw"))
+        j = j.join(raw, ["table_name", "partition"], "left")
+        status = F.when(~exists & (F.coalesce(F.col("_raw"), F.lit(0)) > 0), F.lit("ERROR")) \
+            .when(~exists, F.lit("MISSING"))
     return j.select(
         F.col("table_name").alias("table"), "partition",
-        F.when(~exists, F.lit("MISSING")).when(F.col("record_count") == 0, F.lit("EMPTY"))
-        .otherwise(F.lit("OK")).alias("status"),
+        status.when(F.col("record_count") == 0, F.lit("EMPTY")).otherwise(F.lit("OK")).alias("status"),
         F.coalesce(F.col("record_count"), F.lit(0)).cast("bigint").alias("record_count"),
         F.when(exists, F.col("_meta").isNull()).alias("metadata_missing"))
 
