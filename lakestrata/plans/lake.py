@@ -59,7 +59,8 @@ class Lake:
 
 
 def new_batch_id() -> str:
-    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+    """A run id that sorts by start time (microseconds), with a random suffix against clashes."""
+    return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
 
 # ---- filesystem helpers (driver-side metadata only: directory names, never data) -------------

@@ -64,10 +64,12 @@ def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> N
 
 
 def _naive(now) -> _dt.datetime | None:
-    """The run's clock as a naive UTC datetime (None: the writer's wall clock)."""
-    if now is None or isinstance(now, _dt.datetime):
+    """The run's fixed clock as a naive UTC datetime; None (wall clock) otherwise."""
+    if isinstance(now, _dt.datetime):
         return now
-    return _dt.datetime.fromisoformat(str(now))
+    if isinstance(now, str):
+        return _dt.datetime.fromisoformat(now)
+    return None
 
 
 def start_sales_stream(spark: SparkSession, lake: Lake, *, report_date=None, now=None,
