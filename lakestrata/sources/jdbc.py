@@ -14,7 +14,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.specs import TableSpec
+from lakestrata.specs import TableSpec, check_identifier
+
+# Row count from the source's catalog statistics instead of a scan (SQL Server form, O(1),
+# approximate like the statistics themselves); pass it as ``JdbcSource(count_template=...)``.
+SQLSERVER_STATS_COUNT = ("SELECT SUM(row_count) AS n FROM sys.dm_db_partition_stats "
+                         "WHERE object_id = OBJECT_ID('{qualified}') AND index_id IN (0, 1)")
 
 
 @dataclass(frozen=True)
@@ -24,6 +29,7 @@ class JdbcSource:
     fetchsize: int = 10_000
     query_timeout_s: int = 0                          # 0 = no limit
     limit_template: str = "SELECT TOP {n} * FROM {table}"  # SQL Server; Derby: FETCH FIRST
+    count_template: str = "SELECT COUNT(*) AS n FROM {qualified}"  # or SQLSERVER_STATS_COUNT
 
     def _reader(self, spark: SparkSession):
         r = (spark.read.format("jdbc").option("url", self.url).option("fetchsize", self.fetchsize)
@@ -51,7 +57,8 @@ def range_partitioning(spark: SparkSession, src: JdbcSource, table: str, column:
     ``num_partitions`` range queries on ``column`` (numeric, date or timestamp) instead of
     one cursor. Rows outside the bounds are still read (first / last range are open).
     """
-    c = f"{quote}{column}{quote}"
+    table = qualified_name(table)
+    c = f"{quote}{check_identifier(column)}{quote}"
     row = jdbc_query(spark, src, f"SELECT MIN({c}) AS lo, MAX({c}) AS hi FROM {table}").first()
     if row is None or row[0] is None:
         return {}
@@ -75,15 +82,28 @@ def jdbc_query(spark: SparkSession, src: JdbcSource, query: str) -> DataFrame:
     return src._reader(spark).option("query", query).load()
 
 
-def source_row_count(spark: SparkSession, src: JdbcSource, table: str) -> int:
-    """Row count computed by the source (one row comes back)."""
-    row = jdbc_query(spark, src, f"SELECT COUNT(*) AS n FROM {table}").first()
+def qualified_name(table: str, schema: str | None = None) -> str:
+    """``[db.]schema.table`` with every part validated whole (nothing else is spliced into SQL)."""
+    parts = ([schema] if schema else []) + table.split(".")
+    return ".".join(check_identifier(x) for x in parts)
+
+
+def source_row_count(spark: SparkSession, src: JdbcSource, table: str, schema: str | None = None) -> int:
+    """Row count computed by the source (one row comes back; 0 when it has none).
+
+    ``src.count_template`` decides how: a ``COUNT(*)`` by default, or the catalog
+    statistics (``SQLSERVER_STATS_COUNT``), which answer without scanning the table.
+    """
+    name = qualified_name(table, schema)
+    part_schema, _, part_table = name.rpartition(".")
+    query = src.count_template.format(qualified=name, schema=part_schema, table=part_table)
+    row = jdbc_query(spark, src, query).first()
     return int(row[0]) if row is not None and row[0] is not None else 0
 
 
 def source_sample(spark: SparkSession, src: JdbcSource, table: str, n: int = 5) -> DataFrame:
     """The first ``n`` rows the source returns (limit applied at the source)."""
-    return jdbc_query(spark, src, src.limit_template.format(n=int(n), table=table))
+    return jdbc_query(spark, src, src.limit_template.format(n=int(n), table=qualified_name(table)))
 
 
 def source_schema(df: DataFrame) -> DataFrame:

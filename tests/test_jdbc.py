@@ -70,3 +70,22 @@ def test_range_partitioned_read(spark, derby):
     assert parts["lower_bound"] == T(2025, 1, 1) and parts["num_partitions"] == 4
     df = jdbc_reader(spark, derby, {"invoice_header": parts})(SPEC)
     assert df.rdd.getNumPartitions() == 4 and df.count() == 40
+
+
+def test_source_count_template_and_identifier_checks(spark, derby):
+    # The count query is the source's choice (statistics on SQL Server); names are validated
+    from dataclasses import replace
+    from lakestrata.sources.jdbc import SQLSERVER_STATS_COUNT, qualified_name
+    assert source_row_count(spark, derby, "INV_HDR_MST", schema="APP") == 40
+    by_catalog = replace(derby, count_template=(
+        "SELECT COUNT(*) AS n FROM SYS.SYSTABLES t JOIN SYS.SYSSCHEMAS s ON t.SCHEMAID = s.SCHEMAID "
+        "WHERE s.SCHEMANAME = '{schema}' AND t.TABLENAME = '{table}'"))
+    assert source_row_count(spark, by_catalog, "APP.INV_HDR_MST") == 1  # the template decides the query
+    assert "OBJECT_ID('dbo.inv_item_mst')" in SQLSERVER_STATS_COUNT.format(qualified=qualified_name("dbo.inv_item_mst"))
+    for bad in ("APP.INV_HDR_MST; DROP TABLE X", "APP.INV_HDR_MST\n", "INV_HDR_MST WHERE 1=1"):
+        with pytest.raises(ValueError):
+            source_row_count(spark, derby, bad)
+        with pytest.raises(ValueError):
+            source_sample(spark, derby, bad)
+    with pytest.raises(ValueError):
+        range_partitioning(spark, derby, "APP.INV_HDR_MST", "RecordDate) FROM X --", 2)
