@@ -9,6 +9,7 @@ source-side queries because the JDBC scan does not push aggregates or limits dow
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,11 +107,27 @@ def source_sample(spark: SparkSession, src: JdbcSource, table: str, n: int = 5)
     return jdbc_query(spark, src, src.limit_template.format(n=int(n), table=qualified_name(table)))
 
 
+_SCHEMA_ROWS = "ordinal int, column_name string, data_type string, max_length int, nullable boolean, spark_type string"
+_LENGTH = re.compile(r"^(?:var)?char\((\d+)\)$")
+
+
 def source_schema(df: DataFrame) -> DataFrame:
-    """Column metadata in ordinal order: ordinal, column_name, data_type, nullable."""
-    rows = [(i + 1, f.name, f.dataType.simpleString(), bool(f.nullable)) for i, f in enumerate(df.schema.fields)]
-    return df.sparkSession.createDataFrame(
-        rows, "ordinal int, column_name string, data_type string, nullable boolean")
+    """Column metadata in ordinal order: name, source type, max length, nullable.
+
+    For a JDBC source the source type and declared length come from the field metadata
+    Spark's JDBC reader records (``jdbcClientType``, ``varchar(n)``); for other sources the
+    Spark type stands in. Metadata only: no data is read.
+    """
+    rows = []
+    for i, f in enumerate(df.schema.fields):
+        meta = f.metadata or {}
+        declared = str(meta.get("__CHAR_VARCHAR_TYPE_STRING", ""))
+        m = _LENGTH.match(declared)
+        rows.append({"ordinal": i + 1, "column_name": f.name,
+                     "data_type": str(meta.get("jdbcClientType", f.dataType.simpleString())).lower(),
+                     "max_length": int(m.group(1)) if m else None, "nullable": bool(f.nullable),
+                     "spark_type": f.dataType.simpleString()})
+    return df.sparkSession.createDataFrame(rows, _SCHEMA_ROWS)
 
 
 def frame_reader(frames: dict[str, DataFrame]):

@@ -89,3 +89,13 @@ def test_source_count_template_and_identifier_checks(spark, derby):
             source_sample(spark, derby, bad)
     with pytest.raises(ValueError):
         range_partitioning(spark, derby, "APP.INV_HDR_MST", "RecordDate) FROM X --", 2)
+
+
+def test_source_schema_from_jdbc_metadata(spark, derby):
+    # Source type and declared length per column, in ordinal order
+    spark.sql("SELECT 'a' AS code, CAST(1.5 AS DECIMAL(18,4)) AS amount").write.format("jdbc") \
+        .option("url", derby.url).option("dbtable", "typed_t").option("driver", derby.properties["driver"]) \
+        .option("createTableColumnTypes", "code VARCHAR(50)").save()
+    meta = source_schema(jdbc_table(spark, derby, "APP.TYPED_T")).collect()
+    assert [(r.ordinal, r.column_name, r.data_type, r.max_length, r.spark_type) for r in meta] == [
+        (1, "code", "varchar", 50, "string"), (2, "amount", "decimal", None, "decimal(18,4)")]
