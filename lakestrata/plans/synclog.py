@@ -93,7 +93,7 @@ def sync_states(log: DataFrame) -> DataFrame:
         F.sum(F.when(since_reset, F.col("rows_synced"))).alias("total_rows_synced"),
         F.max_by(F.col("last_sync_value"),
                  F.when(since_reset & F.col("last_sync_value").isNotNull(), F.col("_order"))).alias("watermark"),
-        F.max_by(F.struct("last_sync_at", "last_sync_value"),
+        F.max_by(F.struct("last_sync_at", "last_sync_value", "status"),
                  F.when(F.col("_order") < F.col("_latest_order"), F.col("_order"))).alias("p"),
     )
     is_reset = F.col("r.status") == "reset"
@@ -104,8 +104,9 @@ def sync_states(log: DataFrame) -> DataFrame:
         F.when(is_reset, F.lit(None)).otherwise(F.col("watermark")).cast("timestamp_ntz").alias("last_sync_value"),
         F.when(is_reset, F.lit(0)).otherwise(F.coalesce(F.col("total_rows_synced"), F.lit(0)))
         .cast("bigint").alias("total_rows_synced"),
-        F.col("p.last_sync_at").alias("previous_sync_at"),
-        F.col("p.last_sync_value").alias("previous_sync_value"))
+        # the run before; a reset marker carries no previous sync (the next run starts over)
+        F.when(F.col("p.status") != "reset", F.col("p.last_sync_at")).alias("previous_sync_at"),
+        F.when(F.col("p.status") != "reset", F.col("p.last_sync_value")).alias("previous_sync_value"))
 
 
 def sync_latest(log: DataFrame) -> DataFrame:

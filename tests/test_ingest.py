@@ -257,3 +257,18 @@ def test_lake_audit_and_report(spark, lake_root):
     assert sections == {"sync_summary", "stale", "table_state", "bronze_audit"}
     stale = {r.table for r in report.where("section = 'stale'").collect()}
     assert stale == set(tables)
+
+
+def test_run_after_reset_has_no_previous_sync(spark, lake_root):
+    # K7/K8: the state after a reset starts over: no previous sync, totals from this run
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    src = frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])})
+    ingest_table(spark, hdr, lake, "2025-01-01-10", src, now=T(2025, 1, 1, 10))
+    ingest_table(spark, hdr, lake, "2025-01-01-11", src, force_full=True, now=T(2025, 1, 1, 11))
+    st = synclog.get_state(spark, lake, "invoice_header")
+    assert (st.previous_sync_at, st.previous_sync_value) == (T(2025, 1, 1, 10), T(2025, 1, 1))
+    assert synclog.reset_sync_state(spark, lake, "invoice_header", now=T(2025, 1, 1, 12))
+    ingest_table(spark, hdr, lake, "2025-01-01-13", src, now=T(2025, 1, 1, 13))
+    st = synclog.get_state(spark, lake, "invoice_header")
+    assert (st.previous_sync_at, st.previous_sync_value, st.total_rows_synced) == (None, None, 1)
