@@ -99,14 +99,17 @@ def sync_states(log: DataFrame) -> DataFrame:
     is_reset = F.col("r.status") == "reset"
     return agg.select(
         "table_name", F.col("r.run_id").alias("run_id"), F.col("r.status").alias("status"),
-        F.col("r.sync_type").alias("sync_type"), F.col("r.last_sync_at").alias("last_sync_at"),
+        F.col("r.sync_type").alias("sync_type"),
+        # a reset marker is not a sync: no last sync until the next run (reported as reset_at)
+        F.when(~is_reset, F.col("r.last_sync_at")).alias("last_sync_at"),
         F.col("r.rows_synced").alias("rows_synced"),
         F.when(is_reset, F.lit(None)).otherwise(F.col("watermark")).cast("timestamp_ntz").alias("last_sync_value"),
         F.when(is_reset, F.lit(0)).otherwise(F.coalesce(F.col("total_rows_synced"), F.lit(0)))
         .cast("bigint").alias("total_rows_synced"),
         # the run before; a reset marker carries no previous sync (the next run starts over)
         F.when(F.col("p.status") != "reset", F.col("p.last_sync_at")).alias("previous_sync_at"),
-        F.when(F.col("p.status") != "reset", F.col("p.last_sync_value")).alias("previous_sync_value"))
+        F.when(F.col("p.status") != "reset", F.col("p.last_sync_value")).alias("previous_sync_value"),
+        F.when(is_reset, F.col("r.last_sync_at")).alias("reset_at"))
 
 
 def sync_latest(log: DataFrame) -> DataFrame:

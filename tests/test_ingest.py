@@ -272,3 +272,21 @@ def test_run_after_reset_has_no_previous_sync(spark, lake_root):
     ingest_table(spark, hdr, lake, "2025-01-01-13", src, now=T(2025, 1, 1, 13))
     st = synclog.get_state(spark, lake, "invoice_header")
     assert (st.previous_sync_at, st.previous_sync_value, st.total_rows_synced) == (None, None, 1)
+
+
+def test_reset_table_counts_as_never_synced(spark, lake_root):
+    # A reset marker is not a sync: the table is 'Never synced' until its next run
+    lake = Lake(lake_root)
+    for t, p in (("invoice_header", "2025-01-01-10"), ("order_item", "2025-01-01-10")):
+        data = _headers(spark, [("A", 1, T(2025, 1, 1))]) if t == "invoice_header" else \
+            spark.createDataFrame([("CO1", 1, "P", "1", "1", "1", "1", "d", T(2025, 1, 1))], schemas.BRONZE["order_item"])
+        ingest_table(spark, spec(t), lake, p, frame_reader({t: data}), now=T(2025, 1, 1, 10))
+    synclog.reset_sync_state(spark, lake, "order_item", now=T(2025, 1, 1, 12))
+    log = synclog.read_log(spark, lake)
+    st = {r.table_name: r for r in synclog.sync_states(log).collect()}
+    assert st["order_item"].last_sync_at is None and st["order_item"].reset_at == T(2025, 1, 1, 12)
+    stale = {r.table: r.reason for r in synclog.stale_syncs(log, now=T(2025, 1, 1, 13)).collect()}
+    assert stale == {"order_item": "Never synced"}
+    summary = synclog.sync_summary(log).first()
+    assert (summary.total_tables, summary.total_rows_synced) == (2, 1)
+    assert summary.oldest_sync == summary.newest_sync == T(2025, 1, 1, 10)
