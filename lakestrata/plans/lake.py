@@ -277,14 +277,14 @@ def read_lineage(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def write_gold(df: DataFrame, lake: Lake, name: str, partition: str, sources: Sequence[str],
-               source_layer: str = "bronze") -> WriteResult:
+               source_layer: str = "bronze", extra: dict | None = None) -> WriteResult:
     """K4: gold partition overwrite + lineage row (record count from the write itself)."""
     path = lake.path("gold", name)
     res = write_partition(df, path, partition)
     append_lineage(df.sparkSession, lake, [lineage_record(
         "gold", path, dataset=name, partition=partition, source_layer=source_layer,
         source_path=",".join(lake.path(source_layer, s) for s in sources),
-        record_count=res.rows, source_tables=sources)])
+        record_count=res.rows, source_tables=sources, extra=extra)])
     return res
 
 

@@ -46,7 +46,8 @@ def silver_to_gold(spark: SparkSession, lake: Lake, partition: str, report_date=
     out = {}
     for key in ("region", "product"):
         out[f"sales_by_{key}"] = write_gold(by_key_from_rollup(rollup, key, report_date), lake,
-                                            f"sales_by_{key}", partition, ["sales"], source_layer="silver").rows
+                                            f"sales_by_{key}", partition, ["sales"], source_layer="silver",
+                                            extra={"aggregation": f"by_{key}"}).rows
     doc = summary_from_rollup(rollup, report_date, partition, now)
     out["daily_summary"] = write_summary_document(doc, lake, partition)
     return out

@@ -58,7 +58,7 @@ def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> N
          .partitionBy("partition").parquet(gold_path))
         records += [lineage_record("gold", gold_path, dataset=f"sales_by_{key}", partition=p,
                                    source_layer="silver", source_path=silver_path, source_tables=["sales"],
-                                   written_at=_naive(now), extra={"epoch": epoch_id})
+                                   written_at=_naive(now), extra={"epoch": epoch_id, "aggregation": f"by_{key}"})
                     for p in touched]
     append_lineage(spark, lake, records)
 

@@ -102,6 +102,9 @@ def test_sales_flow_end_to_end(spark, lake_root):
     doc_dir = out["daily_summary"].replace("file:", "")
     doc = json.loads(open([os.path.join(doc_dir, f) for f in os.listdir(doc_dir) if f.endswith(".json")][0]).read())
     assert doc["total_orders"] == sales.count() and set(doc["by_region"]) == set(exp)
+    lin = read_lineage(spark, lake).where(F.col("target_layer") == "gold").collect()
+    assert {r.dataset: (r.extra or {}).get("aggregation") for r in lin} == {
+        "sales_by_region": "by_region", "sales_by_product": "by_product", "daily_summary": None}
 
 
 def test_gold_scopes_latest_vs_current(spark, lake_root):
