@@ -8,7 +8,8 @@ directories) feeds ``foreachBatch``. Each micro-batch:
    retried epoch replaces its own output instead of duplicating it;
 3. recomputes the gold aggregates of the touched partitions only (partition-pruned read
    of silver, dynamic overwrite of the gold partitions);
-4. appends one lineage record per written silver / gold partition.
+4. appends one lineage record per written silver / gold partition, tagged with the
+   stream (its checkpoint) and epoch, and only once even when the epoch is retried.
 
 The checkpoint (offsets + file log) lives in the lake's shared ``_ops`` folder, so a
 restarted driver resumes and a second ``availableNow`` run reads only new files.
@@ -25,12 +26,12 @@ from pyspark.sql.streaming import StreamingQuery
 from lakestrata import schemas
 from lakestrata.operators.quality import check_minima, quality_minima
 from lakestrata.operators.sales import enrich_sales, sales_by_partition
-from lakestrata.plans.lake import Lake, append_lineage, lineage_record
+from lakestrata.plans.lake import Lake, append_lineage, lineage_record, read_lineage
 
 GATED = ("quantity", "unit_price")
 
 
-def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> None:
+def _process(lake: Lake, report_date, now, stream_id: str, batch: DataFrame, epoch_id: int) -> None:
     silver = enrich_sales(batch, now)
     # One job over the new files gives the quality gate's minima, the partitions this
     # micro-batch touches and their row counts (one small row per hour partition; none
@@ -42,12 +43,13 @@ def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> N
     touched = [r["partition"] for r in stats]
     spark = batch.sparkSession
     silver_path = lake.path("silver", "sales")
+    tag = {"stream": stream_id, "epoch": str(epoch_id)}
     (silver.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
      .partitionBy("partition", "epoch").parquet(silver_path))
     records = [lineage_record("silver", silver_path, dataset="sales", partition=r["partition"],
                               source_layer="bronze", source_path=lake.path("bronze", "sales"),
                               record_count=r["rows"], written_at=_naive(now),
-                              extra={"epoch": epoch_id, "transformations": "calculate_total_amount,add_processed_at"})
+                              extra={**tag, "transformations": "calculate_total_amount,add_processed_at"})
                for r in stats]
     silver_schema = schemas.with_fields(schemas.SILVER_SALES, ("partition", "string"), ("epoch", "int"))
     current = (spark.read.schema(silver_schema).parquet(silver_path)
@@ -58,9 +60,13 @@ def _process(lake: Lake, report_date, now, batch: DataFrame, epoch_id: int) -> N
          .partitionBy("partition").parquet(gold_path))
         records += [lineage_record("gold", gold_path, dataset=f"sales_by_{key}", partition=p,
                                    source_layer="silver", source_path=silver_path, source_tables=["sales"],
-                                   written_at=_naive(now), extra={"epoch": epoch_id, "aggregation": f"by_{key}"})
+                                   written_at=_naive(now), extra={**tag, "aggregation": f"by_{key}"})
                     for p in touched]
-    append_lineage(spark, lake, records)
+    # a retried epoch rewrote its own folders above; its lineage is written only once
+    done = read_lineage(spark, lake).where(
+        (F.col("extra")["stream"] == stream_id) & (F.col("extra")["epoch"] == tag["epoch"]))
+    if done.isEmpty():
+        append_lineage(spark, lake, records)
 
 
 def _naive(now) -> _dt.datetime | None:
@@ -81,8 +87,10 @@ def start_sales_stream(spark: SparkSession, lake: Lake, *, report_date=None, now
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(lake.path("bronze", "sales"))
-    writer = (stream.writeStream.foreachBatch(lambda df, eid: _process(lake, report_date, now, df, eid))
-              .option("checkpointLocation", checkpoint or lake.checkpoints("sales_stream")))
+    checkpoint = checkpoint or lake.checkpoints("sales_stream")
+    writer = (stream.writeStream
+              .foreachBatch(lambda df, eid: _process(lake, report_date, now, checkpoint, df, eid))
+              .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time or "1 minute")
     return writer.start()

@@ -64,3 +64,20 @@ def test_stream_processes_each_file_once(spark, lake_root):
     assert silver_lin == sales.count()
     gold_parts = {r.partition for r in lin.where(F.col("dataset") == "sales_by_region").collect()}
     assert gold_parts == {p.split("=", 1)[1] for p in after}
+
+
+def test_retried_epoch_writes_lineage_once(spark, lake_root):
+    # a retried epoch replaces its own silver folder and does not repeat its lineage
+    from lakestrata.streaming.sales_stream import _process
+    lake = Lake(lake_root)
+    rows = load(spark, SF, "sales").limit(50).withColumn("partition", F.lit("2001-09-01-00"))
+    batch = spark.createDataFrame(rows.collect(), rows.schema)
+    for _ in range(2):
+        _process(lake, "2001-09-01", "2001-09-01 00:00:00", "stream-a", batch, 7)
+    lin = read_lineage(spark, lake)
+    assert lin.where(F.col("target_layer") == "silver").count() == 1
+    assert lin.where(F.col("target_layer") == "gold").count() == 2
+    silver = spark.read.parquet(lake.path("silver", "sales"))
+    assert silver.count() == 50  # the epoch's folder was replaced, not appended to
+    _process(lake, "2001-09-01", "2001-09-01 00:00:00", "stream-b", batch, 7)  # another stream, same epoch id
+    assert read_lineage(spark, lake).where(F.col("target_layer") == "silver").count() == 2
