@@ -30,7 +30,8 @@ from lakestrata import schemas
 from lakestrata.functions.timefmt import PARTITION_PATTERN, partition_of, watermark_literal
 from lakestrata.plans import synclog
 from lakestrata.plans.lake import (
-    Lake, append_lineage, drop_batches, lineage_record, new_batch_id, rows_frame, write_partition,
+    Lake, append_lineage, compact_batch, drop_batches, lineage_record, new_batch_id, rows_frame,
+    write_partition,
 )
 from lakestrata.specs import Pattern, TableSpec
 
@@ -93,15 +94,15 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
     state = synclog.get_state(spark, lake, spec.target_table)
     df, mode = plan_load(spec, reader(spec), state, force_full=force_full,
                          partition_value=partition_value, precision=precision)
-    if mode == "incremental":
-        # a delta is small next to the scan it filters: rebalance it (sized by AQE) so it
-        # lands as a few well-sized files, not one sliver per scan task and run
-        df = df.hint("rebalance")
     batch_id = new_batch_id()
     path = lake.path("bronze", spec.target_table)
     # a new write-once batch folder; a retried job replaces only its own batch
     res = write_partition(df, path, partition, mode="overwrite", batch_id=batch_id,
                           watermark_column=spec.timestamp_column)
+    if res.rows and mode == "incremental":
+        # a delta is a sliver of every scan task: if it came out as many small files, one
+        # rewrite into few files before the commit (full loads are sized by their source scan)
+        batch_id = compact_batch(spark, path, partition, batch_id)
     duration = round(time.time() - started, 2)
     if res.rows == 0:  # Q25: nothing written, state untouched
         return {"table": spec.target_table, "rows_synced": 0, "mode": mode,

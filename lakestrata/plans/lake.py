@@ -150,6 +150,35 @@ def write_partition(df: DataFrame, path: str, partition: str | Column | None, *,
                        int(got.get("rows", 0) or 0), got.get("max_ts"))
 
 
+COMPACT_TARGET_BYTES = 128 << 20  # file size a batch is rewritten towards
+
+
+def compact_batch(spark: SparkSession, path: str, partition: str, batch_id: str,
+                  target_bytes: int = COMPACT_TARGET_BYTES) -> str:
+    """Rewrite a not-yet-committed batch folder that came out as many small files.
+
+    A delta is usually small next to the scan that filtered it, so every scan task leaves a
+    sliver. Sizes come from the file listing (metadata only): a batch already made of
+    well-sized files is left alone (no cost for big loads); otherwise its rows are re-read
+    and written as ceil(size / target) files under a new batch id, and the old folder is
+    deleted. Runs before the sync-log commit, so readers never see either folder half-way;
+    a crash leaves two uncommitted folders that readers ignore. Returns the batch id to commit.
+    """
+    folder = f"{path.rstrip('/')}/partition={partition}/batch_id={batch_id}"
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return batch_id
+    sizes = [st.getLen() for st in fs.listStatus(p)
+             if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    want = max(1, -(-sum(sizes) // target_bytes))
+    if len(sizes) <= want or sum(sizes) / len(sizes) >= target_bytes / 4:
+        return batch_id
+    new_id = new_batch_id()
+    write_partition(spark.read.parquet(folder).coalesce(want), path, partition, batch_id=new_id)
+    fs.delete(p, True)
+    return new_id
+
+
 def drop_batches(spark: SparkSession, path: str, partition: str, keep: str) -> list[str]:
     """Delete the ``batch_id`` folders of one partition except ``keep`` (metadata only).
 

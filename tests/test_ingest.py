@@ -165,7 +165,7 @@ def test_ordered_incremental_read(spark):
 
 
 def test_incremental_delta_lands_as_few_files(spark, lake_root):
-    # a small delta scanned by many tasks is rebalanced (AQE-sized), not one file per task
+    # a small delta scanned by many tasks is rewritten into one file before its commit
     lake = Lake(lake_root)
     hdr = spec("invoice_header")
     first = _headers(spark, [(f"I{i}", i, T(2025, 1, 1)) for i in range(40)]).repartition(4)
