@@ -29,6 +29,7 @@ from lakestrata.operators.sales import enrich_sales, sales_by_partition
 from lakestrata.plans.lake import Lake, append_lineage, lineage_record, read_lineage
 
 GATED = ("quantity", "unit_price")
+MAX_FILES_PER_TRIGGER = 10_000  # files per micro-batch: bounds its touched partitions and gold recompute
 
 
 def _process(lake: Lake, report_date, now, stream_id: str, batch: DataFrame, epoch_id: int) -> None:
@@ -80,8 +81,10 @@ def _naive(now) -> _dt.datetime | None:
 
 def start_sales_stream(spark: SparkSession, lake: Lake, *, report_date=None, now=None,
                        available_now: bool = True, processing_time: str | None = None,
-                       max_files_per_trigger: int | None = None,
+                       max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                        checkpoint: str | None = None) -> StreamingQuery:
+    """Start W1. ``max_files_per_trigger`` bounds each micro-batch (a backlog is drained in
+    several bounded batches, also under ``availableNow``); None reads all arrived files at once."""
     source_schema = schemas.with_fields(schemas.BRONZE["sales"], ("partition", "string"))
     reader = spark.readStream.schema(source_schema)
     if max_files_per_trigger:

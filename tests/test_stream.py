@@ -81,3 +81,18 @@ def test_retried_epoch_writes_lineage_once(spark, lake_root):
     assert silver.count() == 50  # the epoch's folder was replaced, not appended to
     _process(lake, "2001-09-01", "2001-09-01 00:00:00", "stream-b", batch, 7)  # another stream, same epoch id
     assert read_lineage(spark, lake).where(F.col("target_layer") == "silver").count() == 2
+
+
+def test_backlog_is_drained_in_bounded_micro_batches(spark, lake_root):
+    # availableNow with a per-trigger cap: several epochs, every row exactly once
+    from lakestrata.streaming.sales_stream import start_sales_stream
+    lake = Lake(lake_root)
+    sales = load(spark, SF, "sales")
+    write_bronze_sales(sales, lake, partition_col=month())
+    q = start_sales_stream(spark, lake, report_date="2001-09-01", now="2001-09-01 00:00:00", max_files_per_trigger=5)
+    q.awaitTermination()
+    assert q.exception() is None and q.lastProgress is not None and q.lastProgress["batchId"] >= 1
+    silver = spark.read.schema(schemas.with_fields(schemas.SILVER_SALES, ("partition", "string"), ("epoch", "int"))) \
+        .parquet(lake.path("silver", "sales"))
+    assert silver.count() == sales.count()
+    assert _norm(_gold(spark, lake)) == _norm(_expected(sales))
