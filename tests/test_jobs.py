@@ -1,9 +1,8 @@
 """Command-line jobs run in-process against a scratch lake and embedded Derby."""
 
-import datetime as dt
 import uuid
 
-from lakestrata import jobs, schemas
+from lakestrata import jobs
 from lakestrata.plans.lake import Lake
 from lakestrata.plans.sales_flow import write_bronze_sales
 from lakestrata.sources.fixtures import load
