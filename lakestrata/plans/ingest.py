@@ -19,6 +19,7 @@ boundary); ``current`` scope de-duplicates by key.
 from __future__ import annotations
 
 import datetime as _dt
+import inspect
 import time
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Sequence
@@ -85,6 +86,16 @@ def date_partition_scan(source: DataFrame, column: str, value: str) -> DataFrame
     return source.where(F.col(column) == F.lit(value).cast(source.schema[column].dataType))
 
 
+def read_source(reader: Reader, spec: TableSpec, watermark: _dt.datetime | None) -> DataFrame:
+    """Call a reader; readers that take ``watermark`` get the run's incremental lower bound
+    (e.g. to split the delta's range across parallel source queries)."""
+    try:
+        takes_watermark = "watermark" in inspect.signature(reader).parameters
+    except (TypeError, ValueError):
+        takes_watermark = False
+    return reader(spec, watermark=watermark) if takes_watermark else reader(spec)
+
+
 def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: str, reader: Reader, *,
                  force_full: bool = False, partition_value: str | None = None,
                  source_name: str = "source", precision: str = "second",
@@ -92,7 +103,10 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
     """K1 + K7: load one table into ``bronze/{table}/partition={partition}`` and commit the run."""
     started = time.time()
     state = synclog.get_state(spark, lake, spec.target_table)
-    df, mode = plan_load(spec, reader(spec), state, force_full=force_full,
+    incremental = (spec.pattern is Pattern.INCREMENTAL and not force_full
+                   and state is not None and not state.is_reset)
+    source = read_source(reader, spec, state.last_sync_value if incremental else None)
+    df, mode = plan_load(spec, source, state, force_full=force_full,
                          partition_value=partition_value, precision=precision)
     batch_id = new_batch_id()
     path = lake.path("bronze", spec.target_table)

@@ -9,6 +9,7 @@ source-side queries because the JDBC scan does not push aggregates or limits dow
 
 from __future__ import annotations
 
+import datetime as _dt
 import re
 from dataclasses import dataclass, field
 
@@ -67,14 +68,33 @@ def range_partitioning(spark: SparkSession, src: JdbcSource, table: str, column:
             "num_partitions": num_partitions}
 
 
-def jdbc_reader(spark: SparkSession, src: JdbcSource, partitioning: dict | None = None):
-    """A ``Reader`` for ingestion: TableSpec -> DataFrame over ``schema.table``.
+def jdbc_reader(spark: SparkSession, src: JdbcSource, partitioning: dict | None = None,
+                clock=None):
+    """A ``Reader`` for ingestion: (TableSpec, watermark) -> DataFrame over ``schema.table``.
 
-    ``partitioning`` maps target tables to ``dict(partition_column=..., lower_bound=...,
-    upper_bound=..., num_partitions=...)`` for parallel reads of big tables.
+    ``partitioning`` maps target tables to ``dict(partition_column=..., num_partitions=...,
+    lower_bound=..., upper_bound=...)`` for parallel reads of big tables. Bounds left out
+    are asked from the source (MIN/MAX). When the partition column is the table's
+    timestamp column and the run has a watermark, the delta's own range
+    ``[watermark, now]`` is split instead of the whole table's, so an incremental read is
+    spread over all range queries rather than landing in the last one (rows outside the
+    bounds are still read by the open-ended first / last range).
     """
-    def read(spec: TableSpec) -> DataFrame:
-        return jdbc_table(spark, src, spec.full_source_name, **(partitioning or {}).get(spec.target_table, {}))
+    clock = clock or (lambda: _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))
+
+    def read(spec: TableSpec, watermark: _dt.datetime | None = None) -> DataFrame:
+        opts = dict((partitioning or {}).get(spec.target_table, {}))
+        column = opts.get("partition_column")
+        if column and watermark is not None and column == spec.timestamp_column:
+            opts.update(lower_bound=watermark, upper_bound=max(clock(), watermark + _dt.timedelta(hours=1)))
+        elif column and ("lower_bound" not in opts or "upper_bound" not in opts):
+            found = range_partitioning(spark, src, spec.full_source_name, column,
+                                       opts.get("num_partitions", 8), opts.pop("quote", ""))
+            if not found:  # empty source: one plain read
+                return jdbc_table(spark, src, spec.full_source_name)
+            opts.update(found)
+        opts.pop("quote", None)
+        return jdbc_table(spark, src, spec.full_source_name, **opts)
     return read
 
 
