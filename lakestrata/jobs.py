@@ -11,6 +11,7 @@ Scheduling stays outside (any scheduler calls these on its cadence)::
     spark-submit lakestrata/jobs.py sales-stream --lake URI [--report-date D]
     spark-submit lakestrata/jobs.py verify      --lake URI [--tables a,b] [--max-age-hours 24]
     spark-submit lakestrata/jobs.py compact-ops --lake URI --before-month YYYY-MM
+    spark-submit lakestrata/jobs.py vacuum-bronze --lake URI [--tables a,b] [--retention-hours 24]
 
 Each job prints one JSON line with its result. The JDBC password is read from an
 environment variable, never from the command line.
@@ -32,7 +33,7 @@ from lakestrata.plans.gold import build_gold  # noqa: E402
 from lakestrata.plans.ingest import hour_partition, ingest_all  # noqa: E402
 from lakestrata.plans.lake import Lake, compact_ops  # noqa: E402
 from lakestrata.plans.sales_flow import run_sales_flow  # noqa: E402
-from lakestrata.plans.verify import verification_report  # noqa: E402
+from lakestrata.plans.verify import vacuum_bronze, verification_report  # noqa: E402
 from lakestrata.session import get_session  # noqa: E402
 from lakestrata.sources.jdbc import JdbcSource, jdbc_reader  # noqa: E402
 from lakestrata.specs import CLIENT_TABLES  # noqa: E402
@@ -82,9 +83,12 @@ def parser() -> argparse.ArgumentParser:
     comp = sub.add_parser("compact-ops", help="rewrite closed months of the ops tables")
     comp.add_argument("--before-month", required=True)
 
-    for s in (ing, gold, flow, stream, ver, comp):
+    vac = sub.add_parser("vacuum-bronze", help="delete old batch folders no reader sees any more")
+    vac.add_argument("--retention-hours", type=float, default=24)
+
+    for s in (ing, gold, flow, stream, ver, comp, vac):
         s.add_argument("--lake", required=True, help="lake root URI (any Hadoop filesystem)")
-    for s in (ing, gold, ver):
+    for s in (ing, gold, ver, vac):
         s.add_argument("--tables", help="comma-separated table names (default: all)")
     return p
 
@@ -127,6 +131,10 @@ def run(args: argparse.Namespace, spark=None) -> dict:
                 "stale_tables": stale, "bronze_partitions_not_ok": failing}
     if args.job == "compact-ops":
         return {"job": "compact-ops", "compacted": compact_ops(spark, lake, args.before_month)}
+    if args.job == "vacuum-bronze":
+        names = _tables(args.tables) or [s.target_table for s in CLIENT_TABLES]
+        return {"job": "vacuum-bronze",
+                "dropped": {t: len(vacuum_bronze(spark, lake, t, args.retention_hours)) for t in names}}
     raise ValueError(args.job)
 
 

@@ -76,3 +76,46 @@ def verification_report(spark: SparkSession, lake: Lake, tables: Sequence[str] |
         synclog.stale_syncs(log, names, now=now, max_age_hours=max_age_hours),
         states.select("table_name", "last_sync_at", "rows_synced", "total_rows_synced", "sync_type"),
         audit_bronze(spark, lake, names))
+
+
+def _batch_started(batch_id: str) -> _dt.datetime | None:
+    """Start time encoded in a batch id (YYYYmmddTHHMMSS[ffffff]-suffix); None if not one of ours."""
+    stamp = batch_id.split("-", 1)[0]
+    for fmt in ("%Y%m%dT%H%M%S%f", "%Y%m%dT%H%M%S"):
+        try:
+            return _dt.datetime.strptime(stamp, fmt)
+        except ValueError:
+            continue
+    return None
+
+
+def vacuum_bronze(spark: SparkSession, lake: Lake, table: str, retention_hours: float = 24,
+                  now: _dt.datetime | None = None) -> list[str]:
+    """Delete the batch folders of ``table`` that readers no longer see (runs that never
+    committed, loads superseded by a newer full load) once they are older than
+    ``retention_hours``. Metadata only: folder names are listed and compared with the
+    live batch ids (one per run) from the sync log; a run still in progress is younger
+    than the retention and is left alone. Returns the deleted folders.
+    """
+    from lakestrata.plans.lake import _fs  # filesystem handle (driver-side metadata)
+    now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    cutoff = now - _dt.timedelta(hours=retention_hours)
+    path = lake.path("bronze", table)
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    live = {r.batch_id for r in committed_batches(spark, lake, table).collect()}
+    dropped = []
+    for part in fs.listStatus(root):
+        if not (part.isDirectory() and part.getPath().getName().startswith("partition=")):
+            continue
+        for batch in fs.listStatus(part.getPath()):
+            name = batch.getPath().getName()
+            if not (batch.isDirectory() and name.startswith("batch_id=")):
+                continue
+            batch_id = name.split("=", 1)[1]
+            started = _batch_started(batch_id)
+            if batch_id not in live and started is not None and started < cutoff:
+                fs.delete(batch.getPath(), True)
+                dropped.append(f"{part.getPath().getName()}/{name}")
+    return dropped

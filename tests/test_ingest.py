@@ -290,3 +290,19 @@ def test_reset_table_counts_as_never_synced(spark, lake_root):
     summary = synclog.sync_summary(log).first()
     assert (summary.total_tables, summary.total_rows_synced) == (2, 1)
     assert summary.oldest_sync == summary.newest_sync == T(2025, 1, 1, 10)
+
+
+def test_vacuum_drops_only_old_invisible_batches(spark, lake_root):
+    from lakestrata.plans.verify import vacuum_bronze
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    path = lake.path("bronze", "invoice_header")
+    src = frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])})
+    ingest_table(spark, hdr, lake, "2025-01-01-10", src)
+    ghost = _headers(spark, [("GHOST", 1, T(2025, 1, 2))])
+    write_partition(ghost, path, "2025-01-01-10", batch_id="20200101T000000000000-deadbeef")  # died long ago
+    write_partition(ghost, path, "2025-01-01-11", batch_id="21000101T000000000000-running0")  # still running
+    dropped = vacuum_bronze(spark, lake, "invoice_header", retention_hours=24, now=T(2099, 1, 1))
+    assert dropped == ["partition=2025-01-01-10/batch_id=20200101T000000000000-deadbeef"]
+    got = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"])
+    assert sorted(r.inv_num for r in got.collect()) == ["A", "GHOST"]  # committed + the running one remain

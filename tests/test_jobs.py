@@ -28,6 +28,8 @@ def test_ingest_gold_verify_jobs(spark, lake_root, monkeypatch):
     assert (ver["bronze_partitions_not_ok"], ver["stale_tables"]) == (0, [])
     assert set(ver["rows_by_section"]) == {"sync_summary", "table_state", "bronze_audit"}
     assert spark.read.parquet(ver["report_path"]).count() == sum(ver["rows_by_section"].values())
+    vac = jobs.main(["vacuum-bronze", "--lake", lake_root, "--tables", "invoice_header,order_item"], spark)
+    assert vac["dropped"] == {"invoice_header": 0, "order_item": 0}  # nothing stale to drop
 
 
 def test_sales_flow_job(spark, lake_root):
