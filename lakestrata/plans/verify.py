@@ -35,8 +35,12 @@ def bronze_partition_counts(spark: SparkSession, lake: Lake, tables: Sequence[st
         path = lake.path("bronze", t)
         if not exists(spark, path):
             continue
-        per_batch = spark.read.parquet(path).groupBy("partition", "batch_id").agg(F.count(F.lit(1)).alias("n"))
-        live = per_batch.join(committed_batches(spark, lake, t), "batch_id", "left_semi")
+        files = spark.read.parquet(path)
+        if "batch_id" in files.columns:
+            per_batch = files.groupBy("partition", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+            live = per_batch.join(committed_batches(spark, lake, t), "batch_id", "left_semi")
+        else:  # a landing folder without batches (e.g. ERP sales files): every row is readable
+            per_batch = live = files.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
         for frames, df in ((readable, live), (raw, per_batch)):
             frames.append(df.groupBy("partition").agg(F.sum("n").cast("bigint").alias("record_count"))
                           .select(F.lit(t).alias("table_name"), "partition", "record_count"))

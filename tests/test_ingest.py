@@ -306,3 +306,15 @@ def test_vacuum_drops_only_old_invisible_batches(spark, lake_root):
     assert dropped == ["partition=2025-01-01-10/batch_id=20200101T000000000000-deadbeef"]
     got = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"])
     assert sorted(r.inv_num for r in got.collect()) == ["A", "GHOST"]  # committed + the running one remain
+
+
+def test_audit_of_a_landing_folder_without_batches(spark, lake_root):
+    from decimal import Decimal
+    from lakestrata.plans.sales_flow import write_bronze_sales
+    from lakestrata.plans.verify import audit_bronze
+    lake = Lake(lake_root)
+    sales = spark.createDataFrame([(1, "C1", "W", 2, Decimal("1.50"), dt.date(2025, 1, 1), "East")], schemas.BRONZE["sales"])
+    write_bronze_sales(sales, lake, partition="2025-01-01-00")
+    got = [tuple(r) for r in audit_bronze(spark, lake, ["sales"], ["2025-01-01-00", "2025-01-01-01"]).collect()]
+    assert sorted(got, key=lambda r: r[1]) == [("sales", "2025-01-01-00", "OK", 1, True),
+                                               ("sales", "2025-01-01-01", "MISSING", 0, None)]
