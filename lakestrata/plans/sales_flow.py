@@ -61,10 +61,21 @@ def run_sales_flow(spark: SparkSession, lake: Lake, partition: str, report_date=
 
 
 def write_bronze_sales(df: DataFrame, lake: Lake, partition_col: F.Column | None = None,
-                       partition: str | None = None) -> int:
-    """K2: land ERP sales rows in bronze (one partition, or one per value of ``partition_col``).
-
-    Returns the rows written (counted by the write itself).
-    """
-    return write_partition(df, lake.path("bronze", "sales"),
-                           partition_col if partition_col is not None else partition).rows
+                       partition: str | None = None, source: str = "erp_system",
+                       now: _dt.datetime | None = None) -> int:
+    """K2: land ERP sales rows in bronze (one partition, or one per value of ``partition_col``)
+    with a lineage record per written partition. Returns the rows written (counted by the
+    write itself). A multi-partition landing takes its per-partition counts from one
+    aggregate of the input (one small row per partition)."""
+    path = lake.path("bronze", "sales")
+    if partition_col is None:
+        res = write_partition(df, path, partition)
+        counts = [(partition, res.rows)] if res.rows else []
+    else:
+        counts = [(r["p"], r["n"]) for r in df.groupBy(partition_col.alias("p"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect()]
+        res = write_partition(df, path, partition_col)
+    append_lineage(df.sparkSession, lake, [lineage_record(
+        "bronze", path, dataset="sales", partition=p, record_count=n, written_at=now,
+        extra={"source": source}) for p, n in counts])
+    return res.rows

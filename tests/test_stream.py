@@ -62,6 +62,8 @@ def test_stream_processes_each_file_once(spark, lake_root):
     lin = read_lineage(spark, lake)
     silver_lin = lin.where(F.col("target_layer") == "silver").agg(F.sum("record_count").alias("n")).first().n
     assert silver_lin == sales.count()
+    landed = lin.where(F.col("target_layer") == "bronze").agg(F.sum("record_count").alias("n")).first().n
+    assert landed == sales.count()  # the two landings recorded every row once, per partition
     gold_parts = {r.partition for r in lin.where(F.col("dataset") == "sales_by_region").collect()}
     assert gold_parts == {p.split("=", 1)[1] for p in after}
 
