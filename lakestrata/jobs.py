@@ -4,7 +4,7 @@ Scheduling stays outside (any scheduler calls these on its cadence)::
 
     spark-submit lakestrata/jobs.py ingest      --lake URI --jdbc-url URL [--jdbc-user U]
                  [--jdbc-password-env VAR] [--jdbc-driver CLASS] [--tables a,b] [--full-refresh]
-                 [--partition YYYY-MM-DD-HH]
+                 [--partition YYYY-MM-DD-HH] [--parallel TABLE=COLUMN:N ...]
     spark-submit lakestrata/jobs.py build-gold  --lake URI [--tables a,b] [--scope latest|current]
                  [--as-of YYYY-MM-DD]
     spark-submit lakestrata/jobs.py sales-flow  --lake URI --partition P [--report-date D]
@@ -54,6 +54,19 @@ def _jsonable(value):
     return value
 
 
+def parallel_reads(specs: Sequence[str], quote: str = "") -> dict:
+    """``TABLE=COLUMN:N`` options -> the ``partitioning`` map of :func:`jdbc_reader`
+    (``quote`` wraps COLUMN in the bounds query, for sources with case-sensitive names)."""
+    out = {}
+    for item in specs:
+        table, _, rest = item.partition("=")
+        column, _, n = rest.partition(":")
+        if not (table and column and n.isdigit() and int(n) > 0):
+            raise ValueError(f"--parallel expects TABLE=COLUMN:N, got {item!r}")
+        out[table] = {"partition_column": column, "num_partitions": int(n), **({"quote": quote} if quote else {})}
+    return out
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakestrata.jobs")
     sub = p.add_subparsers(dest="job", required=True)
@@ -65,6 +78,10 @@ def parser() -> argparse.ArgumentParser:
     ing.add_argument("--jdbc-driver")
     ing.add_argument("--full-refresh", action="store_true")
     ing.add_argument("--partition", help="bronze partition (default: the current UTC hour)")
+    ing.add_argument("--identifier-quote", default="", help="quote for --parallel columns, e.g. '\"'")
+    ing.add_argument("--parallel", action="append", default=[], metavar="TABLE=COLUMN:N",
+                     help="read TABLE with N range queries on COLUMN (the delta's range when COLUMN "
+                          "is the table's timestamp); repeatable")
 
     gold = sub.add_parser("build-gold", help="bronze -> gold facts, dimension and margin tables")
     gold.add_argument("--scope", choices=("latest", "current"), default="latest")
@@ -105,7 +122,8 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         if args.jdbc_driver:
             props["driver"] = args.jdbc_driver
         partition = args.partition or hour_partition(_dt.datetime.now(_dt.timezone.utc))
-        res = ingest_all(spark, CLIENT_TABLES, lake, partition, jdbc_reader(spark, JdbcSource(args.jdbc_url, props)),
+        reader = jdbc_reader(spark, JdbcSource(args.jdbc_url, props), parallel_reads(args.parallel, args.identifier_quote))
+        res = ingest_all(spark, CLIENT_TABLES, lake, partition, reader,
                          tables=_tables(args.tables), force_full=args.full_refresh)
         return {"job": "ingest", "partition": partition, "tables": [r.asDict() for r in res.collect()]}
     if args.job == "build-gold":

@@ -18,7 +18,8 @@ def test_ingest_gold_verify_jobs(spark, lake_root, monkeypatch):
     monkeypatch.setenv("LS_TEST_PW", "unused")
     out = jobs.main(["ingest", "--lake", lake_root, "--jdbc-url", url, "--jdbc-driver", DRIVER,
                      "--jdbc-password-env", "LS_TEST_PW", "--tables", "invoice_header",
-                     "--partition", "2001-09-01-00"], spark)
+                     "--partition", "2001-09-01-00", "--parallel", "invoice_header=cust_num:3",
+                     "--identifier-quote", '"'], spark)
     assert [(t["table"], t["rows_synced"], t["mode"]) for t in out["tables"]] == [
         ("invoice_header", hdr.count(), "full")]
     gold = jobs.main(["build-gold", "--lake", lake_root, "--tables", "fact_invoice_detail"], spark)
@@ -49,3 +50,12 @@ def test_sales_stream_and_compaction_jobs(spark, lake_root):
     assert gold.groupBy().sum("order_count").first()[0] == sales.count()
     out = jobs.main(["compact-ops", "--lake", lake_root, "--before-month", "9999-12"], spark)
     assert any("/_ops/lineage/" in p for p in out["compacted"])
+
+
+def test_parallel_read_options():
+    import pytest
+    assert jobs.parallel_reads(["invoice_item=RecordDate:16", "order_item=co_line:4"]) == {
+        "invoice_item": {"partition_column": "RecordDate", "num_partitions": 16},
+        "order_item": {"partition_column": "co_line", "num_partitions": 4}}
+    with pytest.raises(ValueError):
+        jobs.parallel_reads(["invoice_item=RecordDate"])
