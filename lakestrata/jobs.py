@@ -93,6 +93,8 @@ def parser() -> argparse.ArgumentParser:
 
     stream = sub.add_parser("sales-stream", help="process every arrived bronze sales file once")
     stream.add_argument("--report-date")
+    stream.add_argument("--max-files-per-trigger", type=int, default=10_000,
+                        help="files per micro-batch (a backlog drains in bounded batches)")
 
     ver = sub.add_parser("verify", help="sync summary, stale tables, table state, bronze audit")
     ver.add_argument("--max-age-hours", type=int, default=24)
@@ -107,6 +109,8 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--lake", required=True, help="lake root URI (any Hadoop filesystem)")
     for s in (ing, gold, ver, vac):
         s.add_argument("--tables", help="comma-separated table names (default: all)")
+    for s in (ing, gold):
+        s.add_argument("--max-parallel", type=int, default=4, help="tables run as concurrent jobs")
     return p
 
 
@@ -123,16 +127,18 @@ def run(args: argparse.Namespace, spark=None) -> dict:
             props["driver"] = args.jdbc_driver
         partition = args.partition or hour_partition(_dt.datetime.now(_dt.timezone.utc))
         reader = jdbc_reader(spark, JdbcSource(args.jdbc_url, props), parallel_reads(args.parallel, args.identifier_quote))
-        res = ingest_all(spark, CLIENT_TABLES, lake, partition, reader,
-                         tables=_tables(args.tables), force_full=args.full_refresh)
+        res = ingest_all(spark, CLIENT_TABLES, lake, partition, reader, tables=_tables(args.tables),
+                         force_full=args.full_refresh, max_parallel=args.max_parallel)
         return {"job": "ingest", "partition": partition, "tables": [r.asDict() for r in res.collect()]}
     if args.job == "build-gold":
-        out = build_gold(spark, lake, _tables(args.tables), scope=args.scope, as_of=args.as_of)
+        out = build_gold(spark, lake, _tables(args.tables), scope=args.scope, as_of=args.as_of,
+                         max_parallel=args.max_parallel)
         return {"job": "build-gold", "tables": {k: {"partition": v.partition, "rows": v.rows} for k, v in out.items()}}
     if args.job == "sales-flow":
         return {"job": "sales-flow", **run_sales_flow(spark, lake, args.partition, report_date=args.report_date)}
     if args.job == "sales-stream":
-        run_available_now(spark, lake, report_date=args.report_date)
+        run_available_now(spark, lake, report_date=args.report_date,
+                          max_files_per_trigger=args.max_files_per_trigger)
         return {"job": "sales-stream", "status": "caught up"}
     if args.job == "verify":
         # the report grows with the partitions audited: it is written to the lake, and only
