@@ -148,3 +148,41 @@ def sales_by_partition(silver: DataFrame, key: str, report_date=None) -> DataFra
     """A1/A2 per (partition, key): the gold rows of several silver partitions at once."""
     return (drop_null_keys(silver, [key]).groupBy("partition", key).agg(*_measures())
             .withColumn("report_date", _date_or_today(report_date)))
+
+
+def summary_documents_by_partition(silver: DataFrame, report_date=None, now=None,
+                                   max_keys: int = 100_000) -> DataFrame:
+    """A3+A4 for several silver partitions at once: one summary document row per partition.
+
+    One grouping-sets pass ((partition, region), (partition, product), (partition)) with
+    map-side partials, then one aggregate per partition builds the scalars and the two maps.
+    Each map gathers the keys of one partition into one row, so the largest per-partition
+    key count is checked first (one number back); past ``max_keys`` use the long-form
+    breakdown instead.
+    """
+    g = (silver.groupingSets([["partition", "region"], ["partition", "product"], ["partition"]],
+                             "partition", "region", "product")
+         .agg(F.count(F.lit(1)).alias("total_orders"),
+              F.coalesce(F.sum("total_amount"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
+              F.round(F.avg("total_amount"), 4).cast(MEAN).alias("avg_order_value"),
+              # partition is in every set (bit 0): 1 = by region, 2 = by product, 3 = totals
+              F.grouping_id("partition", "region", "product").alias("_gid")))
+    rollup = g.where((F.col("_gid") == 3) | ((F.col("_gid") == 1) & F.col("region").isNotNull())
+                     | ((F.col("_gid") == 2) & F.col("product").isNotNull()))
+    widest = rollup.groupBy("partition").count().agg(F.max("count").alias("n")).first().n
+    if widest is not None and widest > 2 * max_keys + 1:
+        raise ValueError(f"a partition has more than {max_keys} keys: too many for one summary document")
+
+    def scalar(name: str) -> Column:
+        return F.max(F.when(F.col("_gid") == 3, F.col(name))).alias(name)
+
+    def entries(gid: int, key: str) -> Column:
+        entry = F.when(F.col("_gid") == gid, F.struct(F.col(key).alias("key"), F.col("total_revenue")))
+        return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(f"by_{key}")
+
+    docs = rollup.groupBy("partition").agg(scalar("total_orders"), scalar("total_revenue"),
+                                           scalar("avg_order_value"), entries(1, "region"), entries(2, "product"))
+    return docs.select(_date_or_today(report_date).alias("report_date"), "partition",
+                       F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
+                       F.coalesce(F.col("total_revenue"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
+                       "avg_order_value", "by_region", "by_product", _ts_or_now(now).alias("generated_at"))

@@ -6,8 +6,8 @@ directories) feeds ``foreachBatch``. Each micro-batch:
 1. enriches the new rows (P6) and applies the quality gate (X1) before writing;
 2. writes them to silver under ``partition=P/epoch=E`` with dynamic overwrite, so a
    retried epoch replaces its own output instead of duplicating it;
-3. recomputes the gold aggregates of the touched partitions only (partition-pruned read
-   of silver, dynamic overwrite of the gold partitions);
+3. recomputes the gold aggregates and summary documents of the touched partitions only
+   (partition-pruned read of silver, dynamic overwrite of the gold partitions);
 4. appends one lineage record per written silver / gold partition, tagged with the
    stream (its checkpoint) and epoch, and only once even when the epoch is retried.
 
@@ -25,7 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata import schemas
 from lakestrata.operators.quality import check_minima, quality_minima
-from lakestrata.operators.sales import enrich_sales, sales_by_partition
+from lakestrata.operators.sales import enrich_sales, sales_by_partition, summary_documents_by_partition
 from lakestrata.plans.lake import Lake, append_lineage, lineage_record, read_lineage
 
 GATED = ("quantity", "unit_price")
@@ -63,6 +63,13 @@ def _process(lake: Lake, report_date, now, stream_id: str, batch: DataFrame, epo
                                    source_layer="silver", source_path=silver_path, source_tables=["sales"],
                                    written_at=_naive(now), extra={**tag, "aggregation": f"by_{key}"})
                     for p in touched]
+    # K5: the summary documents of the touched partitions, one job (JSON, one file each)
+    summary_path = lake.path("gold", "daily_summary")
+    (summary_documents_by_partition(current, report_date, now).write.mode("overwrite")
+     .partitionBy("partition").json(summary_path))
+    records += [lineage_record("gold", f"{summary_path}/partition={p}", dataset="daily_summary", partition=p,
+                               source_layer="silver", source_path=silver_path, source_tables=["sales"],
+                               record_count=1, written_at=_naive(now), extra=tag) for p in touched]
     # a retried epoch rewrote its own folders above; its lineage is written only once
     done = read_lineage(spark, lake).where(
         (F.col("extra")["stream"] == stream_id) & (F.col("extra")["epoch"] == tag["epoch"]))

@@ -78,7 +78,7 @@ def test_retried_epoch_writes_lineage_once(spark, lake_root):
         _process(lake, "2001-09-01", "2001-09-01 00:00:00", "stream-a", batch, 7)
     lin = read_lineage(spark, lake)
     assert lin.where(F.col("target_layer") == "silver").count() == 1
-    assert lin.where(F.col("target_layer") == "gold").count() == 2
+    assert lin.where(F.col("target_layer") == "gold").count() == 3  # by region, by product, summary
     silver = spark.read.parquet(lake.path("silver", "sales"))
     assert silver.count() == 50  # the epoch's folder was replaced, not appended to
     _process(lake, "2001-09-01", "2001-09-01 00:00:00", "stream-b", batch, 7)  # another stream, same epoch id
@@ -98,3 +98,24 @@ def test_backlog_is_drained_in_bounded_micro_batches(spark, lake_root):
         .parquet(lake.path("silver", "sales"))
     assert silver.count() == sales.count()
     assert _norm(_gold(spark, lake)) == _norm(_expected(sales))
+
+
+def test_stream_summary_documents_match_the_batch_document(spark, lake_root):
+    # K5 in the stream: one document per touched partition, equal to the batch flow's document
+    from lakestrata.operators.sales import summary_document
+    lake = Lake(lake_root)
+    sales = load(spark, SF, "sales")
+    write_bronze_sales(sales, lake, partition_col=month())
+    run_available_now(spark, lake, report_date="2001-09-01", now="2001-09-01 00:00:00")
+    doc_schema = schemas._struct(*[(f.name, f.dataType) for f in schemas.GOLD["daily_summary"].fields
+                                   if f.name != "partition"], ("partition", schemas.S))
+    docs = {r.partition: r for r in spark.read.schema(doc_schema).json(lake.path("gold", "daily_summary")).collect()}
+    silver = spark.read.schema(schemas.with_fields(schemas.SILVER_SALES, ("partition", "string"), ("epoch", "int"))) \
+        .parquet(lake.path("silver", "sales"))
+    assert set(docs) == {r.partition for r in silver.select("partition").distinct().collect()}
+    for p in sorted(docs)[:3]:
+        part = silver.where(F.col("partition") == p).drop("partition", "epoch")
+        want = summary_document(part, "2001-09-01", p, "2001-09-01 00:00:00").first()
+        got = docs[p]
+        for field in ("report_date", "total_orders", "total_revenue", "avg_order_value", "by_region", "by_product"):
+            assert got[field] == want[field], (p, field)
