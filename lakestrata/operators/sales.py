@@ -7,6 +7,7 @@ counts non-null order ids while ``total_orders`` counts rows (Q4). Money stays d
 from __future__ import annotations
 
 import datetime as _dt
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,21 +84,25 @@ def summary_breakdown(silver: DataFrame, key: str) -> DataFrame:
             .agg(F.coalesce(F.sum("total_amount"), F.lit(0)).cast(REVENUE).alias("total_revenue")))
 
 
-def sales_rollup(silver: DataFrame) -> DataFrame:
+def sales_rollup(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """A1+A2+A3 in one pass: grouping sets (region), (product), () over one scan.
 
     Returns ``grouping`` in {'region', 'product', 'total'}, ``key`` and the measures.
-    Null keys inside the region/product sets are dropped (Q2).
+    Null keys inside the region/product sets are dropped (Q2). With ``by`` (e.g.
+    ``["partition"]``) every set is also grouped by those columns, so the outputs of
+    several partitions come from the same single pass.
     """
-    g = (silver.groupingSets([["region"], ["product"], []], "region", "product")
+    by = list(by)
+    g = (silver.groupingSets([[*by, "region"], [*by, "product"], by], *by, "region", "product")
          .agg(*_measures(),
               F.count(F.lit(1)).alias("total_orders"),
               F.round(F.avg("total_amount"), 4).cast(MEAN).alias("avg_order_value"),
-              F.grouping_id("region", "product").alias("_gid")))
+              # the ``by`` columns are in every set (bits 0): 1 = by region, 2 = by product, 3 = totals
+              F.grouping_id(*by, "region", "product").alias("_gid")))
     grouping = (F.when(F.col("_gid") == 1, F.lit("region"))
                 .when(F.col("_gid") == 2, F.lit("product")).otherwise(F.lit("total")))
     key = F.when(F.col("_gid") == 1, F.col("region")).when(F.col("_gid") == 2, F.col("product"))
-    out = g.select(grouping.alias("grouping"), key.alias("key"), "order_count", "total_quantity",
+    out = g.select(*by, grouping.alias("grouping"), key.alias("key"), "order_count", "total_quantity",
                    "total_revenue", "total_orders", "avg_order_value")
     return out.where((F.col("grouping") == "total") | F.col("key").isNotNull())
 
@@ -137,10 +142,10 @@ def summary_from_rollup(rollup: DataFrame, report_date=None, partition: str | No
                       _ts_or_now(now).alias("generated_at"))
 
 
-def by_key_from_rollup(rollup: DataFrame, key: str, report_date=None) -> DataFrame:
-    """A1/A2 from the one-pass rollup: the rows of one grouping set."""
+def by_key_from_rollup(rollup: DataFrame, key: str, report_date=None, by: Sequence[str] = ()) -> DataFrame:
+    """A1/A2 from the one-pass rollup: the rows of one grouping set (per ``by`` group)."""
     return (rollup.where(F.col("grouping") == key)
-            .select(F.col("key").alias(key), "order_count", "total_quantity", "total_revenue")
+            .select(*by, F.col("key").alias(key), "order_count", "total_quantity", "total_revenue")
             .withColumn("report_date", _date_or_today(report_date)))
 
 
@@ -152,37 +157,32 @@ def sales_by_partition(silver: DataFrame, key: str, report_date=None) -> DataFra
 
 def summary_documents_by_partition(silver: DataFrame, report_date=None, now=None,
                                    max_keys: int = 100_000) -> DataFrame:
-    """A3+A4 for several silver partitions at once: one summary document row per partition.
+    """A3+A4 for several silver partitions at once: one summary document row per partition."""
+    return summary_documents_from_rollup(sales_rollup(silver, ["partition"]), report_date, now, max_keys)
 
-    One grouping-sets pass ((partition, region), (partition, product), (partition)) with
-    map-side partials, then one aggregate per partition builds the scalars and the two maps.
-    Each map gathers the keys of one partition into one row, so the largest per-partition
-    key count is checked first (one number back); past ``max_keys`` use the long-form
-    breakdown instead.
+
+def summary_documents_from_rollup(rollup: DataFrame, report_date=None, now=None,
+                                  max_keys: int = 100_000, by: str = "partition") -> DataFrame:
+    """Summary documents, one per ``by`` value, from a (small) ``sales_rollup(..., [by])``.
+
+    One aggregate per partition builds the scalars and the two maps. Each map gathers the
+    keys of one partition into one row, so the largest per-partition key count is checked
+    first (one number back); past ``max_keys`` use the long-form breakdown instead.
     """
-    g = (silver.groupingSets([["partition", "region"], ["partition", "product"], ["partition"]],
-                             "partition", "region", "product")
-         .agg(F.count(F.lit(1)).alias("total_orders"),
-              F.coalesce(F.sum("total_amount"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
-              F.round(F.avg("total_amount"), 4).cast(MEAN).alias("avg_order_value"),
-              # partition is in every set (bit 0): 1 = by region, 2 = by product, 3 = totals
-              F.grouping_id("partition", "region", "product").alias("_gid")))
-    rollup = g.where((F.col("_gid") == 3) | ((F.col("_gid") == 1) & F.col("region").isNotNull())
-                     | ((F.col("_gid") == 2) & F.col("product").isNotNull()))
-    widest = rollup.groupBy("partition").count().agg(F.max("count").alias("n")).first().n
+    widest = rollup.groupBy(by).count().agg(F.max("count").alias("n")).first().n
     if widest is not None and widest > 2 * max_keys + 1:
         raise ValueError(f"a partition has more than {max_keys} keys: too many for one summary document")
 
     def scalar(name: str) -> Column:
-        return F.max(F.when(F.col("_gid") == 3, F.col(name))).alias(name)
+        return F.max(F.when(F.col("grouping") == "total", F.col(name))).alias(name)
 
-    def entries(gid: int, key: str) -> Column:
-        entry = F.when(F.col("_gid") == gid, F.struct(F.col(key).alias("key"), F.col("total_revenue")))
-        return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(f"by_{key}")
+    def entries(grouping: str) -> Column:
+        entry = F.when(F.col("grouping") == grouping, F.struct(F.col("key"), F.col("total_revenue")))
+        return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(f"by_{grouping}")
 
-    docs = rollup.groupBy("partition").agg(scalar("total_orders"), scalar("total_revenue"),
-                                           scalar("avg_order_value"), entries(1, "region"), entries(2, "product"))
-    return docs.select(_date_or_today(report_date).alias("report_date"), "partition",
+    docs = rollup.groupBy(by).agg(scalar("total_orders"), scalar("total_revenue"), scalar("avg_order_value"),
+                                  entries("region"), entries("product"))
+    return docs.select(_date_or_today(report_date).alias("report_date"), F.col(by).alias("partition"),
                        F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
                        F.coalesce(F.col("total_revenue"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
                        "avg_order_value", "by_region", "by_product", _ts_or_now(now).alias("generated_at"))
