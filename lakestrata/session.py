@@ -45,7 +45,10 @@ def get_session(master: str | None = None, app_name: str = "lakestrata",
     On a cluster leave ``master`` unset and let spark-submit decide; tests pass ``local[*]``.
     """
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false"))
+               .config("spark.ui.showConsoleProgress", "false")
+               # reliable checkpoints (rollups, compaction snapshots) are deleted once unused,
+               # so scheduled runs do not pile files up in the shared checkpoint folder
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
