@@ -10,6 +10,7 @@ Scheduling stays outside (any scheduler calls these on its cadence)::
     spark-submit lakestrata/jobs.py sales-flow  --lake URI --partition P [--report-date D]
     spark-submit lakestrata/jobs.py sales-stream --lake URI [--report-date D]
     spark-submit lakestrata/jobs.py verify      --lake URI [--tables a,b] [--max-age-hours 24]
+    spark-submit lakestrata/jobs.py views       --lake URI [--views a,b] [--scope all|latest]
     spark-submit lakestrata/jobs.py compact-ops --lake URI --before-month YYYY-MM
     spark-submit lakestrata/jobs.py vacuum-bronze --lake URI [--tables a,b] [--retention-hours 24]
 
@@ -34,6 +35,7 @@ from lakestrata.plans.ingest import hour_partition, ingest_all  # noqa: E402
 from lakestrata.plans.lake import Lake, compact_ops  # noqa: E402
 from lakestrata.plans.sales_flow import run_sales_flow  # noqa: E402
 from lakestrata.plans.verify import vacuum_bronze, verification_report  # noqa: E402
+from lakestrata.plans.views import create_views, sample_views  # noqa: E402
 from lakestrata.session import get_session  # noqa: E402
 from lakestrata.sources.jdbc import JdbcSource, jdbc_reader  # noqa: E402
 from lakestrata.specs import CLIENT_TABLES  # noqa: E402
@@ -102,10 +104,14 @@ def parser() -> argparse.ArgumentParser:
     comp = sub.add_parser("compact-ops", help="rewrite closed months of the ops tables")
     comp.add_argument("--before-month", required=True)
 
+    views = sub.add_parser("views", help="create the typed serving views and sample each (publish check)")
+    views.add_argument("--views", help="comma-separated view names (default: all)")
+    views.add_argument("--scope", choices=("all", "latest"), default="all")
+
     vac = sub.add_parser("vacuum-bronze", help="delete old batch folders no reader sees any more")
     vac.add_argument("--retention-hours", type=float, default=24)
 
-    for s in (ing, gold, flow, stream, ver, comp, vac):
+    for s in (ing, gold, flow, stream, ver, comp, vac, views):
         s.add_argument("--lake", required=True, help="lake root URI (any Hadoop filesystem)")
     for s in (ing, gold, ver, vac):
         s.add_argument("--tables", help="comma-separated table names (default: all)")
@@ -153,6 +159,13 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         failing = report.where("section = 'bronze_audit' AND metric = 'status' AND value <> 'OK'").count()
         return {"job": "verify", "report_path": path, "rows_by_section": by_section,
                 "stale_tables": stale, "bronze_partitions_not_ok": failing}
+    if args.job == "views":
+        # views live in this job's session (no metastore): the job checks that every view
+        # resolves and its typed casts run, counting a 5-row sample of each
+        status = create_views(spark, lake, _tables(args.views), scope=args.scope)
+        created = [v for v, st in status.items() if st == "created"]
+        samples = {v: df.count() for v, df in sample_views(spark, created, 5).items()}
+        return {"job": "views", "views": {v: {"status": st, "sample_rows": samples.get(v)} for v, st in status.items()}}
     if args.job == "compact-ops":
         return {"job": "compact-ops", "compacted": compact_ops(spark, lake, args.before_month)}
     if args.job == "vacuum-bronze":

@@ -24,6 +24,10 @@ def test_ingest_gold_verify_jobs(spark, lake_root, monkeypatch):
         ("invoice_header", hdr.count(), "full")]
     gold = jobs.main(["build-gold", "--lake", lake_root, "--tables", "fact_invoice_detail"], spark)
     assert gold["tables"]["fact_invoice_detail"] == {"partition": "2001-09-01-00", "rows": hdr.count()}
+    views = jobs.main(["views", "--lake", lake_root, "--views", "fact_invoice_detail,margin_invoice,nope"], spark)
+    assert views["views"] == {"fact_invoice_detail": {"status": "created", "sample_rows": 5},
+                              "margin_invoice": {"status": "skipped", "sample_rows": None},
+                              "nope": {"status": "error", "sample_rows": None}}
     ver = jobs.main(["verify", "--lake", lake_root, "--tables", "invoice_header"], spark)
     # just ingested: fresh, and its one partition audits OK; the full report is in the lake
     assert (ver["bronze_partitions_not_ok"], ver["stale_tables"]) == (0, [])
