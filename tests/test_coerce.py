@@ -59,3 +59,49 @@ def test_optional_column(spark):
     out = df.select(col_or_null(df, "a").alias("a"), col_or_null(df, "item").alias("item"))
     assert out.first() == (1, None)
     assert out.schema["item"].dataType.simpleString() == "string"
+
+
+def test_strip_matches_python_strip_on_generated_text(spark):
+    # Q9 as a property: T1 trims exactly what Python's str.strip() trims, Unicode spaces included
+    from hypothesis import given, settings, strategies as st
+    from pyspark.sql import functions as F
+    from lakestrata.functions.coerce import strip_ws
+
+    spaces = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    text = st.text(alphabet=st.one_of(st.sampled_from(spaces), st.characters(blacklist_categories=("Cs",))),
+                   max_size=12)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(text, min_size=1, max_size=200))
+    def check(values):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+        got = {r.i: r.t for r in df.select("i", strip_ws(F.col("v")).alias("t")).collect()}
+        assert got == {i: v.strip() for i, v in enumerate(values)}
+
+    check()
+
+
+def test_number_coercion_on_generated_values(spark):
+    # M1 / Q5 as a property: numeric text (any spacing, plain or exponent form) parses to the
+    # exact value rounded half-up to 4 places; text that is not a number becomes 0
+    from decimal import ROUND_HALF_UP, Decimal
+    from hypothesis import given, settings, strategies as st
+    from pyspark.sql import functions as F
+    from lakestrata.functions.coerce import to_decimal_or_zero
+
+    numbers = st.decimals(min_value=Decimal("-99999999999999"), max_value=Decimal("99999999999999"),
+                          places=6, allow_nan=False, allow_infinity=False)
+    padded = st.tuples(st.sampled_from(["", " ", "\t", "  "]), numbers, st.sampled_from(["", " ", "\n"]))
+    junk = st.text(alphabet="abcxyz,", min_size=1, max_size=6)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(padded, min_size=1, max_size=150), st.lists(junk, max_size=20))
+    def check(nums, bad):
+        texts = [f"{a}{n}{b}" for a, n, b in nums] + bad
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        got = {r.i: r.v for r in df.select("i", to_decimal_or_zero(F.col("t")).alias("v")).collect()}
+        want = {i: n.quantize(Decimal("0.0001"), rounding=ROUND_HALF_UP) for i, (_, n, _) in enumerate(nums)}
+        want.update({len(nums) + j: Decimal("0.0000") for j in range(len(bad))})
+        assert got == want
+
+    check()
