@@ -105,3 +105,38 @@ def test_number_coercion_on_generated_values(spark):
         assert got == want
 
     check()
+
+
+def test_date_parsing_on_generated_dates(spark):
+    # D1 / Q7 as a property: every accepted layout of a date gives the same value (month first
+    # for slashes); a bare time is rejected
+    import datetime as dt
+    from hypothesis import given, settings, strategies as st
+    from pyspark.sql import functions as F
+    from lakestrata.functions.coerce import parse_timestamp
+
+    months = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+    layouts = [
+        lambda t: t.strftime("%Y-%m-%d"),
+        lambda t: t.strftime("%Y-%m-%d %H:%M:%S"),
+        lambda t: t.strftime("%Y-%m-%dT%H:%M:%S.%f"),
+        lambda t: f"{t.month}/{t.day}/{t.year}",
+        lambda t: t.strftime("%Y%m%d"),
+        lambda t: f"{months[t.month - 1]} {t.day} {t.year}",
+    ]
+    keeps_time = {1, 2}
+    stamps = st.datetimes(min_value=dt.datetime(1900, 1, 1), max_value=dt.datetime(2100, 12, 31))
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(st.tuples(stamps, st.integers(0, len(layouts) - 1)), min_size=1, max_size=150))
+    def check(cases):
+        texts = [layouts[k](t) for t, k in cases] + ["10:30", "23:59:59"]
+        df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, s string")
+        got = {r.i: r.ts for r in df.select("i", parse_timestamp(F.col("s")).alias("ts")).collect()}
+        want = {i: (t if k in keeps_time else dt.datetime(t.year, t.month, t.day)).replace(
+                    microsecond=t.microsecond if k == 2 else 0)
+                for i, (t, k) in enumerate(cases)}
+        want.update({len(cases): None, len(cases) + 1: None})
+        assert got == want
+
+    check()
