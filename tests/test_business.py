@@ -46,3 +46,41 @@ def test_rebate_rules(spark):
     name, rid = rebate_columns(F.col("acct"), F.col("d"), F.col("ref"), as_of="1999-06-01")
     for r in df.select("*", name.alias("n"), rid.alias("i")).collect():
         assert (r.n, r.i) == (r.en, r.eid), r
+
+
+def test_rebate_rule_on_generated_ledger_rows(spark):
+    # Q19 as a property, against a plain statement of the rule: the first word of the reference
+    # when the row is on the rebate account, dated on/after the cutoff, not the excluded
+    # reference, contains a space and does not start with an excluded prefix; else ''.
+    # The id is the mapped id of a non-empty name.
+    import datetime as dt
+    from hypothesis import given, settings, strategies as st
+    from lakestrata.functions.business import (
+        REBATE_CUSTOMER_ID_MAPPING, REBATE_EXCLUDED_PREFIXES, REBATE_EXCLUDED_REFS, SALES_REBATE_ACCOUNT,
+    )
+    cutoff = dt.date(1998, 1, 1)  # as_of 1999-06-01
+
+    def rule(acct, date, ref):
+        text = ref or ""
+        first = text.split(" ", 1)[0]
+        eligible = acct == SALES_REBATE_ACCOUNT and date is not None and dt.date.fromisoformat(date) >= cutoff
+        valid = (eligible and text not in REBATE_EXCLUDED_REFS and " " in text
+                 and first not in REBATE_EXCLUDED_PREFIXES)
+        name = first if valid else ""
+        return name, (REBATE_CUSTOMER_ID_MAPPING.get(name) if name else None)
+
+    words = list(REBATE_CUSTOMER_ID_MAPPING) + list(REBATE_EXCLUDED_PREFIXES) + ["Zed", "rebate", "Q1", "", "FY"]
+    refs = st.one_of(st.none(), st.sampled_from(REBATE_EXCLUDED_REFS),
+                     st.lists(st.sampled_from(words), min_size=1, max_size=4).map(" ".join))
+    dates = st.one_of(st.none(), st.dates(dt.date(1996, 1, 1), dt.date(2000, 12, 31)).map(dt.date.isoformat))
+    rows_ = st.tuples(st.sampled_from([SALES_REBATE_ACCOUNT, "410000", None]), dates, refs)
+
+    @settings(max_examples=5, deadline=None)
+    @given(st.lists(rows_, min_size=1, max_size=200))
+    def check(data):
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "i int, acct string, d string, ref string")
+        name, rid = rebate_columns(F.col("acct"), F.col("d"), F.col("ref"), "1999-06-01")
+        got = {r.i: (r.n, r.id) for r in df.select("i", name.alias("n"), rid.alias("id")).collect()}
+        assert got == {i: rule(*r) for i, r in enumerate(data)}
+
+    check()
