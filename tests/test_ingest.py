@@ -363,3 +363,36 @@ def test_sync_states_match_a_sequential_replay(spark):
         assert got == replay(rows_)
 
     check()
+
+
+def test_live_batches_match_the_rule_on_generated_logs(spark):
+    # the write-once layout's read rule as a property: a batch is visible when it has an 'ok'
+    # log row and no newer (last_sync_at, run_id) full / date-partition load of its partition
+    import tempfile
+    from hypothesis import given, settings, strategies as st
+    from lakestrata.plans.lake import append_ops, rows_frame
+
+    run = st.tuples(st.sampled_from(["p1", "p2"]), st.sampled_from(["full", "incremental", "partition"]),
+                    st.sampled_from(["ok", "ok", "failed"]), st.sampled_from([T(2025, 1, d) for d in (1, 2, 3)]))
+
+    def rule(runs):
+        ok = [r for r in runs if r["status"] == "ok"]
+        live = set()
+        for r in ok:
+            newer_replace = [o for o in ok if o["partition"] == r["partition"] and o["mode"] in ("full", "partition")
+                             and (o["last_sync_at"], o["run_id"]) > (r["last_sync_at"], r["run_id"])]
+            if not newer_replace:
+                live.add(r["run_id"])
+        return live
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(run, min_size=1, max_size=10))
+    def check(runs):
+        lake = Lake("file:" + tempfile.mkdtemp(prefix="ls-live-"))
+        rows_ = [{"table_name": "t", "run_id": f"b{i:02d}", "partition": p, "mode": m, "status": s,
+                  "last_sync_at": ts, "rows_synced": 1} for i, (p, m, s, ts) in enumerate(runs)]
+        append_ops(rows_frame(spark, rows_, schemas.SYNC_LOG), lake.sync_log, "last_sync_at")
+        got = {r.batch_id for r in committed_batches(spark, lake, "t").collect()}
+        assert got == rule(rows_)
+
+    check()
