@@ -156,3 +156,29 @@ def test_compact_batch_rewrites_only_small_file_batches(spark, lake_root):
     assert len(files) == 1
     got = spark.read.parquet(path)
     assert sorted(r.id for r in got.collect()) == list(range(100)) and set(got.columns) >= {"partition", "batch_id"}
+
+
+def test_current_by_key_matches_brute_force(spark):
+    # scope 'current' as a property: per key (null is a key too) the row with the greatest
+    # (ts, seq), a null ts ordering lowest, whatever the duplication
+    from hypothesis import given, settings, strategies as st
+    from lakestrata.operators.latest import current_by_key
+
+    row = st.tuples(st.sampled_from(["a", "b", None]),
+                    st.one_of(st.none(), st.sampled_from([dt.datetime(2025, 1, d) for d in (1, 2)])))
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=30))
+    def check(data):
+        rows_ = [(k, ts, seq) for seq, (k, ts) in enumerate(data)]
+        df = spark.createDataFrame(rows_, "k string, ts timestamp_ntz, seq int")
+        got = {r.k: (r.ts, r.seq) for r in current_by_key(df, ["k"], ["ts", "seq"]).collect()}
+        want = {}
+        for k, ts, seq in rows_:
+            best = want.get(k)
+            rank = (ts is not None, ts or dt.datetime.min, seq)
+            if best is None or rank > (best[0] is not None, best[0] or dt.datetime.min, best[1]):
+                want[k] = (ts, seq)
+        assert got == want
+
+    check()
