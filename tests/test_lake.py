@@ -182,3 +182,37 @@ def test_current_by_key_matches_brute_force(spark):
         assert got == want
 
     check()
+
+
+def test_bronze_audit_matches_the_status_rule(spark):
+    # X2 as a property: per expected (table, partition) -> MISSING (nothing readable, nothing
+    # on disk), ERROR (rows on disk, none readable), EMPTY (readable, 0 rows) or OK; lineage
+    # presence reported only for readable partitions
+    from hypothesis import given, settings, strategies as st
+    from lakestrata.operators.quality import bronze_audit
+
+    keys = st.tuples(st.sampled_from(["t", "u"]), st.sampled_from(["p1", "p2", "p3"]))
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(keys, min_size=1, max_size=6, unique=True),
+           st.dictionaries(keys, st.integers(0, 3), max_size=6),
+           st.dictionaries(keys, st.integers(0, 3), max_size=6),
+           st.lists(keys, max_size=6, unique=True))
+    def check(expected, readable, on_disk, lineage):
+        on_disk = {k: max(v, readable.get(k, 0)) for k, v in {**readable, **on_disk}.items()}
+        df = lambda rows, schema: spark.createDataFrame(rows, schema)
+        got = {(r.table, r.partition): (r.status, r.record_count, r.metadata_missing) for r in bronze_audit(
+            df(expected, "table_name string, partition string"),
+            df([(*k, n) for k, n in readable.items()], "table_name string, partition string, record_count long"),
+            df(lineage, "dataset string, partition string"),
+            raw_counts=df([(*k, n) for k, n in on_disk.items()],
+                          "table_name string, partition string, record_count long")).collect()}
+        want = {}
+        for k in expected:
+            if k in readable:
+                want[k] = ("OK" if readable[k] else "EMPTY", readable[k], k not in lineage)
+            else:
+                want[k] = ("ERROR" if on_disk.get(k, 0) > 0 else "MISSING", 0, None)
+        assert got == want
+
+    check()
