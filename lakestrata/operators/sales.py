@@ -120,26 +120,9 @@ def summary_document(silver: DataFrame, report_date=None, partition: str | None
 
 def summary_from_rollup(rollup: DataFrame, report_date=None, partition: str | None = None,
                         now=None, max_keys: int = 100_000) -> DataFrame:
-    """The summary document from a (small, possibly checkpointed) :func:`sales_rollup`."""
-    n = rollup.limit(2 * max_keys + 2).count()
-    if n > 2 * max_keys + 1:
-        raise ValueError(f"more than {max_keys} keys: too many for one summary document")
-
-    def scalar(name: str) -> Column:
-        return F.max(F.when(F.col("grouping") == "total", F.col(name))).alias(name)
-
-    def entries(grouping: str) -> Column:
-        entry = F.when(F.col("grouping") == grouping, F.struct(F.col("key"), F.col("total_revenue")))
-        return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(f"by_{grouping}")
-
-    doc = rollup.agg(scalar("total_orders"), scalar("total_revenue"), scalar("avg_order_value"),
-                     entries("region"), entries("product"))
-    return doc.select(_date_or_today(report_date).alias("report_date"),
-                      F.lit(partition).cast("string").alias("partition"),
-                      F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
-                      F.coalesce(F.col("total_revenue"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
-                      "avg_order_value", "by_region", "by_product",
-                      _ts_or_now(now).alias("generated_at"))
+    """The summary document from a (small, possibly checkpointed) :func:`sales_rollup`:
+    the per-partition builder over one constant partition."""
+    return summary_documents_from_rollup(rollup, report_date, now, max_keys, by=None, partition=partition)
 
 
 def by_key_from_rollup(rollup: DataFrame, key: str, report_date=None, by: Sequence[str] = ()) -> DataFrame:
@@ -162,14 +145,20 @@ def summary_documents_by_partition(silver: DataFrame, report_date=None, now=None
 
 
 def summary_documents_from_rollup(rollup: DataFrame, report_date=None, now=None,
-                                  max_keys: int = 100_000, by: str = "partition") -> DataFrame:
-    """Summary documents, one per ``by`` value, from a (small) ``sales_rollup(..., [by])``.
+                                  max_keys: int = 100_000, by: str | None = "partition",
+                                  partition: str | None = None) -> DataFrame:
+    """Summary documents, one per ``by`` value, from a (small) ``sales_rollup(..., [by])``;
+    with ``by=None`` one document (named ``partition``) from a global aggregate, which
+    also gives a zero document for empty input.
 
     One aggregate per partition builds the scalars and the two maps. Each map gathers the
     keys of one partition into one row, so the largest per-partition key count is checked
     first (one number back); past ``max_keys`` use the long-form breakdown instead.
     """
-    widest = rollup.groupBy(by).count().agg(F.max("count").alias("n")).first().n
+    if by:
+        widest = rollup.groupBy(by).count().agg(F.max("count").alias("n")).first().n
+    else:
+        widest = rollup.limit(2 * max_keys + 2).count()
     if widest is not None and widest > 2 * max_keys + 1:
         raise ValueError(f"a partition has more than {max_keys} keys: too many for one summary document")
 
@@ -180,9 +169,11 @@ def summary_documents_from_rollup(rollup: DataFrame, report_date=None, now=None,
         entry = F.when(F.col("grouping") == grouping, F.struct(F.col("key"), F.col("total_revenue")))
         return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(f"by_{grouping}")
 
-    docs = rollup.groupBy(by).agg(scalar("total_orders"), scalar("total_revenue"), scalar("avg_order_value"),
-                                  entries("region"), entries("product"))
-    return docs.select(_date_or_today(report_date).alias("report_date"), F.col(by).alias("partition"),
+    docs = (rollup.groupBy(by) if by else rollup).agg(
+        scalar("total_orders"), scalar("total_revenue"), scalar("avg_order_value"),
+        entries("region"), entries("product"))
+    name = F.col(by) if by else F.lit(partition).cast("string")
+    return docs.select(_date_or_today(report_date).alias("report_date"), name.alias("partition"),
                        F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
                        F.coalesce(F.col("total_revenue"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
                        "avg_order_value", "by_region", "by_product", _ts_or_now(now).alias("generated_at"))

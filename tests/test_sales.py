@@ -87,3 +87,10 @@ def test_summary_documents_per_partition_and_key_guard(silver):
                                      "Widget C": Decimal("79.99")}
     with pytest.raises(ValueError):  # p2 has 3 products: over a 2-key limit the maps are refused
         summary_documents_by_partition(parts, "2025-01-01", max_keys=2)
+
+
+def test_summary_document_of_empty_input_is_a_zero_document(spark):
+    empty = enrich_sales(spark.createDataFrame([], BRONZE["sales"]), now="2025-01-01 12:00:00")
+    doc = summary_document(empty, "2025-01-01", "2025-01-01-00").collect()
+    assert len(doc) == 1 and (doc[0].total_orders, doc[0].total_revenue) == (0, Decimal("0.00"))
+    assert doc[0].by_region == {} and doc[0].partition == "2025-01-01-00"
