@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from lakestrata.plans.ingest import ingest_table  # noqa: E402
 from lakestrata.plans.lake import Lake  # noqa: E402
 from lakestrata.queries import QUERIES  # noqa: E402
-from lakestrata.session import get_session  # noqa: E402
+from lakestrata.session import get_session, local_scratch  # noqa: E402
 from lakestrata.sources.fixtures import load  # noqa: E402
 from lakestrata.specs import spec  # noqa: E402
 
@@ -72,7 +71,7 @@ def main() -> None:
     for name in HEADLINE:
         materialise(QUERIES[name](spark, sf_dir))  # warm-up, untimed
         results[name] = timed(lambda: materialise(QUERIES[name](spark, sf_dir)), repeat)
-    scratch = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="bench-lake-")
+    scratch = spark.conf.get("spark.checkpoint.dir", None) or local_scratch(spark.sparkContext.master)
     scratch = scratch.rstrip("/") + f"/bench-{int(time.time())}"
     bench_incremental(spark, sf_dir, scratch + "-warmup")  # warm-up into its own lake, untimed
     full, inc = bench_incremental(spark, sf_dir, scratch)

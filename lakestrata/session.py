@@ -70,7 +70,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="lakestrata-")
+        base = local_scratch(spark.sparkContext.master)
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     path = base.rstrip("/") + "/" + name
@@ -79,6 +79,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
+def local_scratch(master: str) -> str:
+    """A private scratch folder, only for a local session (tests, single-machine runs).
+
+    On a cluster every executor must see the folder, so the cluster has to name a shared
+    one in ``spark.checkpoint.dir``; a machine-local folder is never used there.
+    """
+    if not master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is unset: name a shared folder for this cluster session")
+    return tempfile.mkdtemp(prefix="lakestrata-")
+
+
 def sizing(input_bytes: int, cores: int, max_tasks: int = 100_000) -> dict[str, str]:
     """Scan / shuffle sizing for a job reading ``input_bytes`` on ``cores`` executor cores.
 

@@ -69,3 +69,12 @@ def test_cluster_sizing():
     small = sizing(10 << 30, 64)  # 10 GB: default 128 MB splits, at least 2 partitions per core
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
     assert int(small["spark.sql.shuffle.partitions"]) == 128
+
+
+def test_no_machine_local_scratch_on_a_cluster():
+    import pytest
+    from lakestrata.session import local_scratch
+    assert local_scratch("local[4]")
+    for master in ("yarn", "spark://host:7077", "k8s://https://host"):
+        with pytest.raises(ValueError):
+            local_scratch(master)
