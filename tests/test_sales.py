@@ -94,3 +94,33 @@ def test_summary_document_of_empty_input_is_a_zero_document(spark):
     doc = summary_document(empty, "2025-01-01", "2025-01-01-00").collect()
     assert len(doc) == 1 and (doc[0].total_orders, doc[0].total_revenue) == (0, Decimal("0.00"))
     assert doc[0].by_region == {} and doc[0].partition == "2025-01-01-00"
+
+
+def test_sales_by_region_matches_brute_force(spark):
+    # A1 with Q2-Q4 as a property: null regions dropped, order_count counts non-null ids,
+    # sums of all-null values are 0, money exact to the cent
+    from collections import defaultdict
+    from hypothesis import given, settings, strategies as st
+
+    row = st.tuples(st.one_of(st.none(), st.integers(1, 50)), st.sampled_from(["East", "West", None]),
+                    st.one_of(st.none(), st.integers(1, 5)),
+                    st.one_of(st.none(), st.sampled_from([Decimal("1.25"), Decimal("19.99"), Decimal("0.10")])))
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(row, min_size=1, max_size=40))
+    def check(data):
+        bronze = spark.createDataFrame([(oid, "C", "W", q, p, dt.date(2025, 1, 1), region)
+                                        for oid, region, q, p in data], BRONZE["sales"])
+        got = {r.region: (r.order_count, r.total_quantity, r.total_revenue)
+               for r in sales_by_region(enrich_sales(bronze, now="2025-01-01 00:00:00"), "2025-01-01").collect()}
+        want = defaultdict(lambda: [0, 0, Decimal("0.00")])
+        for oid, region, q, p in data:
+            if region is None:
+                continue
+            w = want[region]
+            w[0] += oid is not None
+            w[1] += q or 0
+            w[2] += (Decimal(q) * p).quantize(Decimal("0.01")) if q is not None and p is not None else 0
+        assert got == {k: (v[0], v[1], Decimal(v[2]).quantize(Decimal("0.01"))) for k, v in want.items()}
+
+    check()
