@@ -34,10 +34,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number in ROW (and nothing renamed), the same on every evaluation of a stored table."""
+    """``docs`` with a row number in ROW, the same on every evaluation of a stored table; see whole_rows()."""
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """ROW and ``__doc``, a struct of all columns, so nothing that is joined to it clashes with them."""
+    inside = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    return docs.select(F.struct(*inside).alias("__doc")).withColumn(ROW, F.monotonically_increasing_id())
+
+
+def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that whole_rows() put into ``__doc``."""
+    return rows.select(*[F.col(f"__doc.c{k}").alias(c) for k, c in enumerate(columns)])
+
+
 def words(text: Column) -> Column:
     """Array of the words of a text; null counts as empty."""
     return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), f"[{SPACE}]+"), "")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import ROW, numbered, save, without_space
+from lakestrata.llm.common import ROW, numbered, save, unpacked, whole_rows, without_space
 
 #: Least and greatest code points of a chunk, and the pair of characters after which a chunk may end.
 LEAST, MOST = 512, 4096
@@ -50,15 +50,11 @@ def exact_dedup(docs: DataFrame, hash_bits: int = 64, least: int = LEAST, most:
     # each distinct chunk text moves once; a hash seen with two texts is not an identifier by itself
     pieces = cut.select(F.explode("chunks").alias("c")).select(chunk_hash(F.col("c")).alias("h"), "c").distinct()
     shared = save(pieces.groupBy("h").count().where("count > 1").select("h"), "shared-hashes")
-    variants = pieces.join(shared, "h", "left_semi").select(
-        "h", "c", F.row_number().over(Window.partitionBy("h").orderBy("c")).alias("code"))
-    affected = recipes.select(ROW, F.explode("recipe").alias("h")).join(shared, "h", "left_semi") \
-        .select(ROW).distinct()
-    codes = cut.join(affected, ROW, "left_semi").select(ROW, F.posexplode("chunks").alias("pos", "c")) \
-        .select(ROW, "pos", "c", chunk_hash(F.col("c")).alias("h")).join(variants, ["h", "c"], "left") \
-        .groupBy(ROW).agg(F.transform(F.array_sort(F.collect_list(F.struct(
-            "pos", F.coalesce("code", F.lit(0)).alias("code")))), lambda e: e["code"]).alias("codes"))
-    named = recipes.join(codes, ROW, "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<int>")))
+    if shared.isEmpty():
+        named = recipes.withColumn("codes", F.array().cast("array<int>"))
+    else:
+        named = recipes.join(_codes(cut, pieces, recipes, shared, chunk_hash), ROW, "left") \
+            .withColumn("codes", F.coalesce("codes", F.array().cast("array<int>")))
 
     best = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW))
     groups = named.groupBy("recipe", "codes").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")) \
@@ -74,7 +70,19 @@ def exact_dedup(docs: DataFrame, hash_bits: int = 64, least: int = LEAST, most:
                          (alone | (F.col(ROW) == F.col("best_row"))).alias("kept"), "text_sha256")
 
 
+def _codes(cut: DataFrame, pieces: DataFrame, recipes: DataFrame, shared: DataFrame, chunk_hash) -> DataFrame:
+    """ROW, codes for the rows with a chunk whose hash stands for several texts: the texts' numbers, in order."""
+    variants = pieces.join(shared, "h", "left_semi").select(
+        "h", "c", F.row_number().over(Window.partitionBy("h").orderBy("c")).alias("code"))
+    affected = recipes.select(ROW, F.explode("recipe").alias("h")).join(shared, "h", "left_semi") \
+        .select(ROW).distinct()
+    return cut.join(affected, ROW, "left_semi").select(ROW, F.posexplode("chunks").alias("pos", "c")) \
+        .select(ROW, "pos", "c", chunk_hash(F.col("c")).alias("h")).join(variants, ["h", "c"], "left") \
+        .groupBy(ROW).agg(F.transform(F.array_sort(F.collect_list(F.struct(
+            "pos", F.coalesce("code", F.lit(0)).alias("code")))), lambda e: e["code"]).alias("codes"))
+
+
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
     kept = exact_dedup(docs).where("kept").select(ROW)
-    return numbered(docs).join(kept, ROW, "left_semi").select(*docs.columns)
+    return unpacked(whole_rows(docs).join(kept, ROW, "left_semi"), docs.columns)

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +76,8 @@ def template_bigrams(text: str) -> list[str]:
 
 def size_bounds(size: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     """Least and greatest number of bigrams that can reach ``threshold`` with a template of ``size``."""
-    return math.ceil(threshold / (2 - threshold) * size), math.floor((2 - threshold) / threshold * size)
+    t = Fraction(str(threshold))
+    return math.ceil(t / (2 - t) * size), math.floor((2 - t) / t * size)
 
 
 def units(text: Column) -> Column:

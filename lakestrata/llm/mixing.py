@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import ROW, numbered, save, without_space, words
+from lakestrata.llm.common import ROW, numbered, save, unpacked, whole_rows, without_space, words
 
 WEIGHTS, EPOCHS_CAP, SEED = (5, 2, 1), 3, 20240229
 #: Buckets of the keys per doubling of the key.
@@ -94,6 +94,6 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEE
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEED) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the mix takes it, with the columns of ``docs``."""
-    taken = mix(docs, weights, cap, seed).where("copies > 0").select(ROW, F.col("copies").alias("__copies"))
-    return numbered(docs).join(taken, ROW) \
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    taken = mix(docs, weights, cap, seed).where("copies > 0").select(ROW, "copies")
+    often = whole_rows(docs).join(taken, ROW).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return unpacked(often, docs.columns)

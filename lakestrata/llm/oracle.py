@@ -1,5 +1,76 @@
-"""DuckDB SQL for the operators that SQL can express, written from their contracts."""
+"""DuckDB SQL for the operators that SQL can express, written from their contracts.
+
+Rule limits, thresholds and the licence statements are fixed values of the operators.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+from lakestrata.llm.license_scan import TEMPLATES
+
+EXACT_DEDUP = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
+                  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST) AS keep_id,
+       count(*) OVER (PARTITION BY t) AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY n DESC, doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+FROM d"""
+
+QUALITY_RULES = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+                  list_filter(string_split(coalesce(text, ''), chr(10)),
+                              lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM windows)
+          WHERE c >= 2),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, range(5) AS r(k) GROUP BY doc_id),
+f AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+             len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_same_words,
+             length(regexp_replace(t, '\P{L}+', '', 'g')) AS n_letters,
+             length(regexp_replace(t, '\P{Lu}+', '', 'g')) AS n_capitals
+      FROM d LEFT JOIN covered USING (doc_id)),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+             10 * n_symbols > 3 * n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+             OR (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) OR 4 * n_same_words > n_words
+             OR 2 * n_capitals > n_letters OR 2 * n_letters < word_chars AS rule_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT rule_failed AS kept FROM v"""
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+LICENSE_SCAN = r"""
+WITH templates(name, license, wording) AS (VALUES """ + ", ".join(
+    f"({_text(a)}, {_text(b)}, {_text(c)})" for a, b, c in TEMPLATES) + r"""),
+tw AS (SELECT name, license, list_filter(regexp_split_to_array(lower(wording), '[^a-z0-9]+'), lambda x: x <> '') AS w
+       FROM templates),
+tg AS (SELECT DISTINCT name, license, w[i] || ' ' || w[i + 1] AS g
+       FROM (SELECT name, license, w, unnest(range(1, len(w))) AS i FROM tw)),
+ts AS (SELECT name, license, count(*) AS size FROM tg GROUP BY ALL),
+d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+u AS (SELECT row_number() OVER () AS uid, doc_id, unit FROM (
+        SELECT doc_id, unnest(list_distinct(list_concat(string_split(t, chr(10)),
+               string_split_regex(t, '\n[\x20\x09\x0B-\x0D]*\n'), [t]))) AS unit FROM d)),
+uw AS (SELECT uid, doc_id, list_filter(regexp_split_to_array(lower(unit), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM u),
+ug AS (SELECT DISTINCT uid, doc_id, w[i] || ' ' || w[i + 1] AS g
+       FROM (SELECT uid, doc_id, w, unnest(range(1, len(w))) AS i FROM uw)),
+us AS (SELECT uid, count(*) AS size FROM ug GROUP BY uid),
+m AS (SELECT doc_id, license, name, 2 * CAST(shared AS DOUBLE) / (us.size + ts.size) AS dice
+      FROM (SELECT uid, doc_id, license, name, count(*) AS shared FROM ug JOIN tg USING (g) GROUP BY ALL)
+      JOIN us USING (uid) JOIN ts USING (license, name)),
+hits AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+                min(struct_pack(minus := -dice, name := name, license := license)) AS best
+         FROM m WHERE dice >= 0.8 GROUP BY doc_id)
+SELECT doc_id, best.license AS license, best.name AS template, coalesce(-best.minus, 0.0::DOUBLE) AS dice,
+       coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses
+FROM d LEFT JOIN hits USING (doc_id)"""
+
+ORACLE: dict[str, str] = {
+    "op3_exact_dedup": EXACT_DEDUP,
+    "op4_license_scan": LICENSE_SCAN,
+    "op8_quality_rules": QUALITY_RULES,
+}

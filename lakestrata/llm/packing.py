@@ -3,10 +3,9 @@
 Texts become token ids (an end id closes each), documents longer than a sequence are cut into pieces of
 full length, and the pieces are packed by the histogram of their lengths alone. The covering program
 "few configurations, every length covered" is solved by multiplicative weights: a knapsack dynamic
-program prices the best configuration for the current weights (lengths in units of GRAIN tokens, rounded
-up, so a configuration always fits), the configuration gets a share of the solution, and the weights of
-the lengths that it covers fall. Uses are rounded down; what stays is placed best-fit, longest first, in
-the room the configurations leave and then in new sequences.
+program prices the best configuration for the current weights, the configuration gets a share of the
+solution, and the weights of the lengths that it covers fall. Uses are rounded down; what stays is placed
+best-fit, longest first, in the room the configurations leave and then in new sequences.
 
 Only the histogram (one row per length, so at most as many as a sequence has tokens) and the plan made
 from it reach the driver. A piece finds its place from its rank among the pieces of its length, counted
@@ -31,8 +30,8 @@ from pyspark.sql.window import Window
 from lakestrata.llm.common import as_bytes, save, small_batches, word_blocks
 
 LENGTH, END_ID = 4096, 1
-#: Tokens per unit of the knapsack, and rounds of the multiplicative weights.
-GRAIN, ROUNDS = 8, 1200
+#: Rounds of the multiplicative weights.
+ROUNDS = 300
 #: Words whose ids a task remembers before it starts afresh.
 REMEMBERED = 400_000
 TOKENIZER = "word_bpe_49k.json"
@@ -101,6 +100,9 @@ def best_configuration(values, sizes, capacity: int) -> dict[int, int]:
     """Unbounded knapsack: how often each item of ``sizes`` (ascending) is taken for the greatest value."""
     import numpy as np
 
+    # an item is of use only if no smaller one is worth as much
+    useful = np.flatnonzero(values > np.r_[0.0, np.maximum.accumulate(values)[:-1]])
+    sizes, values = sizes[useful], values[useful]
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1, np.int64)
     fits = np.searchsorted(sizes, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
@@ -116,19 +118,21 @@ def best_configuration(values, sizes, capacity: int) -> dict[int, int]:
         if (j := int(pick[room])) < 0:
             room -= 1
         else:
-            taken[j] += 1
+            taken[int(useful[j])] += 1
             room -= int(sizes[j])
     return dict(taken)
 
 
 def fractional(classes: dict[int, int], capacity: int, rounds: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations (size -> times) and their uses, which together cover every class of ``classes``."""
+    """Configurations (length -> times) and their uses, towards covering every length of ``classes``."""
     import numpy as np
 
+    if not classes:
+        return []
     sizes = np.array(sorted(classes), np.int64)
     need = np.array([classes[int(s)] for s in sizes], float)
     covered, uses = np.zeros(len(sizes)), defaultdict(float)
-    weight = sizes / need / capacity  # a length starts at the room that it takes
+    weight = (sizes / capacity) ** 1.15 / need  # a length starts a little above the room that it takes
     for _ in range(rounds):
         weight /= weight.max()
         taken = best_configuration(weight, sizes, capacity)
@@ -143,7 +147,7 @@ def fractional(classes: dict[int, int], capacity: int, rounds: int) -> list[tupl
     return [(dict(c), u * scale) for c, u in uses.items()]
 
 
-def packing_plan(histogram: dict[int, int], length: int = LENGTH, grain: int = GRAIN, rounds: int = ROUNDS):
+def packing_plan(histogram: dict[int, int], length: int = LENGTH, rounds: int = ROUNDS):
     """length -> [(first rank, rank after, first sequence, per sequence, offset)] and the number of sequences.
 
     The pieces of one length, in rank order, fill the runs of that length's list.
@@ -166,38 +170,19 @@ def packing_plan(histogram: dict[int, int], length: int = LENGTH, grain: int = G
         used[n] += count * each
         left[n] -= count * each
 
-    units = defaultdict(list)
-    for n in sorted(left):
-        if n < length:
-            units[-(-n // grain)].append(n)
-        else:
-            count = left[n]
-            put(n, sequences, count, 1, 0)
-            sequences += count
-    if units:
-        stock = {u: sum(left[n] for n in ns) for u, ns in units.items()}
-        solved = fractional(stock, length // grain, rounds)
-        for config, use in sorted(solved, key=lambda x: (-x[1], sorted(x[0].items()))):
-            times = min([int(use), *(stock[u] // k for u, k in config.items())])
-            while times > 0:
-                # as many sequences at once as the first length of each class fills
-                fill, at, count = [], 0, times
-                for u, k in sorted(config.items(), reverse=True):
-                    want = k
-                    for n in sorted(units[u], key=lambda n: (-left[n], n)):
-                        if want and left[n]:
-                            take = min(want, left[n])
-                            fill.append((n, take))
-                            count = min(count, left[n] // take)
-                            want -= take
-                for n, take in fill:
-                    put(n, sequences, count, take, at)
-                    at += n * take
-                for u, k in config.items():
-                    stock[u] -= k * count
-                leave(length - at, sequences, count)
-                sequences += count
-                times -= count
+    if left.get(length):
+        count = left[length]
+        put(length, sequences, count, 1, 0)
+        sequences += count
+    open_ = {n: m for n, m in left.items() if m}
+    for config, use in sorted(fractional(open_, length, rounds), key=lambda x: (-x[1], sorted(x[0].items()))):
+        times, at = min([int(use), *(left[n] // k for n, k in config.items())]), 0
+        if times > 0:
+            for n, k in sorted(config.items(), reverse=True):
+                put(n, sequences, times, k, at)
+                at += n * k
+            leave(length - at, sequences, times)
+            sequences += times
     for n in sorted(left, reverse=True):
         while left[n] > 0:
             k = bisect.bisect_left(rooms, n)
@@ -242,13 +227,13 @@ def _placed_batches(batches, plan):
 
 
 def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, end_id: int = END_ID,
-         grain: int = GRAIN, rounds: int = ROUNDS) -> DataFrame:
+         rounds: int = ROUNDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     spark = docs.sparkSession
     cut = save(pieces(docs, length, path, end_id), "pieces")
     counts = save(cut.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    plan, _ = packing_plan(histogram, length, grain, rounds)
+    plan, _ = packing_plan(histogram, length, rounds)
     shared = spark.sparkContext.broadcast(plan)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))

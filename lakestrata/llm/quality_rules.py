@@ -62,6 +62,7 @@ def text_features(text: Column, tokens: Column | None = None) -> dict[str, Colum
         "n_lines": F.size(lines).cast("long"),
         "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
         "n_repeat_words": repeat_words(tokens),
+        "n_same_words": let(tokens, lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1)))).cast("long"),
         "n_letters": F.length(F.regexp_replace(text, r"\P{L}+", "")).cast("long"),
         "n_capitals": F.length(F.regexp_replace(text, r"\P{Lu}+", "")).cast("long"),
     }
@@ -78,7 +79,8 @@ RULES: dict[str, Rule] = {
     **BASE,
     "symbols": lambda f: f["n_symbols"] * 10 > f["n_words"] * 3,
     "word_length": lambda f: (f["word_chars"] < f["n_words"] * 2) | (f["word_chars"] > f["n_words"] * 15),
-    "duplicate_lines": lambda f: f["n_dup_lines"] * 10 > f["n_lines"] * 3,
+    "duplicate_lines": lambda f: (f["n_dup_lines"] >= 3) & (f["n_dup_lines"] * 10 > f["n_lines"] * 3),
+    "same_words": lambda f: f["n_same_words"] * 4 > f["n_words"],
     "capitals": lambda f: f["n_capitals"] * 2 > f["n_letters"],
     "few_letters": lambda f: f["n_letters"] * 2 < f["word_chars"],
 }

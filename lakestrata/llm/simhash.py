@@ -23,7 +23,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import ROW, as_bytes, numbered, save, small_batches, word_blocks
+from lakestrata.llm.common import ROW, as_bytes, numbered, save, small_batches, unpacked, whole_rows, word_blocks
 from lakestrata.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -135,4 +135,4 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, with the columns of ``docs``."""
     kept = simhash_components(docs, shingle, radius).where("kept").select(ROW)
-    return numbered(docs).join(kept, ROW, "left_semi").select(*docs.columns)
+    return unpacked(whole_rows(docs).join(kept, ROW, "left_semi"), docs.columns)
