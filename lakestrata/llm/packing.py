@@ -18,6 +18,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections import defaultdict
 from functools import partial
@@ -32,9 +33,12 @@ from lakestrata.llm.common import as_bytes, save, small_batches, word_blocks
 LENGTH, END_ID = 4096, 1
 #: Rounds of the multiplicative weights.
 ROUNDS = 300
-#: Words whose ids a task remembers before it starts afresh.
+#: Words, and parts of words, whose ids a Python worker remembers before it starts afresh.
 REMEMBERED = 400_000
 TOKENIZER = "word_bpe_49k.json"
+_PRINTABLE = re.compile(rb"[!-~]+")
+# Fixed value: the tokenizer's split pattern, for lower-case ASCII.
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def tokenizer_path() -> str:
@@ -45,22 +49,54 @@ def tokenizer_path() -> str:
 
 class WordIds(dict):
     """Ids of a word as little-endian uint32 bytes. White space never joins two words in this tokenizer,
-    so a text's ids are those of its words in a row, and a word is tokenized once per task."""
+    so a text's ids are those of its words in a row, and each word is tokenized once while it is known.
+
+    A word is normalised and split by the tokenizer's own steps and its parts go to the tokenizer's model;
+    for printable ASCII those steps are lower-casing and the split pattern below. A word that may hold a
+    special token is encoded as a whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.normalizer, self.splitter = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+        self.parts: dict[str, bytes] = {}
+        self.tokenize = self.tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = b"".join(i.to_bytes(4, "little") for i in ids)
+        if b"<|" in word:
+            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            found = b"".join(i.to_bytes(4, "little") for i in ids)
+        elif _PRINTABLE.fullmatch(word):
+            found = b"".join([self._part(p) for p in _SPLIT.findall(word.lower().decode())])
+        else:
+            text = self.normalizer.normalize_str(word.decode("utf-8", "replace"))
+            found = b"".join([self._part(p) for p, _ in self.splitter.pre_tokenize_str(text)])
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = found
         return found
 
+    def _part(self, part: str) -> bytes:
+        if (found := self.parts.get(part)) is None:
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.tokenize(part)])
+            if len(self.parts) >= REMEMBERED:
+                self.parts.clear()
+            self.parts[part] = found
+        return found
+
+
+_KNOWN: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The words that this Python worker knows already; tasks that it runs later start from them."""
+    if path not in _KNOWN:
+        _KNOWN[path] = WordIds(path)
+    return _KNOWN[path]
+
 
 def token_bytes(data: bytes, ids: WordIds, end_id: int = END_ID) -> bytes:
     return b"".join([b"".join(map(ids.__getitem__, block)) for block in word_blocks(data)]
@@ -70,7 +106,7 @@ def token_bytes(data: bytes, ids: WordIds, end_id: int = END_ID) -> bytes:
 def _piece_batches(batches, path, length, end_id):
     import pyarrow as pa
 
-    ids, task, ranks = WordIds(path), TaskContext.get().partitionId(), defaultdict(int)
+    ids, task, ranks = word_ids(path), TaskContext.get().partitionId(), defaultdict(int)
     for batch in small_batches(batches):
         rows = []
         for doc_id, text in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), strict=True):
