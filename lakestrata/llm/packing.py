@@ -34,7 +34,7 @@ LENGTH, END_ID = 4096, 1
 #: Rounds of the multiplicative weights.
 ROUNDS = 300
 #: Words, and parts of words, whose ids a Python worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 TOKENIZER = "word_bpe_49k.json"
 _PRINTABLE = re.compile(rb"[!-~]+")
 # Fixed value: the tokenizer's split pattern, for lower-case ASCII.
@@ -99,6 +99,8 @@ def word_ids(path: str) -> WordIds:
 
 
 def token_bytes(data: bytes, ids: WordIds, end_id: int = END_ID) -> bytes:
+    if b"<|" not in data:  # the tokenizer lower-cases, and only a special token has to be seen before that
+        data = data.lower()
     return b"".join([b"".join(map(ids.__getitem__, block)) for block in word_blocks(data)]
                     + [end_id.to_bytes(4, "little")])
 
