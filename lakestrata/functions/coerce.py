@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 MONEY = "decimal(18,4)"       # client money / quantities
+PRODUCT = "decimal(33,4)"     # quantity times money: wide enough for any two MONEY values
 SALES_MONEY = "decimal(18,2)"  # ERP sales money
 
 # Whitespace as Python's str.strip() sees it: every code point for which str.isspace() holds
@@ -21,7 +22,8 @@ WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 _ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}"
 
 # Extra text layouts accepted besides ISO-8601 (month first, as the reference parser does).
-DATE_FORMATS = ("M/d/yyyy", "yyyyMMdd", "MMM d yyyy")
+DATE_FORMATS = ("M/d/yyyy[ H:mm[:ss]]", "yyyy/M/d[ H:mm[:ss]]", "yyyyMMdd", "MMM d yyyy[ H:mm[:ss]]",
+                "MMM d yyyy h:mma")
 
 
 def col_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
@@ -57,12 +59,14 @@ def to_int_or_null(c: Column) -> Column:
 def parse_timestamp(c: Column) -> Column:
     """Mixed-format text -> TIMESTAMP_NTZ, unparsable -> null.
 
-    Accepts ISO dates / date-times (space or 'T', fractional seconds), 'M/d/yyyy'
-    (month first), 'yyyyMMdd' and 'MMM d yyyy'. A bare time such as '10:30' is rejected.
+    Accepts ISO dates / date-times (space or 'T', fractional seconds), 'M/d/yyyy' (month first),
+    'yyyy/M/d' and 'MMM d yyyy', each also with a time, 'yyyyMMdd' and 'MMM d yyyy h:mma'; commas and
+    runs of spaces in these count as one space. A bare time such as '10:30' is rejected.
     """
     text = c.cast(StringType())
     iso = F.when(text.rlike(_ISO_DATE), _try_cast(F.trim(text), "timestamp_ntz"))
-    others = [F.try_to_timestamp(F.trim(text), F.lit(fmt)).cast("timestamp_ntz") for fmt in DATE_FORMATS]
+    plain = F.trim(F.regexp_replace(text, r"[,\s]+", " "))
+    others = [F.try_to_timestamp(plain, F.lit(fmt)).cast("timestamp_ntz") for fmt in DATE_FORMATS]
     return F.coalesce(iso, *others)
 
 

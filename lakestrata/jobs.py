@@ -4,7 +4,7 @@ Scheduling stays outside (any scheduler calls these on its cadence)::
 
     spark-submit lakestrata/jobs.py ingest      --lake URI --jdbc-url URL [--jdbc-user U]
                  [--jdbc-password-env VAR] [--jdbc-driver CLASS] [--tables a,b] [--full-refresh]
-                 [--partition YYYY-MM-DD-HH] [--parallel TABLE=COLUMN:N ...]
+                 [--partition YYYY-MM-DD-HH] [--partition-value V] [--parallel TABLE=COLUMN:N ...]
     spark-submit lakestrata/jobs.py build-gold  --lake URI [--tables a,b] [--scope latest|current]
                  [--as-of YYYY-MM-DD]
     spark-submit lakestrata/jobs.py sales-flow  --lake URI --partition P [--report-date D]
@@ -32,11 +32,11 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 
 from lakestrata.plans.gold import build_gold  # noqa: E402
 from lakestrata.plans.ingest import hour_partition, ingest_all  # noqa: E402
-from lakestrata.plans.lake import Lake, compact_ops  # noqa: E402
+from lakestrata.plans.lake import Lake, compact_ops, lake_bytes  # noqa: E402
 from lakestrata.plans.sales_flow import run_sales_flow  # noqa: E402
 from lakestrata.plans.verify import vacuum_bronze, verification_report  # noqa: E402
 from lakestrata.plans.views import create_views, sample_views  # noqa: E402
-from lakestrata.session import get_session  # noqa: E402
+from lakestrata.session import get_session, sizing  # noqa: E402
 from lakestrata.sources.jdbc import JdbcSource, jdbc_reader  # noqa: E402
 from lakestrata.specs import CLIENT_TABLES  # noqa: E402
 from lakestrata.streaming.sales_stream import run_available_now  # noqa: E402
@@ -80,13 +80,14 @@ def parser() -> argparse.ArgumentParser:
     ing.add_argument("--jdbc-driver")
     ing.add_argument("--full-refresh", action="store_true")
     ing.add_argument("--partition", help="bronze partition (default: the current UTC hour)")
+    ing.add_argument("--partition-value", help="value that date-partition tables load")
     ing.add_argument("--identifier-quote", default="", help="quote for --parallel columns, e.g. '\"'")
     ing.add_argument("--parallel", action="append", default=[], metavar="TABLE=COLUMN:N",
                      help="read TABLE with N range queries on COLUMN (the delta's range when COLUMN "
                           "is the table's timestamp); repeatable")
 
     gold = sub.add_parser("build-gold", help="bronze -> gold facts, dimension and margin tables")
-    gold.add_argument("--scope", choices=("latest", "current"), default="latest")
+    gold.add_argument("--scope", choices=("latest", "current"), default="current")
     gold.add_argument("--as-of", help="rebate cutoff reference date (default: today)")
 
     flow = sub.add_parser("sales-flow", help="one bronze sales partition -> silver -> gold")
@@ -123,6 +124,10 @@ def parser() -> argparse.ArgumentParser:
 def run(args: argparse.Namespace, spark=None) -> dict:
     spark = spark or get_session(app_name=f"lakestrata-{args.job}")
     lake = Lake(args.lake)
+    if not spark.sparkContext.master.startswith("local"):  # the plans shuffle what the lake holds
+        stored = lake_bytes(spark, lake)
+        for key, value in sizing(stored, spark.sparkContext.defaultParallelism).items():
+            spark.conf.set(key, value)
     if args.job == "ingest":
         props = {}
         if args.jdbc_user:
@@ -134,7 +139,8 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         partition = args.partition or hour_partition(_dt.datetime.now(_dt.timezone.utc))
         reader = jdbc_reader(spark, JdbcSource(args.jdbc_url, props), parallel_reads(args.parallel, args.identifier_quote))
         res = ingest_all(spark, CLIENT_TABLES, lake, partition, reader, tables=_tables(args.tables),
-                         force_full=args.full_refresh, max_parallel=args.max_parallel)
+                         force_full=args.full_refresh, max_parallel=args.max_parallel,
+                         partition_value=args.partition_value)
         return {"job": "ingest", "partition": partition, "tables": [r.asDict() for r in res.collect()]}
     if args.job == "build-gold":
         out = build_gold(spark, lake, _tables(args.tables), scope=args.scope, as_of=args.as_of,

@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.business import normalize_customer_id, normalize_customer_name
 from lakestrata.functions.coerce import (
-    MONEY, parse_timestamp, strip_ws, to_decimal_or_zero, to_int_or_null,
+    PRODUCT, parse_timestamp, strip_ws, to_decimal_or_zero, to_int_or_null,
 )
 
 
 def measures(qty_col: str = "qty_invoiced", price_col: str = "price", cost_col: str = "cost") -> dict:
-    """M1/M3: quantity and the three money measures, each exact DECIMAL(18,4)."""
+    """M1/M3: quantity (DECIMAL(18,4)) and the three exact products, wide enough never to overflow."""
     qty = to_decimal_or_zero(F.col(qty_col))
     price = to_decimal_or_zero(F.col(price_col))
     cost = to_decimal_or_zero(F.col(cost_col))
     return {
         "QtyInvoiced": qty,
-        "ExtendedPrice": (qty * price).cast(MONEY),
-        "TotalCost": (qty * cost).cast(MONEY),
-        "Margin": (qty * (price - cost)).cast(MONEY),
+        "ExtendedPrice": (qty * price).cast(PRODUCT),
+        "TotalCost": (qty * cost).cast(PRODUCT),
+        "Margin": (qty * (price - cost)).cast(PRODUCT),
     }
 
 

@@ -43,11 +43,6 @@ def latest_partition_scan(df: DataFrame, part_col: str = PARTITION) -> DataFrame
     return df.where(F.col(part_col) == newest.select("p").scalar())
 
 
-def latest_of(values: Sequence[Column]) -> Column:
-    """O3: the newest of several partition values (e.g. one per source table)."""
-    return F.greatest(*values)
-
-
 def current_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Scope 'current': the latest version of every key across all partitions.
 
@@ -59,3 +54,12 @@ def current_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     latest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_by]))
     return df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]) \
         .agg(latest.alias("__row")).select("__row.*")
+
+
+def newest_batch_rows(df: DataFrame, keys: Sequence[str], batch_col: str = "batch_id") -> DataFrame:
+    """The rows of every key's newest batch; what a source itself repeats within a batch stays."""
+    newest = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(batch_col).alias("__newest"))
+    same = F.col(batch_col) == F.col("__newest")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+    return df.join(newest, same).select(*df.columns)

@@ -13,12 +13,11 @@ onto the (much smaller) header side first:
 
 That is two fact shuffles instead of three, and invoice lines without a header (null
 cust_num after the first join) are never funnelled into one reducer by a null key. The
-two plans differ only for lines without a header when the address table has primary rows
-with a null cust_num ("orphans"): those lines must pick up every orphan name. Orphans are
-looked up once (a pushed-down IsNull filter on the dimension, usually answered from
-Parquet statistics): none -> the plan above; a bounded number -> one extra broadcast
-join of the orphan names on a "no header" flag; more -> the literal three-join plan,
-relying on AQE's skew-join splitting for the null-key partition.
+two plans would differ only for lines without a header when the address table has primary rows
+with a null cust_num ("orphans"): those lines pick up every orphan name. They get them from one
+more join, on a key that is 0 for lines without a header and a spread negative hash for all
+others, so whatever join the planner chooses by size, no key gathers the lines that have a header.
+The plan is the same at every size and building it runs no job.
 """
 
 from __future__ import annotations
@@ -31,8 +30,6 @@ from lakestrata.functions.coerce import col_or_null, parse_timestamp, strip_ws
 from lakestrata.operators.facts import measures
 from lakestrata.operators.joins import null_safe_join, prefixed
 
-ORPHAN_BROADCAST_LIMIT = 10_000  # orphan address rows we are willing to broadcast
-
 
 def _item_side(item: DataFrame) -> DataFrame:
     """Invoice lines reduced to join keys + typed outputs before any shuffle.
@@ -76,19 +73,12 @@ def _join_order_item(df: DataFrame, order_item: DataFrame, has_co: bool) -> Data
     return null_safe_join(df, o, [("co_num", "o_co_num"), ("co_line", "o_co_line")]).drop("o_co_num", "o_co_line")
 
 
-def orphan_address_count(address: DataFrame, limit: int = ORPHAN_BROADCAST_LIMIT) -> int:
-    """Primary address rows with a null cust_num, counted up to ``limit + 1``."""
-    orphans = address.where((F.col("cust_seq") == 0) & F.col("cust_num").isNull()).select("name")
-    return orphans.limit(limit + 1).count()
-
-
 def margin_invoice(invoice_item: DataFrame, invoice_header: DataFrame, order_item: DataFrame,
                    customer_address: DataFrame, strategy: str = "auto") -> DataFrame:
     """The 10-column margin table.
 
-    ``strategy='auto'`` picks the header-first plan (with the orphan branch when needed)
-    or, past ``ORPHAN_BROADCAST_LIMIT`` orphans, the literal plan; ``'literal'`` forces
-    the three-join plan. Both give identical rows.
+    ``strategy='literal'`` is the plain three-join plan instead of the header-first one ('auto'); both
+    give identical rows.
     """
     item = _item_side(invoice_item)
     has_co = "co_num" in invoice_item.columns and "co_line" in invoice_item.columns
@@ -97,11 +87,6 @@ def margin_invoice(invoice_item: DataFrame, invoice_header: DataFrame, order_ite
 
     if strategy not in ("auto", "literal"):
         raise ValueError(f"unknown strategy {strategy!r}")
-    orphans = 0
-    if strategy == "auto":
-        orphans = orphan_address_count(customer_address)
-        strategy = "literal" if orphans > ORPHAN_BROADCAST_LIMIT else "header_first"
-
     if strategy == "literal":
         j = null_safe_join(item, header, [("inv_num", "h_inv_num")])
         j = _join_order_item(j, order_item, has_co)
@@ -113,10 +98,10 @@ def margin_invoice(invoice_item: DataFrame, invoice_header: DataFrame, order_ite
                     .drop("a_cust_num").withColumn("_hdr", F.lit(True)))
     j = null_safe_join(item, header_named, [("inv_num", "h_inv_num")])
     j = _join_order_item(j, order_item, has_co)
-    if orphans:
-        orphan_names = (address0.where(F.col("a_cust_num").isNull())
-                        .select(F.lit(True).alias("_orphan_key"), F.col("a_name").alias("_orphan_name")))
-        j = (j.withColumn("_no_hdr", F.col("_hdr").isNull())
-             .join(F.broadcast(orphan_names), F.col("_no_hdr") == F.col("_orphan_key"), "left")
-             .withColumn("a_name", F.when(F.col("_no_hdr"), F.col("_orphan_name")).otherwise(F.col("a_name"))))
+    orphan_names = (address0.where(F.col("a_cust_num").isNull())
+                    .select(F.lit(0).cast("bigint").alias("_orphan_key"), F.col("a_name").alias("_orphan_name")))
+    spread = -F.shiftrightunsigned(F.xxhash64("inv_num", "co_num", "co_line"), 1) - 1
+    j = (j.withColumn("_key", F.when(F.col("_hdr").isNull(), F.lit(0).cast("bigint")).otherwise(spread))
+         .join(orphan_names, F.col("_key") == F.col("_orphan_key"), "left")
+         .withColumn("a_name", F.when(F.col("_hdr").isNull(), F.col("_orphan_name")).otherwise(F.col("a_name"))))
     return _project(j)

@@ -85,41 +85,51 @@ def summary_breakdown(silver: DataFrame, key: str) -> DataFrame:
 
 
 def sales_rollup(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """A1+A2+A3 in one pass: grouping sets (region), (product), () over one scan.
+    """A1+A2+A3 from one scan: totals by region, by product and overall.
 
     Returns ``grouping`` in {'region', 'product', 'total'}, ``key`` and the measures.
     Null keys inside the region/product sets are dropped (Q2). With ``by`` (e.g.
-    ``["partition"]``) every set is also grouped by those columns, so the outputs of
-    several partitions come from the same single pass.
+    ``["partition"]``) every set is also grouped by those columns.
+
+    The rows are summed once by (region, product), with map-side partials; that small result is
+    rolled up three ways (the shuffle is reused), so no input row is multiplied. An average is the
+    sum over the count, rounded as the average of DECIMAL(18,2) is.
     """
     by = list(by)
-    g = (silver.groupingSets([[*by, "region"], [*by, "product"], by], *by, "region", "product")
-         .agg(*_measures(),
-              F.count(F.lit(1)).alias("total_orders"),
-              F.round(F.avg("total_amount"), 4).cast(MEAN).alias("avg_order_value"),
-              # the ``by`` columns are in every set (bits 0): 1 = by region, 2 = by product, 3 = totals
-              F.grouping_id(*by, "region", "product").alias("_gid")))
-    grouping = (F.when(F.col("_gid") == 1, F.lit("region"))
-                .when(F.col("_gid") == 2, F.lit("product")).otherwise(F.lit("total")))
-    key = F.when(F.col("_gid") == 1, F.col("region")).when(F.col("_gid") == 2, F.col("product"))
-    out = g.select(*by, grouping.alias("grouping"), key.alias("key"), "order_count", "total_quantity",
-                   "total_revenue", "total_orders", "avg_order_value")
-    return out.where((F.col("grouping") == "total") | F.col("key").isNotNull())
+    cells = silver.groupBy(*by, "region", "product").agg(
+        F.count("order_id").alias("orders"), F.sum("quantity").alias("quantity"),
+        F.sum("total_amount").cast(REVENUE).alias("revenue"), F.count("total_amount").alias("amounts"),
+        F.count(F.lit(1)).alias("n"))
+
+    def rolled(grouping: str, key: str | None) -> DataFrame:
+        rows = cells if key is None else cells.where(F.col(key).isNotNull())
+        revenue, amounts = F.sum("revenue"), F.sum("amounts")
+        mean = F.round(F.when(amounts > 0, revenue.cast("decimal(28,10)") / amounts.cast("decimal(10,0)")), 6)
+        keys = [*by, *([key] if key else [])]
+        out = (rows.groupBy(*keys) if keys else rows).agg(
+            F.coalesce(F.sum("orders"), F.lit(0)).alias("order_count"),
+            F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("total_quantity"),
+            F.coalesce(revenue, F.lit(0)).cast(REVENUE).alias("total_revenue"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("total_orders"), F.round(mean, 4).cast(MEAN).alias("avg_order_value"))
+        return out.select(*by, F.lit(grouping).alias("grouping"),
+                          (F.col(key) if key else F.lit(None).cast("string")).alias("key"), "order_count",
+                          "total_quantity", "total_revenue", "total_orders", "avg_order_value")
+
+    return rolled("region", "region").unionByName(rolled("product", "product")).unionByName(rolled("total", None))
 
 
 def summary_document(silver: DataFrame, report_date=None, partition: str | None = None,
-                     now=None, max_keys: int = 100_000) -> DataFrame:
+                     now=None, max_keys: int | None = None) -> DataFrame:
     """A3+A4 as one row with ``by_region`` / ``by_product`` maps (the JSON summary document).
 
-    Built from the one-pass :func:`sales_rollup`. The maps gather one entry per distinct
-    key into a single row, so the number of groups is checked first (a bounded action
-    on the pre-aggregated rows); past ``max_keys`` use :func:`summary_breakdown` instead.
+    Built from the one-scan :func:`sales_rollup`. The maps hold one entry per distinct key in a single
+    row; :func:`summary_breakdown` is the same in long form, and ``max_keys`` refuses wider documents.
     """
     return summary_from_rollup(sales_rollup(silver), report_date, partition, now, max_keys)
 
 
 def summary_from_rollup(rollup: DataFrame, report_date=None, partition: str | None = None,
-                        now=None, max_keys: int = 100_000) -> DataFrame:
+                        now=None, max_keys: int | None = None) -> DataFrame:
     """The summary document from a (small, possibly checkpointed) :func:`sales_rollup`:
     the per-partition builder over one constant partition."""
     return summary_documents_from_rollup(rollup, report_date, now, max_keys, by=None, partition=partition)
@@ -139,28 +149,26 @@ def sales_by_partition(silver: DataFrame, key: str, report_date=None) -> DataFra
 
 
 def summary_documents_by_partition(silver: DataFrame, report_date=None, now=None,
-                                   max_keys: int = 100_000) -> DataFrame:
+                                   max_keys: int | None = None) -> DataFrame:
     """A3+A4 for several silver partitions at once: one summary document row per partition."""
     return summary_documents_from_rollup(sales_rollup(silver, ["partition"]), report_date, now, max_keys)
 
 
 def summary_documents_from_rollup(rollup: DataFrame, report_date=None, now=None,
-                                  max_keys: int = 100_000, by: str | None = "partition",
+                                  max_keys: int | None = None, by: str | None = "partition",
                                   partition: str | None = None) -> DataFrame:
-    """Summary documents, one per ``by`` value, from a (small) ``sales_rollup(..., [by])``;
+    """Summary documents, one per ``by`` value, from a ``sales_rollup(..., [by])``;
     with ``by=None`` one document (named ``partition``) from a global aggregate, which
     also gives a zero document for empty input.
 
-    One aggregate per partition builds the scalars and the two maps. Each map gathers the
-    keys of one partition into one row, so the largest per-partition key count is checked
-    first (one number back); past ``max_keys`` use the long-form breakdown instead.
+    One aggregate per partition builds the scalars and the two maps. A caller that wants no document
+    past ``max_keys`` keys in one map says so; by default every partition gets its document.
     """
-    if by:
-        widest = rollup.groupBy(by).count().agg(F.max("count").alias("n")).first().n
-    else:
-        widest = rollup.limit(2 * max_keys + 2).count()
-    if widest is not None and widest > 2 * max_keys + 1:
-        raise ValueError(f"a partition has more than {max_keys} keys: too many for one summary document")
+    if max_keys is not None:
+        keys = rollup.where(F.col("grouping") != "total").groupBy(*([by] if by else []), "grouping").count()
+        widest = keys.agg(F.max("count").alias("n")).first().n
+        if widest is not None and widest > max_keys:
+            raise ValueError(f"a partition has more than {max_keys} keys: too many for one summary document")
 
     def scalar(name: str) -> Column:
         return F.max(F.when(F.col("grouping") == "total", F.col(name))).alias(name)

@@ -42,9 +42,9 @@ TS = "TRY_CAST({} AS TIMESTAMP)"
 
 def _measures(q: str, p: str, c: str) -> str:
     qn, pn, cn = NUM0.format(q), NUM0.format(p), NUM0.format(c)
-    return (f"{qn} AS QtyInvoiced, CAST({qn} * {pn} AS DECIMAL(18,4)) AS ExtendedPrice, "
-            f"CAST({qn} * {cn} AS DECIMAL(18,4)) AS TotalCost, "
-            f"CAST({qn} * ({pn} - {cn}) AS DECIMAL(18,4)) AS Margin")
+    return (f"{qn} AS QtyInvoiced, CAST({qn} * {pn} AS DECIMAL(33,4)) AS ExtendedPrice, "
+            f"CAST({qn} * {cn} AS DECIMAL(33,4)) AS TotalCost, "
+            f"CAST({qn} * ({pn} - {cn}) AS DECIMAL(33,4)) AS Margin")
 
 
 MARGIN_INVOICE = oracle_cte("invoice_item", "invoice_header", "order_item", "customer_address") + f"""
@@ -265,3 +265,38 @@ UNION ALL
 SELECT 'table_state', table_name, m.metric, m.value FROM latest,
   (VALUES ('last_sync_at', CAST(last_sync_at AS VARCHAR)), ('rows_synced', CAST(rows_synced AS VARCHAR)),
           ('sync_type', sync_type)) m(metric, value)"""
+
+
+# ---- the lake end to end ---------------------------------------------------------------------
+ORACLE["source_sample"] = oracle_cte("invoice_header") + "SELECT * FROM invoice_header ORDER BY inv_num LIMIT 5"
+ORACLE["ingest_roundtrip_incremental"] = oracle_cte("invoice_header") + "SELECT * FROM invoice_header"
+ORACLE["ingest_two_date_partitions"] = oracle_cte("sales") + """
+SELECT * FROM sales WHERE order_date IN (DATE '1996-01-02', DATE '1996-01-03')"""
+ORACLE["gold_rebuild_empty"] = f"SELECT * FROM ({MARGIN_REBATE}) r WHERE false"
+ORACLE["gold_latest_after_rerun"] = FACT_INVOICE_DETAIL
+ORACLE["gold_current_from_lake"] = FACT_ORDER_ITEM
+ORACLE["gold_margin_from_lake"] = MARGIN_INVOICE
+ORACLE["stream_reland"] = ORACLE["stream_after_batch"] = ORACLE["stream_sales_by_region"]
+
+# ---- coercions on hard inputs ------------------------------------------------------------------
+ORACLE["date_layouts"] = """
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 7 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"""
+_LARGE = "CAST({} * {} AS DECIMAL(33,4))"  # whole numbers, multiplied as HUGEINT
+ORACLE["large_measures"] = f"""
+SELECT concat('INV', CAST(o AS VARCHAR)) AS InvoiceID, TIMESTAMP '1999-01-01 00:00:00' AS InvoiceDate,
+       CAST(q AS DECIMAL(18,4)) AS QtyInvoiced, {_LARGE.format('q', 'p')} AS ExtendedPrice,
+       {_LARGE.format('q', '(-p)')} AS TotalCost, {_LARGE.format('q', '(2 * p)')} AS Margin
+FROM (SELECT l_orderkey AS o, CAST(90000000000000 - CAST(l_quantity AS INTEGER) AS HUGEINT) AS q,
+             CAST(90000000000000 - l_orderkey AS HUGEINT) AS p FROM lineitem) x"""
+
+# ---- typed serving views: the dataset's columns in the view's types --------------------------------
+_VIEW_TYPES = {
+    "fact_invoice": "InvoiceID, CAST(InvoiceDate AS DATE) AS InvoiceDate, QtyInvoiced, ExtendedPrice, TotalCost, Margin",
+    "fact_invoice_detail": "*", "fact_order_item": "*", "dim_customer": "*", "margin_invoice": "*",
+    "margin_rebate": "RebateCustomerName, RebateCustomerID, CAST(Domestic_Amount AS DECIMAL(18,4)) AS Domestic_Amount",
+    "sales_by_region": "* REPLACE (CAST(report_date AS VARCHAR) AS report_date)",
+    "sales_by_product": "* REPLACE (CAST(report_date AS VARCHAR) AS report_date)",
+    "silver_sales": "* REPLACE (CAST(order_id AS VARCHAR) AS order_id, CAST(order_date AS VARCHAR) AS order_date, "
+                    "CAST(processed_at AS VARCHAR) AS processed_at)",
+}
+ORACLE.update({f"view_{name}": f"SELECT {columns} FROM ({ORACLE[name]}) v" for name, columns in _VIEW_TYPES.items()})

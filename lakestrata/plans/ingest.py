@@ -10,8 +10,9 @@ Patterns (per :class:`~lakestrata.specs.TableSpec`):
 
 Exactly-once per batch (Q26 fix): each run writes its own ``batch_id`` folder, then one
 sync-log row; readers keep only batches with a log row that no newer committed full load
-of the partition supersedes (``committed_batches``). Committed files are never replaced
-before the new run commits; a full load deletes the folders it supersedes afterwards.
+of the partition (or newer load of the same date-partition value) supersedes
+(``committed_batches``). Ingestion deletes nothing: superseded folders stay until the vacuum,
+and a run whose own folder is gone fails instead of committing.
 The watermark is truncated to the second by default (Q21: at-least-once at the
 boundary); ``current`` scope de-duplicates by key.
 """
@@ -31,7 +32,7 @@ from lakestrata import schemas
 from lakestrata.functions.timefmt import PARTITION_PATTERN, partition_of, watermark_literal
 from lakestrata.plans import synclog
 from lakestrata.plans.lake import (
-    Lake, append_lineage, compact_batch, drop_batches, lineage_record, new_batch_id, rows_frame,
+    Lake, append_lineage, exists, lineage_record, new_batch_id, rows_frame,
     write_partition,
 )
 from lakestrata.specs import Pattern, TableSpec
@@ -110,17 +111,17 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
                          partition_value=partition_value, precision=precision)
     batch_id = new_batch_id()
     path = lake.path("bronze", spec.target_table)
+    if mode == "incremental":  # a delta is a sliver of every scan task: a few well-sized files instead
+        df = df.hint("rebalance")
     # a new write-once batch folder; a retried job replaces only its own batch
     res = write_partition(df, path, partition, mode="overwrite", batch_id=batch_id,
                           watermark_column=spec.timestamp_column)
-    if res.rows and mode == "incremental":
-        # a delta is a sliver of every scan task: if it came out as many small files, one
-        # rewrite into few files before the commit (full loads are sized by their source scan)
-        batch_id = compact_batch(spark, path, partition, batch_id)
     duration = round(time.time() - started, 2)
     if res.rows == 0:  # Q25: nothing written, state untouched
         return {"table": spec.target_table, "rows_synced": 0, "mode": mode,
                 "duration_seconds": duration, "skipped": True, "path": None}
+    if not exists(spark, f"{path}/partition={partition}/batch_id={batch_id}"):
+        raise RuntimeError(f"{spec.target_table}: batch {batch_id} is gone before its commit; run the load again")
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     append_lineage(spark, lake, [lineage_record(
         "bronze", path, dataset=spec.target_table, partition=partition, record_count=res.rows,
@@ -129,10 +130,9 @@ def ingest_table(spark: SparkSession, spec: TableSpec, lake: Lake, partition: st
     synclog.append_log(spark, lake, {
         "table_name": spec.target_table, "run_id": batch_id, "status": "ok",
         "sync_type": spec.pattern.value, "mode": mode, "partition": partition,
+        "partition_value": str(partition_value) if mode == "partition" else None,
         "last_sync_value": res.max_ts,  # null for all-null ts batches: watermark unchanged (Q22)
         "rows_synced": res.rows, "sync_duration_seconds": duration, "last_sync_at": now, "path": path})
-    if mode in REPLACING_MODES:  # committed: the batches this load replaces can go
-        drop_batches(spark, path, partition, keep=batch_id)
     return {"table": spec.target_table, "rows_synced": res.rows, "mode": mode,
             "duration_seconds": duration, "skipped": False, "path": f"{path}/partition={partition}"}
 
@@ -150,9 +150,12 @@ def select_specs(specs: Sequence[TableSpec], tables: Sequence[str] | None = None
 
 def ingest_all(spark: SparkSession, specs: Sequence[TableSpec], lake: Lake, partition: str,
                reader: Reader, *, tables: Sequence[str] | None = None, pattern: Pattern | None = None,
-               force_full: bool = False, source_name: str = "source",
-               max_parallel: int = 4) -> DataFrame:
-    """Ingest the selected tables; one result row per table (table, rows, mode, ...).
+               force_full: bool = False, source_name: str = "source", max_parallel: int = 4,
+               partition_value: str | None = None) -> DataFrame:
+    """Ingest the selected tables; one result row per table (table, rows, mode, ..., error).
+
+    A table that fails gets a row with mode 'error' and the reason; the others' rows stand.
+    ``partition_value`` is the value that date-partition tables load.
 
     Tables are independent, so their jobs are submitted from up to ``max_parallel`` driver
     threads and share the cluster (small tables no longer leave it idle while they run).
@@ -161,35 +164,61 @@ def ingest_all(spark: SparkSession, specs: Sequence[TableSpec], lake: Lake, part
     chosen = select_specs(specs, tables, pattern)
 
     def one(s: TableSpec) -> dict:
-        return ingest_table(spark, s, lake, partition, reader, force_full=force_full, source_name=source_name)
+        try:
+            return ingest_table(spark, s, lake, partition, reader, force_full=force_full, source_name=source_name,
+                                partition_value=partition_value if s.pattern is Pattern.DATE_PARTITION else None)
+        except Exception as e:  # noqa: BLE001 - one failing table must not hide what the others committed
+            return {"table": s.target_table, "rows_synced": 0, "mode": "error", "skipped": False,
+                    "error": f"{type(e).__name__}: {e}"[:2000]}
 
     if max_parallel <= 1 or len(chosen) <= 1:
         results = [one(s) for s in chosen]
     else:
         with ThreadPoolExecutor(max_workers=min(max_parallel, len(chosen))) as pool:
-            results = list(pool.map(one, chosen))  # input order; the first failure is raised
+            results = list(pool.map(one, chosen))  # input order
     return rows_frame(spark, results, schemas.INGEST_RESULT)
 
 
-REPLACING_MODES = ("full", "partition")  # loads that replace their partition's earlier batches
-
-
-def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
-    """Batch ids readers may see: committed (they have a sync-log row) and not superseded
-    by a newer committed full / date-partition load of the same partition.
+def _live_runs(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
+    """batch_id, partition, mode, _order of the committed runs that no later load supersedes.
 
-    Computed from the log (one row per run) with one aggregate and one join; readers
-    semi-join on it, which prunes ``batch_id`` folders at run time.
+    A full load supersedes the partition's earlier runs, a date-partition load the earlier loads of
+    its ``partition_value`` in whatever hour (logged without a value: of its partition).
     """
     runs = (synclog.read_log(spark, lake)
             .where((F.col("table_name") == table_name) & (F.col("status") == "ok"))
-            .select(F.col("run_id").alias("batch_id"), "partition", "mode",
+            .select(F.col("run_id").alias("batch_id"), "partition", "partition_value", "mode",
                     F.struct("last_sync_at", "run_id").alias("_order")))
-    newest_replace = (runs.where(F.col("mode").isin(*REPLACING_MODES)).groupBy("partition")
-                      .agg(F.max("_order").alias("_replaced_before")))
-    live = runs.join(newest_replace, "partition", "left").where(
-        F.col("_replaced_before").isNull() | (F.col("_order") >= F.col("_replaced_before")))
-    return live.select("batch_id").distinct()
+    dated = (F.col("mode") == "partition") & F.col("partition_value").isNotNull()
+    whole = runs.where(F.col("mode").isin("full", "partition") & ~dated) \
+        .groupBy("partition").agg(F.max("_order").alias("_whole"))
+    same = runs.where(dated).groupBy("partition_value").agg(F.max("_order").alias("_same"))
+    return (runs.join(whole, "partition", "left").join(same, "partition_value", "left")
+            .where(F.col("_whole").isNull() | (F.col("_order") >= F.col("_whole")))
+            .where(~dated | (F.col("_order") >= F.col("_same"))))
+
+
+def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
+    """Batch ids readers may see: committed (they have a sync-log row) and not superseded.
+
+    Computed from the log (one row per run) with aggregates and joins; readers semi-join on
+    it, which prunes ``batch_id`` folders at run time.
+    """
+    return _live_runs(spark, lake, table_name).select("batch_id").distinct()
+
+
+def current_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
+    """Committed batches from the table's newest full load on (all of them if it has none): what the
+    ``current`` scope merges, so rows that the newest full load no longer has are gone."""
+    runs = _live_runs(spark, lake, table_name).withColumn("_table", F.lit(table_name))
+    newest = runs.where(F.col("mode") == "full").groupBy("_table").agg(F.max("_order").alias("_newest"))
+    return runs.join(newest, "_table", "left") \
+        .where(F.col("_newest").isNull() | (F.col("_order") >= F.col("_newest"))).select("batch_id").distinct()
+
+
+def live_batch_count(spark: SparkSession, lake: Lake, table_name: str, partition: str) -> int:
+    """Committed, not superseded batches of one partition (one number from the log)."""
+    return _live_runs(spark, lake, table_name).where(F.col("partition") == partition).count()
 
 
 def latest_committed_partition(spark: SparkSession, lake: Lake, table_name: str) -> str | None:
@@ -222,5 +251,5 @@ def hour_partition(ts: _dt.datetime) -> str:
 
 
 __all__ = ["plan_load", "full_scan", "incremental_scan", "date_partition_scan", "ingest_table",
-           "ingest_all", "select_specs", "committed_batches", "latest_committed_partition", "batch_watermarks", "hour_partition",
+           "ingest_all", "select_specs", "committed_batches", "current_batches", "latest_committed_partition", "batch_watermarks", "hour_partition",
            "partition_of"]

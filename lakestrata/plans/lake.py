@@ -10,15 +10,14 @@ Layout (all Parquet, one directory per dataset, Hive-style ``partition=YYYY-MM-D
 
 Writes overwrite only the partitions they touch (dynamic partition overwrite: a failed
 job leaves the previous partition in place; lost executors just re-run tasks). Bronze
-runs never replace committed files: each run writes its own ``batch_id`` folder, and a
-full load drops the folders it supersedes only after its sync-log commit. Row
+runs never replace or delete committed files: each run writes its own ``batch_id`` folder, and
+folders that a later load supersedes stay until the vacuum. Row
 counts and watermarks come from an ``Observation`` of the write itself, not a 2nd scan.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import threading
 import uuid
 from dataclasses import dataclass
 from typing import Iterable, Sequence
@@ -76,6 +75,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def lake_bytes(spark: SparkSession, lake: Lake) -> int:
+    """Bytes that the lake holds, from the filesystem's summary (metadata only)."""
+    fs, p = _fs(spark, lake.root)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def list_partition_values(spark: SparkSession, path: str, column: str = "partition") -> list[str]:
     """Values of the top-level ``column=value`` directories under ``path`` (unsorted)."""
     import re
@@ -179,25 +184,6 @@ def compact_batch(spark: SparkSession, path: str, partition: str, batch_id: str,
     return new_id
 
 
-def drop_batches(spark: SparkSession, path: str, partition: str, keep: str) -> list[str]:
-    """Delete the ``batch_id`` folders of one partition except ``keep`` (metadata only).
-
-    Run after a full load has committed: the batches it supersedes (and leftovers of
-    runs that never committed) are removed. Readers already ignore them, so a crash
-    before or during this clean-up leaves correct results.
-    """
-    fs, p = _fs(spark, f"{path.rstrip('/')}/partition={partition}")
-    if not fs.exists(p):
-        return []
-    dropped = []
-    for status in fs.listStatus(p):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith("batch_id=") and name != f"batch_id={keep}":
-            fs.delete(status.getPath(), True)
-            dropped.append(name.split("=", 1)[1])
-    return dropped
-
-
 def lineage_record(target_layer: str, target_path: str, *, dataset: str | None = None,
                    partition: str | None = None, source_layer: str | None = None,
                    source_path: str | None = None, record_count: int | None = None,
@@ -242,16 +228,34 @@ def rows_frame(spark: SparkSession, rows: Sequence[dict], schema: StructType) ->
 OPS_PARTITION = "log_month"  # ops tables (sync log, lineage) are partitioned by month
 
 
-# Concurrent Spark jobs must not write into the same directory (they would share the file
-# committer's temporary folder), so appends to an ops table from driver threads take turns.
-_OPS_LOCK = threading.Lock()
+def _move_in(spark: SparkSession, staging: str, folder: str) -> None:
+    """Move the data files of ``staging`` into ``folder`` under names of their own (a rename per file)."""
+    fs, src = _fs(spark, staging)
+    _, dst = _fs(spark, folder)
+    fs.mkdirs(dst)
+    for st in fs.listStatus(src):
+        name = st.getPath().getName()
+        if st.isFile() and not name.startswith(("_", ".")):
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(dst, f"part-{uuid.uuid4().hex}.parquet")
+            if not fs.rename(st.getPath(), target):
+                raise OSError(f"could not move {st.getPath()} into {folder}")
 
 
 def append_ops(df: DataFrame, path: str, ts_column: str) -> None:
-    """Append a few metadata rows to a month-partitioned ops table."""
-    with _OPS_LOCK:
-        (df.withColumn(OPS_PARTITION, F.date_format(F.col(ts_column), "yyyy-MM")).coalesce(1)
-         .write.mode("append").partitionBy(OPS_PARTITION).parquet(path))
+    """Append a few metadata rows to a month-partitioned ops table.
+
+    Every append writes a folder of its own and then moves its files in, so jobs of this or any
+    other application that append at the same time share no temporary folder.
+    """
+    spark = df.sparkSession
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    (df.withColumn(OPS_PARTITION, F.date_format(F.col(ts_column), "yyyy-MM")).coalesce(1)
+     .write.partitionBy(OPS_PARTITION).parquet(staging))
+    fs, p = _fs(spark, staging)
+    for st in fs.listStatus(p):
+        if st.isDirectory() and st.getPath().getName().startswith(OPS_PARTITION + "="):
+            _move_in(spark, st.getPath().toString(), f"{path}/{st.getPath().getName()}")
+    fs.delete(p, True)
 
 
 def read_ops(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -262,19 +266,23 @@ def read_ops(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def compact_partition(spark: SparkSession, path: str, value: str, column: str = OPS_PARTITION,
                       files: int = 1) -> None:
-    """Rewrite one partition of an append-only table into ``files`` files.
+    """Rewrite the files that one partition of an append-only table has now into ``files`` files.
 
-    Each run appends one small file; compaction keeps listing and reads cheap. The rows
-    are first snapshotted with a reliable ``checkpoint()`` (the folder named by
-    ``spark.checkpoint.dir``) so the rewrite never reads the files it replaces, then the
-    partition is replaced by dynamic overwrite (other partitions untouched).
+    Exactly the listed files are read, replaced and deleted: what other jobs append meanwhile stays.
+    A crash between the two steps leaves rows twice, never none; readers of the sync log drop repeats.
     """
-    from lakestrata.session import shared_dir
-    shared_dir(spark, "compaction")
-    part = spark.read.parquet(path).where(F.col(column) == F.lit(value))
-    snapshot = part.checkpoint(eager=True)
-    with _OPS_LOCK:
-        snapshot.coalesce(files).write.mode("overwrite").partitionBy(column).parquet(path)
+    folder = f"{path}/{column}={value}"
+    fs, p = _fs(spark, folder)
+    listed = [st.getPath() for st in fs.listStatus(p)
+              if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+    if len(listed) <= files:
+        return
+    staging = f"{path}/_staging-{uuid.uuid4().hex}"
+    spark.read.parquet(*[f.toString() for f in listed]).coalesce(files).write.parquet(staging)
+    _move_in(spark, staging, folder)
+    for f in listed:
+        fs.delete(f, False)
+    fs.delete(_fs(spark, staging)[1], True)
 
 
 def compact_ops(spark: SparkSession, lake: Lake, before_month: str) -> list[str]:
@@ -310,6 +318,8 @@ def write_gold(df: DataFrame, lake: Lake, name: str, partition: str, sources: Se
     """K4: gold partition overwrite + lineage row (record count from the write itself)."""
     path = lake.path("gold", name)
     res = write_partition(df, path, partition)
+    if not res.rows:  # a dynamic overwrite with no rows touches nothing: the old rows must go, the schema stay
+        df.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/partition={partition}")
     append_lineage(df.sparkSession, lake, [lineage_record(
         "gold", path, dataset=name, partition=partition, source_layer=source_layer,
         source_path=",".join(lake.path(source_layer, s) for s in sources),
@@ -356,15 +366,21 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, dataset: str,
     full_schema = _with_partition_schema(schema, ["partition"] + (["batch_id"] if layer == "bronze" else []))
     if full_schema is not None:
         reader = reader.schema(full_schema)
-    df = reader.parquet(path)
+    value = partition
+    if scope == "latest":
+        value = latest_partition_value(spark, path)
+    if scope in ("latest", "partition") and value is None:
+        raise ValueError(f"no partitions found for {layer}/{dataset}")
+    one = f"{path}/partition={value}"
+    if scope in ("latest", "partition") and exists(spark, one):  # list that partition only
+        df = reader.option("basePath", path).parquet(one)
+    else:
+        df = reader.parquet(path)
     if committed_batches is not None and "batch_id" in df.columns:
         df = df.join(committed_batches.select("batch_id").distinct(), "batch_id", "left_semi")
     if scope == "all":
         return df
     if scope in ("latest", "partition"):
-        value = partition if scope == "partition" else latest_partition_value(spark, path)
-        if value is None:
-            raise ValueError(f"no partitions found for {layer}/{dataset}")
         return df.where(F.col("partition") == F.lit(value))
     if scope == "current":
         from lakestrata.operators.latest import current_by_key
@@ -393,12 +409,3 @@ def read_csv_layer(spark: SparkSession, glob_path: str, schema: StructType,
     df = (spark.read.schema(schema).option("header", True).option("emptyValue", "")
           .option("nullValue", "\u0000").csv(glob_path))
     return df.withColumn("partition", F.regexp_extract(F.col("_metadata.file_path"), partition_regex, 1))
-
-
-def partition_counts(df: DataFrame) -> DataFrame:
-    """Rows per partition of a layered dataset (reads no data columns)."""
-    return df.groupBy("partition").agg(F.count(F.lit(1)).alias("record_count"))
-
-
-def column_or_default(df: DataFrame, name: str, default: Column) -> Column:
-    return F.col(name) if name in df.columns else default

@@ -64,7 +64,8 @@ def normalized(log: DataFrame) -> DataFrame:
 
 
 def read_log(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_ops(spark, lake.sync_log, schemas.SYNC_LOG)
+    """Every run once (an interrupted compaction may leave a row in two files)."""
+    return read_ops(spark, lake.sync_log, schemas.SYNC_LOG).distinct()
 
 
 def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:

@@ -35,12 +35,11 @@ def bronze_partition_counts(spark: SparkSession, lake: Lake, tables: Sequence[st
         path = lake.path("bronze", t)
         if not exists(spark, path):
             continue
-        files = spark.read.parquet(path)
-        if "batch_id" in files.columns:
-            per_batch = files.groupBy("partition", "batch_id").agg(F.count(F.lit(1)).alias("n"))
-            live = per_batch.join(committed_batches(spark, lake, t), "batch_id", "left_semi")
-        else:  # a landing folder without batches (e.g. ERP sales files): every row is readable
-            per_batch = live = files.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+        # folder columns only; a landing folder without batches (e.g. ERP sales files) has null batch ids
+        files = spark.read.schema("partition string, batch_id string").parquet(path)
+        per_batch = files.groupBy("partition", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+        committed = committed_batches(spark, lake, t).withColumn("_live", F.lit(True))
+        live = per_batch.join(committed, "batch_id", "left").where(F.col("_live") | F.col("batch_id").isNull())
         for frames, df in ((readable, live), (raw, per_batch)):
             frames.append(df.groupBy("partition").agg(F.sum("n").cast("bigint").alias("record_count"))
                           .select(F.lit(t).alias("table_name"), "partition", "record_count"))
@@ -94,32 +93,41 @@ def _batch_started(batch_id: str) -> _dt.datetime | None:
 
 
 def vacuum_bronze(spark: SparkSession, lake: Lake, table: str, retention_hours: float = 24,
-                  now: _dt.datetime | None = None) -> list[str]:
-    """Delete the batch folders of ``table`` that readers no longer see (runs that never
-    committed, loads superseded by a newer full load) once they are older than
-    ``retention_hours``. Metadata only: folder names are listed and compared with the
-    live batch ids (one per run) from the sync log; a run still in progress is younger
-    than the retention and is left alone. Returns the deleted folders.
+                  now: _dt.datetime | None = None, uncommitted_hours: float = 24 * 7) -> list[str]:
+    """Delete the batch folders of ``table`` that readers no longer see, and return them.
+
+    Loads that the log marks as superseded go once they are older than ``retention_hours``; folders
+    without a log row may belong to a load that still runs and go only after ``uncommitted_hours``
+    (a load that loses its folder all the same fails at its commit). Metadata only: the listed folder
+    names are anti-joined with the live batches of the log.
     """
     from lakestrata.plans.lake import _fs  # filesystem handle (driver-side metadata)
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    cutoff = now - _dt.timedelta(hours=retention_hours)
     path = lake.path("bronze", table)
     fs, root = _fs(spark, path)
     if not fs.exists(root):
         return []
-    live = {r.batch_id for r in committed_batches(spark, lake, table).collect()}
-    dropped = []
+    listed = []
     for part in fs.listStatus(root):
         if not (part.isDirectory() and part.getPath().getName().startswith("partition=")):
             continue
         for batch in fs.listStatus(part.getPath()):
             name = batch.getPath().getName()
-            if not (batch.isDirectory() and name.startswith("batch_id=")):
-                continue
-            batch_id = name.split("=", 1)[1]
+            batch_id = name.split("=", 1)[-1]
             started = _batch_started(batch_id)
-            if batch_id not in live and started is not None and started < cutoff:
-                fs.delete(batch.getPath(), True)
-                dropped.append(f"{part.getPath().getName()}/{name}")
+            if batch.isDirectory() and name.startswith("batch_id=") and started is not None:
+                hours = (now - started).total_seconds() / 3600
+                if hours > min(retention_hours, uncommitted_hours):
+                    listed.append((batch_id, f"{part.getPath().getName()}/{name}", hours))
+    if not listed:
+        return []
+    logged = synclog.read_log(spark, lake).where((F.col("table_name") == table) & (F.col("status") == "ok")) \
+        .select(F.col("run_id").alias("batch_id"), F.lit(True).alias("_logged")).distinct()
+    folders = spark.createDataFrame(listed, "batch_id string, folder string, hours double")
+    unseen = folders.join(committed_batches(spark, lake, table), "batch_id", "left_anti") \
+        .join(logged, "batch_id", "left") \
+        .where(F.col("hours") > F.when(F.col("_logged"), retention_hours).otherwise(uncommitted_hours))
+    dropped = sorted(r.folder for r in unseen.select("folder").collect())
+    for folder in dropped:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)
     return dropped

@@ -14,16 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from lakestrata import schemas
 from lakestrata.functions.coerce import id_from_text
 from lakestrata.plans.lake import Lake, exists, latest_partition_value
 
 M4, M2 = "decimal(18,4)", "decimal(18,2)"
+PRODUCT = "decimal(33,4)"  # quantity times money
 
 # view -> (layer, dataset, [(column, type)]); type "id" = text-or-number id
 VIEWS: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
     "fact_invoice": ("gold", "fact_invoice", [
-        ("InvoiceID", "string"), ("InvoiceDate", "date"), ("QtyInvoiced", M4), ("ExtendedPrice", M4),
-        ("TotalCost", M4), ("Margin", M4)]),
+        ("InvoiceID", "string"), ("InvoiceDate", "date"), ("QtyInvoiced", M4), ("ExtendedPrice", PRODUCT),
+        ("TotalCost", PRODUCT), ("Margin", PRODUCT)]),
     "fact_invoice_detail": ("gold", "fact_invoice_detail", [("InvoiceID", "string"), ("CustomerID", "int")]),
     "fact_order_item": ("gold", "fact_order_item", [
         ("OrderNumber", "string"), ("OrderLine", "int"), ("ProductID", "string"), ("QtyOrdered", M4),
@@ -32,8 +34,8 @@ VIEWS: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
         ("CustomerID", "int"), ("CustomerSequence", "int"), ("CustomerName", "string")]),
     "margin_invoice": ("gold", "margin_invoice", [
         ("Invoice", "string"), ("CustomerID", "int"), ("CustomerName", "string"), ("InvoiceDate", "date"),
-        ("ProductID", "string"), ("ProductName", "string"), ("QtyInvoiced", M4), ("ExtendedPrice", M4),
-        ("TotalCost", M4), ("Margin", M4)]),
+        ("ProductID", "string"), ("ProductName", "string"), ("QtyInvoiced", M4), ("ExtendedPrice", PRODUCT),
+        ("TotalCost", PRODUCT), ("Margin", PRODUCT)]),
     "fact_general_ledger": ("gold", "fact_general_ledger", [
         ("Account", "string"), ("Transaction_Date", "date"), ("Domestic_Amount", M4), ("Foreign_Amount", M4),
         ("FromID", "string"), ("Reference", "string"), ("RebateCustomerName", "string"),
@@ -77,7 +79,7 @@ def create_views(spark: SparkSession, lake: Lake, views: Iterable[str] | None =
                  scope: str = "all") -> dict[str, str]:
     """V0: create or replace the named (default: all) views; status per view.
 
-    'created', 'skipped' (dataset not written yet) or 'error' (unknown name / failure).
+    'created', 'skipped' (dataset not written yet), 'error' (unknown name) or 'error: ' and the reason.
     """
     results = {}
     for name in (list(views) if views is not None else list(VIEWS)):
@@ -90,13 +92,16 @@ def create_views(spark: SparkSession, lake: Lake, views: Iterable[str] | None =
             if not exists(spark, path):
                 results[name] = "skipped"
                 continue
-            df = spark.read.parquet(path)
+            declared = schemas.GOLD.get(dataset) if layer == "gold" else schemas.SILVER_SALES
+            reader = spark.read if declared is None else spark.read.schema(
+                schemas.with_fields(declared, ("partition", "string")))
+            df = reader.parquet(path)
             if scope == "latest":
                 df = df.where(F.col("partition") == F.lit(latest_partition_value(spark, path)))
             typed_view_frame(df, columns).createOrReplaceTempView(name)
             results[name] = "created"
-        except Exception:  # noqa: BLE001 - reported per view like the reference does
-            results[name] = "error"
+        except Exception as e:  # noqa: BLE001 - one failing view must not hide the others
+            results[name] = f"error: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
     return results
 
 

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 
 from lakestrata import schemas
 from lakestrata.operators import facts, latest, ledger, margin, quality, sales
-from lakestrata.plans import ingest, synclog
-from lakestrata.plans.lake import Lake
-from lakestrata.plans.sales_flow import write_bronze_sales
+from lakestrata.functions.coerce import parse_timestamp
+from lakestrata.plans import gold, ingest, synclog
+from lakestrata.plans.lake import Lake, read_layer, write_gold
+from lakestrata.plans.sales_flow import run_sales_flow, write_bronze_sales
 from lakestrata.plans.views import VIEWS, typed_view_frame
 from lakestrata.session import configure, shared_dir
 from lakestrata.sources.fixtures import (
@@ -157,7 +158,7 @@ def q_source_count(spark, sf_dir):
 
 
 def q_source_sample(spark, sf_dir):
-    return _fx(spark, sf_dir, "invoice_header").limit(5)
+    return _fx(spark, sf_dir, "invoice_header").orderBy("inv_num").limit(5)
 
 
 # ---- sync log and freshness (K7-K9, X3, X4, D5) --------------------------------------------
@@ -226,11 +227,111 @@ def q_stream_sales_by_region(spark, sf_dir):
     lake = Lake(shared_dir(spark, f"stream-sales-{uuid.uuid4().hex[:12]}"))
     write_bronze_sales(_fx(spark, sf_dir, "sales"), lake, partition_col=year_partition())
     run_available_now(spark, lake, report_date=FIXED_REPORT_DATE, now=FIXED_NOW)
-    gold = schemas.with_fields(schemas.GOLD["sales_by_region"], ("partition", "string"))
-    return spark.read.schema(gold).parquet(lake.path("gold", "sales_by_region")) \
+    return _stream_gold(spark, lake)
+
+
+# ---- the lake end to end: what readers see after loads, reruns and rebuilds (K1-K4, S2, S3, W1) ----
+
+def _lake(spark, name: str) -> Lake:
+    return Lake(shared_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}"))
+
+
+def _load_in_two(spark, lake: Lake, sf_dir: str, table: str) -> None:
+    """A full load of the older part of a table, then an incremental load of all of it."""
+    source = _fx(spark, sf_dir, table)
+    cut = source.agg(F.percentile_approx(F.unix_date(F.to_date("RecordDate")), 0.7).alias("d")).first().d
+    for hour, df in (("00", source.where(F.unix_date(F.to_date("RecordDate")) <= cut)), ("01", source)):
+        ingest.ingest_table(spark, spec(table), lake, f"2001-09-01-{hour}", lambda _, df=df: df)
+
+
+def q_ingest_roundtrip_incremental(spark, sf_dir):
+    """Every header is readable once after a full and an incremental load."""
+    lake = _lake(spark, "roundtrip")
+    _load_in_two(spark, lake, sf_dir, "invoice_header")
+    return gold.read_bronze(spark, lake, "invoice_header", "current")[0].select("inv_num", "cust_num", "RecordDate")
+
+
+def q_ingest_two_date_partitions(spark, sf_dir):
+    """Two dates loaded in one hour, one of them twice: each is readable once."""
+    lake, source = _lake(spark, "dates"), _fx(spark, sf_dir, "sales")
+    for value in (FIXED_LOAD_DATE, "1996-01-03", FIXED_LOAD_DATE):
+        ingest.ingest_table(spark, SALES_BY_DAY, lake, FIXED_PARTITION, lambda _: source, partition_value=value)
+    return read_layer(spark, lake, "bronze", "sales", schemas.BRONZE["sales"],
+                      committed_batches=ingest.committed_batches(spark, lake, "sales")).select(*source.columns)
+
+
+def q_gold_rebuild_empty(spark, sf_dir):
+    """A rebuild without eligible rows leaves none of the rows that the build before it wrote."""
+    lake, rebate = _lake(spark, "rebuild"), q_margin_rebate(spark, sf_dir)
+    for frame in (rebate, rebate.where(F.lit(False))):
+        write_gold(frame, lake, "margin_rebate", FIXED_PARTITION, ["general_ledger"])
+    return read_layer(spark, lake, "gold", "margin_rebate", schemas.GOLD["margin_rebate"]).drop("partition")
+
+
+def q_gold_latest_after_rerun(spark, sf_dir):
+    """An incremental rerun within the hour re-reads the boundary second; gold has every header once."""
+    lake, source = _lake(spark, "rerun"), _fx(spark, sf_dir, "invoice_header")
+    for _ in range(2):
+        ingest.ingest_table(spark, spec("invoice_header"), lake, FIXED_PARTITION,
+                            lambda _: source.withColumn("RecordDate", F.expr("RecordDate + INTERVAL 0.5 SECOND")))
+    gold.build_gold(spark, lake, ["fact_invoice_detail"], scope="latest")
+    return read_layer(spark, lake, "gold", "fact_invoice_detail", schemas.GOLD["fact_invoice_detail"]).drop("partition")
+
+
+def q_gold_current_from_lake(spark, sf_dir):
+    lake = _lake(spark, "current")
+    _load_in_two(spark, lake, sf_dir, "order_item")
+    gold.build_gold(spark, lake, ["fact_order_item"], scope="current")
+    return read_layer(spark, lake, "gold", "fact_order_item", schemas.GOLD["fact_order_item"]).drop("partition")
+
+
+def q_gold_margin_from_lake(spark, sf_dir):
+    lake = _lake(spark, "margin")
+    for table in gold.GOLD_SOURCES["margin_invoice"]:
+        ingest.ingest_table(spark, spec(table), lake, FIXED_PARTITION, lambda s: _fx(spark, sf_dir, s.target_table))
+    gold.build_gold(spark, lake, ["margin_invoice"], scope="latest")
+    return read_layer(spark, lake, "gold", "margin_invoice", schemas.GOLD["margin_invoice"]).drop("partition")
+
+
+def _stream_gold(spark, lake: Lake) -> DataFrame:
+    fields = schemas.with_fields(schemas.GOLD["sales_by_region"], ("partition", "string"))
+    return spark.read.schema(fields).parquet(lake.path("gold", "sales_by_region")) \
         .select("partition", "region", "order_count", "total_quantity", "total_revenue", "report_date")
 
 
+def q_stream_reland(spark, sf_dir):
+    """Partitions that land twice, and a stream that starts over, count every row once."""
+    lake = _lake(spark, "reland")
+    for checkpoint in ("one", "one", "two"):
+        write_bronze_sales(_fx(spark, sf_dir, "sales"), lake, partition_col=year_partition())
+        run_available_now(spark, lake, report_date=FIXED_REPORT_DATE, now=FIXED_NOW,
+                          checkpoint=lake.checkpoints(checkpoint))
+    return _stream_gold(spark, lake)
+
+
+def q_stream_after_batch(spark, sf_dir):
+    """The batch flow and the stream share one silver layout."""
+    lake = _lake(spark, "after-batch")
+    write_bronze_sales(_fx(spark, sf_dir, "sales"), lake, partition_col=year_partition())
+    run_sales_flow(spark, lake, "1996-01-01-00", FIXED_REPORT_DATE, FIXED_NOW)
+    run_available_now(spark, lake, report_date=FIXED_REPORT_DATE, now=FIXED_NOW)
+    return _stream_gold(spark, lake)
+
+
+# ---- coercions on hard inputs (D1, M3) and the typed serving views (V1-V10) -------------------------
+
+def q_date_layouts(spark, sf_dir):
+    return _fx(spark, sf_dir, "dated_text").select("id", F.to_date(parse_timestamp(F.col("text"))).alias("parsed"))
+
+
+def q_large_measures(spark, sf_dir):
+    return facts.fact_invoice(_fx(spark, sf_dir, "large_item"))
+
+
+def _typed_view(name: str, source: Query) -> Query:
+    return lambda spark, sf_dir: typed_view_frame(source(spark, sf_dir), VIEWS[name][2])
+
+
 QUERIES: dict[str, Query] = {
     "margin_invoice": q_margin_invoice,
     "fact_invoice": q_fact_invoice,
@@ -264,4 +365,20 @@ QUERIES: dict[str, Query] = {
     "view_typed_ids": q_view_typed_ids,
     "verification_report": q_verification_report,
     "stream_sales_by_region": q_stream_sales_by_region,
+    "ingest_roundtrip_incremental": q_ingest_roundtrip_incremental,
+    "ingest_two_date_partitions": q_ingest_two_date_partitions,
+    "gold_rebuild_empty": q_gold_rebuild_empty,
+    "gold_latest_after_rerun": q_gold_latest_after_rerun,
+    "gold_current_from_lake": q_gold_current_from_lake,
+    "gold_margin_from_lake": q_gold_margin_from_lake,
+    "stream_reland": q_stream_reland,
+    "stream_after_batch": q_stream_after_batch,
+    "date_layouts": q_date_layouts,
+    "large_measures": q_large_measures,
+}
+VIEW_SOURCES: dict[str, Query] = {
+    "fact_invoice": q_fact_invoice, "fact_invoice_detail": q_fact_invoice_detail, "fact_order_item": q_fact_order_item,
+    "dim_customer": q_dim_customer, "margin_invoice": q_margin_invoice, "margin_rebate": q_margin_rebate,
+    "sales_by_region": q_sales_by_region, "sales_by_product": q_sales_by_product, "silver_sales": q_silver_sales,
 }
+QUERIES.update({f"view_{name}": _typed_view(name, source) for name, source in VIEW_SOURCES.items()})

@@ -15,6 +15,7 @@ from pyspark.sql.types import (
 S, I, L = StringType(), IntegerType(), LongType()
 TS = TimestampNTZType()
 MONEY = DecimalType(18, 4)
+PRODUCT = DecimalType(33, 4)  # quantity times money: holds the product of any two MONEY values
 SALES_MONEY = DecimalType(18, 2)
 
 
@@ -45,14 +46,14 @@ SILVER_SALES = _struct(*[(f.name, f.dataType) for f in BRONZE["sales"].fields],
 # ---- gold (view DDL types) ---------------------------------------------------------------
 GOLD = {
     "fact_invoice": _struct(("InvoiceID", S), ("InvoiceDate", TS), ("QtyInvoiced", MONEY),
-                            ("ExtendedPrice", MONEY), ("TotalCost", MONEY), ("Margin", MONEY)),
+                            ("ExtendedPrice", PRODUCT), ("TotalCost", PRODUCT), ("Margin", PRODUCT)),
     "fact_invoice_detail": _struct(("InvoiceID", S), ("CustomerID", I)),
     "fact_order_item": _struct(("OrderNumber", S), ("OrderLine", I), ("ProductID", S), ("QtyOrdered", MONEY),
                                ("QtyShipped", MONEY), ("Cost", MONEY), ("Price", MONEY), ("ProductName", S)),
     "dim_customer": _struct(("CustomerID", I), ("CustomerSequence", I), ("CustomerName", S)),
     "margin_invoice": _struct(("Invoice", S), ("CustomerID", I), ("CustomerName", S), ("InvoiceDate", DateType()),
                               ("ProductID", S), ("ProductName", S), ("QtyInvoiced", MONEY),
-                              ("ExtendedPrice", MONEY), ("TotalCost", MONEY), ("Margin", MONEY)),
+                              ("ExtendedPrice", PRODUCT), ("TotalCost", PRODUCT), ("Margin", PRODUCT)),
     "fact_general_ledger": _struct(("Account", S), ("Transaction_Date", TS), ("Domestic_Amount", MONEY),
                                    ("Foreign_Amount", MONEY), ("FromID", S), ("Reference", S),
                                    ("RebateCustomerName", S), ("RebateCustomerID", I)),
@@ -70,7 +71,7 @@ GOLD = {
 
 # ---- operational tables ---------------------------------------------------------------------
 SYNC_LOG = _struct(("table_name", S), ("run_id", S), ("status", S), ("sync_type", S), ("mode", S),
-                   ("partition", S), ("last_sync_value", TS), ("rows_synced", L),
+                   ("partition", S), ("partition_value", S), ("last_sync_value", TS), ("rows_synced", L),
                    ("sync_duration_seconds", DoubleType()), ("last_sync_at", TS), ("path", S))
 
 LINEAGE = _struct(("target_layer", S), ("target_path", S), ("dataset", S), ("partition", S),
@@ -78,7 +79,7 @@ LINEAGE = _struct(("target_layer", S), ("target_path", S), ("dataset", S), ("par
                   ("source_tables", ArrayType(S)), ("extra", MapType(S, S)), ("written_at", TS))
 
 INGEST_RESULT = _struct(("table", S), ("rows_synced", L), ("mode", S), ("duration_seconds", DoubleType()),
-                        ("skipped", BooleanType()), ("path", S))
+                        ("skipped", BooleanType()), ("path", S), ("error", S))
 
 
 _SIMPLE = {"string": S, "int": I, "bigint": L, "date": DateType(), "timestamp_ntz": TS}

@@ -86,6 +86,23 @@ SELECT l_orderkey AS order_id, concat('C', CAST(o_custkey AS STRING)) AS custome
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
      JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey""",
+    # One date in the layouts a source may send: ISO, month first, year first, month names, with times.
+    "dated_text": """
+SELECT o_orderkey AS id, CASE o_orderkey % 8
+         WHEN 0 THEN concat(y, '-', mm, '-', dd) WHEN 1 THEN concat(m, '/', d, '/', y)
+         WHEN 2 THEN concat(m, '/', d, '/', y, ' 10:30') WHEN 3 THEN concat(y, '/', mm, '/', dd)
+         WHEN 4 THEN concat(mon, ' ', d, ', ', y) WHEN 5 THEN concat(mon, '  ', d, ' ', y, ' 10:30AM')
+         WHEN 6 THEN concat(y, mm, dd) ELSE '10:30' END AS text
+FROM (SELECT o_orderkey, substr(t, 1, 4) AS y, substr(t, 6, 2) AS mm, substr(t, 9, 2) AS dd,
+             CAST(CAST(substr(t, 6, 2) AS INT) AS STRING) AS m, CAST(CAST(substr(t, 9, 2) AS INT) AS STRING) AS d,
+             substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * CAST(substr(t, 6, 2) AS INT) - 2, 3) AS mon
+      FROM (SELECT o_orderkey, CAST(o_orderdate AS STRING) AS t FROM orders) a) b""",
+    # Invoice lines whose quantities and prices are near the top of DECIMAL(18,4).
+    "large_item": """
+SELECT concat('INV', CAST(l_orderkey AS STRING)) AS inv_num, l_linenumber AS inv_line, '1999-01-01' AS tax_date,
+       CAST(90000000000000 - CAST(l_quantity AS INT) AS STRING) AS qty_invoiced,
+       CAST(90000000000000 - l_orderkey AS STRING) AS price, CAST(l_orderkey - 90000000000000 AS STRING) AS cost
+FROM lineitem""",
     # Monthly bronze partitions of invoice headers; inv_num repeats across months so that
     # 'latest', 'all' and 'current' scopes differ. seq breaks timestamp ties.
     "bronze_invoice_header": """

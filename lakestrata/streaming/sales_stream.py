@@ -1,13 +1,14 @@
-"""Bronze sales files -> silver -> gold, each arrived file processed exactly once.
+"""Bronze sales files -> silver -> gold, partition by partition.
 
 A file-source stream over ``bronze/sales`` (explicit schema, Hive-style ``partition=``
-directories) feeds ``foreachBatch``. Each micro-batch:
-
-1. enriches the new rows (P6) and applies the quality gate (X1) before writing;
-2. writes them to silver under ``partition=P/epoch=E`` with dynamic overwrite, so a
-   retried epoch replaces its own output instead of duplicating it;
-3. recomputes the gold aggregates and summary documents of the touched partitions only
-   (partition-pruned read of silver, dynamic overwrite of the gold partitions);
+directories) feeds ``foreachBatch``. A micro-batch only says which partitions have new files. For
+these it does what the batch flow does, for all of them in the same jobs:
+
+1. enriches the partition's current bronze rows (P6) and applies the quality gate (X1) to the whole
+   partition; a partition that fails is left as it is and reported in the lineage (``rejected``);
+2. replaces the silver partition (dynamic overwrite, the batch flow's layout), so a retried epoch, a
+   landing that is repeated and a new checkpoint all end in the same rows;
+3. recomputes the gold aggregates and summary documents of these partitions;
 4. appends one lineage record per written silver / gold partition, tagged with the
    stream (its checkpoint) and epoch, and only once even when the epoch is retried.
 
@@ -20,70 +21,97 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata import schemas
-from lakestrata.operators.quality import check_minima, quality_minima
+from lakestrata.operators.quality import quality_minima
 from lakestrata.operators.sales import (
     by_key_from_rollup, enrich_sales, sales_rollup, summary_documents_from_rollup,
 )
-from lakestrata.plans.lake import Lake, append_lineage, lineage_record, read_lineage
+from lakestrata.plans.lake import Lake, append_ops, exists, read_lineage
 
 GATED = ("quantity", "unit_price")
-MAX_FILES_PER_TRIGGER = 10_000  # files per micro-batch: bounds its touched partitions and gold recompute
+MAX_FILES_PER_TRIGGER = 10_000  # files per micro-batch: bounds the partitions it touches, not what they hold
+
+
+def _partitions(spark: SparkSession, path: str, names: list[str], schema) -> DataFrame:
+    """Some partitions of a dataset; only their folders are listed."""
+    found = [f"{path}/partition={p}" for p in names if exists(spark, f"{path}/partition={p}")]
+    if not found:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
 
 
 def _process(lake: Lake, report_date, now, stream_id: str, batch: DataFrame, epoch_id: int) -> None:
-    silver = enrich_sales(batch, now)
-    # One job over the new files gives the quality gate's minima, the partitions this
-    # micro-batch touches and their row counts (one small row per hour partition; none
-    # for an empty batch).
-    stats = quality_minima(silver, GATED, by=("partition",), counted=True).collect()
-    if not stats:
-        return
-    check_minima(stats, GATED)
-    touched = [r["partition"] for r in stats]
     spark = batch.sparkSession
-    silver_path = lake.path("silver", "sales")
-    tag = {"stream": stream_id, "epoch": str(epoch_id)}
-    (silver.withColumn("epoch", F.lit(int(epoch_id))).write.mode("overwrite")
-     .partitionBy("partition", "epoch").parquet(silver_path))
-    records = [lineage_record("silver", silver_path, dataset="sales", partition=r["partition"],
-                              source_layer="bronze", source_path=lake.path("bronze", "sales"),
-                              record_count=r["rows"], written_at=_naive(now),
-                              extra={**tag, "transformations": "calculate_total_amount,add_processed_at"})
-               for r in stats]
-    silver_schema = schemas.with_fields(schemas.SILVER_SALES, ("partition", "string"), ("epoch", "int"))
-    current = (spark.read.schema(silver_schema).parquet(silver_path)
-               .where(F.col("partition").isin(touched)))
-    # ONE pass over the touched partitions: grouping sets per partition (a few rows per key),
-    # written to a per-stream table (each epoch replaces it) and read back, so the three
-    # gold outputs below do not rescan silver
+    touched = sorted(r.partition for r in batch.select("partition").distinct().collect())
+    if not touched:
+        return
+    bronze_path, silver_path = lake.path("bronze", "sales"), lake.path("silver", "sales")
+    with_partition = schemas.with_fields(schemas.BRONZE["sales"], ("partition", "string"))
+    silver = enrich_sales(_partitions(spark, bronze_path, touched, with_partition), now)
+    # per partition: the gate's minima and the row count (kept, as everything below needs them)
+    stats_path = lake.checkpoints(f"stats-{_safe(stream_id)}")
+    good = F.lit(True)
+    for c in GATED:
+        good = good & F.coalesce(F.col(f"min_{c}") > 0, F.lit(False))
+    quality_minima(silver, GATED, by=("partition",), counted=True).withColumn("good", good) \
+        .write.mode("overwrite").parquet(stats_path)
+    stats = spark.read.parquet(stats_path)
+    passed = stats.where("good").select("partition")
+    (silver.join(passed, "partition", "left_semi").hint("rebalance", "partition").write.mode("overwrite")
+     .partitionBy("partition").parquet(silver_path))
+    written = [r.partition for r in passed.collect()]  # as many as the micro-batch touches
+    current = _partitions(spark, silver_path, written,
+                          schemas.with_fields(schemas.SILVER_SALES, ("partition", "string")))
+    # the roll-up of the touched partitions (a few rows per key), written to a per-stream table
+    # (each epoch replaces it) and read back, so the three gold outputs below do not rescan silver
     rollup_path = lake.checkpoints(f"rollup-{_safe(stream_id)}")
     sales_rollup(current, ["partition"]).write.mode("overwrite").parquet(rollup_path)
     rollup = spark.read.parquet(rollup_path)
     for key in ("region", "product"):
-        gold_path = lake.path("gold", f"sales_by_{key}")
-        (by_key_from_rollup(rollup, key, report_date, by=["partition"]).write.mode("overwrite")
-         .partitionBy("partition").parquet(gold_path))
-        records += [lineage_record("gold", gold_path, dataset=f"sales_by_{key}", partition=p,
-                                   source_layer="silver", source_path=silver_path, source_tables=["sales"],
-                                   written_at=_naive(now), extra={**tag, "aggregation": f"by_{key}"})
-                    for p in touched]
+        (by_key_from_rollup(rollup, key, report_date, by=["partition"]).hint("rebalance", "partition")
+         .write.mode("overwrite").partitionBy("partition").parquet(lake.path("gold", f"sales_by_{key}")))
     # K5: the summary documents of the touched partitions, one job (JSON, one file each)
-    summary_path = lake.path("gold", "daily_summary")
     (summary_documents_from_rollup(rollup, report_date, now).write.mode("overwrite")
-     .partitionBy("partition").json(summary_path))
-    records += [lineage_record("gold", f"{summary_path}/partition={p}", dataset="daily_summary", partition=p,
-                               source_layer="silver", source_path=silver_path, source_tables=["sales"],
-                               record_count=1, written_at=_naive(now), extra=tag) for p in touched]
-    # a retried epoch rewrote its own folders above; its lineage is written only once
+     .partitionBy("partition").json(lake.path("gold", "daily_summary")))
+    # a retried epoch rewrote its own partitions above; its lineage is written only once
+    tag = {"stream": stream_id, "epoch": str(epoch_id)}
     done = read_lineage(spark, lake).where(
         (F.col("extra")["stream"] == stream_id) & (F.col("extra")["epoch"] == tag["epoch"]))
     if done.isEmpty():
-        append_lineage(spark, lake, records)
+        append_ops(_lineage(stats, lake, tag, _naive(now)), lake.lineage, "written_at")
+
+
+def _lineage(stats: DataFrame, lake: Lake, tag: dict, now: _dt.datetime | None) -> DataFrame:
+    """Lineage of an epoch, made from its per-partition statistics: the silver partition, the three gold
+    outputs, or one ``rejected`` record with the minima."""
+    at = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    text = F.lit(None).cast("string")
+    silver_path = lake.path("silver", "sales")
+
+    def record(layer: str, path: str, dataset: str, source: str, source_path: str, count: Column,
+               **extra: Column | str) -> Column:
+        entries = [c for k, v in {**tag, **extra}.items() for c in (F.lit(k), v if isinstance(v, Column) else F.lit(v))]
+        return F.struct(
+            F.lit(layer).alias("target_layer"), F.lit(path).alias("target_path"), F.lit(dataset).alias("dataset"),
+            F.col("partition"), F.lit(source).alias("source_layer"), F.lit(source_path).alias("source_path"),
+            count.cast("bigint").alias("record_count"),
+            (F.array(F.lit("sales")) if layer == "gold" else F.lit(None)).cast("array<string>").alias("source_tables"),
+            F.create_map(*entries).alias("extra"), F.lit(at.isoformat()).cast("timestamp_ntz").alias("written_at"))
+
+    gold = [record("gold", lake.path("gold", name), name, "silver", silver_path, count, **extra) for name, count, extra in (
+        ("sales_by_region", text, {"aggregation": "by_region"}), ("sales_by_product", text, {"aggregation": "by_product"}),
+        ("daily_summary", F.lit(1), {}))]
+    kept = F.array(record("silver", silver_path, "sales", "bronze", lake.path("bronze", "sales"), F.col("rows"),
+                          transformations="calculate_total_amount,add_processed_at"), *gold)
+    minima = F.concat_ws(",", *[F.concat(F.lit(f"min_{c}="), F.coalesce(F.col(f"min_{c}").cast("string"), F.lit("null")))
+                                for c in GATED])
+    rejected = F.array(record("rejected", silver_path, "sales", "bronze", lake.path("bronze", "sales"), F.col("rows"),
+                              reason=minima))
+    return stats.where("good").select(F.inline(kept)).unionByName(stats.where(~F.col("good")).select(F.inline(rejected)))
 
 
 def _safe(name: str) -> str:

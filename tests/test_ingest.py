@@ -90,8 +90,9 @@ def test_full_refresh_filter_and_overwrite(spark, lake_root):
     df, mode = plan_load(gl, src(gl))
     assert mode == "full" and "acct" in df._jdf.queryExecution().optimizedPlan().toString()
     ingest_table(spark, gl, lake, "2025-01-01-00", src)
-    ingest_table(spark, gl, lake, "2025-01-01-00", src)  # rerun replaces the partition
-    got = read_layer(spark, lake, "bronze", "general_ledger", schemas.BRONZE["general_ledger"])
+    ingest_table(spark, gl, lake, "2025-01-01-00", src)  # rerun supersedes the partition's rows (nothing is deleted)
+    got = read_layer(spark, lake, "bronze", "general_ledger", schemas.BRONZE["general_ledger"],
+                     committed_batches=committed_batches(spark, lake, "general_ledger"))
     assert [r.trans_num for r in got.collect()] == [1]
 
 
@@ -396,3 +397,95 @@ def test_live_batches_match_the_rule_on_generated_logs(spark):
         assert got == rule(rows_)
 
     check()
+
+
+def test_full_load_inside_an_incremental_run_loses_nothing(spark, lake_root):
+    # a forced full load starts and commits between an incremental run's read and its commit
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    a, b = ("A", 1, T(2025, 1, 1)), ("B", 2, T(2025, 1, 2))
+    ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": _headers(spark, [a])}))
+    only_a = frame_reader({"invoice_header": _headers(spark, [a])})
+
+    def with_full_inside(_):
+        ingest_table(spark, hdr, lake, "2025-01-01-10", only_a, force_full=True)
+        return _headers(spark, [a, b])
+
+    ingest_table(spark, hdr, lake, "2025-01-01-10", with_full_inside)
+    ingest_table(spark, hdr, lake, "2025-01-01-10", frame_reader({"invoice_header": _headers(spark, [a, b])}))
+    got = read_layer(spark, lake, "bronze", "invoice_header", schemas.BRONZE["invoice_header"], "current",
+                     keys=hdr.keys, order_by=["RecordDate"],
+                     committed_batches=committed_batches(spark, lake, "invoice_header"))
+    assert sorted(r.inv_num for r in got.collect()) == ["A", "B"]
+
+
+def test_two_date_partitions_of_one_hour_stay(spark, lake_root):
+    lake = Lake(lake_root)
+    s = TableSpec("sales_mst", "daily", Pattern.DATE_PARTITION, partition_column="order_date", keys=("order_id",))
+    df = spark.createDataFrame([(1, dt.date(2025, 1, 1)), (2, dt.date(2025, 1, 2))], "order_id long, order_date date")
+    for hour, value in (("10", "2025-01-01"), ("10", "2025-01-02"), ("11", "2025-01-01")):
+        res = ingest_all(spark, [s], lake, f"2025-01-03-{hour}", frame_reader({"daily": df}), partition_value=value)
+        assert [(r.rows_synced, r.mode, r.error) for r in res.collect()] == [(1, "partition", None)]
+    got = read_layer(spark, lake, "bronze", "daily", df.schema, committed_batches=committed_batches(spark, lake, "daily"))
+    assert sorted((r.order_id, r.partition[-2:]) for r in got.collect()) == [(1, "11"), (2, "10")]
+
+
+def test_a_failing_table_does_not_hide_the_others(spark, lake_root):
+    lake = Lake(lake_root)
+    frames = {"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])}
+    res = {r.table: r for r in ingest_all(spark, CLIENT_TABLES, lake, "2025-01-01-00", frame_reader(frames),
+                                          tables=["invoice_header", "customer_address"]).collect()}
+    assert res["invoice_header"].rows_synced == 1 and res["invoice_header"].error is None
+    assert res["customer_address"].mode == "error" and "KeyError" in res["customer_address"].error
+
+
+def test_current_scope_starts_at_the_newest_full_load(spark, lake_root):
+    # a customer deleted at the source is gone after the next full load
+    lake = Lake(lake_root)
+    addr, sch = spec("customer_address"), schemas.BRONZE["customer_address"]
+    for hour, data in (("10", [(1, 0, "a"), (2, 0, "b")]), ("11", [(1, 0, "a2")])):
+        ingest_table(spark, addr, lake, f"2025-01-01-{hour}",
+                     frame_reader({"customer_address": spark.createDataFrame(data, sch)}))
+    out = build_gold(spark, lake, ["dim_customer"], scope="current")["dim_customer"]
+    assert out.rows == 1
+
+
+def test_rebuilt_gold_without_rows_replaces_the_old_rows(spark, lake_root):
+    from lakestrata.plans.lake import write_gold
+    from lakestrata.plans.views import create_views
+    lake = Lake(lake_root)
+    df = spark.createDataFrame([("x", 1, None)], schemas.GOLD["margin_rebate"])
+    empty = df.where(F.lit(False))
+    assert write_gold(empty, lake, "margin_rebate", "2025-01-01-00", ["general_ledger"]).rows == 0
+    assert create_views(spark, lake, ["margin_rebate"]) == {"margin_rebate": "created"}
+    for frame, n in ((df, 1), (empty, 0)):
+        write_gold(frame, lake, "margin_rebate", "2025-01-01-00", ["general_ledger"])
+        assert read_layer(spark, lake, "gold", "margin_rebate", schemas.GOLD["margin_rebate"]).count() == n
+
+
+def test_latest_gold_after_a_same_hour_rerun_has_no_doubles(spark, lake_root):
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    src = frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1, 10, 0, 0, 500000))])})
+    for _ in range(2):
+        ingest_table(spark, hdr, lake, "2025-01-01-10", src)
+    assert build_gold(spark, lake, ["fact_invoice_detail"])["fact_invoice_detail"].rows == 1
+
+
+def test_audit_after_an_empty_ingest(spark, lake_root):
+    from lakestrata.plans.verify import audit_bronze
+    lake = Lake(lake_root)
+    ingest_table(spark, spec("invoice_header"), lake, "2025-01-01-10",
+                 frame_reader({"invoice_header": _headers(spark, [])}))
+    got = audit_bronze(spark, lake, ["invoice_header"], ["2025-01-01-10"]).collect()
+    assert [(r.status, r.record_count) for r in got] == [("MISSING", 0)]
+
+
+def test_a_run_whose_folder_is_gone_does_not_commit(spark, lake_root, monkeypatch):
+    from lakestrata.plans import ingest
+    lake = Lake(lake_root)
+    monkeypatch.setattr(ingest, "exists", lambda *_: False)
+    with pytest.raises(RuntimeError):
+        ingest_table(spark, spec("invoice_header"), lake, "2025-01-01-10",
+                     frame_reader({"invoice_header": _headers(spark, [("A", 1, T(2025, 1, 1))])}))
+    assert synclog.get_state(spark, lake, "invoice_header") is None
