@@ -30,18 +30,16 @@ from lakestrata.llm.common import as_bytes, fold, save, small_batches, word_bloc
 SLOTS, DIMS, NONZERO, WINDOW = 1 << 15, 32, 4, 2
 HIDDEN, MOST_LABELS, THRESHOLD = 24, 30_000, 0.3
 FOLDS, HELD_OUT = 5, 0
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 EXTRA = 3
-_RUNS = re.compile(rb"[A-Z]+|[a-z\x80-\xff]+|[0-9]+|([^A-Za-z0-9\x80-\xff])\1*")
+_CLASSES = bytes(ord("A") if 65 <= c <= 90 else ord("a") if 97 <= c <= 122 or c >= 128
+                 else ord("0") if 48 <= c <= 57 else c for c in range(256))
+_RUN = re.compile(rb"(.)\1+", re.DOTALL)
 
 
 def shape(word: bytes) -> bytes:
     """Runs of a word: A capitals, a small or non-ASCII letters, 0 digits, others as they are, once."""
-    out = []
-    for m in _RUNS.finditer(word):
-        c = m.group()[:1]
-        out.append(b"A" if c.isupper() else b"0" if c.isdigit() else b"a" if c.islower() or c >= b"\x80" else c)
-    return b"".join(out[:8])
+    return _RUN.sub(rb"\1", word.translate(_CLASSES))[:8]
 
 
 class Slots(dict):
@@ -55,6 +53,10 @@ class Slots(dict):
         return found
 
 
+#: The words that this Python worker knows already; tasks that it runs later start from them.
+_KNOWN = Slots()
+
+
 def index_vectors():
     """(SLOTS, DIMS) sparse ternary vectors, the same in every task."""
     import numpy as np
@@ -92,7 +94,7 @@ def _indexed_batches(batches):
     import numpy as np
     import pyarrow as pa
 
-    index, slots = index_vectors(), Slots()
+    index, slots = index_vectors(), _KNOWN
     sums, counts = np.zeros((SLOTS, DIMS), np.int64), np.zeros(SLOTS, np.int64)
     for batch in small_batches(batches, 256):
         held, size = [], 0
@@ -143,7 +145,7 @@ def _pooled_batches(batches, table):
     import numpy as np
     import pyarrow as pa
 
-    vectors, slots = table.value, Slots()
+    vectors, slots = table.value, _KNOWN
     for batch in small_batches(batches, 512):
         pooled = []
         for data in as_bytes(batch.column("text")):
