@@ -275,7 +275,8 @@ def pack(docs: DataFrame, length: int = LENGTH, path: str | None = None, end_id:
     shared = spark.sparkContext.broadcast(plan)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("task", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ahead"))
-    ranked = cut.join(offsets, ["task", "length"]) \
+    # counts grow with tasks times lengths: joined by shuffles at every size, not broadcast
+    ranked = cut.join(offsets.hint("shuffle_merge"), ["task", "length"]) \
         .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("ahead")).alias("rank"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return ranked.mapInArrow(
