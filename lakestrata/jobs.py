@@ -108,6 +108,7 @@ def parser() -> argparse.ArgumentParser:
     views = sub.add_parser("views", help="create the typed serving views and sample each (publish check)")
     views.add_argument("--views", help="comma-separated view names (default: all)")
     views.add_argument("--scope", choices=("all", "latest"), default="all")
+    views.add_argument("--session-only", action="store_true", help="do not create the views in the catalog")
 
     vac = sub.add_parser("vacuum-bronze", help="delete old batch folders no reader sees any more")
     vac.add_argument("--retention-hours", type=float, default=24)
@@ -166,9 +167,9 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         return {"job": "verify", "report_path": path, "rows_by_section": by_section,
                 "stale_tables": stale, "bronze_partitions_not_ok": failing}
     if args.job == "views":
-        # views live in this job's session (no metastore): the job checks that every view
-        # resolves and its typed casts run, counting a 5-row sample of each
-        status = create_views(spark, lake, _tables(args.views), scope=args.scope)
+        # created in the catalog, where other sessions of its metastore query them; the job checks that
+        # every view resolves and its typed casts run, counting a 5-row sample of each
+        status = create_views(spark, lake, _tables(args.views), scope=args.scope, persistent=not args.session_only)
         created = [v for v, st in status.items() if st == "created"]
         samples = {v: df.count() for v, df in sample_views(spark, created, 5).items()}
         return {"job": "views", "views": {v: {"status": st, "sample_rows": samples.get(v)} for v, st in status.items()}}

@@ -6,16 +6,26 @@ inputs are CTEs (see :mod:`lakestrata.sources.fixtures`); only raw tables are vi
 
 from __future__ import annotations
 
-from lakestrata.functions.business import (
-    CUSTOMER_ID_MAPPING, CUSTOMER_NAME_MAPPING, REBATE_CUSTOMER_ID_MAPPING,
-    REBATE_EXCLUDED_PREFIXES, REBATE_EXCLUDED_REFS, SALES_REBATE_ACCOUNT,
-)
 from lakestrata.sources.fixtures import (
     FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, fixture_sql, oracle_cte,
 )
 from lakestrata.specs import CLIENT_TABLES
 
 
+# Fixed values of the business rules, written out here so that a wrong constant in the engine shows.
+SALES_REBATE_ACCOUNT = "422200"
+CUSTOMER_ID_MAPPING = {1064: 1015, 1314: 1005}
+CUSTOMER_NAME_MAPPING = {
+    "CVS CAREMARK": "CVS/Omnicare", "OMNICARE": "CVS/Omnicare", "Kaleida Health": "Olean General",
+    "METHODIST HOSPITAL WESTOVER HILLS / San Antonio Supply Chain": "Methodist Hospital Westover Hills",
+    "Methodist Le Bonheur Healthcare": "Methodist Healthcare", "O&M Main Street": "Owens", "Owens & Minor": "Owens",
+}
+REBATE_CUSTOMER_ID_MAPPING = {"Mckesson": 1004, "Cardinal": 1008, "Schein": 1030, "Medline": 1007, "Owens": 1005,
+                              "Seneca": 1041}
+REBATE_EXCLUDED_PREFIXES = ("Retro", "Income")
+REBATE_EXCLUDED_REFS = ("Owens/Retro Rebate FY 2025",)
+
+
 def ctes(names, extra: dict[str, str] | None = None) -> str:
     """WITH clause: the named fixtures followed by ``extra`` derived CTEs."""
     parts = [f"{n} AS ({fixture_sql(n, 'duckdb')})" for n in names]

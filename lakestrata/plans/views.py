@@ -12,10 +12,10 @@ from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DataType, StringType
 
 from lakestrata import schemas
-from lakestrata.functions.coerce import id_from_text
+from lakestrata.functions.coerce import WHITESPACE, id_from_text
 from lakestrata.plans.lake import Lake, exists, latest_partition_value
 
 M4, M2 = "decimal(18,4)", "decimal(18,2)"
@@ -75,8 +75,27 @@ def typed_view_frame(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame
     return df.select(*out)
 
 
+def _view_sql(fields: dict[str, DataType], columns: list[tuple[str, str]]) -> str:
+    """The column list of :func:`typed_view_frame` as SQL text, for views that outlive the session."""
+    blanks = "".join(f"\\u{ord(c):04x}" for c in WHITESPACE)
+    out = []
+    for name, dtype in columns:
+        kind = "int" if dtype == "id" else dtype
+        text = isinstance(fields.get(name), StringType)
+        if name not in fields:
+            value = f"CAST(NULL AS {kind})"
+        elif dtype == "id" and text:
+            value = f"try_cast(try_cast(nullif(trim(BOTH '{blanks}' FROM `{name}`), '') AS decimal(10,0)) AS int)"
+        elif text and dtype != "string":
+            value = f"try_cast(`{name}` AS {kind})"
+        else:
+            value = f"CAST(`{name}` AS {kind})"
+        out.append(f"{value} AS `{name}`")
+    return ", ".join(out)
+
+
 def create_views(spark: SparkSession, lake: Lake, views: Iterable[str] | None = None,
-                 scope: str = "all") -> dict[str, str]:
+                 scope: str = "all", persistent: bool = False) -> dict[str, str]:
     """V0: create or replace the named (default: all) views; status per view.
 
     'created', 'skipped' (dataset not written yet), 'error' (unknown name) or 'error: ' and the reason.
@@ -98,7 +117,13 @@ def create_views(spark: SparkSession, lake: Lake, views: Iterable[str] | None =
             df = reader.parquet(path)
             if scope == "latest":
                 df = df.where(F.col("partition") == F.lit(latest_partition_value(spark, path)))
-            typed_view_frame(df, columns).createOrReplaceTempView(name)
+            if persistent:  # in the session's catalog: other sessions of the metastore see it
+                newest = f" WHERE `partition` = (SELECT max(`partition`) FROM parquet.`{path}`)" if scope == "latest" else ""
+                fields = {f.name: f.dataType for f in spark.read.parquet(path).schema.fields}
+                spark.sql(f"CREATE OR REPLACE VIEW `{name}` AS SELECT {_view_sql(fields, columns)} "
+                          f"FROM parquet.`{path}`{newest}")
+            else:
+                typed_view_frame(df, columns).createOrReplaceTempView(name)
             results[name] = "created"
         except Exception as e:  # noqa: BLE001 - one failing view must not hide the others
             results[name] = f"error: {type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"

@@ -11,7 +11,7 @@ from lakestrata.plans.gold import build_gold
 from lakestrata.plans.ingest import ingest_all
 from lakestrata.plans.lake import (
     Lake, latest_partition_value, list_partitions, read_csv_layer, read_json_array, read_lineage, read_layer,
-    write_partition,
+    write_gold, write_partition,
 )
 from lakestrata.plans.sales_flow import run_sales_flow, write_bronze_sales
 from lakestrata.plans.views import create_views, sample_views
@@ -216,3 +216,21 @@ def test_bronze_audit_matches_the_status_rule(spark):
         assert got == want
 
     check()
+
+
+def test_catalog_views_outlive_temporary_ones(spark, lake_root):
+    # V0: views in the catalog, equal to the session views; a second run replaces them
+    lake = Lake(lake_root)
+    gl = spark.createDataFrame([("422200", None, Decimal("1.5"), Decimal("2"), "S", "x", "Owens", 1005)],
+                               schemas.GOLD["fact_general_ledger"])
+    text_ids = gl.withColumn("RebateCustomerID", F.lit("\t1005.0 "))
+    for p, frame in (("2025-01-01-00", text_ids), ("2025-01-01-01", text_ids)):
+        write_gold(frame, lake, "fact_general_ledger", p, ["general_ledger"])
+    assert create_views(spark, lake, ["fact_general_ledger", "margin_rebate"], persistent=True) == {
+        "fact_general_ledger": "created", "margin_rebate": "skipped"}
+    assert not spark.catalog.getTable("fact_general_ledger").isTemporary
+    got = spark.table("fact_general_ledger").collect()
+    assert [r.RebateCustomerID for r in got] == [1005, 1005]
+    assert create_views(spark, lake, ["fact_general_ledger"], scope="latest", persistent=True)["fact_general_ledger"] == "created"
+    assert spark.table("fact_general_ledger").count() == 1
+    spark.sql("DROP VIEW fact_general_ledger")
