@@ -46,10 +46,12 @@ def read_bronze(spark: SparkSession, lake: Lake, table: str, scope: str = "lates
     if part is None:
         raise ValueError(f"No partitions found for {table}")
     order_by = [s.timestamp_column] if s.timestamp_column else []
-    batches = current_batches if scope == "current" else committed_batches
-    df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table),
-                    "partition" if scope == "latest" else scope, partition=part,
-                    keys=s.keys, order_by=order_by, committed_batches=batches(spark, lake, table))
+    batches = (current_batches if scope == "current" else committed_batches)(spark, lake, table)
+    layer_scope = {"latest": "partition"}.get(scope, scope)
+    if scope == "current" and batches.count() <= 1:
+        layer_scope = "all"  # one batch (a full load, as full-refresh tables always have) has nothing to merge
+    df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table), layer_scope, partition=part,
+                    keys=s.keys, order_by=order_by, committed_batches=batches)
     if scope == "latest" and s.pattern is Pattern.INCREMENTAL and s.keys \
             and live_batch_count(spark, lake, table, part) > 1:
         # batches of one hour re-read the watermark's boundary second
