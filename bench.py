@@ -2,16 +2,17 @@
 
 Each query is fully materialised through the ``noop`` sink (every row computed, nothing
 collected to the driver). Every query is run once untimed (JVM / code-generation warm-up),
-then the reported time is the best of $BENCH_REPEAT timed runs (steady state, which is
-what matters for long jobs at scale). ``ingest_incremental_1pct`` times an incremental bronze load whose
-delta is the newest ~1 % of invoice lines (after a full load of the other 99 %), each into
-a fresh lake after one untimed warm-up pass.
+then the reported time is the median of $BENCH_REPEAT timed runs and ``spread`` has the least and the
+greatest (steady state, which is what matters for long jobs at scale). ``ingest_incremental_1pct`` times
+an incremental bronze load whose delta is the newest ~1 % of invoice lines (after a full load of the other
+99 %), each into a fresh lake after one untimed warm-up pass.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -34,13 +35,13 @@ def materialise(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(fn, repeat: int) -> float:
-    best = float("inf")
+def timed(fn, repeat: int) -> list[float]:
+    took = []
     for _ in range(repeat):
         t0 = time.perf_counter()
         fn()
-        best = min(best, time.perf_counter() - t0)
-    return round(best, 3)
+        took.append(round(time.perf_counter() - t0, 3))
+    return took
 
 
 def bench_incremental(spark, sf_dir: str, scratch: str) -> tuple[float, float]:
@@ -63,23 +64,23 @@ def bench_incremental(spark, sf_dir: str, scratch: str) -> tuple[float, float]:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_session(f"local[{cpus}]", "lakestrata-bench", shuffle_partitions=int(cpus),
                         extra={"spark.driver.memory": "16g"})
     materialise(QUERIES["sales_by_region"](spark, sf_dir))  # warm-up (JVM, file listing)
-    results = {}
+    runs = {}
     for name in HEADLINE:
         materialise(QUERIES[name](spark, sf_dir))  # warm-up, untimed
-        results[name] = timed(lambda: materialise(QUERIES[name](spark, sf_dir)), repeat)
+        runs[name] = timed(lambda: materialise(QUERIES[name](spark, sf_dir)), repeat)
     scratch = spark.conf.get("spark.checkpoint.dir", None) or local_scratch(spark.sparkContext.master)
     scratch = scratch.rstrip("/") + f"/bench-{int(time.time())}"
     bench_incremental(spark, sf_dir, scratch + "-warmup")  # warm-up into its own lake, untimed
-    full, inc = bench_incremental(spark, sf_dir, scratch)
-    results["ingest_full_99pct"] = full
-    results["ingest_incremental_1pct"] = inc
+    loads = [bench_incremental(spark, sf_dir, f"{scratch}-{k}") for k in range(repeat)]
+    runs["ingest_full_99pct"], runs["ingest_incremental_1pct"] = map(list, zip(*loads))
+    results = {name: statistics.median(took) for name, took in runs.items()}
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(results.values()), 3),
-                      "unit": "sec", "queries": results, "sf": sf, "cpus": int(cpus)}))
+                      "unit": "sec", "queries": results, "spread": {n: [min(t), max(t)] for n, t in runs.items()}, "sf": sf, "cpus": int(cpus)}))
     spark.stop()
 
 

@@ -85,37 +85,32 @@ def summary_breakdown(silver: DataFrame, key: str) -> DataFrame:
 
 
 def sales_rollup(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """A1+A2+A3 from one scan: totals by region, by product and overall.
+    """A1+A2+A3 in one pass: totals by region, by product and overall.
 
     Returns ``grouping`` in {'region', 'product', 'total'}, ``key`` and the measures.
     Null keys inside the region/product sets are dropped (Q2). With ``by`` (e.g.
     ``["partition"]``) every set is also grouped by those columns.
 
-    The rows are summed once by (region, product), with map-side partials; that small result is
-    rolled up three ways (the shuffle is reused), so no input row is multiplied. An average is the
-    sum over the count, rounded as the average of DECIMAL(18,2) is.
+    The rows are summed once by (region, product), with map-side partials, and only that small result
+    is multiplied by the three sets. An average is the sum over the count, rounded as the average of
+    DECIMAL(18,2) is.
     """
     by = list(by)
     cells = silver.groupBy(*by, "region", "product").agg(
         F.count("order_id").alias("orders"), F.sum("quantity").alias("quantity"),
         F.sum("total_amount").cast(REVENUE).alias("revenue"), F.count("total_amount").alias("amounts"),
         F.count(F.lit(1)).alias("n"))
-
-    def rolled(grouping: str, key: str | None) -> DataFrame:
-        rows = cells if key is None else cells.where(F.col(key).isNotNull())
-        revenue, amounts = F.sum("revenue"), F.sum("amounts")
-        mean = F.round(F.when(amounts > 0, revenue.cast("decimal(28,10)") / amounts.cast("decimal(10,0)")), 6)
-        keys = [*by, *([key] if key else [])]
-        out = (rows.groupBy(*keys) if keys else rows).agg(
-            F.coalesce(F.sum("orders"), F.lit(0)).alias("order_count"),
-            F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("total_quantity"),
-            F.coalesce(revenue, F.lit(0)).cast(REVENUE).alias("total_revenue"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total_orders"), F.round(mean, 4).cast(MEAN).alias("avg_order_value"))
-        return out.select(*by, F.lit(grouping).alias("grouping"),
-                          (F.col(key) if key else F.lit(None).cast("string")).alias("key"), "order_count",
-                          "total_quantity", "total_revenue", "total_orders", "avg_order_value")
-
-    return rolled("region", "region").unionByName(rolled("product", "product")).unionByName(rolled("total", None))
+    sets = F.array(*[F.struct(F.lit(g).alias("grouping"), k.cast("string").alias("key")) for g, k in (
+        ("region", F.col("region")), ("product", F.col("product")), ("total", F.lit(None)))])
+    revenue, amounts = F.sum("revenue"), F.sum("amounts")
+    mean = F.round(F.when(amounts > 0, revenue.cast("decimal(28,10)") / amounts.cast("decimal(10,0)")), 6)
+    return (cells.select(*by, F.explode(sets).alias("s"), "orders", "quantity", "revenue", "amounts", "n")
+            .where((F.col("s.grouping") == "total") | F.col("s.key").isNotNull())
+            .groupBy(*by, F.col("s.grouping").alias("grouping"), F.col("s.key").alias("key")).agg(
+                F.sum("orders").alias("order_count"),
+                F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("total_quantity"),
+                F.coalesce(revenue, F.lit(0)).cast(REVENUE).alias("total_revenue"),
+                F.sum("n").alias("total_orders"), F.round(mean, 4).cast(MEAN).alias("avg_order_value")))
 
 
 def summary_document(silver: DataFrame, report_date=None, partition: str | None = None,
