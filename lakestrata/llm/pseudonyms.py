@@ -1,8 +1,8 @@
 """PII: format-preserving Feistel pseudonyms.
 
-Personal values are found by pattern and kept only if they are valid: card numbers by their Luhn digit,
-social security numbers and phone numbers by their number ranges, addresses by their octets, dates by the
-calendar. The digits (or letters) of a value, as one number below the size of its format, go through a
+Personal values are found by pattern and replaced only if they are valid: card numbers by their Luhn
+digit, social security numbers by their number ranges, phone numbers by their layout, addresses by their
+octets, dates by the calendar. The digits (or letters) of a value, as one number below the size of its format, go through a
 keyed Feistel permutation of exactly that range: rounds alternate over two unequal halves, and a result
 outside the format is permuted again until it is inside (cycle walking). So a pseudonym has the same
 format and is valid too, equal values get equal pseudonyms in every document, and the key's holder can
