@@ -8,5 +8,5 @@ from lakestrata.functions.business import (  # noqa: F401
     normalize_customer_id, normalize_customer_name, rebate_cutoff, rebate_columns,
 )
 from lakestrata.functions.timefmt import (  # noqa: F401
-    partition_of, watermark_literal, format_watermark, hours_between,
+    partition_of, watermark_literal, hours_between,
 )

@@ -17,11 +17,6 @@ def partition_of(ts: Column) -> Column:
     return F.date_format(ts, PARTITION_FORMAT)
 
 
-def format_watermark(ts: Column, default: str = DEFAULT_WATERMARK) -> Column:
-    """D4 (column form): watermark text truncated to the second, default for null."""
-    return F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(default))
-
-
 def watermark_literal(value: _dt.datetime | None, precision: str = "second") -> Column:
     """The watermark used in ``ts > watermark``.
 
