@@ -8,7 +8,8 @@ weight, and the documents of the source with the least keys fill the rest. The d
 the budget is taken if that ends nearer the target.
 
 No source is ever sorted in one task: keys fall into fine logarithmic buckets whose sizes are summed per
-source, and only within a bucket documents are ordered.
+source; the buckets before the one where the budget ends are taken whole, those after it not, and only
+within that one bucket documents are ordered. The documents themselves are not shuffled.
 
 Null text has size zero and is taken zero times; null sources are a source of their own; rows that repeat
 an id are rows of their own. Keys come from doc_id and text by a hash, so reruns agree. An empty table
@@ -25,7 +26,7 @@ from lakestrata.llm.common import ROW, numbered, save, unpacked, whole_rows, wit
 
 WEIGHTS, EPOCHS_CAP, SEED = (5, 2, 1), 3, 20240229
 #: Buckets of the keys per doubling of the key.
-FINE = 256
+FINE = 4096
 
 
 def quality_weight(text: Column) -> Column:
@@ -72,23 +73,30 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEE
     drawn = save(narrow.withColumn("bucket", F.floor(F.log2("key") * FINE)), "mix")
     buckets = save(drawn.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
-    # at most some hundred thousand buckets a source, whatever its rows
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    plan = buckets.withColumn("ahead", F.coalesce(F.sum("words").over(earlier), F.lit(0)).cast("long")).alias("b") \
-        .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))) \
-        .select("b.source", "b.bucket", "ahead", "source_size", "target", epochs.cast("int").alias("epochs")) \
+    targets = targets.withColumn("epochs", epochs.cast("int")) \
         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    plan = save(plan, "mix-plan")
-    inside = Window.partitionBy("d.source", "d.bucket").orderBy("key", "doc_id", ROW) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    placed = drawn.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))
-                                   & (F.col("d.bucket") == F.col("p.bucket"))) \
-        .withColumn("end", F.col("ahead") + F.sum("size").over(inside))
-    begin, end, rest = F.col("end") - F.col("size"), F.col("end"), F.col("rest")
-    extra = (end <= rest) | ((begin < rest) & (rest - begin >= end - rest))
-    copies = F.when(F.col("size") > 0, F.col("epochs") + F.when(extra, 1).otherwise(0)).otherwise(0).cast("int")
-    return placed.withColumn("copies", copies).select(
+    # at most some hundred thousand buckets a source, whatever its rows
+    until = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    edge = F.min(F.when(F.col("until") > F.col("rest"), F.struct("b.bucket", (F.col("until") - F.col("words")).alias("ahead"))))
+    edges = buckets.withColumn("until", F.sum("words").over(until)).alias("b") \
+        .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))) \
+        .groupBy("t.source").agg(edge.alias("edge"))
+    plan = save(targets.alias("t").join(edges.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")))
+                .select("t.source", "source_size", "target", "epochs", "rest", "edge"), "mix-plan")
+    placed = drawn.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))) \
+        .select(ROW, "doc_id", F.col("d.source").alias("source"), "size", "key", "bucket", "source_size", "target",
+                "epochs", "rest", "edge")
+    # earlier buckets are taken whole and later ones not at all: only the budget's own bucket is put in order
+    inside = Window.partitionBy("source").orderBy("key", "doc_id", ROW).rowsBetween(Window.unboundedPreceding, 0)
+    at_edge = F.coalesce(F.col("bucket") == F.col("edge.bucket"), F.lit(False))
+    end, rest = F.col("end"), F.col("rest")
+    begin = end - F.col("size")
+    ordered = placed.where(at_edge).withColumn("end", F.col("edge.ahead") + F.sum("size").over(inside)) \
+        .withColumn("extra", (end <= rest) | ((begin < rest) & (rest - begin >= end - rest))).drop("end")
+    others = placed.where(~at_edge).withColumn("extra", F.coalesce(F.col("bucket") < F.col("edge.bucket"), F.lit(True)))
+    copies = F.when(F.col("size") > 0, F.col("epochs") + F.when(F.col("extra"), 1).otherwise(0)).otherwise(0).cast("int")
+    return others.union(ordered).withColumn("copies", copies).select(
         ROW, "doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
 
