@@ -18,14 +18,14 @@ BLOCK_BYTES = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a table into the folder that driver and executors share and read it back.
 
     Cuts the lineage: a lost executor only re-runs tasks of what comes after.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -34,18 +34,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a row number in ROW, the same on every evaluation of a stored table; see whole_rows()."""
+    """``docs`` with a row number in ROW. The numbers hang on how a scan is split, so they hold for one
+    evaluation only: whoever needs them twice stores them, see stored_rows()."""
     return docs.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def whole_rows(docs: DataFrame) -> DataFrame:
-    """ROW and ``__doc``, a struct of all columns, so nothing that is joined to it clashes with them."""
+def stored_rows(docs: DataFrame) -> DataFrame:
+    """ROW and ``__doc``, a struct of all columns, so nothing that is joined to it clashes with them.
+
+    Numbered once and stored with the numbers: what is decided by ROW and the rows it is decided about are
+    both read from this table.
+    """
     inside = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
-    return docs.select(F.struct(*inside).alias("__doc")).withColumn(ROW, F.monotonically_increasing_id())
+    rows = docs.select(F.struct(*inside).alias("__doc")).withColumn(ROW, F.monotonically_increasing_id())
+    return save(rows, "rows", compression="zstd")
+
+
+def fields(rows: DataFrame, columns: list[str], *names: str) -> DataFrame:
+    """ROW and the columns ``names`` of the stored_rows() of a table with ``columns``."""
+    places = [c.lower() for c in columns]
+    return rows.select(ROW, *[F.col(f"__doc.c{places.index(n)}").alias(n) for n in names])
 
 
 def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns that whole_rows() put into ``__doc``."""
+    """The columns that stored_rows() put into ``__doc``."""
     return rows.select(*[F.col(f"__doc.c{k}").alias(c) for k, c in enumerate(columns)])
 
 

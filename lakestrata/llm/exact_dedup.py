@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import ROW, numbered, save, unpacked, whole_rows, without_space
+from lakestrata.llm.common import ROW, fields, numbered, save, stored_rows, unpacked, without_space
 
 #: Least and greatest code points of a chunk, and the pair of characters after which a chunk may end.
 LEAST, MOST = 512, 4096
@@ -36,13 +36,18 @@ def exact_dedup(docs: DataFrame, hash_bits: int = 64, least: int = LEAST, most:
 
     ``hash_bits`` below 64 weakens the chunk hash (tests make hashes stand for several texts with it).
     """
+    return _exact_dedup(numbered(docs).select(ROW, "doc_id", "text"), False, hash_bits, least, most)
+
+
+def _exact_dedup(docs: DataFrame, stored: bool, hash_bits: int = 64, least: int = LEAST, most: int = MOST) -> DataFrame:
+    """exact_dedup() of ROW, ``doc_id``, ``text``; ``stored``: ROW is a stored column, the same in every scan."""
     mask = F.lit(-1 if hash_bits >= 64 else (1 << hash_bits) - 1).cast("long")
 
     def chunk_hash(c: Column) -> Column:
         return F.xxhash64(c).bitwiseAND(mask)
 
-    rows = numbered(docs).select(ROW, "doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"),
-                                 without_space(F.col("text")).alias("norm"))
+    rows = docs.select(ROW, "doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n"),
+                       without_space(F.col("text")).alias("norm"))
     cut = rows.select(ROW, "doc_id", "n", "norm", chunks(F.col("norm"), least, most).alias("chunks"))
     recipes = save(cut.select(ROW, "doc_id", "n", F.sha2("norm", 256).alias("text_sha256"),
                               F.transform("chunks", chunk_hash).alias("recipe")), "recipes")
@@ -52,6 +57,8 @@ def exact_dedup(docs: DataFrame, hash_bits: int = 64, least: int = LEAST, most:
     shared = save(pieces.groupBy("h").count().where("count > 1").select("h"), "shared-hashes")
     if shared.isEmpty():
         named = recipes.withColumn("codes", F.array().cast("array<int>"))
+    elif not stored:  # the rows are cut once more and matched by number
+        return _exact_dedup(save(docs, "numbered"), True, hash_bits, least, most)
     else:
         named = recipes.join(_codes(cut, pieces, recipes, shared, chunk_hash), ROW, "left") \
             .withColumn("codes", F.coalesce("codes", F.array().cast("array<int>")))
@@ -84,5 +91,6 @@ def _codes(cut: DataFrame, pieces: DataFrame, recipes: DataFrame, shared: DataFr
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
-    kept = exact_dedup(docs).where("kept").select(ROW)
-    return unpacked(whole_rows(docs).join(kept, ROW, "left_semi"), docs.columns)
+    rows = stored_rows(docs)
+    kept = _exact_dedup(fields(rows, docs.columns, "doc_id", "text"), True).where("kept").select(ROW)
+    return unpacked(rows.join(kept, ROW, "left_semi"), docs.columns)

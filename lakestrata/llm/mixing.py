@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakestrata.llm.common import ROW, numbered, save, unpacked, whole_rows, without_space, words
+from lakestrata.llm.common import ROW, fields, numbered, save, stored_rows, unpacked, without_space, words
 
 WEIGHTS, EPOCHS_CAP, SEED = (5, 2, 1), 3, 20240229
 #: Buckets of the keys per doubling of the key.
@@ -65,11 +65,17 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP) ->
 def mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEED,
         weight: Column | None = None) -> DataFrame:
     """One row per row of ``docs``: ROW, doc_id, size, source_size, target, copies (int), taken (words)."""
+    return _mix(numbered(docs), weights, cap, seed, weight)
+
+
+def _mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEED,
+         weight: Column | None = None) -> DataFrame:
+    """mix() of ROW, ``doc_id``, ``text``, ``source``."""
     weight = quality_weight(F.col("text")) if weight is None else weight
     unit = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11).cast("double") + 0.5) / float(1 << 53)
-    narrow = numbered(docs).select(ROW, "doc_id", F.col("source").cast("string").alias("source"),
-                                   F.size(words(F.col("text"))).cast("long").alias("size"),
-                                   (-F.ln(unit) / weight).alias("key"))
+    narrow = docs.select(ROW, "doc_id", F.col("source").cast("string").alias("source"),
+                         F.size(words(F.col("text"))).cast("long").alias("size"),
+                         (-F.ln(unit) / weight).alias("key"))
     drawn = save(narrow.withColumn("bucket", F.floor(F.log2("key") * FINE)), "mix")
     buckets = save(drawn.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
@@ -102,6 +108,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEE
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEED) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the mix takes it, with the columns of ``docs``."""
-    taken = mix(docs, weights, cap, seed).where("copies > 0").select(ROW, "copies")
-    often = whole_rows(docs).join(taken, ROW).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    rows = stored_rows(docs)
+    taken = _mix(fields(rows, docs.columns, "doc_id", "text", "source"), weights, cap, seed) \
+        .where("copies > 0").select(ROW, "copies")
+    often = rows.join(taken, ROW).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return unpacked(often, docs.columns)

@@ -23,7 +23,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import ROW, as_bytes, numbered, save, small_batches, unpacked, whole_rows, word_blocks
+from lakestrata.llm.common import ROW, as_bytes, fields, numbered, save, small_batches, stored_rows, unpacked, word_blocks
 from lakestrata.llm.components import components
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -63,7 +63,11 @@ def _fingerprint_batches(batches, shingle):
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """ROW, doc_id, fp (the fingerprint as a signed long) of every row."""
-    return numbered(docs).select(ROW, "doc_id", "text") \
+    return _fingerprints(numbered(docs).select(ROW, "doc_id", "text"), shingle)
+
+
+def _fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
+    return docs \
         .mapInArrow(partial(_fingerprint_batches, shingle=shingle),
                     f"{ROW} long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
 
@@ -118,7 +122,12 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 
     ``kept`` marks one row of each component: its least doc_id (null last), then its first row.
     """
-    prints = save(fingerprints(docs, shingle), "fingerprints")
+    return _simhash_components(numbered(docs).select(ROW, "doc_id", "text"), shingle, radius, pairwise)
+
+
+def _simhash_components(docs: DataFrame, shingle: int, radius: int, pairwise: int = PAIRWISE) -> DataFrame:
+    """simhash_components() of ROW, ``doc_id``, ``text``."""
+    prints = save(_fingerprints(docs, shingle), "fingerprints")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", ROW))
     classes = save(prints.groupBy("fp").agg(first.alias("first")), "classes")
     linked = components(links(classes.select("fp"), radius, pairwise))
@@ -134,5 +143,6 @@ def simhash_components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RA
 
 def drop_near_copies(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stay, one of each component, with the columns of ``docs``."""
-    kept = simhash_components(docs, shingle, radius).where("kept").select(ROW)
-    return unpacked(whole_rows(docs).join(kept, ROW, "left_semi"), docs.columns)
+    rows = stored_rows(docs)
+    kept = _simhash_components(fields(rows, docs.columns, "doc_id", "text"), shingle, radius).where("kept").select(ROW)
+    return unpacked(rows.join(kept, ROW, "left_semi"), docs.columns)

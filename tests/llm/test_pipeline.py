@@ -8,6 +8,8 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_oracle import canon, spark_type_name
+from lakestrata.llm import common, exact_dedup, mixing, simhash
+from lakestrata.llm.common import save
 from lakestrata.llm.oracle import ORACLE
 from tests.conftest import ROOT
 from tests.llm import test_exact_dedup, test_mixing, test_packing, test_simhash
@@ -71,6 +73,47 @@ def test_awkward_tables_pass_every_stage(spark, rows):
     assert rows or docs.count() == 0
 
 
+@pytest.mark.parametrize("module, stage", [(exact_dedup, "exact_dedup"), (simhash, "simhash_near_dedup"),
+                                           (mixing, "mixing")])
+def test_scans_that_are_split_anew_between_two_jobs(spark, tmp_path, monkeypatch, module, stage):
+    path, size, stages = str(tmp_path / "docs"), "spark.sql.files.maxPartitionBytes", dict(corpus_pipeline.STAGES)
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(6, "doc_id").write.parquet(path)
+    want = Counter(as_rows(stages[stage](spark, spark.read.parquet(path), SF)))
+    before = spark.conf.get(size)
+
+    def then_smaller_splits(df, *args, **options):
+        out = save(df, *args, **options)
+        spark.conf.set(size, "100k")
+        return out
+
+    for place in {module, common}:
+        monkeypatch.setattr(place, "save", then_smaller_splits)
+    try:
+        got = Counter(as_rows(stages[stage](spark, spark.read.parquet(path), SF)))
+    finally:
+        spark.conf.set(size, before)
+    assert got == want and got
+
+
+def test_exact_dedup_with_weak_hashes_and_scans_split_anew(spark, tmp_path, monkeypatch):
+    path, size = str(tmp_path / "docs"), "spark.sql.files.maxPartitionBytes"
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs.repartition(6, "doc_id").write.parquet(path)
+    before = spark.conf.get(size)
+
+    def then_smaller_splits(df, *args, **options):
+        out = save(df, *args, **options)
+        spark.conf.set(size, "100k")
+        return out
+
+    monkeypatch.setattr(exact_dedup, "save", then_smaller_splits)
+    try:
+        got = exact_dedup.exact_dedup(spark.read.parquet(path), hash_bits=3).where("kept").collect()
+    finally:
+        spark.conf.set(size, before)
+    assert {r.doc_id for r in got} == {k for _, k, *_ in test_exact_dedup.brute(as_rows(docs))}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
