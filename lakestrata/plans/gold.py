@@ -2,8 +2,8 @@
 
 Each gold table reads its bronze sources with the chosen scope and is written as one
 partition; margin_invoice's partition is the newest of its four sources (O3, Q31).
-``scope='current'`` (the job's default) reads the latest version of every key since the table's
-newest full load; ``scope='latest'`` reads each table's own newest partition, which after an
+``scope='current'`` (the job's default) reads, since the table's newest full load, all rows of every
+key's newest batch, whatever the number of batches; ``scope='latest'`` reads each table's own newest partition, which after an
 incremental run is only a delta (Q29).
 """
 
@@ -49,7 +49,7 @@ def read_bronze(spark: SparkSession, lake: Lake, table: str, scope: str = "lates
     batches = (current_batches if scope == "current" else committed_batches)(spark, lake, table)
     layer_scope = {"latest": "partition"}.get(scope, scope)
     if scope == "current" and batches.count() <= 1:
-        layer_scope = "all"  # one batch (a full load, as full-refresh tables always have) has nothing to merge
+        layer_scope = "all"  # one batch (a full load, as full-refresh tables always have) is every key's newest
     df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table), layer_scope, partition=part,
                     keys=s.keys, order_by=order_by, committed_batches=batches)
     if scope == "latest" and s.pattern is Pattern.INCREMENTAL and s.keys \

@@ -9,7 +9,7 @@ from lakestrata.plans import synclog
 from lakestrata.plans.ingest import (
     batch_watermarks, committed_batches, ingest_all, ingest_table, latest_committed_partition, plan_load,
 )
-from lakestrata.plans.gold import build_gold
+from lakestrata.plans.gold import build_gold, read_bronze
 from lakestrata.plans.lake import Lake, read_layer, write_partition
 from lakestrata.sources.jdbc import frame_reader
 from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, spec
@@ -450,6 +450,26 @@ def test_current_scope_starts_at_the_newest_full_load(spark, lake_root):
     assert out.rows == 1
 
 
+def test_current_gold_keeps_repeated_and_null_keys_at_every_batch_count(spark, lake_root):
+    # rows that a batch repeats, and rows with a null key, are as many after a second batch that has none of them
+    lake = Lake(lake_root)
+    hdr = spec("invoice_header")
+    old = [("A", 1, T(2025, 1, 1)), ("A", 1, T(2025, 1, 1)), ("B", 2, T(2025, 1, 1)), (None, 3, T(2025, 1, 1)),
+           (None, 4, T(2025, 1, 2)), (None, 4, T(2025, 1, 2))]
+    later = [("B", 5, T(2025, 1, 3)), ("C", 6, T(2025, 1, 3)), ("C", 6, T(2025, 1, 3))]
+    last = [(None, 7, T(2025, 1, 4)), ("A", 8, T(2025, 1, 4))]
+    seen = []
+    for hour, data in (("10", old), ("11", old + later), ("12", old + later + last)):
+        ingest_table(spark, hdr, lake, f"2025-01-05-{hour}", frame_reader({"invoice_header": _headers(spark, data)}))
+        rows = read_bronze(spark, lake, "invoice_header", "current")[0].select("inv_num", "cust_num").collect()
+        seen.append(sorted(((r.inv_num, int(r.cust_num)) for r in rows), key=str))
+        built = build_gold(spark, lake, ["fact_invoice_detail"], scope="current")["fact_invoice_detail"]
+        assert built.rows == len(rows)
+    assert seen[0] == sorted(((k, c) for k, c, _ in old), key=str)
+    assert seen[1] == sorted([("A", 1)] * 2 + [("B", 5)] + [("C", 6)] * 2 + [(None, 3), (None, 4), (None, 4)], key=str)
+    assert seen[2] == sorted([("A", 8), ("B", 5), ("C", 6), ("C", 6), (None, 7)], key=str)
+
+
 def test_rebuilt_gold_without_rows_replaces_the_old_rows(spark, lake_root):
     from lakestrata.plans.lake import write_gold
     from lakestrata.plans.views import create_views
