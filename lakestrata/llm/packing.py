@@ -4,8 +4,11 @@ Texts become token ids (an end id closes each), documents longer than a sequence
 full length, and the pieces are packed by the histogram of their lengths alone. The covering program
 "few configurations, every length covered" is solved by multiplicative weights: a knapsack dynamic
 program prices the best configuration for the current weights, the configuration gets a share of the
-solution, and the weights of the lengths that it covers fall. Uses are rounded down; what stays is placed
-best-fit, longest first, in the room the configurations leave and then in new sequences.
+solution, and the weights of the lengths that it covers fall. For the program, lengths are grouped into at
+most CLASSES classes of about equal room, each as long as its longest member, so that the rounds cover all of
+them; a class's place in a configuration is filled with its exact lengths, longest first, and the room that
+this leaves is known exactly. Uses are rounded down; what stays is placed best-fit, longest first, in the room
+the configurations leave and then in new sequences.
 
 Only the histogram (one row per length, so at most as many as a sequence has tokens) and the plan made
 from it reach the driver. A piece finds its place from its rank among the pieces of its length, counted
@@ -33,6 +36,8 @@ from lakestrata.llm.common import as_bytes, save, small_batches, word_blocks
 LENGTH, END_ID = 4096, 1
 #: Rounds of the multiplicative weights.
 ROUNDS = 300
+#: Most classes of lengths that the program covers; fewer than the rounds, so that none stays uncovered.
+CLASSES = 96
 #: Words, and parts of words, whose ids a Python worker remembers before it starts afresh.
 REMEMBERED = 700_000
 TOKENIZER = "word_bpe_49k.json"
@@ -180,15 +185,65 @@ def fractional(classes: dict[int, int], capacity: int, rounds: int) -> list[tupl
         covered[index] += step * times / need[index]
         uses[tuple(sorted((int(sizes[j]), taken[int(j)]) for j in index))] += step
         weight[index] *= 0.5 ** (step * times / need[index])
-    least = float(covered.min())
-    scale = 1 / least if least > 0 else 1 / max(1.0, float(covered.max()))
+    # a length that no configuration has got yet gets one of its own, so that every length is covered
+    for j in np.flatnonzero(covered == 0):
+        times = int(capacity // sizes[j])
+        uses[((int(sizes[j]), times),)] += need[j] / times
+        covered[j] = 1.0
+    scale = 1 / float(covered.min())
     return [(dict(c), u * scale) for c, u in uses.items()]
 
 
-def packing_plan(histogram: dict[int, int], length: int = LENGTH, rounds: int = ROUNDS):
+def length_classes(histogram: dict[int, int], most: int = CLASSES) -> list[list[int]]:
+    """The lengths, longest first, in at most ``most`` groups of neighbours that take about equal room."""
+    lengths = sorted((n for n, m in histogram.items() if m > 0), reverse=True)
+    if len(lengths) <= most:
+        return [[n] for n in lengths]
+    groups: list[list[int]] = []
+    share, held = 2 * sum(n * histogram[n] for n in lengths) / (most - 1), 0  # two neighbours have more than a share
+    for n in lengths:
+        size = n * histogram[n]
+        if not groups or held + size > share:
+            groups.append([])
+            held = 0
+        groups[-1].append(n)
+        held += size
+    return groups
+
+
+def _exact(config: dict[int, int], members: dict[int, list[int]], left: dict[int, int], length: int) -> dict[int, int]:
+    """Lengths that are left, and how often, for the places of a configuration of classes; empty if a class is used up.
+
+    If they are shorter than their classes, the shortest one makes place for the longest that fit.
+    """
+    each: dict[int, int] = {}
+    room = length
+    for top, k in config.items():
+        for n in members[top]:
+            if k and (m := min(k, left[n])):
+                each[n] = m
+                k -= m
+                room -= n * m
+        if k:
+            return {}
+    if room > length - sum(top * k for top, k in config.items()):
+        last = min(each)
+        each[last] -= 1
+        room += last
+        for group in members.values():  # longest first
+            for n in group:
+                if n <= room and (m := min(room // n, left[n] - each.get(n, 0))) > 0:
+                    each[n] = each.get(n, 0) + m
+                    room -= n * m
+    return {n: k for n, k in each.items() if k}
+
+
+def packing_plan(histogram: dict[int, int], length: int = LENGTH, rounds: int = ROUNDS,
+                 best_fit: dict[int, int] | None = None):
     """length -> [(first rank, rank after, first sequence, per sequence, offset)] and the number of sequences.
 
-    The pieces of one length, in rank order, fill the runs of that length's list.
+    The pieces of one length, in rank order, fill the runs of that length's list. ``best_fit`` gets the lengths,
+    and how many, that no configuration has placed.
     """
     left = {n: m for n, m in histogram.items() if m > 0}
     used: dict[int, int] = defaultdict(int)
@@ -213,14 +268,21 @@ def packing_plan(histogram: dict[int, int], length: int = LENGTH, rounds: int =
         put(length, sequences, count, 1, 0)
         sequences += count
     open_ = {n: m for n, m in left.items() if m}
-    for config, use in sorted(fractional(open_, length, rounds), key=lambda x: (-x[1], sorted(x[0].items()))):
-        times, at = min([int(use), *(left[n] // k for n, k in config.items())]), 0
-        if times > 0:
-            for n, k in sorted(config.items(), reverse=True):
-                put(n, sequences, times, k, at)
+    members = {group[0]: group for group in length_classes(open_)}
+    program = fractional({top: sum(open_[n] for n in group) for top, group in members.items()}, length, rounds)
+    for config, use in sorted(program, key=lambda x: (-x[1], sorted(x[0].items()))):
+        times = int(use)
+        # the same exact lengths for as many sequences as they last
+        while times > 0 and (each := _exact(config, members, left, length)):
+            count, at = min([times, *(left[n] // k for n, k in each.items())]), 0
+            for n, k in sorted(each.items(), reverse=True):
+                put(n, sequences, count, k, at)
                 at += n * k
-            leave(length - at, sequences, times)
-            sequences += times
+            leave(length - at, sequences, count)
+            sequences += count
+            times -= count
+    if best_fit is not None:
+        best_fit.update({n: m for n, m in left.items() if m})
     for n in sorted(left, reverse=True):
         while left[n] > 0:
             k = bisect.bisect_left(rooms, n)

@@ -99,6 +99,24 @@ def test_plan_is_valid_and_near_best_fit(histogram):
     assert least <= sequences <= max(least + 1, best_fit(histogram, 4096) * 1.005 + 1)
 
 
+@pytest.mark.parametrize("times, most_left", [(1, 0.4), (600, 0.15)])
+def test_configurations_place_most_pieces_of_real_lengths(times, most_left):
+    import pyarrow.parquet as pq
+
+    ids = WordIds(tokenizer_path())
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    sizes = Counter()
+    for text in texts:
+        n = len(token_bytes((text or "").encode(), ids)) // 4
+        sizes.update([4096] * (n // 4096) + [n % 4096] * (n % 4096 > 0))
+    histogram = {n: m * times for n, m in sizes.items()}
+    left = {}
+    _, sequences = packing_plan(histogram, best_fit=left)
+    whole = sum(histogram.values()) - histogram.get(4096, 0)
+    assert sum(left.values()) < most_left * whole
+    assert sequences <= -(-sum(n * m for n, m in histogram.items()) // 4096) * 1.005 + 1
+
+
 def test_knapsack_is_optimal():
     rng = np.random.default_rng(0)
     for _ in range(20):
