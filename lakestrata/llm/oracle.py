@@ -69,8 +69,38 @@ SELECT doc_id, best.license AS license, best.name AS template, coalesce(-best.mi
        coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses
 FROM d LEFT JOIN hits USING (doc_id)"""
 
+#: Fixed values of the audit: least documents of a kept term, scale of a share, listed terms.
+SOURCE_DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(text, '') AS t, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source FROM documents),
+w AS (SELECT row, lang, source, translate(unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS of_lang FROM w GROUP BY ALL HAVING count(DISTINCT row) >= 10),
+n AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+total AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM n GROUP BY ALL),
+l AS (SELECT lang, count(*)::HUGEINT AS v, sum(of_lang)::HUGEINT AS lang_total FROM kept GROUP BY lang),
+g AS (SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v, coalesce(lang_total, 0) AS lang_total
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN total USING (lang, source) LEFT JOIN l USING (lang)),
+p AS (SELECT g.lang, g.source, kept.term, coalesce(n.n, 0) AS n,
+             1 + 1000000000 * (coalesce(n.n, 0) + 2)::HUGEINT // (g.total + 2 * g.v) AS p,
+             1 + 1000000000 * (kept.of_lang + 2)::HUGEINT // (g.lang_total + 2 * g.v) AS q
+      FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+shared AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS f
+         FROM p AS a JOIN p AS b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(f, 0)::BIGINT AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN shared ON shared.lang = a.lang AND shared.source = a.source AND shared.item = b.source),
+terms AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+          FROM p WHERE n > 0 AND p > q),
+parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs
+          UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 10"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_license_scan": LICENSE_SCAN,
     "op8_quality_rules": QUALITY_RULES,
+    "op12_source_divergence": SOURCE_DIVERGENCE,
 }

@@ -17,6 +17,7 @@ from lakestrata.llm import (
     quality_model,
     quality_rules,
     simhash,
+    source_divergence,
     suffix_tree_lm,
 )
 from lakestrata.llm.common import documents
@@ -68,7 +69,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_lm_scoring, op3_exact_dedup, op4_license_scan, op5_mixing,
-                            op6_pii_pseudonyms, op7_packing, op8_quality_rules, op9_language_id, op10_simhash)
+                            op6_pii_pseudonyms, op7_packing, op8_quality_rules, op9_language_id, op10_simhash,
+                            op12_source_divergence)
 }
