@@ -98,9 +98,22 @@ SELECT lang, source, part, item, value, rank::INTEGER AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
 WHERE part = 'pair' OR rank <= 10"""
 
+#: SHA-1 is 40 hex digits; five of them make four base32 letters.
+WARC = r"""
+WITH p AS (SELECT row_number() OVER () AS row, page_id, coalesce(html, '') AS h FROM pages),
+f AS (SELECT *, first_value(page_id) OVER w AS first_id, row_number() OVER w AS place, sha1(h) AS hex
+      FROM p WINDOW w AS (PARTITION BY h ORDER BY page_id NULLS LAST, row)),
+d AS (SELECT *, list_transform(range(8), lambda k: ('0x' || substr(hex, 5 * k + 1, 5))::BIGINT) AS five FROM f)
+SELECT page_id, strlen(h) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((five[k // 4 + 1] >> (15 - 5 * (k % 4))) & 31)::BIGINT + 1, 1)), '') AS payload_digest,
+       CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN place > 1 THEN first_id END AS refers_to FROM d"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_license_scan": LICENSE_SCAN,
     "op8_quality_rules": QUALITY_RULES,
     "op12_source_divergence": SOURCE_DIVERGENCE,
+    "op13_warc": WARC,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +20,10 @@ from lakestrata.llm import (
     simhash,
     source_divergence,
     suffix_tree_lm,
+    warc,
 )
 from lakestrata.llm.common import documents
+from lakestrata.session import shared_dir
 
 #: Key of the registered query; a deployment passes its own secret to pseudonymise().
 DEMONSTRATION_KEY = b"lakestrata demonstration key"
@@ -73,8 +76,14 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.source_divergence(documents(spark, sf_dir))
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archive = f"{shared_dir(spark, 'llm')}/warc-{uuid.uuid4().hex}"
+    warc.write_warc(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"), archive)
+    return warc.page_records(warc.read_warc(spark, archive))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_lm_scoring, op3_exact_dedup, op4_license_scan, op5_mixing,
                             op6_pii_pseudonyms, op7_packing, op8_quality_rules, op9_language_id, op10_simhash,
-                            op12_source_divergence)
+                            op12_source_divergence, op13_warc)
 }
