@@ -110,10 +110,70 @@ SELECT page_id, strlen(h) AS payload_bytes,
        CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN place > 1 THEN first_id END AS refers_to FROM d"""
 
+#: Costs and the wanted role sequence are fixed values; states: 0 start, 1 after s, 2 after u, 3 after a.
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+crc AS (SELECT *, xor(list_reduce(list_transform(range(1, length(key) + 1), lambda i: ascii(substr(key, i, 1))::BIGINT),
+          lambda x, b: list_reduce(range(8),
+            lambda y, z: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END, xor(x, b)),
+          4294967295::BIGINT), 4294967295) % 20 AS what FROM c),
+rows AS (SELECT conv_id, turn, CASE WHEN what = 4 THEN 'user' ELSE role END AS role,
+                CASE WHEN what = 1 THEN '' WHEN what = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+         FROM crc, range(2) AS copy(i) WHERE what <> 0 AND (i = 0 OR what = 3)),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM rows),
+r AS (SELECT conv_id, turn, role, text, substr(role, 1, 1) AS first, k,
+             CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+      FROM o),
+neighbours AS (SELECT conv_id, lag(first) OVER (PARTITION BY conv_id ORDER BY k) || first AS pair FROM r),
+inserts(p, q, cost, audit) AS (VALUES (0, 0, 0, ''), (1, 1, 0, ''), (2, 2, 0, ''), (3, 3, 0, ''), (0, 2, 3, 'I'),
+  (1, 2, 3, 'I'), (3, 2, 3, 'I'), (2, 3, 3, 'I'), (0, 3, 6, 'II'), (1, 3, 6, 'II')),
+edits(p, q, edit, first, cost) AS (VALUES (0, 0, 'D', NULL, 4), (1, 1, 'D', NULL, 4), (2, 2, 'D', NULL, 4),
+  (3, 3, 'D', NULL, 4), (0, 1, 'K', 's', 0), (0, 2, 'K', 'u', 0), (1, 2, 'K', 'u', 0), (3, 2, 'K', 'u', 0),
+  (2, 3, 'K', 'a', 0), (0, 2, 'R', NULL, 3), (1, 2, 'R', NULL, 3), (3, 2, 'R', NULL, 3), (2, 3, 'R', NULL, 3)),
+heads AS (SELECT DISTINCT conv_id FROM conversations),
+dp(conv_id, k, state, best) AS (
+  SELECT conv_id, 0::BIGINT, 0, {'cost': 0::BIGINT, 'audit': ''} FROM heads
+  UNION ALL
+  SELECT dp.conv_id, dp.k + 1, e.q,
+         min({'cost': best.cost + i.cost + e.cost + CASE WHEN r.fault = 'truncated' AND e.edit <> 'D' THEN 3 ELSE 0 END,
+              'audit': best.audit || i.audit || e.edit})
+  FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.k = dp.k + 1 JOIN inserts AS i ON i.p = dp.state
+  JOIN edits AS e ON e.p = i.q AND (e.first IS NULL OR e.first = r.first)
+       AND (e.edit = 'D' OR r.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY dp.conv_id, dp.k, e.q),
+n AS (SELECT conv_id, count(*) AS n, count(*) FILTER (fault = 'blank') AS blank,
+             count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+             max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps FROM r GROUP BY conv_id),
+ends AS (SELECT dp.conv_id, min({'cost': best.cost + i.cost, 'audit': best.audit || i.audit}) AS best
+         FROM dp LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id JOIN inserts AS i ON i.p = dp.state
+         WHERE dp.k = coalesce(n.n, 0) AND i.q IN (0, 3) GROUP BY dp.conv_id),
+letters AS (SELECT conv_id, pos, substr(best.audit, pos, 1) AS edit,
+                   length(replace(substr(best.audit, 1, pos), 'I', '')) AS k
+            FROM (SELECT conv_id, best, unnest(range(1, length(best.audit) + 1)) AS pos FROM ends)),
+kept AS (SELECT l.conv_id, l.pos, l.edit, r.role, r.text, r.first,
+                row_number() OVER (PARTITION BY l.conv_id ORDER BY pos) AS place
+         FROM letters AS l LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.k = l.k WHERE edit <> 'D'),
+lines AS (SELECT conv_id, pos, CASE WHEN edit = 'K' THEN role
+                   WHEN (place + bool_or(place = 1 AND edit = 'K' AND first = 's') OVER (PARTITION BY conv_id)::INT) % 2 = 1
+                   THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END AS line FROM kept),
+whole AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY pos)) AS hash FROM lines GROUP BY conv_id),
+bad AS (SELECT conv_id, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM neighbours GROUP BY conv_id)
+SELECT ends.conv_id, coalesce(n.gaps, 0) AS gaps, coalesce(n.blank, 0) AS blank, coalesce(n.duplicate, 0) AS duplicate,
+       coalesce(n.truncated, 0) AS truncated, coalesce(bad.illegal, 0) AS illegal, ends.best.cost AS cost,
+       ends.best.audit AS audit, coalesce(whole.hash, sha256('')) AS repaired_sha256
+FROM ends LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM ends.conv_id
+LEFT JOIN bad ON bad.conv_id IS NOT DISTINCT FROM ends.conv_id
+LEFT JOIN whole ON whole.conv_id IS NOT DISTINCT FROM ends.conv_id"""
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": EXACT_DEDUP,
     "op4_license_scan": LICENSE_SCAN,
     "op8_quality_rules": QUALITY_RULES,
+    "op11_conversation_repair": CONVERSATION_REPAIR,
     "op12_source_divergence": SOURCE_DIVERGENCE,
     "op13_warc": WARC,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm import (
+    conversation_repair,
     exact_dedup,
     language_id,
     license_scan,
@@ -72,6 +73,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.conversation_repair(spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet"))
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.source_divergence(documents(spark, sf_dir))
 
@@ -85,5 +90,5 @@ def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_quality_classifier, op2_lm_scoring, op3_exact_dedup, op4_license_scan, op5_mixing,
                             op6_pii_pseudonyms, op7_packing, op8_quality_rules, op9_language_id, op10_simhash,
-                            op12_source_divergence, op13_warc)
+                            op11_conversation_repair, op12_source_divergence, op13_warc)
 }
