@@ -30,6 +30,7 @@ from typing import Sequence
 if __package__ in (None, ""):  # run as a file by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from lakestrata.plans.current import vacuum_current  # noqa: E402
 from lakestrata.plans.gold import build_gold  # noqa: E402
 from lakestrata.plans.ingest import hour_partition, ingest_all  # noqa: E402
 from lakestrata.plans.lake import Lake, compact_ops, lake_bytes  # noqa: E402
@@ -178,7 +179,8 @@ def run(args: argparse.Namespace, spark=None) -> dict:
     if args.job == "vacuum-bronze":
         names = _tables(args.tables) or [s.target_table for s in CLIENT_TABLES]
         return {"job": "vacuum-bronze",
-                "dropped": {t: len(vacuum_bronze(spark, lake, t, args.retention_hours)) for t in names}}
+                "dropped": {t: len(vacuum_bronze(spark, lake, t, args.retention_hours)) for t in names},
+                "dropped_state": {t: len(vacuum_current(spark, lake, t, args.retention_hours)) for t in names}}
     raise ValueError(args.job)
 
 

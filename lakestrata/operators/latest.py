@@ -7,6 +7,7 @@ single task ever has to hold a whole group.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -56,10 +57,19 @@ def current_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
         .agg(latest.alias("__row")).select("__row.*")
 
 
+def whole_key(keys: Sequence[str]) -> Column:
+    """True where every key column has a value: a key with a null in it identifies nothing."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
 def newest_batch_rows(df: DataFrame, keys: Sequence[str], batch_col: str = "batch_id") -> DataFrame:
-    """The rows of every key's newest batch; what a source itself repeats within a batch stays."""
-    newest = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(batch_col).alias("__newest"))
+    """Every row of each key's newest batch: what a batch repeats stays, a null key supersedes nothing.
+
+    Rows with a null in their key bypass the join, so a hot null key is not shuffled.
+    """
+    known = df.where(whole_key(keys))
+    newest = known.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.max(batch_col).alias("__newest"))
     same = F.col(batch_col) == F.col("__newest")
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    return df.join(newest, same).select(*df.columns)
+        same = same & (F.col(k) == F.col(f"__k{i}"))
+    return known.join(newest, same).select(*df.columns).unionByName(df.where(~whole_key(keys)))

@@ -7,7 +7,7 @@ inputs are CTEs (see :mod:`lakestrata.sources.fixtures`); only raw tables are vi
 from __future__ import annotations
 
 from lakestrata.sources.fixtures import (
-    FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, fixture_sql, oracle_cte,
+    FIXED_AS_OF, FIXED_CUTS, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, fixture_sql, oracle_cte,
 )
 from lakestrata.specs import CLIENT_TABLES
 
@@ -57,7 +57,7 @@ def _measures(q: str, p: str, c: str) -> str:
             f"CAST({qn} * ({pn} - {cn}) AS DECIMAL(33,4)) AS Margin")
 
 
-MARGIN_INVOICE = oracle_cte("invoice_item", "invoice_header", "order_item", "customer_address") + f"""
+MARGIN_BODY = f"""
 SELECT trim(i.inv_num) AS Invoice,
        CAST({_case_map('h.cust_num', CUSTOMER_ID_MAPPING)} AS INTEGER) AS CustomerID,
        {_case_map('a.name', CUSTOMER_NAME_MAPPING)} AS CustomerName,
@@ -70,6 +70,8 @@ LEFT JOIN order_item o ON i.co_num IS NOT DISTINCT FROM o.co_num AND i.co_line I
 LEFT JOIN (SELECT cust_num, name FROM customer_address WHERE cust_seq = 0) a
        ON h.cust_num IS NOT DISTINCT FROM a.cust_num"""
 
+MARGIN_INVOICE = oracle_cte("invoice_item", "invoice_header", "order_item", "customer_address") + MARGIN_BODY
+
 FACT_INVOICE = oracle_cte("invoice_item") + f"""
 SELECT trim(inv_num) AS InvoiceID, {TS.format('tax_date')} AS InvoiceDate,
        {_measures('qty_invoiced', 'price', 'cost')}
@@ -285,7 +287,16 @@ SELECT * FROM sales WHERE order_date IN (DATE '1996-01-02', DATE '1996-01-03')""
 ORACLE["gold_rebuild_empty"] = f"SELECT * FROM ({MARGIN_REBATE}) r WHERE false"
 ORACLE["gold_latest_after_rerun"] = FACT_INVOICE_DETAIL
 ORACLE["gold_current_from_lake"] = FACT_ORDER_ITEM
-ORACLE["gold_margin_from_lake"] = MARGIN_INVOICE
+# Lines loaded up to each cut and then all: a line stays unless a later load has lines of its whole key.
+CURRENT_ITEM = f"""
+SELECT * EXCLUDE (load, newest) FROM (
+  SELECT *, max(load) OVER (PARTITION BY inv_num, inv_line, co_line) AS newest FROM (
+    SELECT *, CASE WHEN RecordDate <= TIMESTAMP '{FIXED_CUTS[0]}' THEN 0 WHEN RecordDate <= TIMESTAMP '{FIXED_CUTS[1]}'
+                   THEN 1 ELSE 2 END AS load FROM versioned_item) v) w
+WHERE load = newest OR inv_num IS NULL OR inv_line IS NULL OR co_line IS NULL"""
+ORACLE["current_lines_from_lake"] = ctes(["versioned_item"]) + CURRENT_ITEM
+ORACLE["gold_margin_from_lake"] = ctes(["versioned_item", "invoice_header", "order_item", "customer_address"],
+                                       {"invoice_item": CURRENT_ITEM}) + MARGIN_BODY
 ORACLE["stream_reland"] = ORACLE["stream_after_batch"] = ORACLE["stream_sales_by_region"]
 
 # ---- coercions on hard inputs ------------------------------------------------------------------

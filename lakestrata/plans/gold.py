@@ -2,8 +2,8 @@
 
 Each gold table reads its bronze sources with the chosen scope and is written as one
 partition; margin_invoice's partition is the newest of its four sources (O3, Q31).
-``scope='current'`` (the job's default) reads the latest version of every key since the table's
-newest full load; ``scope='latest'`` reads each table's own newest partition, which after an
+``scope='current'`` (the default) reads every row of each key's newest batch since the table's newest
+full load, from maintained state (:mod:`lakestrata.plans.current`); ``scope='latest'`` reads each table's own newest partition, which after an
 incremental run is only a delta (Q29).
 """
 
@@ -17,9 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata import schemas
 from lakestrata.operators import facts, ledger, margin
 from lakestrata.operators.latest import newest_batch_rows
-from lakestrata.plans.ingest import (
-    committed_batches, current_batches, latest_committed_partition, live_batch_count,
-)
+from lakestrata.plans.current import current_rows
+from lakestrata.plans.ingest import committed_batches, latest_committed_partition, live_batch_count
 from lakestrata.plans.lake import Lake, WriteResult, read_layer, write_gold
 from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, spec
 
@@ -34,7 +33,7 @@ GOLD_SOURCES = {
 }
 
 
-def read_bronze(spark: SparkSession, lake: Lake, table: str, scope: str = "latest",
+def read_bronze(spark: SparkSession, lake: Lake, table: str, scope: str = "current",
                 specs: Iterable[TableSpec] = CLIENT_TABLES) -> tuple[DataFrame, str]:
     """A bronze table (committed batches only) and the partition it stands for.
 
@@ -45,13 +44,11 @@ def read_bronze(spark: SparkSession, lake: Lake, table: str, scope: str = "lates
     part = latest_committed_partition(spark, lake, table)
     if part is None:
         raise ValueError(f"No partitions found for {table}")
-    order_by = [s.timestamp_column] if s.timestamp_column else []
-    batches = (current_batches if scope == "current" else committed_batches)(spark, lake, table)
-    layer_scope = {"latest": "partition"}.get(scope, scope)
-    if scope == "current" and batches.count() <= 1:
-        layer_scope = "all"  # one batch (a full load, as full-refresh tables always have) has nothing to merge
-    df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table), layer_scope, partition=part,
-                    keys=s.keys, order_by=order_by, committed_batches=batches)
+    if scope == "current":
+        return current_rows(spark, lake, s), part
+    batches = committed_batches(spark, lake, table)
+    df = read_layer(spark, lake, "bronze", table, schemas.BRONZE.get(table), {"latest": "partition"}.get(scope, scope),
+                    partition=part, committed_batches=batches)
     if scope == "latest" and s.pattern is Pattern.INCREMENTAL and s.keys \
             and live_batch_count(spark, lake, table, part) > 1:
         # batches of one hour re-read the watermark's boundary second
@@ -79,7 +76,7 @@ def gold_frame(name: str, sources: dict[str, DataFrame], as_of=None) -> DataFram
 
 
 def build_gold(spark: SparkSession, lake: Lake, tables: Iterable[str] | None = None,
-               scope: str = "latest", as_of=None, max_parallel: int = 4) -> dict[str, WriteResult]:
+               scope: str = "current", as_of=None, max_parallel: int = 4) -> dict[str, WriteResult]:
     """Write the selected gold tables (default all); returns path/partition/rows per table.
 
     The tables are independent, so their jobs are submitted from up to ``max_parallel``

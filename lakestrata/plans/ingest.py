@@ -207,13 +207,17 @@ def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataF
     return _live_runs(spark, lake, table_name).select("batch_id").distinct()
 
 
-def current_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
-    """Committed batches from the table's newest full load on (all of them if it has none): what the
-    ``current`` scope merges, so rows that the newest full load no longer has are gone."""
+def live_folders(spark: SparkSession, lake: Lake, table_name: str) -> dict[str, str]:
+    """Batch id -> folder of the live batches from the table's newest full load on (all if it has none).
+
+    What the ``current`` scope merges, so rows that the newest full load no longer has are gone. One entry per
+    run since that load, from the log.
+    """
     runs = _live_runs(spark, lake, table_name).withColumn("_table", F.lit(table_name))
     newest = runs.where(F.col("mode") == "full").groupBy("_table").agg(F.max("_order").alias("_newest"))
-    return runs.join(newest, "_table", "left") \
-        .where(F.col("_newest").isNull() | (F.col("_order") >= F.col("_newest"))).select("batch_id").distinct()
+    live = runs.join(newest, "_table", "left") \
+        .where(F.col("_newest").isNull() | (F.col("_order") >= F.col("_newest"))).select("batch_id", "partition").distinct()
+    return {r.batch_id: f"partition={r.partition}/batch_id={r.batch_id}" for r in live.collect()}
 
 
 def live_batch_count(spark: SparkSession, lake: Lake, table_name: str, partition: str) -> int:
@@ -251,5 +255,5 @@ def hour_partition(ts: _dt.datetime) -> str:
 
 
 __all__ = ["plan_load", "full_scan", "incremental_scan", "date_partition_scan", "ingest_table",
-           "ingest_all", "select_specs", "committed_batches", "current_batches", "latest_committed_partition", "batch_watermarks", "hour_partition",
+           "ingest_all", "select_specs", "committed_batches", "live_folders", "latest_committed_partition", "batch_watermarks", "hour_partition",
            "partition_of"]

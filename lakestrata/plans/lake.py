@@ -357,7 +357,8 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, dataset: str,
 
     ``scope``: ``all`` (every partition, U1/Q30), ``latest`` (newest partition, pruned at
     plan time from a directory listing, S12/Q29), ``partition`` (the one given), or
-    ``current`` (latest version of every key over all partitions, Q29 fix).
+    ``current`` (over all partitions: every row of each key's newest batch, or where the layer has no
+    batches the latest version of every key, Q29 fix).
     ``committed_batches`` (a DataFrame of ``batch_id``) keeps only batches the sync log
     has committed (Q26 fix): a left-semi join against a small log-derived table.
     """
@@ -383,10 +384,12 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, dataset: str,
     if scope in ("latest", "partition"):
         return df.where(F.col("partition") == F.lit(value))
     if scope == "current":
-        from lakestrata.operators.latest import current_by_key
+        from lakestrata.operators.latest import current_by_key, newest_batch_rows
         if not keys:
             raise ValueError("scope='current' needs keys")
-        return current_by_key(df, keys, list(order_by) + ["partition"] + (["batch_id"] if "batch_id" in df.columns else []))
+        if "batch_id" in df.columns:
+            return newest_batch_rows(df, keys)
+        return current_by_key(df, keys, list(order_by) + ["partition"])
     raise ValueError(f"unknown scope {scope!r}")
 
 

@@ -22,7 +22,7 @@ from lakestrata.plans.sales_flow import run_sales_flow, write_bronze_sales
 from lakestrata.plans.views import VIEWS, typed_view_frame
 from lakestrata.session import configure, shared_dir
 from lakestrata.sources.fixtures import (
-    FIXED_AS_OF, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, load,
+    FIXED_AS_OF, FIXED_CUTS, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, load,
 )
 from lakestrata.sources.jdbc import count_rows
 from lakestrata.specs import CLIENT_TABLES, Pattern, TableSpec, incremental_tables, spec
@@ -285,12 +285,35 @@ def q_gold_current_from_lake(spark, sf_dir):
     return read_layer(spark, lake, "gold", "fact_order_item", schemas.GOLD["fact_order_item"]).drop("partition")
 
 
+def _load_step(spark, lake: Lake, sf_dir: str, table: str, fixture: str, step: int) -> None:
+    """Load 0 is full and ends at the first cut; loads 1 and 2 are incremental, up to the second cut and all."""
+    source = _fx(spark, sf_dir, fixture)
+    arrived = source if step == 2 else source.where(F.col("RecordDate") <= F.lit(FIXED_CUTS[step]).cast("timestamp_ntz"))
+    ingest.ingest_table(spark, spec(table), lake, f"2001-09-01-0{step}", lambda _: arrived)
+
+
+def q_current_lines_from_lake(spark, sf_dir):
+    """Lines with repeated and null keys over three batches: every row of each key's newest batch."""
+    lake = _lake(spark, "current-lines")
+    for step in range(3):
+        _load_step(spark, lake, sf_dir, "invoice_item", "versioned_item", step)
+    return gold.read_bronze(spark, lake, "invoice_item", "current")[0].select(*schemas.BRONZE["invoice_item"].fieldNames())
+
+
 def q_gold_margin_from_lake(spark, sf_dir):
+    """The flagship in its default scope after a full load and two deltas of its sources; a build between
+    the deltas leaves state that the last build only folds the second delta into."""
     lake = _lake(spark, "margin")
-    for table in gold.GOLD_SOURCES["margin_invoice"]:
-        ingest.ingest_table(spark, spec(table), lake, FIXED_PARTITION, lambda s: _fx(spark, sf_dir, s.target_table))
-    gold.build_gold(spark, lake, ["margin_invoice"], scope="latest")
-    return read_layer(spark, lake, "gold", "margin_invoice", schemas.GOLD["margin_invoice"]).drop("partition")
+    for step in range(3):
+        for table in gold.GOLD_SOURCES["margin_invoice"]:
+            if spec(table).pattern is Pattern.INCREMENTAL:
+                _load_step(spark, lake, sf_dir, table, "versioned_item" if table == "invoice_item" else table, step)
+            elif step == 0:
+                ingest.ingest_table(spark, spec(table), lake, FIXED_PARTITION, lambda s: _fx(spark, sf_dir, s.target_table))
+        if step:
+            gold.build_gold(spark, lake, ["margin_invoice"])
+    fields = schemas.with_fields(schemas.GOLD["margin_invoice"], ("partition", "string"))
+    return read_layer(spark, lake, "gold", "margin_invoice", fields, "latest").drop("partition")
 
 
 def _stream_gold(spark, lake: Lake) -> DataFrame:
@@ -371,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "gold_latest_after_rerun": q_gold_latest_after_rerun,
     "gold_current_from_lake": q_gold_current_from_lake,
     "gold_margin_from_lake": q_gold_margin_from_lake,
+    "current_lines_from_lake": q_current_lines_from_lake,
     "stream_reland": q_stream_reland,
     "stream_after_batch": q_stream_after_batch,
     "date_layouts": q_date_layouts,

@@ -124,11 +124,19 @@ FROM (SELECT concat(substr(CAST(o_orderdate AS STRING), 1, 7), '-01-00') AS {q}p
 WHERE substr({q}partition{q}, 6, 2) <> '07'""",
 }
 
+# Invoice lines as versions arrive: keys repeat, and a third of the lines has none.
+FIXTURE_SQL["versioned_item"] = f"""
+SELECT inv_num, CASE WHEN inv_line % 3 = 0 THEN NULL ELSE inv_line END AS inv_line, co_num, co_line, item, tax_date,
+       qty_invoiced, price, cost, RecordDate
+FROM ({FIXTURE_SQL['invoice_item']}) x"""
+
 # Run parameters fixed for reproducible checks (wall-clock stand-ins).
 FIXED_NOW = "2001-09-01 00:00:00"
 FIXED_AS_OF = "1999-06-01"
 FIXED_REPORT_DATE = "2001-09-01"
 FIXED_PARTITION = "2001-09-01-00"
+#: RecordDates that end a full load and the first of two deltas after it.
+FIXED_CUTS = ("2000-06-30 00:00:00", "2001-09-30 00:00:00")
 
 
 def fixture_sql(name: str, engine: str = "spark") -> str:
