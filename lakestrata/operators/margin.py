@@ -15,8 +15,10 @@ That is two fact shuffles instead of three, and invoice lines without a header (
 cust_num after the first join) are never funnelled into one reducer by a null key. The
 two plans would differ only for lines without a header when the address table has primary rows
 with a null cust_num ("orphans"): those lines pick up every orphan name. They get them from one
-more join, on a key that is 0 for lines without a header and a spread negative hash for all
-others, so whatever join the planner chooses by size, no key gathers the lines that have a header.
+more equality join, on a salt: every orphan row appears under each of SALTS salts, a line without
+a header looks under one of them, all other lines under a key of their own that no orphan has. So
+the planner broadcasts the orphans if the address table is within its threshold, and else sorts and
+merges, without a hot key, at the price of one more shuffle of the lines.
 The plan is the same at every size and building it runs no job.
 """
 
@@ -63,6 +65,7 @@ def _project(joined: DataFrame) -> DataFrame:
     )
 
 
+SALTS = 64
 MEASURES = ["QtyInvoiced", "ExtendedPrice", "TotalCost", "Margin"]
 
 
@@ -99,9 +102,11 @@ def margin_invoice(invoice_item: DataFrame, invoice_header: DataFrame, order_ite
     j = null_safe_join(item, header_named, [("inv_num", "h_inv_num")])
     j = _join_order_item(j, order_item, has_co)
     orphan_names = (address0.where(F.col("a_cust_num").isNull())
-                    .select(F.lit(0).cast("bigint").alias("_orphan_key"), F.col("a_name").alias("_orphan_name")))
-    spread = -F.shiftrightunsigned(F.xxhash64("inv_num", "co_num", "co_line"), 1) - 1
-    j = (j.withColumn("_key", F.when(F.col("_hdr").isNull(), F.lit(0).cast("bigint")).otherwise(spread))
+                    .select(F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("_orphan_key"),
+                            F.col("a_name").alias("_orphan_name")))
+    spread = F.xxhash64("inv_num", "co_num", "co_line", "item")
+    own = -F.shiftrightunsigned(spread, 1) - 1
+    j = (j.withColumn("_key", F.when(F.col("_hdr").isNull(), F.pmod(spread, F.lit(SALTS))).otherwise(own))
          .join(orphan_names, F.col("_key") == F.col("_orphan_key"), "left")
          .withColumn("a_name", F.when(F.col("_hdr").isNull(), F.col("_orphan_name")).otherwise(F.col("a_name"))))
     return _project(j)

@@ -78,3 +78,26 @@ def test_no_machine_local_scratch_on_a_cluster():
     for master in ("yarn", "spark://host:7077", "k8s://https://host"):
         with pytest.raises(ValueError):
             local_scratch(master)
+
+
+def test_orphan_names_join_on_a_key_at_any_size(spark):
+    # J4 without any broadcast: lines without a header find orphan addresses by an equality join
+    from lakestrata.operators.margin import margin_invoice
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold",
+                                             "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for c in before:
+            spark.conf.set(c, "-1")
+        address = spark.range(2000).selectExpr("CAST(NULL AS INT) AS cust_num", "0 AS cust_seq", "concat('o', id) AS name")
+        df = margin_invoice(load(spark, SF, "invoice_item").where("inv_line = 1"),
+                            load(spark, SF, "invoice_header"), load(spark, SF, "order_item"),
+                            address.where("name = 'o7'").unionByName(load(spark, SF, "customer_address")))
+        plans = [df._jdf.queryExecution().executedPlan().toString(), _executed(df)]
+        wide = margin_invoice(load(spark, SF, "invoice_item"), load(spark, SF, "invoice_header"),
+                              load(spark, SF, "order_item"), address)
+        plans.append(wide._jdf.queryExecution().executedPlan().toString())
+        for plan in plans:
+            assert "NestedLoop" not in plan and "IdentityBroadcast" not in plan and "Cartesian" not in plan
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
