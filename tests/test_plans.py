@@ -88,7 +88,7 @@ def test_orphan_names_join_on_a_key_at_any_size(spark):
     try:
         for c in before:
             spark.conf.set(c, "-1")
-        address = spark.range(2000).selectExpr("CAST(NULL AS INT) AS cust_num", "0 AS cust_seq", "concat('o', id) AS name")
+        address = spark.createDataFrame([(None, 0, f"o{k}") for k in range(2000)], "cust_num int, cust_seq int, name string")
         df = margin_invoice(load(spark, SF, "invoice_item").where("inv_line = 1"),
                             load(spark, SF, "invoice_header"), load(spark, SF, "order_item"),
                             address.where("name = 'o7'").unionByName(load(spark, SF, "customer_address")))
