@@ -38,7 +38,7 @@ from lakestrata.plans.sales_flow import run_sales_flow  # noqa: E402
 from lakestrata.plans.verify import vacuum_bronze, verification_report  # noqa: E402
 from lakestrata.plans.views import create_views, sample_views  # noqa: E402
 from lakestrata.session import get_session, sizing  # noqa: E402
-from lakestrata.sources.jdbc import JdbcSource, jdbc_reader  # noqa: E402
+from lakestrata.sources.jdbc import JdbcSource, jdbc_reader, quantiles_of  # noqa: E402
 from lakestrata.specs import CLIENT_TABLES  # noqa: E402
 from lakestrata.streaming.sales_stream import run_available_now  # noqa: E402
 
@@ -57,16 +57,15 @@ def _jsonable(value):
     return value
 
 
-def parallel_reads(specs: Sequence[str], quote: str = "") -> dict:
-    """``TABLE=COLUMN:N`` options -> the ``partitioning`` map of :func:`jdbc_reader`
-    (``quote`` wraps COLUMN in the bounds query, for sources with case-sensitive names)."""
+def parallel_reads(specs: Sequence[str]) -> dict:
+    """``TABLE=COLUMN:N`` options -> the ``partitioning`` map of :func:`jdbc_reader`."""
     out = {}
     for item in specs:
         table, _, rest = item.partition("=")
         column, _, n = rest.partition(":")
         if not (table and column and n.isdigit() and int(n) > 0):
             raise ValueError(f"--parallel expects TABLE=COLUMN:N, got {item!r}")
-        out[table] = {"partition_column": column, "num_partitions": int(n), **({"quote": quote} if quote else {})}
+        out[table] = {"partition_column": column, "num_partitions": int(n)}
     return out
 
 
@@ -82,9 +81,11 @@ def parser() -> argparse.ArgumentParser:
     ing.add_argument("--full-refresh", action="store_true")
     ing.add_argument("--partition", help="bronze partition (default: the current UTC hour)")
     ing.add_argument("--partition-value", help="value that date-partition tables load")
-    ing.add_argument("--identifier-quote", default="", help="quote for --parallel columns, e.g. '\"'")
+    ing.add_argument("--identifier-quote", default="", help="quote for column names in split queries, e.g. '\"'")
+    ing.add_argument("--rows-per-range", type=int, default=1_000_000,
+                     help="rows that one source cursor fetches; bigger tables are read in ranges of equal depth")
     ing.add_argument("--parallel", action="append", default=[], metavar="TABLE=COLUMN:N",
-                     help="read TABLE with N range queries on COLUMN (the delta's range when COLUMN "
+                     help="read TABLE in N ranges of equal depth on COLUMN (of the delta when COLUMN "
                           "is the table's timestamp); repeatable")
 
     gold = sub.add_parser("build-gold", help="bronze -> gold facts, dimension and margin tables")
@@ -139,7 +140,9 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         if args.jdbc_driver:
             props["driver"] = args.jdbc_driver
         partition = args.partition or hour_partition(_dt.datetime.now(_dt.timezone.utc))
-        reader = jdbc_reader(spark, JdbcSource(args.jdbc_url, props), parallel_reads(args.parallel, args.identifier_quote))
+        source = JdbcSource(args.jdbc_url, props, quote=args.identifier_quote, rows_per_range=args.rows_per_range,
+                            quantile_template=quantiles_of(args.jdbc_url))
+        reader = jdbc_reader(spark, source, parallel_reads(args.parallel))
         res = ingest_all(spark, CLIENT_TABLES, lake, partition, reader, tables=_tables(args.tables),
                          force_full=args.full_refresh, max_parallel=args.max_parallel,
                          partition_value=args.partition_value)
