@@ -297,6 +297,19 @@ WHERE load = newest OR inv_num IS NULL OR inv_line IS NULL OR co_line IS NULL"""
 ORACLE["current_lines_from_lake"] = ctes(["versioned_item"]) + CURRENT_ITEM
 ORACLE["gold_margin_from_lake"] = ctes(["versioned_item", "invoice_header", "order_item", "customer_address"],
                                        {"invoice_item": CURRENT_ITEM}) + MARGIN_BODY
+# The second landing replaces a year unless its least quantity or price is not positive (or there is none).
+ORACLE["silver_gate"] = ctes(["sales", "faulty_sales"]) + """
+, v AS (SELECT concat(year(order_date), '-01-01-00') AS part, count(*) AS rows, min(quantity) AS min_quantity,
+               min(unit_price) AS min_unit_price, sum(quantity) AS quantity,
+               coalesce(min(quantity) > 0 AND min(unit_price) > 0, false) AS passed FROM faulty_sales GROUP BY 1),
+  f AS (SELECT concat(year(order_date), '-01-01-00') AS part, count(*) AS rows, sum(quantity) AS quantity
+        FROM sales GROUP BY 1)
+SELECT part AS "partition", v.rows, min_quantity, min_unit_price, passed, f.rows AS silver_rows,
+       CAST(CASE WHEN passed THEN v.quantity ELSE f.quantity END AS BIGINT) AS silver_quantity
+FROM v JOIN f USING (part)"""
+ORACLE["landing_lineage"] = ctes(["sales"]) + """
+SELECT 'bronze' AS target_layer, 'sales' AS dataset, concat(strftime(order_date, '%Y-%m'), '-01-00') AS "partition",
+       count(*) AS record_count, 'erp_system' AS source FROM sales GROUP BY 3"""
 ORACLE["stream_reland"] = ORACLE["stream_after_batch"] = ORACLE["stream_sales_by_region"]
 
 # ---- coercions on hard inputs ------------------------------------------------------------------

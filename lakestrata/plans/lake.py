@@ -198,15 +198,15 @@ def lineage_record(target_layer: str, target_path: str, *, dataset: str | None =
     }
 
 
-def _literal(value, dtype: DataType) -> Column:
+def literal(value, dtype: DataType) -> Column:
     """One typed literal. Naive datetimes go through text, so no time zone can shift them."""
     if value is None:
         return F.lit(None).cast(dtype)
     if isinstance(dtype, MapType):
         return F.create_map(*[c for k, v in value.items()
-                              for c in (_literal(k, dtype.keyType), _literal(v, dtype.valueType))]).cast(dtype)
+                              for c in (literal(k, dtype.keyType), literal(v, dtype.valueType))]).cast(dtype)
     if isinstance(dtype, ArrayType):
-        return F.array(*[_literal(v, dtype.elementType) for v in value]).cast(dtype)
+        return F.array(*[literal(v, dtype.elementType) for v in value]).cast(dtype)
     if isinstance(dtype, (TimestampNTZType, DateType)) and isinstance(value, (_dt.datetime, _dt.date)):
         return F.lit(value.isoformat()).cast(dtype)
     return F.lit(value).cast(dtype)
@@ -220,7 +220,7 @@ def rows_frame(spark: SparkSession, rows: Sequence[dict], schema: StructType) ->
     """
     if not rows:
         return spark.createDataFrame([], schema)
-    structs = [F.struct(*[_literal(r.get(f.name), f.dataType).alias(f.name) for f in schema.fields])
+    structs = [F.struct(*[literal(r.get(f.name), f.dataType).alias(f.name) for f in schema.fields])
                for r in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
 

@@ -17,8 +17,8 @@ from lakestrata import schemas
 from lakestrata.operators import facts, latest, ledger, margin, quality, sales
 from lakestrata.functions.coerce import parse_timestamp
 from lakestrata.plans import gold, ingest, synclog
-from lakestrata.plans.lake import Lake, read_layer, write_gold
-from lakestrata.plans.sales_flow import run_sales_flow, write_bronze_sales
+from lakestrata.plans.lake import Lake, read_layer, read_lineage, write_gold
+from lakestrata.plans.sales_flow import gate_partitions, run_sales_flow, write_bronze_sales
 from lakestrata.plans.views import VIEWS, typed_view_frame
 from lakestrata.session import configure, shared_dir
 from lakestrata.sources.fixtures import (
@@ -316,6 +316,30 @@ def q_gold_margin_from_lake(spark, sf_dir):
     return read_layer(spark, lake, "gold", "margin_invoice", fields, "latest").drop("partition")
 
 
+def q_silver_gate(spark, sf_dir):
+    """The gate's verdict per partition after a second landing, and what silver holds then: a partition that
+    failed still has the rows of the first."""
+    lake = _lake(spark, "gate")
+    for fixture in ("sales", "faulty_sales"):
+        write_bronze_sales(_fx(spark, sf_dir, fixture), lake, partition_col=year_partition())
+        bronze = read_layer(spark, lake, "bronze", "sales", schemas.BRONZE["sales"])
+        verdict = gate_partitions(sales.enrich_sales(bronze, FIXED_NOW), lake, lake.checkpoints("verdict"))
+    silver = read_layer(spark, lake, "silver", "sales", schemas.SILVER_SALES).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("silver_rows"), F.sum("quantity").alias("silver_quantity"))
+    return verdict.join(silver, "partition", "left") \
+        .select("partition", "rows", "min_quantity", "min_unit_price", F.col("good").alias("passed"), "silver_rows",
+                "silver_quantity")
+
+
+def q_landing_lineage(spark, sf_dir):
+    """Lineage of a landing in many partitions, counted from the files it wrote."""
+    lake = _lake(spark, "landing")
+    monthly = F.concat(F.date_format("order_date", "yyyy-MM"), F.lit("-01-00"))
+    write_bronze_sales(_fx(spark, sf_dir, "sales"), lake, partition_col=monthly)
+    return read_lineage(spark, lake).select("target_layer", "dataset", "partition", "record_count",
+                                            F.col("extra")["source"].alias("source"))
+
+
 def _stream_gold(spark, lake: Lake) -> DataFrame:
     fields = schemas.with_fields(schemas.GOLD["sales_by_region"], ("partition", "string"))
     return spark.read.schema(fields).parquet(lake.path("gold", "sales_by_region")) \
@@ -395,6 +419,8 @@ QUERIES: dict[str, Query] = {
     "gold_current_from_lake": q_gold_current_from_lake,
     "gold_margin_from_lake": q_gold_margin_from_lake,
     "current_lines_from_lake": q_current_lines_from_lake,
+    "silver_gate": q_silver_gate,
+    "landing_lineage": q_landing_lineage,
     "stream_reland": q_stream_reland,
     "stream_after_batch": q_stream_after_batch,
     "date_layouts": q_date_layouts,

@@ -130,6 +130,13 @@ SELECT inv_num, CASE WHEN inv_line % 3 = 0 THEN NULL ELSE inv_line END AS inv_li
        qty_invoiced, price, cost, RecordDate
 FROM ({FIXTURE_SQL['invoice_item']}) x"""
 
+# The same sales landed again with corrected quantities; two years fail the gate (a negative quantity, no price).
+FIXTURE_SQL["faulty_sales"] = f"""
+SELECT order_id, customer_id, product,
+       CASE WHEN year(order_date) = 1997 AND order_id % 10 = 7 THEN -1 ELSE quantity + 1 END AS quantity,
+       CASE WHEN year(order_date) = 1999 THEN NULL ELSE unit_price END AS unit_price, order_date, region
+FROM ({FIXTURE_SQL['sales']}) x"""
+
 # Run parameters fixed for reproducible checks (wall-clock stand-ins).
 FIXED_NOW = "2001-09-01 00:00:00"
 FIXED_AS_OF = "1999-06-01"
