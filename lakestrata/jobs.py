@@ -32,7 +32,7 @@ if __package__ in (None, ""):  # run as a file by spark-submit
 
 from lakestrata.plans.current import vacuum_current  # noqa: E402
 from lakestrata.plans.gold import build_gold  # noqa: E402
-from lakestrata.plans.ingest import hour_partition, ingest_all  # noqa: E402
+from lakestrata.plans.ingest import hour_partition, ingest_all, snapshot_sync_log  # noqa: E402
 from lakestrata.plans.lake import Lake, compact_ops, lake_bytes  # noqa: E402
 from lakestrata.plans.sales_flow import run_sales_flow  # noqa: E402
 from lakestrata.plans.verify import vacuum_bronze, verification_report  # noqa: E402
@@ -104,7 +104,7 @@ def parser() -> argparse.ArgumentParser:
     ver = sub.add_parser("verify", help="sync summary, stale tables, table state, bronze audit")
     ver.add_argument("--max-age-hours", type=int, default=24)
 
-    comp = sub.add_parser("compact-ops", help="rewrite closed months of the ops tables")
+    comp = sub.add_parser("compact-ops", help="rewrite closed months of the ops tables and fold those of the sync log")
     comp.add_argument("--before-month", required=True)
 
     views = sub.add_parser("views", help="create the typed serving views and sample each (publish check)")
@@ -178,7 +178,8 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         samples = {v: df.count() for v, df in sample_views(spark, created, 5).items()}
         return {"job": "views", "views": {v: {"status": st, "sample_rows": samples.get(v)} for v, st in status.items()}}
     if args.job == "compact-ops":
-        return {"job": "compact-ops", "compacted": compact_ops(spark, lake, args.before_month)}
+        return {"job": "compact-ops", "compacted": compact_ops(spark, lake, args.before_month),
+                "snapshot": snapshot_sync_log(spark, lake, args.before_month)}
     if args.job == "vacuum-bronze":
         names = _tables(args.tables) or [s.target_table for s in CLIENT_TABLES]
         return {"job": "vacuum-bronze",

@@ -312,6 +312,29 @@ SELECT 'bronze' AS target_layer, 'sales' AS dataset, concat(strftime(order_date,
        count(*) AS record_count, 'erp_system' AS source FROM sales GROUP BY 3"""
 ORACLE["stream_reland"] = ORACLE["stream_after_batch"] = ORACLE["stream_sales_by_region"]
 
+_LOG = """SELECT *, CASE WHEN run_id % 1000 = 0 THEN 'reset' ELSE 'ok' END AS status,
+       CASE WHEN run_id % 3 > 0 THEN last_sync_at END AS last_sync_value,
+       CASE WHEN run_id % 7 = 0 THEN 'full' ELSE 'incremental' END AS mode,
+       strftime(last_sync_at, '%Y-%m-%d') || '-00' AS part FROM sync_log"""
+ORACLE["sync_state_from_snapshot"] = ctes(["sync_log"], {"log": _LOG, "ranked": """
+SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY last_sync_at DESC, run_id DESC) AS rn FROM log""", "resets": """
+SELECT table_name, min(rn) AS reset_rn FROM ranked WHERE status = 'reset' GROUP BY table_name""", "since": """
+SELECT r.* FROM ranked r LEFT JOIN resets USING (table_name) WHERE reset_rn IS NULL OR rn < reset_rn""", "totals": """
+SELECT table_name, sum(rows_synced) AS total, arg_min(last_sync_value, rn) FILTER (last_sync_value IS NOT NULL) AS mark
+FROM since GROUP BY table_name"""}) + """
+SELECT r.table_name, CAST(r.run_id AS VARCHAR) AS run_id, r.status, r.rows_synced,
+       CAST(CASE WHEN r.status = 'reset' THEN 0 ELSE coalesce(total, 0) END AS BIGINT) AS total_rows_synced,
+       CASE WHEN r.status <> 'reset' THEN mark END AS last_sync_value,
+       CASE WHEN p.status <> 'reset' THEN p.last_sync_at END AS previous_sync_at
+FROM ranked r LEFT JOIN totals USING (table_name) LEFT JOIN ranked p ON p.table_name = r.table_name AND p.rn = 2
+WHERE r.rn = 1"""
+ORACLE["live_batches_from_snapshot"] = ctes(["sync_log"], {"log": _LOG, "fulls": """
+SELECT table_name, part, max((last_sync_at, CAST(run_id AS VARCHAR))) AS newest FROM log
+WHERE status = 'ok' AND mode = 'full' GROUP BY ALL"""}) + """
+SELECT table_name, CAST(run_id AS VARCHAR) AS batch_id, part AS "partition", mode
+FROM log LEFT JOIN fulls USING (table_name, part)
+WHERE status = 'ok' AND (newest IS NULL OR (last_sync_at, CAST(run_id AS VARCHAR)) >= newest)"""
+
 # ---- coercions on hard inputs ------------------------------------------------------------------
 ORACLE["date_layouts"] = """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 7 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"""

@@ -185,19 +185,29 @@ def _live_runs(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
     A full load supersedes the partition's earlier runs, a date-partition load the earlier loads of
     its ``partition_value`` in whatever hour (logged without a value: of its partition).
     """
-    runs = (synclog.read_log(spark, lake)
-            .where((F.col("table_name") == table_name) & (F.col("status") == "ok"))
-            .select(F.col("run_id").alias("batch_id"), "partition", "partition_value", "mode",
-                    F.struct("last_sync_at", "run_id").alias("_order")))
+    return live_runs(synclog.read_log(spark, lake).where(F.col("table_name") == table_name)).drop("table_name")
+
+
+def live_runs(log: DataFrame) -> DataFrame:
+    """The same for every table of a log, with ``table_name``."""
+    runs = log.where(F.col("status") == "ok").select(
+        "table_name", F.col("run_id").alias("batch_id"), "partition", "partition_value", "mode",
+        F.struct("last_sync_at", "run_id").alias("_order"))
     dated = (F.col("mode") == "partition") & F.col("partition_value").isNotNull()
     whole = runs.where(F.col("mode").isin("full", "partition") & ~dated) \
-        .groupBy("partition").agg(F.max("_order").alias("_whole"))
-    same = runs.where(dated).groupBy("partition_value").agg(F.max("_order").alias("_same"))
-    return (runs.join(whole, "partition", "left").join(same, "partition_value", "left")
+        .groupBy("table_name", "partition").agg(F.max("_order").alias("_whole"))
+    same = runs.where(dated).groupBy("table_name", "partition_value").agg(F.max("_order").alias("_same"))
+    return (runs.join(whole, ["table_name", "partition"], "left").join(same, ["table_name", "partition_value"], "left")
             .where(F.col("_whole").isNull() | (F.col("_order") >= F.col("_whole")))
             .where(~dated | (F.col("_order") >= F.col("_same"))))
 
 
+def snapshot_sync_log(spark: SparkSession, lake: Lake, before_month: str) -> str | None:
+    """Fold the closed months of the sync log, keeping what states and readers of batches need."""
+    live = live_runs(synclog.read_log(spark, lake)).select(F.col("batch_id").alias("run_id"))
+    return synclog.snapshot_log(spark, lake, before_month, live)
+
+
 def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:
     """Batch ids readers may see: committed (they have a sync-log row) and not superseded.
 

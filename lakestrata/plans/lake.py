@@ -49,6 +49,10 @@ class Lake:
     def sync_log(self) -> str:
         return f"{self.root.rstrip('/')}/_ops/sync_log"
 
+    @property
+    def sync_state(self) -> str:
+        return f"{self.root.rstrip('/')}/_ops/sync_state"
+
     @property
     def lineage(self) -> str:
         return f"{self.root.rstrip('/')}/_ops/lineage"
@@ -155,35 +159,6 @@ def write_partition(df: DataFrame, path: str, partition: str | Column | None, *,
                        int(got.get("rows", 0) or 0), got.get("max_ts"))
 
 
-COMPACT_TARGET_BYTES = 128 << 20  # file size a batch is rewritten towards
-
-
-def compact_batch(spark: SparkSession, path: str, partition: str, batch_id: str,
-                  target_bytes: int = COMPACT_TARGET_BYTES) -> str:
-    """Rewrite a not-yet-committed batch folder that came out as many small files.
-
-    A delta is usually small next to the scan that filtered it, so every scan task leaves a
-    sliver. Sizes come from the file listing (metadata only): a batch already made of
-    well-sized files is left alone (no cost for big loads); otherwise its rows are re-read
-    and written as ceil(size / target) files under a new batch id, and the old folder is
-    deleted. Runs before the sync-log commit, so readers never see either folder half-way;
-    a crash leaves two uncommitted folders that readers ignore. Returns the batch id to commit.
-    """
-    folder = f"{path.rstrip('/')}/partition={partition}/batch_id={batch_id}"
-    fs, p = _fs(spark, folder)
-    if not fs.exists(p):
-        return batch_id
-    sizes = [st.getLen() for st in fs.listStatus(p)
-             if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
-    want = max(1, -(-sum(sizes) // target_bytes))
-    if len(sizes) <= want or sum(sizes) / len(sizes) >= target_bytes / 4:
-        return batch_id
-    new_id = new_batch_id()
-    write_partition(spark.read.parquet(folder).coalesce(want), path, partition, batch_id=new_id)
-    fs.delete(p, True)
-    return new_id
-
-
 def lineage_record(target_layer: str, target_path: str, *, dataset: str | None = None,
                    partition: str | None = None, source_layer: str | None = None,
                    source_path: str | None = None, record_count: int | None = None,
@@ -241,15 +216,18 @@ def _move_in(spark: SparkSession, staging: str, folder: str) -> None:
                 raise OSError(f"could not move {st.getPath()} into {folder}")
 
 
-def append_ops(df: DataFrame, path: str, ts_column: str) -> None:
+def append_ops(df: DataFrame, path: str, ts_column: str, least_month: str | None = None) -> None:
     """Append a few metadata rows to a month-partitioned ops table.
 
     Every append writes a folder of its own and then moves its files in, so jobs of this or any
-    other application that append at the same time share no temporary folder.
+    other application that append at the same time share no temporary folder. Rows of months before
+    ``least_month`` are filed under it (months that a snapshot stands for are not read again).
     """
     spark = df.sparkSession
     staging = f"{path}/_staging-{uuid.uuid4().hex}"
-    (df.withColumn(OPS_PARTITION, F.date_format(F.col(ts_column), "yyyy-MM")).coalesce(1)
+    month = F.date_format(F.col(ts_column), "yyyy-MM")
+    month = F.greatest(month, F.lit(least_month)) if least_month else month
+    (df.withColumn(OPS_PARTITION, month).coalesce(1)
      .write.partitionBy(OPS_PARTITION).parquet(staging))
     fs, p = _fs(spark, staging)
     for st in fs.listStatus(p):
@@ -258,10 +236,20 @@ def append_ops(df: DataFrame, path: str, ts_column: str) -> None:
     fs.delete(p, True)
 
 
-def read_ops(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    if not exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schemas.with_fields(schema, (OPS_PARTITION, "string"))).parquet(path)
+def ops_months(spark: SparkSession, path: str) -> list[str]:
+    """Months that an ops table has folders for, oldest first."""
+    fs, p = _fs(spark, path)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()] if fs.exists(p) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(OPS_PARTITION + "="))
+
+
+def read_ops(spark: SparkSession, path: str, schema: StructType, after: str | None = None) -> DataFrame:
+    """An ops table, or only its months later than ``after``: no folder of another month is opened."""
+    months = [m for m in ops_months(spark, path) if after is None or m > after]
+    if not months:
+        return spark.createDataFrame([], schemas.with_fields(schema, (OPS_PARTITION, "string")))
+    return spark.read.schema(schemas.with_fields(schema, (OPS_PARTITION, "string"))).option("basePath", path) \
+        .parquet(*[f"{path}/{OPS_PARTITION}={m}" for m in months])
 
 
 def compact_partition(spark: SparkSession, path: str, value: str, column: str = OPS_PARTITION,
@@ -269,7 +257,7 @@ def compact_partition(spark: SparkSession, path: str, value: str, column: str =
     """Rewrite the files that one partition of an append-only table has now into ``files`` files.
 
     Exactly the listed files are read, replaced and deleted: what other jobs append meanwhile stays.
-    A crash between the two steps leaves rows twice, never none; readers of the sync log drop repeats.
+    A crash between the two steps leaves rows twice, never none; readers drop repeats.
     """
     folder = f"{path}/{column}={value}"
     fs, p = _fs(spark, folder)
@@ -310,7 +298,9 @@ def append_lineage(spark: SparkSession, lake: Lake, records: Iterable[dict]) ->
 
 
 def read_lineage(spark: SparkSession, lake: Lake) -> DataFrame:
-    return read_ops(spark, lake.lineage, schemas.LINEAGE)
+    """Every lineage record once (an interrupted compaction may leave a record in two files)."""
+    rows = read_ops(spark, lake.lineage, schemas.LINEAGE).withColumn("_extra", F.array_sort(F.map_entries("extra")))
+    return rows.dropDuplicates([c for c in rows.columns if c != "extra"]).drop("_extra")
 
 
 def write_gold(df: DataFrame, lake: Lake, name: str, partition: str, sources: Sequence[str],

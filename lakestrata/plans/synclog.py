@@ -8,13 +8,17 @@ Readers derive the state with aggregates, so writers never read-modify-write:
 * ``total_rows_synced``           -> sum of ``rows_synced`` since the last reset (Q24)
 * ``status='reset'`` as latest row -> next load is a full load (Q23 fix)
 
-Log-derived frames have one row per table (or per run), tiny next to the data.
+Log-derived frames have one row per table (or per run), tiny next to the data. Closed months are folded into a
+snapshot (:func:`snapshot_log`) of a few rows per table and one per live batch, so a reader opens the snapshot
+and the months after it, however long the log is.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lakestrata import schemas
 from lakestrata.functions.timefmt import hours_between
-from lakestrata.plans.lake import Lake, append_ops, read_ops, rows_frame
+from lakestrata.plans.lake import OPS_PARTITION, Lake, _fs, append_ops, ops_months, read_ops, rows_frame
 
 REGISTERED = schemas._struct(("table_name", schemas.S))
 
@@ -57,21 +61,97 @@ def normalized(log: DataFrame) -> DataFrame:
         F.col("last_sync_at").cast("timestamp_ntz").alias("last_sync_at"),
         _opt(log, "last_sync_value", F.lit(None).cast("timestamp_ntz")).cast("timestamp_ntz").alias("last_sync_value"),
         F.coalesce(_opt(log, "rows_synced", F.lit(0)), F.lit(0)).cast("bigint").alias("rows_synced"),
-        # run ids compare numerically when they are numbers (fixtures), else as text
-        F.struct(F.col("last_sync_at").cast("timestamp_ntz"),
-                 F.col("run_id").try_cast("bigint"), F.col("run_id").cast("string")).alias("_order"),
+        _order().alias("_order"),
     )
 
 
-def read_log(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Every run once (an interrupted compaction may leave a row in two files)."""
-    return read_ops(spark, lake.sync_log, schemas.SYNC_LOG).distinct()
+def _order() -> Column:
+    """Order of runs: time, then run ids, which compare as numbers when they are (fixtures), else as text."""
+    return F.struct(F.col("last_sync_at").cast("timestamp_ntz").alias("last_sync_at"),
+                    F.col("run_id").try_cast("bigint").alias("number"), F.col("run_id").cast("string").alias("run_id"))
+
+
+def _snapshots(spark: SparkSession, lake: Lake) -> list[str]:
+    """Months that a stored snapshot of the log ends with, oldest first."""
+    fs, p = _fs(spark, lake.sync_state)
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith("as_of="))
+
+
+def read_log(spark: SparkSession, lake: Lake, whole: bool = False) -> DataFrame:
+    """Every run once (an interrupted compaction may leave a row in two files).
+
+    Reads the newest snapshot and the months after it, which give every state that the whole log gives.
+    ``whole`` reads all runs ever logged instead.
+    """
+    taken = [] if whole else _snapshots(spark, lake)
+    if not taken:
+        return read_ops(spark, lake.sync_log, schemas.SYNC_LOG).drop(OPS_PARTITION).distinct()
+    later = read_ops(spark, lake.sync_log, schemas.SYNC_LOG, after=taken[-1]).drop(OPS_PARTITION)
+    folded = spark.read.schema(schemas.SYNC_LOG).parquet(f"{lake.sync_state}/as_of={taken[-1]}")
+    return folded.unionByName(later).distinct()
+
+
+def folded_log(log: DataFrame, live: DataFrame) -> DataFrame:
+    """The few rows of a log from which states and live batches follow as from all of it.
+
+    Per table: its newest run, the run before, the newest reset, the run that gave the watermark, the newest
+    partition, and the ``live`` runs (run_id) that no later load supersedes. The rows synced by all other runs
+    since the reset are carried in one row of status ``carried``. Folding a folded log changes nothing.
+    """
+    n = log.withColumn("_order", _order()).withColumn("_n", F.coalesce(F.col("rows_synced"), F.lit(0)))
+    marks = n.groupBy("table_name").agg(
+        F.max(F.when(F.col("status") == "reset", F.col("_order"))).alias("_reset"), F.max("_order").alias("_latest"),
+        F.max_by("_order", F.when(F.col("status") == "ok", F.struct("partition", "_order"))).alias("_newest_part"))
+    n = n.join(marks, "table_name")
+    since = F.col("_reset").isNull() | (F.col("_order") > F.col("_reset"))
+    real = F.col("status") != "carried"
+    more = n.groupBy("table_name").agg(
+        F.max(F.when(real & (F.col("_order") < F.col("_latest")), F.col("_order"))).alias("_before"),
+        F.max(F.when(since & F.col("last_sync_value").isNotNull(), F.col("_order"))).alias("_mark"))
+    n = n.join(more, "table_name").join(live.select("run_id", F.lit(True).alias("_live")).distinct(), "run_id", "left")
+    stays = real & (F.col("_live").isNotNull() | reduce(lambda a, b: a | b, [F.coalesce(F.col("_order") == F.col(c), F.lit(False))
+                                                        for c in ("_latest", "_before", "_reset", "_mark", "_newest_part")]))
+    columns = schemas.SYNC_LOG.fieldNames()
+    at = F.max("_order").alias("_at")
+    carried = n.where(~stays & since).groupBy("table_name").agg(F.sum("_n").alias("rows_synced"), at) \
+        .select("table_name", F.col("_at.run_id").alias("run_id"), F.lit("carried").alias("status"), "rows_synced",
+                F.col("_at.last_sync_at").alias("last_sync_at"))
+    carried = carried.select(*[(F.col(f.name) if f.name in carried.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                               for f in schemas.SYNC_LOG.fields])
+    return n.where(stays).select(*columns).unionByName(carried)
+
+
+def snapshot_log(spark: SparkSession, lake: Lake, before_month: str, live: DataFrame) -> str | None:
+    """Fold the closed months before ``before_month`` into a snapshot; readers then open it and later months only.
+
+    Built from the last snapshot and the months since; ``live`` are the run ids that readers may see. Returns
+    the month it ends with, None if no month is new. The log itself stays whole.
+    """
+    taken = _snapshots(spark, lake)
+    months = [m for m in ops_months(spark, lake.sync_log) if m < before_month and (not taken or m > taken[-1])]
+    if not months:
+        return None
+    log = read_log(spark, lake).where(F.date_format("last_sync_at", "yyyy-MM") < before_month)
+    staging = f"{lake.sync_state}/_staging-{uuid.uuid4().hex}"
+    folded_log(log, live).coalesce(1).write.parquet(staging)
+    fs, source = _fs(spark, staging)
+    if not fs.rename(source, _fs(spark, f"{lake.sync_state}/as_of={months[-1]}")[1]):
+        raise OSError(f"could not commit the snapshot of {months[-1]}")
+    return months[-1]
+
+
+def _month_after(month: str) -> str:
+    year, number = map(int, month.split("-"))
+    return f"{year + number // 12:04}-{number % 12 + 1:02}"
 
 
 def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:
     """K7/K8: the commit point of a run: one row appended after the data is written."""
     full = {f.name: row.get(f.name) for f in schemas.SYNC_LOG.fields}
-    append_ops(rows_frame(spark, [full], schemas.SYNC_LOG), lake.sync_log, "last_sync_at")
+    taken = _snapshots(spark, lake)
+    append_ops(rows_frame(spark, [full], schemas.SYNC_LOG), lake.sync_log, "last_sync_at",
+               _month_after(taken[-1]) if taken else None)
 
 
 def sync_states(log: DataFrame) -> DataFrame:

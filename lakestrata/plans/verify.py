@@ -10,7 +10,7 @@ import datetime as _dt
 from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakestrata import schemas
@@ -59,7 +59,7 @@ def audit_bronze(spark: SparkSession, lake: Lake, tables: Sequence[str] | None =
     if partitions is not None:
         expected = rows_frame(spark, [{"table_name": t, "partition": p} for t in names for p in partitions], _PAIRS)
     else:
-        logged = (synclog.read_log(spark, lake)
+        logged = (synclog.read_log(spark, lake, whole=True)
                   .where(F.col("table_name").isin(*names) & (F.col("status") == "ok") & F.col("partition").isNotNull())
                   .select("table_name", "partition"))
         expected = logged.unionByName(raw.select("table_name", "partition"))
@@ -92,14 +92,30 @@ def _batch_started(batch_id: str) -> _dt.datetime | None:
     return None
 
 
+def superseded_at(log: DataFrame) -> DataFrame:
+    """batch_id and the time from which readers no longer saw it: when the first load that supersedes it committed.
+
+    Null for a live batch. The log of one table; a few rows per partition.
+    """
+    runs = log.where(F.col("status") == "ok").withColumn("_order", F.struct("last_sync_at", "run_id"))
+    dated = (F.col("mode") == "partition") & F.col("partition_value").isNotNull()
+    whole = F.when(F.col("mode").isin("full", "partition") & ~dated, F.col("last_sync_at"))
+    same = F.when(dated, F.col("last_sync_at"))
+    after = [Window.partitionBy(c).orderBy("_order").rowsBetween(1, Window.unboundedFollowing)
+             for c in ("partition", "partition_value")]
+    return runs.withColumn("_by_hour", F.min(whole).over(after[0])) \
+        .withColumn("_by_value", F.when(dated, F.min(same).over(after[1]))) \
+        .groupBy(F.col("run_id").alias("batch_id")).agg(F.min(F.least("_by_hour", "_by_value")).alias("superseded_at"))
+
+
 def vacuum_bronze(spark: SparkSession, lake: Lake, table: str, retention_hours: float = 24,
                   now: _dt.datetime | None = None, uncommitted_hours: float = 24 * 7) -> list[str]:
     """Delete the batch folders of ``table`` that readers no longer see, and return them.
 
-    Loads that the log marks as superseded go once they are older than ``retention_hours``; folders
-    without a log row may belong to a load that still runs and go only after ``uncommitted_hours``
-    (a load that loses its folder all the same fails at its commit). Metadata only: the listed folder
-    names are anti-joined with the live batches of the log.
+    Loads that the log marks as superseded go ``retention_hours`` after the load that superseded them committed,
+    so a reader that listed them before has that long; folders without a log row may belong to a load that still
+    runs and go only ``uncommitted_hours`` after they were begun (a load that loses its folder all the same fails
+    at its commit). Metadata only: the listed folder names are anti-joined with the live batches of the log.
     """
     from lakestrata.plans.lake import _fs  # filesystem handle (driver-side metadata)
     now = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -116,17 +132,16 @@ def vacuum_bronze(spark: SparkSession, lake: Lake, table: str, retention_hours:
             batch_id = name.split("=", 1)[-1]
             started = _batch_started(batch_id)
             if batch.isDirectory() and name.startswith("batch_id=") and started is not None:
-                hours = (now - started).total_seconds() / 3600
-                if hours > min(retention_hours, uncommitted_hours):
-                    listed.append((batch_id, f"{part.getPath().getName()}/{name}", hours))
+                listed.append((batch_id, f"{part.getPath().getName()}/{name}", (now - started).total_seconds() / 3600))
     if not listed:
         return []
-    logged = synclog.read_log(spark, lake).where((F.col("table_name") == table) & (F.col("status") == "ok")) \
-        .select(F.col("run_id").alias("batch_id"), F.lit(True).alias("_logged")).distinct()
+    ended = superseded_at(synclog.read_log(spark, lake, whole=True).where(F.col("table_name") == table)) \
+        .withColumn("_logged", F.lit(True))
+    since = (F.unix_micros(F.lit(now.isoformat()).cast("timestamp_ntz").cast("timestamp"))
+             - F.unix_micros(F.col("superseded_at").cast("timestamp"))) / 3.6e9
     folders = spark.createDataFrame(listed, "batch_id string, folder string, hours double")
-    unseen = folders.join(committed_batches(spark, lake, table), "batch_id", "left_anti") \
-        .join(logged, "batch_id", "left") \
-        .where(F.col("hours") > F.when(F.col("_logged"), retention_hours).otherwise(uncommitted_hours))
+    unseen = folders.join(committed_batches(spark, lake, table), "batch_id", "left_anti").join(ended, "batch_id", "left") \
+        .where(F.when(F.col("_logged"), since > retention_hours).otherwise(F.col("hours") > uncommitted_hours))
     dropped = sorted(r.folder for r in unseen.select("folder").collect())
     for folder in dropped:
         fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}"), True)

@@ -17,7 +17,7 @@ from lakestrata import schemas
 from lakestrata.operators import facts, latest, ledger, margin, quality, sales
 from lakestrata.functions.coerce import parse_timestamp
 from lakestrata.plans import gold, ingest, synclog
-from lakestrata.plans.lake import Lake, read_layer, read_lineage, write_gold
+from lakestrata.plans.lake import Lake, append_ops, read_layer, read_lineage, write_gold
 from lakestrata.plans.sales_flow import gate_partitions, run_sales_flow, write_bronze_sales
 from lakestrata.plans.views import VIEWS, typed_view_frame
 from lakestrata.session import configure, shared_dir
@@ -171,6 +171,35 @@ def q_sync_summary(spark, sf_dir):
     return synclog.sync_summary(_fx(spark, sf_dir, "sync_log"))
 
 
+def _lake_log(spark, sf_dir) -> DataFrame:
+    """The fixture's runs as the engine logs them; every thousandth is a reset."""
+    log = _fx(spark, sf_dir, "sync_log")
+    value = {"status": F.when(F.col("run_id") % 1000 == 0, "reset").otherwise("ok"),
+             "last_sync_value": F.when(F.col("run_id") % 3 > 0, F.col("last_sync_at")),
+             "mode": F.when(F.col("run_id") % 7 == 0, "full").otherwise("incremental"),
+             "partition": F.concat(F.date_format("last_sync_at", "yyyy-MM-dd"), F.lit("-00"))}
+    return log.select(*[(value[f.name] if f.name in value else F.col(f.name) if f.name in log.columns else F.lit(None))
+                        .cast(f.dataType).alias(f.name) for f in schemas.SYNC_LOG.fields])
+
+
+def q_sync_state_from_snapshot(spark, sf_dir):
+    """States of a log whose closed months are folded, in two steps, and read from the snapshot on."""
+    lake = _lake(spark, "sync-state")
+    append_ops(_lake_log(spark, sf_dir), lake.sync_log, "last_sync_at")
+    for month in ("1998-05", "2001-06"):
+        ingest.snapshot_sync_log(spark, lake, month)
+    return synclog.sync_states(synclog.read_log(spark, lake)).select(
+        "table_name", "run_id", "status", "rows_synced", "total_rows_synced", "last_sync_value", "previous_sync_at")
+
+
+def q_live_batches_from_snapshot(spark, sf_dir):
+    """Batches that readers see, from the snapshot on."""
+    lake = _lake(spark, "live")
+    append_ops(_lake_log(spark, sf_dir), lake.sync_log, "last_sync_at")
+    ingest.snapshot_sync_log(spark, lake, "2001-06")
+    return ingest.live_runs(synclog.read_log(spark, lake)).select("table_name", "batch_id", "partition", "mode")
+
+
 def q_stale_syncs(spark, sf_dir):
     return synclog.stale_syncs(_fx(spark, sf_dir, "sync_log"), [s.target_table for s in CLIENT_TABLES],
                                now=FIXED_NOW, max_age_hours=24)
@@ -406,6 +435,8 @@ QUERIES: dict[str, Query] = {
     "source_sample": q_source_sample,
     "sync_latest": q_sync_latest,
     "sync_summary": q_sync_summary,
+    "sync_state_from_snapshot": q_sync_state_from_snapshot,
+    "live_batches_from_snapshot": q_live_batches_from_snapshot,
     "stale_syncs": q_stale_syncs,
     "bronze_audit": q_bronze_audit,
     "quality_minima": q_quality_minima,

@@ -145,23 +145,6 @@ def test_rows_frame_matches_create_dataframe(spark):
     assert rows_frame(spark, [], schemas.LINEAGE).count() == 0
 
 
-def test_compact_batch_rewrites_only_small_file_batches(spark, lake_root):
-    from lakestrata.plans.lake import compact_batch
-    path = Lake(lake_root).path("bronze", "t")
-    df = spark.range(100).selectExpr("id", "cast(id % 7 as string) AS s").repartition(4)
-    write_partition(df, path, "2025-01-01-00", batch_id="b1")
-    # already as many files as its size needs (tiny target): left alone
-    assert compact_batch(spark, path, "2025-01-01-00", "b1", target_bytes=1) == "b1"
-    new_id = compact_batch(spark, path, "2025-01-01-00", "b1")
-    assert new_id != "b1"
-    root = path.replace("file:", "") + "/partition=2025-01-01-00"
-    assert sorted(os.listdir(root)) == [f"batch_id={new_id}"]
-    files = [f for f in os.listdir(f"{root}/batch_id={new_id}") if f.endswith(".parquet")]
-    assert len(files) == 1
-    got = spark.read.parquet(path)
-    assert sorted(r.id for r in got.collect()) == list(range(100)) and set(got.columns) >= {"partition", "batch_id"}
-
-
 def test_current_by_key_matches_brute_force(spark):
     # scope 'current' as a property: per key (null is a key too) the row with the greatest
     # (ts, seq), a null ts ordering lowest, whatever the duplication

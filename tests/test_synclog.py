@@ -1,0 +1,146 @@
+import datetime as dt
+import random
+
+import pytest
+
+from lakestrata import schemas
+from lakestrata.plans import synclog
+from lakestrata.plans.ingest import committed_batches, latest_committed_partition, live_folders, snapshot_sync_log
+from lakestrata.plans.lake import (
+    Lake, append_lineage, append_ops, compact_partition, lineage_record, read_lineage, rows_frame,
+)
+from lakestrata.plans.verify import superseded_at
+
+FIELDS = schemas.SYNC_LOG.fieldNames()
+
+
+def run(table, run_id, at, status="ok", mode="incremental", partition=None, value=None, mark=None, rows=1):
+    full = dict.fromkeys(FIELDS)
+    full.update(table_name=table, run_id=run_id, status=status, mode=mode, partition=partition, partition_value=value,
+                last_sync_value=mark, rows_synced=rows, last_sync_at=at)
+    return tuple(full[f] for f in FIELDS)
+
+
+def history(seed, n, months, tables=("a", "b", "c")):
+    rng, start, out = random.Random(seed), dt.datetime(2022, 1, 1), []
+    for i in range(n):
+        at = start + dt.timedelta(minutes=rng.randrange(months * 30 * 24 * 60))
+        hour = f"{at:%Y-%m-%d}-{rng.randrange(3):02}"
+        status = "reset" if rng.random() < 4 / n else "ok"
+        mode = rng.choice(["incremental"] * 8 + ["full", "partition"])
+        out.append(run(rng.choice(tables), f"r{i}", at, status, mode, hour if status == "ok" else None,
+                       f"d{rng.randrange(5)}" if mode == "partition" else None,
+                       at if rng.random() < 0.7 else None, rng.randrange(100)))
+    return out
+
+
+def states(log):
+    return sorted(map(tuple, synclog.sync_states(log).collect()))
+
+
+def write(spark, lake, rows):
+    append_ops(spark.createDataFrame(rows, schemas.SYNC_LOG), lake.sync_log, "last_sync_at")
+
+
+def test_a_long_log_is_read_from_its_newest_months(spark, lake_root):
+    lake, rows = Lake(lake_root), history(1, 10_000, 36)
+    write(spark, lake, rows)
+    before = {t: synclog.get_state(spark, lake, t) for t in "abc"}
+    batches = {t: {r.batch_id for r in committed_batches(spark, lake, t).collect()} for t in "abc"}
+    assert len(synclog.read_log(spark, lake).inputFiles()) >= 36
+    newest = max(r[FIELDS.index("last_sync_at")] for r in rows).strftime("%Y-%m")
+    assert snapshot_sync_log(spark, lake, newest) is not None
+    log = synclog.read_log(spark, lake)
+    assert len(log.inputFiles()) == 2 and any(f"log_month={newest}" in f for f in log.inputFiles())
+    assert {t: synclog.get_state(spark, lake, t) for t in "abc"} == before
+    assert {t: {r.batch_id for r in committed_batches(spark, lake, t).collect()} for t in "abc"} == batches
+    assert synclog.read_log(spark, lake, whole=True).count() == 10_000
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_snapshots_on_snapshots_change_no_state(spark, lake_root, seed):
+    folded, plain = Lake(lake_root + "/folded"), Lake(lake_root + "/plain")
+    rows = sorted(history(seed, 400, 12), key=lambda r: r[FIELDS.index("last_sync_at")])
+    for k in range(4):
+        for lake in (folded, plain):
+            write(spark, lake, rows[100 * k:100 * k + 100])
+        done = rows[100 * k + 99][FIELDS.index("last_sync_at")].strftime("%Y-%m")
+        snapshot_sync_log(spark, folded, done)
+        assert snapshot_sync_log(spark, folded, done) is None  # nothing new
+        logs = [synclog.read_log(spark, lake) for lake in (folded, plain)]
+        assert states(logs[0]) == states(logs[1])
+        assert synclog.sync_summary(logs[0]).collect() == synclog.sync_summary(logs[1]).collect()
+        for t in "abc":
+            assert live_folders(spark, folded, t) == live_folders(spark, plain, t)
+            assert latest_committed_partition(spark, folded, t) == latest_committed_partition(spark, plain, t)
+    assert logs[0].count() < logs[1].count()
+
+
+def test_a_late_row_of_a_folded_month_counts(spark, lake_root):
+    lake = Lake(lake_root)
+    write(spark, lake, [run("a", "r1", dt.datetime(2025, 1, 5), rows=3), run("a", "r2", dt.datetime(2025, 2, 5), rows=4)])
+    assert snapshot_sync_log(spark, lake, "2025-03") == "2025-02"
+    late = run("a", "r3", dt.datetime(2025, 1, 9), rows=5)
+    synclog.append_log(spark, lake, dict(zip(FIELDS, late)))
+    state = synclog.get_state(spark, lake, "a")
+    assert (state.total_rows_synced, state.last_sync_at) == (12, dt.datetime(2025, 2, 5))
+    assert synclog.reset_sync_state(spark, lake, "a", dt.datetime(2025, 3, 1))  # K8 over a snapshot
+    state = synclog.get_state(spark, lake, "a")
+    assert state.is_reset and state.total_rows_synced == 0 and state.last_sync_value is None
+    assert not synclog.reset_sync_state(spark, lake, "never")
+
+
+def test_superseded_since_the_load_that_superseded(spark):
+    d = dt.datetime
+    rows = [run("a", "full0", d(2020, 1, 1), mode="full", partition="p"), run("a", "inc", d(2020, 1, 2), partition="p"),
+            run("a", "full1", d(2025, 1, 1), mode="full", partition="p"), run("a", "full2", d(2025, 2, 1), mode="full", partition="p"),
+            run("a", "day", d(2025, 1, 1), mode="partition", partition="q", value="v"),
+            run("a", "day2", d(2025, 1, 3), mode="partition", partition="r", value="v"),
+            run("a", "other", d(2025, 1, 1), mode="partition", partition="q", value="w")]
+    got = {r.batch_id: r.superseded_at for r in superseded_at(spark.createDataFrame(rows, schemas.SYNC_LOG)).collect()}
+    assert got == {"full0": d(2025, 1, 1), "inc": d(2025, 1, 1), "full1": d(2025, 2, 1), "full2": None,
+                   "day": d(2025, 1, 3), "day2": None, "other": None}
+
+
+def test_vacuum_waits_for_readers_of_a_load_superseded_just_now(spark, lake_root):
+    from lakestrata.plans.ingest import ingest_table
+    from lakestrata.plans.verify import vacuum_bronze
+    from lakestrata.specs import spec
+    lake, s = Lake(lake_root), spec("customer_address")
+    df = spark.createDataFrame([(1, 0, "a")], schemas.BRONZE["customer_address"])
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    for at in (dt.datetime(2020, 1, 1), now):
+        ingest_table(spark, s, lake, "2025-01-01-00", lambda _: df, now=at)
+    hour = dt.timedelta(hours=1)
+    assert vacuum_bronze(spark, lake, "customer_address", 24, now=now + hour) == []
+    assert len(vacuum_bronze(spark, lake, "customer_address", 24, now=now + 25 * hour)) == 1
+    assert vacuum_bronze(spark, lake, "customer_address", 24, now=now + 9999 * hour) == []
+
+
+def test_lineage_after_an_interrupted_compaction(spark, lake_root, monkeypatch):
+    from lakestrata.plans import lake as lake_module
+    lake, at = Lake(lake_root), dt.datetime(2025, 1, 1)
+    for k in range(3):
+        append_lineage(spark, lake, [lineage_record("gold", "p", dataset=f"d{k}", extra={"b": 1, "a": k}, written_at=at)])
+    real = lake_module._fs
+
+    class NoDelete:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return (lambda *_: False) if name == "delete" else getattr(self.fs, name)
+
+    monkeypatch.setattr(lake_module, "_fs", lambda *a: (NoDelete(real(*a)[0]), real(*a)[1]))
+    compact_partition(spark, lake.lineage, "2025-01")  # the old files stay next to the new one
+    monkeypatch.undo()
+    assert sorted(r.dataset for r in read_lineage(spark, lake).collect()) == ["d0", "d1", "d2"]
+    assert read_lineage(spark, lake).where("extra['a'] = '2'").count() == 1
+
+
+def test_folding_a_folded_log_changes_nothing(spark):
+    log = spark.createDataFrame(history(9, 200, 3), schemas.SYNC_LOG)
+    nobody = rows_frame(spark, [], schemas._struct(("run_id", schemas.S)))
+    once = synclog.folded_log(log, nobody).persist()
+    assert states(synclog.folded_log(once, nobody)) == states(once) == states(log)
+    assert once.count() <= 3 * 6
