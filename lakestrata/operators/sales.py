@@ -165,18 +165,26 @@ def summary_documents_from_rollup(rollup: DataFrame, report_date=None, now=None,
         if widest is not None and widest > max_keys:
             raise ValueError(f"a partition has more than {max_keys} keys: too many for one summary document")
 
-    def scalar(name: str) -> Column:
-        return F.max(F.when(F.col("grouping") == "total", F.col(name))).alias(name)
-
     def entries(grouping: str) -> Column:
         entry = F.when(F.col("grouping") == grouping, F.struct(F.col("key"), F.col("total_revenue")))
         return F.map_from_entries(F.sort_array(F.collect_list(entry))).alias(f"by_{grouping}")
 
+    return summary_scalars(rollup, report_date, now, by, partition, entries("region"), entries("product"))
+
+
+def summary_scalars(rollup: DataFrame, report_date=None, now=None, by: str | None = "partition",
+                    partition: str | None = None, *more: Column) -> DataFrame:
+    """The totals of a summary per ``by`` value (``by=None``: one row, also for empty input), and ``more``
+    aggregates of the roll-up."""
+    def scalar(name: str) -> Column:
+        return F.max(F.when(F.col("grouping") == "total", F.col(name))).alias(name)
+
     docs = (rollup.groupBy(by) if by else rollup).agg(
-        scalar("total_orders"), scalar("total_revenue"), scalar("avg_order_value"),
-        entries("region"), entries("product"))
+        scalar("total_orders"), scalar("total_revenue"), scalar("avg_order_value"), *more)
     name = F.col(by) if by else F.lit(partition).cast("string")
+    known = {by, "total_orders", "total_revenue", "avg_order_value"}
     return docs.select(_date_or_today(report_date).alias("report_date"), name.alias("partition"),
                        F.coalesce(F.col("total_orders"), F.lit(0)).cast("bigint").alias("total_orders"),
                        F.coalesce(F.col("total_revenue"), F.lit(0)).cast(REVENUE).alias("total_revenue"),
-                       "avg_order_value", "by_region", "by_product", _ts_or_now(now).alias("generated_at"))
+                       "avg_order_value", *[c for c in docs.columns if c not in known],
+                       _ts_or_now(now).alias("generated_at"))

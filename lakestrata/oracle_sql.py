@@ -335,6 +335,22 @@ SELECT table_name, CAST(run_id AS VARCHAR) AS batch_id, part AS "partition", mod
 FROM log LEFT JOIN fulls USING (table_name, part)
 WHERE status = 'ok' AND (newest IS NULL OR (last_sync_at, CAST(run_id AS VARCHAR)) >= newest)"""
 
+_BY_YEAR = """SELECT *, concat(strftime(order_date, '%Y'), '-01-01-00') AS part FROM silver"""
+_CELLS = """SELECT part, 'by_region' AS section, region AS k, total_amount AS v FROM yearly WHERE region IS NOT NULL
+UNION ALL SELECT part, 'by_product', product, total_amount FROM yearly WHERE product IS NOT NULL"""
+_SUMS = "SELECT part, section, k, CAST(COALESCE(SUM(v), 0) AS DECIMAL(28,2)) AS v FROM cells GROUP BY ALL"
+_SUMMARY = f"WITH silver AS ({SILVER_SALES}), yearly AS ({_BY_YEAR}), cells AS ({_CELLS}), sums AS ({_SUMS})"
+ORACLE["summary_breakdowns"] = _SUMMARY + """
+SELECT part AS "partition", section, k AS "key", v AS total_revenue FROM sums"""
+ORACLE["summary_index"] = _SUMMARY + f"""
+, maps AS (SELECT part, section, count(*) AS n, string_agg(k || '=' || CAST(v AS VARCHAR), ';' ORDER BY k) AS spelled
+           FROM sums GROUP BY ALL)
+SELECT y.part AS "partition", DATE '{FIXED_REPORT_DATE}' AS report_date, y.total_orders, y.total_revenue,
+       y.avg_order_value, r.spelled AS by_region, p.spelled AS by_product, r.n AS by_region_keys, p.n AS by_product_keys
+FROM (SELECT part, count(*) AS total_orders, CAST(SUM(total_amount) AS DECIMAL(28,2)) AS total_revenue,
+             CAST(ROUND(AVG(total_amount), 4) AS DECIMAL(18,4)) AS avg_order_value FROM yearly GROUP BY part) y
+JOIN maps r ON r.part = y.part AND r.section = 'by_region' JOIN maps p ON p.part = y.part AND p.section = 'by_product'"""
+
 # ---- coercions on hard inputs ------------------------------------------------------------------
 ORACLE["date_layouts"] = """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 7 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"""

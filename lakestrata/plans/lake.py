@@ -317,16 +317,6 @@ def write_gold(df: DataFrame, lake: Lake, name: str, partition: str, sources: Se
     return res
 
 
-def write_summary_document(doc: DataFrame, lake: Lake, partition: str) -> str:
-    """K5: the one-row summary document as JSON (maps become JSON objects)."""
-    path = f"{lake.path('gold', 'daily_summary')}/partition={partition}"
-    doc.coalesce(1).write.mode("overwrite").json(path)
-    append_lineage(doc.sparkSession, lake, [lineage_record(
-        "gold", path, dataset="daily_summary", partition=partition, source_layer="silver",
-        source_path=lake.path("silver", "sales"), record_count=1, source_tables=["sales"])])
-    return path
-
-
 # ---- readers -------------------------------------------------------------------------
 
 def _with_partition_schema(schema: StructType | None, extra: Sequence[str]) -> StructType | None:

@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 from lakestrata import schemas
 from lakestrata.operators.quality import QualityError, check_minima
-from lakestrata.operators.sales import by_key_from_rollup, enrich_sales, sales_rollup, summary_from_rollup
+from lakestrata.operators.sales import by_key_from_rollup, enrich_sales, sales_rollup
 from lakestrata.plans.lake import (
     Lake, _fs, append_lineage, append_ops, lineage_record, literal, read_layer, write_gold, write_partition,
-    write_summary_document,
 )
 from lakestrata.plans.landing import stage
+from lakestrata.plans.summary import write_summaries
 from lakestrata.session import shared_dir
 
 
@@ -85,8 +85,10 @@ def silver_to_gold(spark: SparkSession, lake: Lake, partition: str, report_date=
         out[f"sales_by_{key}"] = write_gold(by_key_from_rollup(rollup, key, report_date), lake,
                                             f"sales_by_{key}", partition, ["sales"], source_layer="silver",
                                             extra={"aggregation": f"by_{key}"}).rows
-    doc = summary_from_rollup(rollup, report_date, partition, now)
-    out["daily_summary"] = write_summary_document(doc, lake, partition)
+    out["daily_summary"] = write_summaries(rollup, lake, report_date, now, partition)
+    append_lineage(spark, lake, [lineage_record(
+        "gold", out["daily_summary"], dataset="daily_summary", partition=partition, source_layer="silver",
+        source_path=lake.path("silver", "sales"), record_count=1, source_tables=["sales"])])
     return out
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakestrata import schemas
 from lakestrata.operators import facts, latest, ledger, margin, quality, sales
 from lakestrata.functions.coerce import parse_timestamp
-from lakestrata.plans import gold, ingest, synclog
+from lakestrata.plans import gold, ingest, summary, synclog
 from lakestrata.plans.lake import Lake, append_ops, read_layer, read_lineage, write_gold
 from lakestrata.plans.sales_flow import gate_partitions, run_sales_flow, write_bronze_sales
 from lakestrata.plans.views import VIEWS, typed_view_frame
@@ -369,6 +369,30 @@ def q_landing_lineage(spark, sf_dir):
                                             F.col("extra")["source"].alias("source"))
 
 
+def _summaries(spark, sf_dir, name: str, piece_keys: int) -> Lake:
+    """Yearly summaries of the sales in a lake."""
+    lake = _lake(spark, name)
+    yearly = q_silver_sales(spark, sf_dir).withColumn("partition", year_partition())
+    path = f"{lake.root}/rollup"
+    sales.sales_rollup(yearly, ["partition"]).write.parquet(path)
+    summary.write_summaries(spark.read.parquet(path), lake, FIXED_REPORT_DATE, FIXED_NOW, piece_keys=piece_keys)
+    return lake
+
+
+def q_summary_index(spark, sf_dir):
+    """K5: the documents as written, their maps spelled out in key order."""
+    index = summary.read_summary_index(spark, _summaries(spark, sf_dir, "summary", summary.PIECE_KEYS))
+    spelled = [F.array_join(F.transform(F.sort_array(F.map_entries(c)), lambda e: F.concat(
+        e["key"], F.lit("="), e["value"].cast("string"))), ";").alias(c) for c in summary.SECTIONS]
+    return index.select("partition", "report_date", "total_orders", "total_revenue", "avg_order_value", *spelled,
+                        "by_region_keys", "by_product_keys")
+
+
+def q_summary_breakdowns(spark, sf_dir):
+    """A4 of breakdowns too wide for their document: the pieces, joined."""
+    return summary.read_breakdowns(spark, _summaries(spark, sf_dir, "pieces", 4))
+
+
 def _stream_gold(spark, lake: Lake) -> DataFrame:
     fields = schemas.with_fields(schemas.GOLD["sales_by_region"], ("partition", "string"))
     return spark.read.schema(fields).parquet(lake.path("gold", "sales_by_region")) \
@@ -452,6 +476,8 @@ QUERIES: dict[str, Query] = {
     "current_lines_from_lake": q_current_lines_from_lake,
     "silver_gate": q_silver_gate,
     "landing_lineage": q_landing_lineage,
+    "summary_index": q_summary_index,
+    "summary_breakdowns": q_summary_breakdowns,
     "stream_reland": q_stream_reland,
     "stream_after_batch": q_stream_after_batch,
     "date_layouts": q_date_layouts,

@@ -29,11 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lakestrata import schemas
-from lakestrata.operators.sales import (
-    by_key_from_rollup, enrich_sales, sales_rollup, summary_documents_from_rollup,
-)
+from lakestrata.operators.sales import by_key_from_rollup, enrich_sales, sales_rollup
 from lakestrata.plans.lake import Lake, _fs, append_ops, exists, read_lineage
 from lakestrata.plans.sales_flow import GATED, gate_partitions
+from lakestrata.plans.summary import write_summaries
 
 MAX_FILES_PER_TRIGGER = 10_000  # files per micro-batch: bounds the partitions it touches, not what they hold
 
@@ -99,9 +98,7 @@ def work_off(spark: SparkSession, lake: Lake, stream_id: str, report_date=None,
     for key in ("region", "product"):
         (by_key_from_rollup(rollup, key, report_date, by=["partition"]).hint("rebalance", "partition")
          .write.mode("overwrite").partitionBy("partition").parquet(lake.path("gold", f"sales_by_{key}")))
-    # K5: the summary documents of the touched partitions, one job (JSON, one file each)
-    (summary_documents_from_rollup(rollup, report_date, now).write.mode("overwrite")
-     .partitionBy("partition").json(lake.path("gold", "daily_summary")))
+    write_summaries(rollup, lake, report_date, now)  # K5, for all touched partitions at once
     # retried epochs rewrote their own partitions above; their lineage is written only once
     tag = {"stream": stream_id, "epoch": str(epochs[0]) if len(epochs) == 1 else f"{epochs[0]}-{epochs[-1]}"}
     done = read_lineage(spark, lake).where(
