@@ -353,7 +353,7 @@ JOIN maps r ON r.part = y.part AND r.section = 'by_region' JOIN maps p ON p.part
 
 # ---- coercions on hard inputs ------------------------------------------------------------------
 ORACLE["date_layouts"] = """
-SELECT o_orderkey AS id, CASE WHEN o_orderkey % 8 < 7 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"""
+SELECT o_orderkey AS id, CASE WHEN o_orderkey % 19 <> 7 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"""
 _LARGE = "CAST({} * {} AS DECIMAL(33,4))"  # whole numbers, multiplied as HUGEINT
 ORACLE["large_measures"] = f"""
 SELECT concat('INV', CAST(o AS VARCHAR)) AS InvoiceID, TIMESTAMP '1999-01-01 00:00:00' AS InvoiceDate,

@@ -88,14 +88,25 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
      JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey""",
     # One date in the layouts a source may send: ISO, month first, year first, month names, with times.
     "dated_text": """
-SELECT o_orderkey AS id, CASE o_orderkey % 8
+SELECT o_orderkey AS id, CASE o_orderkey % 19
          WHEN 0 THEN concat(y, '-', mm, '-', dd) WHEN 1 THEN concat(m, '/', d, '/', y)
          WHEN 2 THEN concat(m, '/', d, '/', y, ' 10:30') WHEN 3 THEN concat(y, '/', mm, '/', dd)
          WHEN 4 THEN concat(mon, ' ', d, ', ', y) WHEN 5 THEN concat(mon, '  ', d, ' ', y, ' 10:30AM')
-         WHEN 6 THEN concat(y, mm, dd) ELSE '10:30' END AS text
+         WHEN 6 THEN concat(y, mm, dd) WHEN 7 THEN '10:30' WHEN 8 THEN concat(m, '/', d, '/', y, ' 10:30 AM')
+         WHEN 9 THEN concat(m, '/', d, '/', y, ' 11:59:59 PM') WHEN 10 THEN concat(dd, '-', mon, '-', y)
+         WHEN 11 THEN concat(d, ' ', mon, ' ', y) WHEN 12 THEN concat(m, '/', d, '/', substr(y, 3, 2))
+         WHEN 13 THEN concat(y, mm, dd, 'T235959') WHEN 14 THEN concat(m, '-', d, '-', y)
+         WHEN 15 THEN concat(y, '.', mm, '.', dd)
+         WHEN 16 THEN CASE WHEN CAST(d AS INT) > 12 THEN concat(d, '/', m, '/', y) ELSE concat(m, '/', d, '/', y) END
+         WHEN 17 THEN concat(y, '-', mm, '-', dd, 'T23:30:00+02:00')
+         ELSE concat(month_name, ' ', d, ', ', y, ' 12:00 AM') END AS text
 FROM (SELECT o_orderkey, substr(t, 1, 4) AS y, substr(t, 6, 2) AS mm, substr(t, 9, 2) AS dd,
              CAST(CAST(substr(t, 6, 2) AS INT) AS STRING) AS m, CAST(CAST(substr(t, 9, 2) AS INT) AS STRING) AS d,
-             substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * CAST(substr(t, 6, 2) AS INT) - 2, 3) AS mon
+             substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * CAST(substr(t, 6, 2) AS INT) - 2, 3) AS mon,
+             CASE substr(t, 6, 2) WHEN '01' THEN 'January' WHEN '02' THEN 'February' WHEN '03' THEN 'March'
+                  WHEN '04' THEN 'April' WHEN '05' THEN 'may' WHEN '06' THEN 'JUNE' WHEN '07' THEN 'July'
+                  WHEN '08' THEN 'August' WHEN '09' THEN 'September' WHEN '10' THEN 'October'
+                  WHEN '11' THEN 'November' ELSE 'December' END AS month_name
       FROM (SELECT o_orderkey, CAST(o_orderdate AS STRING) AS t FROM orders) a) b""",
     # Invoice lines whose quantities and prices are near the top of DECIMAL(18,4).
     "large_item": """

@@ -140,3 +140,23 @@ def test_date_parsing_on_generated_dates(spark):
         assert got == want
 
     check()
+
+
+def test_every_reference_valid_layout(spark):
+    # Layouts a mixed-format parser accepts; wall clock as written, month first where both are possible
+    d = dt.datetime
+    want = {
+        "1/15/2025 10:30 AM": d(2025, 1, 15, 10, 30), "1/15/2025 10:30:00 PM": d(2025, 1, 15, 22, 30),
+        "1/15/2025 12:05 am": d(2025, 1, 15, 0, 5), "1/15/2025 12:05PM": d(2025, 1, 15, 12, 5),
+        "January 5, 2025": d(2025, 1, 5), "sept 5, 2025": None, "SEPTEMBER 5 2025": d(2025, 9, 5), "May 5, 2025": d(2025, 5, 5),
+        "15-Jan-2025": d(2025, 1, 15), "15 Jan 2025": d(2025, 1, 15), "15 January 2025 23:59:59.5": d(2025, 1, 15, 23, 59, 59, 500000),
+        "15-Jan-25": d(2025, 1, 15), "1/5/25": d(2025, 1, 5), "1/5/69": d(1969, 1, 5), "1/5/68": d(2068, 1, 5),
+        "20250115T103000": d(2025, 1, 15, 10, 30), "20250115T1030": d(2025, 1, 15, 10, 30), "20250115": d(2025, 1, 15),
+        "20250115T256000": None, "1-15-2025": d(2025, 1, 15), "2025.01.15": d(2025, 1, 15), "2025/1/5 7:08": d(2025, 1, 5, 7, 8),
+        "13/1/2025": d(2025, 1, 13), "13.1.2025 10:30": d(2025, 1, 13, 10, 30), "1/13/2025": d(2025, 1, 13), "13/13/2025": None,
+        "2/30/2025": None, "2025-01-15T10:30:00+02:00": d(2025, 1, 15, 10, 30), "2025-01-15 10:30 PM": d(2025, 1, 15, 22, 30),
+        "1/15/2025 13:00 PM": None, "1/15/2025 0:30 AM": None, "1/15/2025 25:00": None, "Janua 5, 2025": None, "10:30 AM": None,
+        "2025": None, "  Jan   5,2025 ": d(2025, 1, 5), "12 12 2025": None, "Foo 5 2025": None,
+    }
+    df = spark.createDataFrame([(s,) for s in want], "s string").select("s", parse_timestamp(F.col("s")).alias("t"))
+    assert {r.s: r.t for r in df.collect()} == want
