@@ -351,6 +351,44 @@ FROM (SELECT part, count(*) AS total_orders, CAST(SUM(total_amount) AS DECIMAL(2
              CAST(ROUND(AVG(total_amount), 4) AS DECIMAL(18,4)) AS avg_order_value FROM yearly GROUP BY part) y
 JOIN maps r ON r.part = y.part AND r.section = 'by_region' JOIN maps p ON p.part = y.part AND p.section = 'by_product'"""
 
+ORACLE["json_array_scan"] = oracle_cte("invoice_header") + "SELECT * FROM invoice_header"
+ORACLE["csv_scan"] = oracle_cte("sales") + """
+SELECT order_id, CASE WHEN order_id % 9 > 0 THEN customer_id ELSE '' END AS customer_id, product, quantity, unit_price,
+       order_date, region, concat(strftime(order_date, '%Y'), '-01-01-00') AS "partition"
+FROM sales WHERE year(order_date) IN (1996, 2000)"""
+_LOADED = """SELECT 'invoice_item' AS t, 'incremental' AS kind, count(*) AS n FROM invoice_item
+UNION ALL SELECT 'invoice_header', 'incremental', count(*) FROM invoice_header
+UNION ALL SELECT 'order_item', 'incremental', count(*) FROM order_item
+UNION ALL SELECT 'customer_address', 'full', count(*) FROM customer_address
+UNION ALL SELECT 'general_ledger', 'full', count(*) FROM general_ledger WHERE acct = '422200'"""
+ORACLE["ingest_run"] = ctes(["invoice_item", "invoice_header", "order_item", "customer_address", "general_ledger"],
+                            {"loaded": _LOADED}) + """
+SELECT 10 AS hour, t AS "table", 'full' AS mode, n AS rows_synced, false AS skipped, CAST(NULL AS VARCHAR) AS error FROM loaded
+UNION ALL
+SELECT 11, t, kind, CASE kind WHEN 'full' THEN n ELSE 0 END, kind <> 'full', NULL FROM loaded"""
+ORACLE["gold_run"] = ctes(["invoice_item", "invoice_header", "order_item", "customer_address", "general_ledger"],
+                          {"loaded": _LOADED}) + f"""
+, hours(t, hour) AS (VALUES ('invoice_item', '05'), ('invoice_header', '04'), ('order_item', '03'), ('customer_address', '02'))
+SELECT 'bronze' AS target_layer, t AS dataset, '2001-09-01-' || hour AS "partition", n AS record_count,
+       CAST(NULL AS VARCHAR) AS source_tables FROM loaded JOIN hours USING (t)
+UNION ALL SELECT 'gold', 'margin_invoice', '2001-09-01-05', (SELECT count(*) FROM ({MARGIN_BODY}) m),
+       'invoice_item,invoice_header,order_item,customer_address'
+UNION ALL SELECT 'gold', 'fact_order_item', '2001-09-01-03', (SELECT n FROM loaded WHERE t = 'order_item'), 'order_item'
+UNION ALL SELECT 'gold', 'dim_customer', '2001-09-01-02', (SELECT n FROM loaded WHERE t = 'customer_address'),
+       'customer_address'"""
+ORACLE["margin_without_order_keys"] = ctes(["invoice_item", "invoice_header", "customer_address"]) + f"""
+SELECT trim(i.inv_num) AS Invoice, CAST({_case_map('h.cust_num', CUSTOMER_ID_MAPPING)} AS INTEGER) AS CustomerID,
+       {_case_map('a.name', CUSTOMER_NAME_MAPPING)} AS CustomerName, CAST({TS.format('i.tax_date')} AS DATE) AS InvoiceDate,
+       CAST(NULL AS VARCHAR) AS ProductID, CAST(NULL AS VARCHAR) AS ProductName,
+       {_measures('i.qty_invoiced', 'i.price', 'i.cost')}
+FROM invoice_item i LEFT JOIN invoice_header h ON i.inv_num = h.inv_num
+LEFT JOIN (SELECT cust_num, name FROM customer_address WHERE cust_seq = 0) a ON h.cust_num = a.cust_num"""
+ORACLE["serving_views"] = f"""
+WITH n AS (SELECT (SELECT count(*) FROM ({DIM_CUSTOMER}) d) AS customers, (SELECT count(*) FROM ({MARGIN_REBATE}) m) AS rebates)
+SELECT 'dim_customer' AS "view", 'created' AS status, customers AS rows, least(3, customers) AS sample_rows FROM n
+UNION ALL SELECT 'margin_rebate', 'created', rebates, least(3, rebates) FROM n
+UNION ALL SELECT 'sales_by_region', 'skipped', NULL, NULL UNION ALL SELECT 'no_such_view', 'error', NULL, NULL"""
+
 # ---- coercions on hard inputs ------------------------------------------------------------------
 ORACLE["date_layouts"] = """
 SELECT o_orderkey AS id, CASE WHEN o_orderkey % 19 <> 7 THEN CAST(o_orderdate AS DATE) END AS parsed FROM orders"""

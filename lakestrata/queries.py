@@ -7,6 +7,7 @@ wall clock (``now``, ``as_of``, report date) are fixed so results are reproducib
 
 from __future__ import annotations
 
+import datetime as _dt
 import uuid
 from typing import Callable
 
@@ -17,9 +18,11 @@ from lakestrata import schemas
 from lakestrata.operators import facts, latest, ledger, margin, quality, sales
 from lakestrata.functions.coerce import parse_timestamp
 from lakestrata.plans import gold, ingest, summary, synclog
-from lakestrata.plans.lake import Lake, append_ops, read_layer, read_lineage, write_gold
+from lakestrata.plans.lake import (
+    Lake, append_ops, read_csv_layer, read_json_array, read_layer, read_lineage, write_gold,
+)
 from lakestrata.plans.sales_flow import gate_partitions, run_sales_flow, write_bronze_sales
-from lakestrata.plans.views import VIEWS, typed_view_frame
+from lakestrata.plans.views import VIEWS, create_views, sample_views, typed_view_frame
 from lakestrata.session import configure, shared_dir
 from lakestrata.sources.fixtures import (
     FIXED_AS_OF, FIXED_CUTS, FIXED_NOW, FIXED_PARTITION, FIXED_REPORT_DATE, load,
@@ -393,6 +396,75 @@ def q_summary_breakdowns(spark, sf_dir):
     return summary.read_breakdowns(spark, _summaries(spark, sf_dir, "pieces", 4))
 
 
+# ---- scans of the reference's own file layouts, whole runs, published views (S9-S11, S14, K6, K10, O3, C2, V0, X6) ----
+
+def q_json_array_scan(spark, sf_dir):
+    """Headers in files that hold one JSON array each, 64 of them."""
+    path = f"{_lake(spark, 'json').root}/invoice_header"
+    rows = _fx(spark, sf_dir, "invoice_header").withColumn("file", F.pmod(F.xxhash64("inv_num"), F.lit(64)))
+    array = F.to_json(F.collect_list(F.struct("inv_num", "cust_num", "RecordDate")), {"ignoreNullFields": "false"})
+    rows.groupBy("file").agg(array.alias("value")).write.partitionBy("file").text(path)
+    return read_json_array(spark, f"{path}/*/part-*", schemas.BRONZE["invoice_header"])
+
+
+def q_csv_scan(spark, sf_dir):
+    """Typed CSV over a wildcard of partition folders, header rows skipped, partition from the path."""
+    path, fields = f"{_lake(spark, 'csv').root}/sales", schemas.BRONZE["sales"]
+    rows = _fx(spark, sf_dir, "sales").withColumn("customer_id", F.when(F.col("order_id") % 9 > 0, F.col("customer_id"))
+                                                  .otherwise(""))
+    for year in (1996, 2000):
+        rows.where(F.year("order_date") == year).write.option("header", True) \
+            .csv(f"{path}/{year}-01-01-00")  # an empty text is quoted, a missing one is not
+    return read_csv_layer(spark, f"{path}/*/*.csv", fields)
+
+
+def q_ingest_run(spark, sf_dir):
+    """S14 + A8: two runs over all client tables; the second finds nothing new in the incremental ones."""
+    lake, out = _lake(spark, "runs"), None
+    for hour in (10, 11):
+        run = ingest.ingest_all(spark, CLIENT_TABLES, lake, ingest.hour_partition(_dt.datetime(2001, 9, 1, hour)),
+                                lambda s: _fx(spark, sf_dir, s.target_table))
+        rows = run.select(F.lit(hour).alias("hour"), "table", "mode", "rows_synced", "skipped", "error")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_gold_run(spark, sf_dir):
+    """K4 + K6 + O3: lineage of a gold build whose sources are of different hours."""
+    lake = _lake(spark, "gold-run")
+    for hour, table in enumerate(gold.GOLD_SOURCES["margin_invoice"]):
+        ingest.ingest_table(spark, spec(table), lake, ingest.hour_partition(_dt.datetime(2001, 9, 1, 5 - hour)),
+                            lambda s: _fx(spark, sf_dir, s.target_table))
+    gold.build_gold(spark, lake, ["margin_invoice", "fact_order_item", "dim_customer"])
+    return read_lineage(spark, lake).select("target_layer", "dataset", "partition", "record_count",
+                                            F.array_join("source_tables", ",").alias("source_tables"))
+
+
+def q_margin_without_order_keys(spark, sf_dir):
+    """Lines without the optional order columns have no product name and fan out over no order line."""
+    lines = _fx(spark, sf_dir, "invoice_item").drop("co_num", "co_line", "item")
+    return margin.margin_invoice(lines, _fx(spark, sf_dir, "invoice_header"), _fx(spark, sf_dir, "order_item"),
+                                 _fx(spark, sf_dir, "customer_address"))
+
+
+def q_serving_views(spark, sf_dir):
+    """V0 + X6: status, rows and sample size of every requested view."""
+    lake = _lake(spark, "views")
+    write_gold(q_dim_customer(spark, sf_dir), lake, "dim_customer", FIXED_PARTITION, ["customer_address"])
+    write_gold(q_margin_rebate(spark, sf_dir), lake, "margin_rebate", FIXED_PARTITION, ["general_ledger"])
+    status = create_views(spark, lake, ["dim_customer", "margin_rebate", "sales_by_region", "no_such_view"])
+    made = [v for v, st in status.items() if st == "created"]
+    counts = {v: spark.table(v).agg(F.count(F.lit(1)).alias("n")) for v in made}
+    samples = {v: df.agg(F.count(F.lit(1)).alias("n")) for v, df in sample_views(spark, made, 3).items()}
+    out = None
+    for view, st in status.items():
+        row = spark.range(1).select(F.lit(view).alias("view"), F.lit(st).alias("status"), *[
+            (of[view].scalar() if view in of else F.lit(None).cast("bigint")).alias(name)
+            for of, name in ((counts, "rows"), (samples, "sample_rows"))])
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _stream_gold(spark, lake: Lake) -> DataFrame:
     fields = schemas.with_fields(schemas.GOLD["sales_by_region"], ("partition", "string"))
     return spark.read.schema(fields).parquet(lake.path("gold", "sales_by_region")) \
@@ -478,6 +550,12 @@ QUERIES: dict[str, Query] = {
     "landing_lineage": q_landing_lineage,
     "summary_index": q_summary_index,
     "summary_breakdowns": q_summary_breakdowns,
+    "json_array_scan": q_json_array_scan,
+    "csv_scan": q_csv_scan,
+    "ingest_run": q_ingest_run,
+    "gold_run": q_gold_run,
+    "margin_without_order_keys": q_margin_without_order_keys,
+    "serving_views": q_serving_views,
     "stream_reland": q_stream_reland,
     "stream_after_batch": q_stream_after_batch,
     "date_layouts": q_date_layouts,
