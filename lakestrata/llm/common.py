@@ -33,6 +33,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def named(column: str) -> Column:
+    """The column of just this name, whatever dots or quotes are in it."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a row number in ROW. The numbers hang on how a scan is split, so they hold for one
     evaluation only: whoever needs them twice stores them, see stored_rows()."""
@@ -45,7 +50,7 @@ def stored_rows(docs: DataFrame) -> DataFrame:
     Numbered once and stored with the numbers: what is decided by ROW and the rows it is decided about are
     both read from this table.
     """
-    inside = [F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(docs.columns)]
+    inside = [named(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]
     rows = docs.select(F.struct(*inside).alias("__doc")).withColumn(ROW, F.monotonically_increasing_id())
     return save(rows, "rows", compression="zstd")
 

@@ -20,7 +20,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import as_bytes, fold, small_batches
+from lakestrata.llm.common import as_bytes, fold, named, small_batches
 
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 #: Bounds of the training sample: rows of a language, windows of a row.
@@ -214,7 +214,7 @@ def identified(docs: DataFrame, least_score: float = 0.3) -> DataFrame:
     """The rows of ``docs`` whose language is known with at least ``least_score``, with the columns of ``docs``."""
     model = train_language_model(docs, learn=training_rows())
     names = [f"c{k}" for k in range(len(docs.columns))]
-    row = F.struct(*[F.col(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
+    row = F.struct(*[named(c).alias(n) for c, n in zip(docs.columns, names, strict=True)])
     found = predict_language(docs.select(row.alias("row"), "text"), model)
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)) \
         .select(*[F.col(f"row.{n}").alias(c) for c, n in zip(docs.columns, names, strict=True)])

@@ -5,7 +5,7 @@ import pytest
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use themselves, as extra input columns.
 CLASH = ("fp", "label", "size", "key", "bucket", "kept", "score", "recipe", "n", "row", "features", "word", "rank",
-         "component_id", "keep_id", "__copies", "source_size", "target", "rest", "c0")
+         "component_id", "keep_id", "__copies", "source_size", "target", "rest", "c0", "a.b", "text.x", "back`tick")
 
 
 def frame(spark, rows):
