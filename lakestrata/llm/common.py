@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.plans.lake import _fs
 from lakestrata.session import shared_dir
 
 #: A word is a run of characters outside this class; ``bytes.split()`` splits on exactly the same set.
@@ -16,6 +17,7 @@ SPACE = r"\x20\x09-\x0D"
 ROW = "__row"
 BLOCK_BYTES = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
+_SAVED: list[str] = []
 
 
 def save(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -26,9 +28,26 @@ def save(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark, 'llm')}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
+    _SAVED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def saved() -> int:
+    """A mark for discard(): the number of tables that save() has stored so far."""
+    return len(_SAVED)
+
+
+def discard(spark: SparkSession, since: int) -> None:
+    """Delete the tables that were stored from the mark ``since`` on, but for the last one.
+
+    For a caller that has just stored its result and so needs nothing that it was made of any more.
+    """
+    for path in _SAVED[since:-1]:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    del _SAVED[since:-1]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 

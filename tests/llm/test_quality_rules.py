@@ -57,6 +57,18 @@ def test_order_is_rejections_per_cost(spark, monkeypatch):
     assert order == ["symbols", "few_words", "capitals"]
 
 
+def test_measured_costs_and_shares(spark):
+    sample = frame(spark, [(k, PROSE * (30 if k % 4 else 0)) for k in range(2000)]).persist()
+    rules = {"dear": lambda f: f["n_repeat_words"] * 100 > f["n_words"] * 20, "cheap": lambda f: F.col("text") == "",
+             "dear again": lambda f: f["n_repeat_words"] * 100 > f["n_words"] * 20}
+    cost = quality_rules.measure(sample, rules)
+    assert {n: c[1] for n, c in cost.items()} == {"dear": 0.75, "cheap": 0.25, "dear again": 0.75}
+    assert cost["cheap"][0] < 0.3 * cost["dear"][0]  # without the job itself, nor the first rule's warm-up
+    assert 0.5 < cost["dear"][0] / cost["dear again"][0] < 2
+    sample.unpersist()
+    assert quality_rules.measure(frame(spark, []), rules)["dear"][1] == 0
+
+
 @pytest.mark.parametrize("n", [4, 5, 6, 60])
 def test_repeats_of_a_period(spark, n):
     texts = [" ".join(str(i % p) for i in range(n)) for p in range(1, 12)]
