@@ -3,8 +3,9 @@
 Scheduling stays outside (any scheduler calls these on its cadence)::
 
     spark-submit lakestrata/jobs.py ingest      --lake URI --jdbc-url URL [--jdbc-user U]
-                 [--jdbc-password-env VAR] [--jdbc-driver CLASS] [--tables a,b] [--full-refresh]
+                 [--jdbc-password-env VAR] [--jdbc-driver CLASS] [--tables a,b] [--domain D] [--full-refresh]
                  [--partition YYYY-MM-DD-HH] [--partition-value V] [--parallel TABLE=COLUMN:N ...]
+                 [--rows-per-range N] [--identifier-quote Q]
     spark-submit lakestrata/jobs.py build-gold  --lake URI [--tables a,b] [--scope latest|current]
                  [--as-of YYYY-MM-DD]
     spark-submit lakestrata/jobs.py sales-flow  --lake URI --partition P [--report-date D]
@@ -39,7 +40,7 @@ from lakestrata.plans.verify import vacuum_bronze, verification_report  # noqa:
 from lakestrata.plans.views import create_views, sample_views  # noqa: E402
 from lakestrata.session import get_session, sizing  # noqa: E402
 from lakestrata.sources.jdbc import JdbcSource, jdbc_reader, quantiles_of  # noqa: E402
-from lakestrata.specs import CLIENT_TABLES  # noqa: E402
+from lakestrata.specs import CLIENT_TABLES, tables_by_domain  # noqa: E402
 from lakestrata.streaming.sales_stream import run_available_now  # noqa: E402
 
 
@@ -79,6 +80,7 @@ def parser() -> argparse.ArgumentParser:
     ing.add_argument("--jdbc-password-env", help="name of the environment variable holding the password")
     ing.add_argument("--jdbc-driver")
     ing.add_argument("--full-refresh", action="store_true")
+    ing.add_argument("--domain", help="only the tables of this domain")
     ing.add_argument("--partition", help="bronze partition (default: the current UTC hour)")
     ing.add_argument("--partition-value", help="value that date-partition tables load")
     ing.add_argument("--identifier-quote", default="", help="quote for column names in split queries, e.g. '\"'")
@@ -143,7 +145,8 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         source = JdbcSource(args.jdbc_url, props, quote=args.identifier_quote, rows_per_range=args.rows_per_range,
                             quantile_template=quantiles_of(args.jdbc_url))
         reader = jdbc_reader(spark, source, parallel_reads(args.parallel))
-        res = ingest_all(spark, CLIENT_TABLES, lake, partition, reader, tables=_tables(args.tables),
+        specs = tables_by_domain(args.domain) if args.domain else CLIENT_TABLES
+        res = ingest_all(spark, specs, lake, partition, reader, tables=_tables(args.tables),
                          force_full=args.full_refresh, max_parallel=args.max_parallel,
                          partition_value=args.partition_value)
         return {"job": "ingest", "partition": partition, "tables": [r.asDict() for r in res.collect()]}
@@ -175,6 +178,8 @@ def run(args: argparse.Namespace, spark=None) -> dict:
         # every view resolves and its typed casts run, counting a 5-row sample of each
         status = create_views(spark, lake, _tables(args.views), scope=args.scope, persistent=not args.session_only)
         created = [v for v, st in status.items() if st == "created"]
+        if failed := {v: st for v, st in status.items() if st.startswith("error: ")}:  # the others are in place
+            raise RuntimeError(f"views not created: {failed}")
         samples = {v: df.count() for v, df in sample_views(spark, created, 5).items()}
         return {"job": "views", "views": {v: {"status": st, "sample_rows": samples.get(v)} for v, st in status.items()}}
     if args.job == "compact-ops":

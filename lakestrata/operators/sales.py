@@ -137,18 +137,6 @@ def by_key_from_rollup(rollup: DataFrame, key: str, report_date=None, by: Sequen
             .withColumn("report_date", _date_or_today(report_date)))
 
 
-def sales_by_partition(silver: DataFrame, key: str, report_date=None) -> DataFrame:
-    """A1/A2 per (partition, key): the gold rows of several silver partitions at once."""
-    return (drop_null_keys(silver, [key]).groupBy("partition", key).agg(*_measures())
-            .withColumn("report_date", _date_or_today(report_date)))
-
-
-def summary_documents_by_partition(silver: DataFrame, report_date=None, now=None,
-                                   max_keys: int | None = None) -> DataFrame:
-    """A3+A4 for several silver partitions at once: one summary document row per partition."""
-    return summary_documents_from_rollup(sales_rollup(silver, ["partition"]), report_date, now, max_keys)
-
-
 def summary_documents_from_rollup(rollup: DataFrame, report_date=None, now=None,
                                   max_keys: int | None = None, by: str | None = "partition",
                                   partition: str | None = None) -> DataFrame:

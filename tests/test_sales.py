@@ -77,16 +77,16 @@ def test_silver_gate_fails(spark, data):
 def test_summary_documents_per_partition_and_key_guard(silver):
     # A3+A4 per partition in one pass: the golden five rows split over two partitions
     from pyspark.sql import functions as F
-    from lakestrata.operators.sales import summary_documents_by_partition
+    from lakestrata.operators.sales import summary_documents_from_rollup
     parts = silver.withColumn("partition", F.when(F.col("order_id") <= 1002, "p1").otherwise("p2"))
-    docs = {r.partition: r for r in summary_documents_by_partition(parts, "2025-01-01").collect()}
+    docs = {r.partition: r for r in summary_documents_from_rollup(sales_rollup(parts, ["partition"]), "2025-01-01").collect()}
     assert (docs["p1"].total_orders, docs["p1"].total_revenue) == (2, Decimal("109.97"))
     assert docs["p1"].by_region == {"East": Decimal("59.98"), "West": Decimal("49.99")}
     assert (docs["p2"].total_orders, docs["p2"].total_revenue) == (3, Decimal("269.94"))
     assert docs["p2"].by_product == {"Widget A": Decimal("89.97"), "Widget B": Decimal("99.98"),
                                      "Widget C": Decimal("79.99")}
     with pytest.raises(ValueError):  # p2 has 3 products: over a 2-key limit the maps are refused
-        summary_documents_by_partition(parts, "2025-01-01", max_keys=2)
+        summary_documents_from_rollup(sales_rollup(parts, ["partition"]), "2025-01-01", max_keys=2)
 
 
 def test_summary_document_of_empty_input_is_a_zero_document(spark):

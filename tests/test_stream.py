@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from lakestrata import schemas
-from lakestrata.operators.sales import enrich_sales, sales_by_partition
+from lakestrata.operators.sales import enrich_sales
 from lakestrata.plans.lake import Lake, read_lineage
 from lakestrata.plans.sales_flow import write_bronze_sales
 from lakestrata.sources.fixtures import load
@@ -21,7 +21,10 @@ def _gold(spark, lake):
 
 
 def _expected(df):
-    return sales_by_partition(enrich_sales(df.withColumn("partition", month())), "region", "2001-09-01")
+    silver = enrich_sales(df.withColumn("partition", month())).where("region IS NOT NULL")
+    return silver.groupBy("partition", "region").agg(
+        F.count("order_id").alias("order_count"), F.sum("quantity").cast("bigint").alias("total_quantity"),
+        F.sum("total_amount").cast("decimal(28,2)").alias("total_revenue"))
 
 
 def _norm(df):
