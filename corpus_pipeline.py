@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm.common import documents, save
+from lakestrata.llm.common import discard, documents, save, saved
 from lakestrata.llm.exact_dedup import drop_copies
 from lakestrata.llm.language_id import identified
 from lakestrata.llm.mixing import mixed_documents
@@ -45,7 +45,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, mark = documents(spark, sf_dir), saved()
     for name, stage in STAGES[:-1]:
         docs = save(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(spark, mark)  # the stage's result is stored: nothing reads what it was made of any more
     return STAGES[-1][1](spark, docs, sf_dir)
