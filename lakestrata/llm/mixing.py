@@ -7,9 +7,10 @@ its target is drawn without replacement: every document has an exponential key,
 weight, and the documents of the source with the least keys fill the rest. The document at the edge of
 the budget is taken if that ends nearer the target.
 
-No source is ever sorted in one task: keys fall into fine logarithmic buckets whose sizes are summed per
-source; the buckets before the one where the budget ends are taken whole, those after it not, and only
-within that one bucket documents are ordered. The documents themselves are not shuffled.
+No source is ever sorted in one task: keys fall into logarithmic buckets whose sizes are summed per source; the
+buckets before the one where the budget ends are taken whole, those after it not. That one is split into finer
+buckets, and the one of these where the budget ends again, so a task sums at most a few thousand buckets of a
+source, and orders only what falls into the last one. The documents themselves are not shuffled.
 
 Null text has size zero and is taken zero times; null sources are a source of their own; rows that repeat
 an id are rows of their own. Keys come from doc_id and text by a hash, so reruns agree. An empty table
@@ -25,8 +26,8 @@ from pyspark.sql.window import Window
 from lakestrata.llm.common import ROW, fields, numbered, save, stored_rows, unpacked, without_space, words
 
 WEIGHTS, EPOCHS_CAP, SEED = (5, 2, 1), 3, 20240229
-#: Buckets of the keys per doubling of the key.
-FINE = 4096
+#: A key's bucket has a digit a level: its doubling, then its place in that, FINE parts each time.
+FINE, LEVELS = 4096, 3
 
 
 def quality_weight(text: Column) -> Column:
@@ -68,6 +69,35 @@ def mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEE
     return _mix(numbered(docs), weights, cap, seed, weight)
 
 
+def _digits(key: Column) -> list[Column]:
+    """The bucket of a key as digits, coarsest first; their order is the keys' order."""
+    place, out = F.log2(F.greatest(key, F.lit(1e-300))), []
+    for _ in range(LEVELS):
+        digit = F.floor(place)
+        out.append(digit.cast("int"))
+        place = (place - digit) * FINE
+    return out
+
+
+def _edges(drawn: DataFrame, plan: DataFrame, level: int) -> DataFrame:
+    """``plan`` with the bucket of ``level`` where a source's budget ends, and the words ``ahead`` of it.
+
+    Only documents in the bucket found at the level before are looked at.
+    """
+    same = F.col("d.source").eqNullSafe(F.col("p.source"))
+    for k in range(level):
+        same = same & (F.col(f"b{k}") == F.col(f"e{k}"))
+    digit, until = F.col("digit"), F.col("until")
+    sums = drawn.alias("d").join(plan.alias("p"), same) \
+        .groupBy("p.source", F.col(f"b{level}").alias("digit"), "rest", "ahead").agg(F.sum("size").alias("words"))
+    prefix = Window.partitionBy("source").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
+    found = sums.withColumn("until", F.col("ahead") + F.sum("words").over(prefix)) \
+        .groupBy("source").agg(F.min(F.when(until > F.col("rest"), F.struct(digit, (until - F.col("words")).alias("ahead")))).alias("edge"))
+    merged = plan.alias("p").join(found.alias("f"), F.col("p.source").eqNullSafe(F.col("f.source")), "left")
+    kept = [F.col(f"p.{c}") for c in plan.columns if c != "ahead"]
+    return merged.select(*kept, F.col("edge.digit").alias(f"e{level}"), F.coalesce(F.col("edge.ahead"), F.lit(0)).alias("ahead"))
+
+
 def _mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SEED,
          weight: Column | None = None) -> DataFrame:
     """mix() of ROW, ``doc_id``, ``text``, ``source``."""
@@ -76,31 +106,27 @@ def _mix(docs: DataFrame, weights=WEIGHTS, cap: int = EPOCHS_CAP, seed: int = SE
     narrow = docs.select(ROW, "doc_id", F.col("source").cast("string").alias("source"),
                          F.size(words(F.col("text"))).cast("long").alias("size"),
                          (-F.ln(unit) / weight).alias("key"))
-    drawn = save(narrow.withColumn("bucket", F.floor(F.log2("key") * FINE)), "mix")
-    buckets = save(drawn.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "mix-buckets")
-    targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, cap)
+    drawn = save(narrow.select("*", *[d.alias(f"b{k}") for k, d in enumerate(_digits(F.col("key")))]), "mix")
+    targets = source_targets(drawn.groupBy("source").agg(F.sum("size").alias("source_size")), weights, cap)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
-    targets = targets.withColumn("epochs", epochs.cast("int")) \
-        .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # at most some hundred thousand buckets a source, whatever its rows
-    until = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    edge = F.min(F.when(F.col("until") > F.col("rest"), F.struct("b.bucket", (F.col("until") - F.col("words")).alias("ahead"))))
-    edges = buckets.withColumn("until", F.sum("words").over(until)).alias("b") \
-        .join(targets.alias("t"), F.col("b.source").eqNullSafe(F.col("t.source"))) \
-        .groupBy("t.source").agg(edge.alias("edge"))
-    plan = save(targets.alias("t").join(edges.alias("e"), F.col("t.source").eqNullSafe(F.col("e.source")))
-                .select("t.source", "source_size", "target", "epochs", "rest", "edge"), "mix-plan")
+    plan = save(targets.withColumn("epochs", epochs.cast("int"))
+                .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
+                .withColumn("ahead", F.lit(0).cast("long")), "mix-plan")
+    for level in range(LEVELS):
+        plan = save(_edges(drawn, plan, level), "mix-plan")
     placed = drawn.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source"))) \
-        .select(ROW, "doc_id", F.col("d.source").alias("source"), "size", "key", "bucket", "source_size", "target",
-                "epochs", "rest", "edge")
+        .select(ROW, "doc_id", F.col("d.source").alias("source"), "size", "key", "source_size", "target", "epochs", "rest",
+                "ahead", F.struct(*[f"b{k}" for k in range(LEVELS)]).alias("bucket"),
+                F.when(F.col(f"e{LEVELS - 1}").isNotNull(), F.struct(*[F.col(f"e{k}").alias(f"b{k}") for k in range(LEVELS)]))
+                .alias("edge"))
     # earlier buckets are taken whole and later ones not at all: only the budget's own bucket is put in order
     inside = Window.partitionBy("source").orderBy("key", "doc_id", ROW).rowsBetween(Window.unboundedPreceding, 0)
-    at_edge = F.coalesce(F.col("bucket") == F.col("edge.bucket"), F.lit(False))
+    at_edge = F.coalesce(F.col("bucket") == F.col("edge"), F.lit(False))
     end, rest = F.col("end"), F.col("rest")
     begin = end - F.col("size")
-    ordered = placed.where(at_edge).withColumn("end", F.col("edge.ahead") + F.sum("size").over(inside)) \
+    ordered = placed.where(at_edge).withColumn("end", F.col("ahead") + F.sum("size").over(inside)) \
         .withColumn("extra", (end <= rest) | ((begin < rest) & (rest - begin >= end - rest))).drop("end")
-    others = placed.where(~at_edge).withColumn("extra", F.coalesce(F.col("bucket") < F.col("edge.bucket"), F.lit(True)))
+    others = placed.where(~at_edge).withColumn("extra", F.coalesce(F.col("bucket") < F.col("edge"), F.lit(True)))
     copies = F.when(F.col("size") > 0, F.col("epochs") + F.when(F.col("extra"), 1).otherwise(0)).otherwise(0).cast("int")
     return others.union(ordered).withColumn("copies", copies).select(
         ROW, "doc_id", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
