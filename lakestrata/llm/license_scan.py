@@ -1,11 +1,14 @@
-"""License scans: normalised text against licence templates by Dice coefficient over word bigrams.
+"""License scans: normalised text compared to licence templates by Dice coefficient over word bigrams.
 DataFrame functions only.
 
-Every line, every paragraph (lines between blank lines) and the whole text of a document is a unit. A unit
-is lower-cased, everything but letters and digits separates words, and its distinct word bigrams are
-compared with each template's: 2 * shared / (unit + template). At a threshold t a unit of a bigrams can
-only reach a template of b if t / (2 - t) * b <= a <= (2 - t) / t * b, so templates outside those bounds
-are never compared. Templates are a fixed list, part of the plan as a literal.
+Units of a document are its lines, its paragraphs (between lines without a letter or digit, so a comment block's
+empty lines part them too), its sentences and the whole text. A unit is lower-cased, everything but letters and
+digits separates words (comment markers with it), and its distinct word bigrams are compared with each
+template's: 2 * shared / (unit + template). At a threshold t a unit of a bigrams can only reach a template of b if
+t / (2 - t) * b <= a <= (2 - t) / t * b, so templates outside those bounds are never compared. A match shares at
+least t / (2 - t) of a template's bigrams; a few of its words therefore cannot all be missing, and texts and units
+without any of these words are left out before their bigrams are made. Templates are a fixed list, part of the
+plan as a literal. A licence that is named inside a longer sentence is not found.
 
 Null text has no units. Documents without a match get a null license and dice 0. Rows that repeat an id
 are rows of their own; an empty table gives an empty result; other input columns are not read.
@@ -66,9 +69,52 @@ TEMPLATES: list[tuple[str, str, str]] = [
     ("cc-by-short", "CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("cc-by-notice", "CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("reserved", "proprietary", "All rights reserved."),
+    ("mit-project", "MIT", "This project is licensed under the MIT License."),
+    ("apache-project", "Apache-2.0", "This project is licensed under the Apache License 2.0."),
+    ("gpl2-notice", "GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms "
+     "of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, "
+     "or (at your option) any later version."),
+    ("gpl2-short", "GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("gpl-copy", "GPL-3.0", "You should have received a copy of the GNU General Public License along with this program. "
+     "If not, see https://www.gnu.org/licenses/."),
+    ("lgpl-notice", "LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms "
+     "of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the "
+     "License, or (at your option) any later version."),
+    ("agpl3-notice", "AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms "
+     "of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+     "License, or (at your option) any later version."),
+    ("bsd-source", "BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions "
+     "and the following disclaimer."),
+    ("bsd-binary", "BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of "
+     "conditions and the following disclaimer in the documentation and/or other materials provided with the "
+     "distribution."),
+    ("bsd3-name", "BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used "
+     "to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd-short", "BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE "
+     "file."),
+    ("cc-by-sa-short", "CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("cc-by-sa-notice", "CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 "
+     "International License."),
 ]
 
 
+def _joined(*names: str) -> str:
+    wording = {name: text for name, _, text in TEMPLATES}
+    return " ".join(wording[n] for n in names)
+
+
+# Bodies whose parts stand together without a line between them.
+TEMPLATES += [
+    ("mit-body", "MIT", _joined("mit-grant", "mit-notice", "mit-warranty")),
+    ("gpl3-header", "GPL-3.0", _joined("gpl3-notice", "gpl-warranty", "gpl-copy")),
+    ("gpl2-header", "GPL-2.0", _joined("gpl2-notice", "gpl-warranty")),
+    ("apache-header", "Apache-2.0", _joined("apache-notice", "apache-warranty")),
+]
+# Words that any text has: not asked for unless a template has no others.
+COMMON = set("a an and any are as at be by can for from if in is it its may must not of on or see that the these this to "
+             "under with without you".split())
+
+
 def template_bigrams(text: str) -> list[str]:
     found = re.sub(r"[^a-z0-9]+", " ", text.lower()).split()
     return sorted({f"{a} {b}" for a, b in zip(found, found[1:], strict=False)})
@@ -80,10 +126,33 @@ def size_bounds(size: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return math.ceil(t / (2 - t) * size), math.floor((2 - t) / t * size)
 
 
+def telling_words(templates, threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every unit that reaches ``threshold`` with a template has one.
+
+    A match lacks at most b - t / (2 - t) * b of a template's b bigrams, so words that occur in more of its
+    bigrams than that cannot all be missing.
+    """
+    found: set[str] = set()
+    for _, _, wording in templates:
+        grams = [set(g.split()) for g in template_bigrams(wording)]
+        need = len(grams) - size_bounds(len(grams), threshold)[0] + 1
+        hit = [bool(g & found) for g in grams]
+        while sum(hit) < need:
+            gain = {w: sum(w in g for g, h in zip(grams, hit, strict=True) if not h) for g in grams for w in g}
+            word = min(gain, key=lambda w: (w in COMMON, -gain[w], w))
+            found.add(word)
+            hit = [h or word in g for g, h in zip(grams, hit, strict=True)]
+    return sorted(found)
+
+
+_BREAK = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
+
+
 def units(text: Column) -> Column:
-    """Lines, paragraphs and the whole of a text, each once."""
+    """Lines, paragraphs, sentences and the whole of a text, each once."""
     text = F.coalesce(text.cast("string"), F.lit(""))
-    return F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, r"\n[\x20\x09\x0B-\x0D]*\n"), F.array(text)))
+    sentences = F.regexp_replace(text, r"([.!?])[\x20\x09-\x0D]+", "$1\n\n")
+    return F.array_distinct(F.concat(F.split(text, "\n"), F.split(text, _BREAK), F.split(sentences, _BREAK), F.array(text)))
 
 
 def unit_bigrams(unit: Column) -> Column:
@@ -112,9 +181,16 @@ def matches(text: Column, threshold: float = THRESHOLD, templates=None) -> Colum
             t["name"].alias("template"), t["license"].alias("license")))
         return F.filter(scored, lambda m: m["dice"] >= threshold)
 
+    telling = r"(?<![\p{L}\p{N}])(?:" + "|".join(telling_words(templates or TEMPLATES, threshold)) + r")(?![\p{L}\p{N}])"
+
+    def may_match(c: Column) -> Column:
+        return F.lower(c).rlike(telling)
+
     # a unit of fewer characters than a word and a gap for each word of the least match can't match
-    long_enough = F.filter(units(text), lambda u: F.length(u) >= 2 * least + 1)
-    return F.flatten(F.transform(long_enough, lambda u: let(unit_bigrams(u), of_unit)))
+    some = F.filter(units(text), lambda u: (F.length(u) >= 2 * least + 1) & may_match(u))
+    found = F.flatten(F.transform(some, lambda u: let(unit_bigrams(u), of_unit)))
+    none = F.array().cast("array<struct<dice: double, template: string, license: string>>")
+    return F.when(F.coalesce(may_match(text.cast("string")), F.lit(False)), found).otherwise(none)
 
 
 def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates=None) -> DataFrame:

@@ -54,7 +54,9 @@ ts AS (SELECT name, license, count(*) AS size FROM tg GROUP BY ALL),
 d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 u AS (SELECT row_number() OVER () AS uid, doc_id, unit FROM (
         SELECT doc_id, unnest(list_distinct(list_concat(string_split(t, chr(10)),
-               string_split_regex(t, '\n[\x20\x09\x0B-\x0D]*\n'), [t]))) AS unit FROM d)),
+               string_split_regex(t, '\n(?:[^\p{L}\p{N}\n]*\n)+'),
+               string_split_regex(regexp_replace(t, '([.!?])[\x20\x09-\x0D]+', concat('\1', chr(10), chr(10)), 'g'),
+                                  '\n(?:[^\p{L}\p{N}\n]*\n)+'), [t]))) AS unit FROM d)),
 uw AS (SELECT uid, doc_id, list_filter(regexp_split_to_array(lower(unit), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM u),
 ug AS (SELECT DISTINCT uid, doc_id, w[i] || ' ' || w[i + 1] AS g
        FROM (SELECT uid, doc_id, w, unnest(range(1, len(w))) AS i FROM uw)),
