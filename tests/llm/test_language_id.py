@@ -1,6 +1,9 @@
+import math
 import zlib
 
-from lakestrata.llm.language_id import ByteCnn, identified, language_id, windows_of
+import pytest
+
+from lakestrata.llm.language_id import EMBED, FILTERS, WIDTHS, ByteCnn, identified, language_id, windows_of
 from tests.llm.conftest import AWKWARD, frame, with_clashes
 
 
@@ -42,16 +45,63 @@ def test_windows_cover_the_whole_text():
     assert cut.tobytes().rstrip(b"\0") == data
 
 
-def test_gradients_match_differences():
-    """One training step moves against the numerical slope of the loss."""
+def plain_probabilities(net, window):
+    """One window through the network, one byte, filter and label at a time."""
+    span = max(WIDTHS)
+    hidden = []
+    for f in range(net.filters.shape[1]):
+        best = -math.inf
+        for at in range(len(window) - span + 1):
+            total = 0.0
+            for k in range(WIDTHS[f // FILTERS]):  # a narrow filter has no taps beyond its width
+                for e in range(EMBED):
+                    total += float(net.embed[window[at + k]][e]) * float(net.filters[k * EMBED + e][f])
+            best = max(best, total)
+        hidden.append(max(0.0, best + float(net.bias[f])))
+    z = [sum(h * float(net.out[f][label]) for f, h in enumerate(hidden)) + float(net.out_bias[label])
+         for label in range(len(net.labels))]
+    top = max(z)
+    return [math.exp(v - top) / sum(math.exp(u - top) for u in z) for v in z]
+
+
+def test_forward_pass_matches_a_plain_one():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x = np.concatenate([rng.integers(0, 256, (3, 24)), rng.integers(97, 123, (2, 24))]).astype(np.uint8)
+    x[2, 15:] = 0  # padding
+    for net in (ByteCnn(["a", "b", "c"]), ByteCnn(["a", "b", "c"]).train(x, np.array([0, 1, 2, 0, 1]), epochs=3)):
+        got = net.probabilities(x, rows=2)
+        for row, p in zip(x, got, strict=True):
+            assert p.tolist() == pytest.approx(plain_probabilities(net, row.tolist()), abs=1e-4)
+
+
+def test_a_step_goes_against_the_numerical_slope():
+    """Adam's first step moves every parameter by the rate, against the sign of its slope."""
     import numpy as np
 
     rng = np.random.default_rng(0)
     x, y = rng.integers(1, 255, (8, 32)).astype(np.uint8), rng.integers(0, 3, 8)
 
     def loss(net):
-        return -np.log(net.probabilities(x)[np.arange(8), y]).mean()
-
-    before = ByteCnn(["a", "b", "c"])
-    after = ByteCnn(["a", "b", "c"]).train(x, y, epochs=40, batch=8)
-    assert loss(after) < 0.2 * loss(before)
+        return -np.log(net.probabilities(x)[np.arange(8), y].astype(float)).mean()
+
+    before, after = ByteCnn(["a", "b", "c"]), ByteCnn(["a", "b", "c"]).train(x, y, epochs=1, batch=8)
+    checked = 0
+    for name in ("filters", "bias", "out", "out_bias"):
+        table = getattr(before, name)
+        for place in list(np.ndindex(table.shape))[::7]:
+            if name == "filters" and not before.taps[place]:
+                continue  # a narrow filter's missing tap
+            kept, step = table[place], 0.01
+            table[place] = kept + step
+            up = loss(before)
+            table[place] = kept - step
+            slope = (up - loss(before)) / (2 * step)
+            table[place] = kept
+            if abs(slope) > 5e-3:
+                assert np.sign(kept - getattr(after, name)[place]) == np.sign(slope)
+                checked += 1
+    assert checked > 30
+    longer = ByteCnn(["a", "b", "c"]).train(x, y, epochs=40, batch=8)
+    assert loss(longer) < 0.2 * loss(before)
