@@ -204,8 +204,8 @@ def live_runs(log: DataFrame) -> DataFrame:
 
 def snapshot_sync_log(spark: SparkSession, lake: Lake, before_month: str) -> str | None:
     """Fold the closed months of the sync log, keeping what states and readers of batches need."""
-    live = live_runs(synclog.read_log(spark, lake)).select(F.col("batch_id").alias("run_id"))
-    return synclog.snapshot_log(spark, lake, before_month, live)
+    return synclog.snapshot_log(spark, lake, before_month,
+                                lambda log: live_runs(log).select(F.col("batch_id").alias("run_id")))
 
 
 def committed_batches(spark: SparkSession, lake: Lake, table_name: str) -> DataFrame:

@@ -216,8 +216,9 @@ def _move_in(spark: SparkSession, staging: str, folder: str) -> None:
                 raise OSError(f"could not move {st.getPath()} into {folder}")
 
 
-def append_ops(df: DataFrame, path: str, ts_column: str, least_month: str | None = None) -> None:
-    """Append a few metadata rows to a month-partitioned ops table.
+def append_ops(df: DataFrame, path: str, ts_column: str, least_month: str | None = None, few: bool = False) -> None:
+    """Append metadata rows to a month-partitioned ops table: any number, dealt by month into files of
+    bounded size, or with ``few`` a handful of rows that one task writes.
 
     Every append writes a folder of its own and then moves its files in, so jobs of this or any
     other application that append at the same time share no temporary folder. Rows of months before
@@ -227,8 +228,8 @@ def append_ops(df: DataFrame, path: str, ts_column: str, least_month: str | None
     staging = f"{path}/_staging-{uuid.uuid4().hex}"
     month = F.date_format(F.col(ts_column), "yyyy-MM")
     month = F.greatest(month, F.lit(least_month)) if least_month else month
-    (df.withColumn(OPS_PARTITION, month).coalesce(1)
-     .write.partitionBy(OPS_PARTITION).parquet(staging))
+    out = df.withColumn(OPS_PARTITION, month)
+    (out.coalesce(1) if few else out.hint("rebalance", OPS_PARTITION)).write.partitionBy(OPS_PARTITION).parquet(staging)
     fs, p = _fs(spark, staging)
     for st in fs.listStatus(p):
         if st.isDirectory() and st.getPath().getName().startswith(OPS_PARTITION + "="):
@@ -294,7 +295,7 @@ def append_lineage(spark: SparkSession, lake: Lake, records: Iterable[dict]) ->
     """K6: append lineage records (a few metadata rows per job) to the lineage table."""
     rows = list(records)
     if rows:
-        append_ops(rows_frame(spark, rows, schemas.LINEAGE), lake.lineage, "written_at")
+        append_ops(rows_frame(spark, rows, schemas.LINEAGE), lake.lineage, "written_at", few=True)
 
 
 def read_lineage(spark: SparkSession, lake: Lake) -> DataFrame:

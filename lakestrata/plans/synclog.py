@@ -19,7 +19,7 @@ import datetime as _dt
 import uuid
 from dataclasses import dataclass
 from functools import reduce
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,13 +103,15 @@ def folded_log(log: DataFrame, live: DataFrame) -> DataFrame:
     marks = n.groupBy("table_name").agg(
         F.max(F.when(F.col("status") == "reset", F.col("_order"))).alias("_reset"), F.max("_order").alias("_latest"),
         F.max_by("_order", F.when(F.col("status") == "ok", F.struct("partition", "_order"))).alias("_newest_part"))
-    n = n.join(marks, "table_name")
+    n = n.join(F.broadcast(marks), "table_name")  # a row per table
     since = F.col("_reset").isNull() | (F.col("_order") > F.col("_reset"))
     real = F.col("status") != "carried"
     more = n.groupBy("table_name").agg(
         F.max(F.when(real & (F.col("_order") < F.col("_latest")), F.col("_order"))).alias("_before"),
         F.max(F.when(since & F.col("last_sync_value").isNotNull(), F.col("_order"))).alias("_mark"))
-    n = n.join(more, "table_name").join(live.select("run_id", F.lit(True).alias("_live")).distinct(), "run_id", "left")
+    # live runs grow with the log: they are merged by run, never sent whole to the driver and to every task
+    runs = live.select("run_id", F.lit(True).alias("_live")).distinct().hint("merge")
+    n = n.join(F.broadcast(more), "table_name").join(runs, "run_id", "left")
     stays = real & (F.col("_live").isNotNull() | reduce(lambda a, b: a | b, [F.coalesce(F.col("_order") == F.col(c), F.lit(False))
                                                         for c in ("_latest", "_before", "_reset", "_mark", "_newest_part")]))
     columns = schemas.SYNC_LOG.fieldNames()
@@ -122,22 +124,27 @@ def folded_log(log: DataFrame, live: DataFrame) -> DataFrame:
     return n.where(stays).select(*columns).unionByName(carried)
 
 
-def snapshot_log(spark: SparkSession, lake: Lake, before_month: str, live: DataFrame) -> str | None:
+def snapshot_log(spark: SparkSession, lake: Lake, before_month: str,
+                 live: Callable[[DataFrame], DataFrame]) -> str | None:
     """Fold the closed months before ``before_month`` into a snapshot; readers then open it and later months only.
 
-    Built from the last snapshot and the months since; ``live`` are the run ids that readers may see. Returns
-    the month it ends with, None if no month is new. The log itself stays whole.
+    Built from the last snapshot and the months since; ``live`` gives the run ids of a log that readers may see.
+    The runs, each once, are stored for the time of the fold, which reads them several times. Returns the month
+    the snapshot ends with, None if no month is new. The log itself stays whole.
     """
     taken = _snapshots(spark, lake)
     months = [m for m in ops_months(spark, lake.sync_log) if m < before_month and (not taken or m > taken[-1])]
     if not months:
         return None
-    log = read_log(spark, lake).where(F.date_format("last_sync_at", "yyyy-MM") < before_month)
     staging = f"{lake.sync_state}/_staging-{uuid.uuid4().hex}"
-    folded_log(log, live).coalesce(1).write.parquet(staging)
-    fs, source = _fs(spark, staging)
+    fs, source = _fs(spark, f"{staging}/folded")
+    read_log(spark, lake).write.parquet(f"{staging}/runs")
+    runs = spark.read.schema(schemas.SYNC_LOG).parquet(f"{staging}/runs")
+    closed = runs.where(F.date_format("last_sync_at", "yyyy-MM") < before_month)
+    folded_log(closed, live(runs)).hint("rebalance").write.parquet(f"{staging}/folded")
     if not fs.rename(source, _fs(spark, f"{lake.sync_state}/as_of={months[-1]}")[1]):
         raise OSError(f"could not commit the snapshot of {months[-1]}")
+    fs.delete(_fs(spark, staging)[1], True)
     return months[-1]
 
 
@@ -151,7 +158,7 @@ def append_log(spark: SparkSession, lake: Lake, row: dict) -> None:
     full = {f.name: row.get(f.name) for f in schemas.SYNC_LOG.fields}
     taken = _snapshots(spark, lake)
     append_ops(rows_frame(spark, [full], schemas.SYNC_LOG), lake.sync_log, "last_sync_at",
-               _month_after(taken[-1]) if taken else None)
+               _month_after(taken[-1]) if taken else None, few=True)
 
 
 def sync_states(log: DataFrame) -> DataFrame:

@@ -144,3 +144,21 @@ def test_folding_a_folded_log_changes_nothing(spark):
     once = synclog.folded_log(log, nobody).persist()
     assert states(synclog.folded_log(once, nobody)) == states(once) == states(log)
     assert once.count() <= 3 * 6
+
+
+def test_a_long_log_is_written_and_folded_by_several_tasks(spark, lake_root):
+    lake, rows = Lake(lake_root), [run("a", f"r{i:05}", dt.datetime(2025, 1, 1) + dt.timedelta(seconds=i), "ok", "incremental",
+                                       "2025-01-01-00", None, None, 1) for i in range(20_000)]
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        write(spark, lake, rows)
+        assert snapshot_sync_log(spark, lake, "2025-02") == "2025-01"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    whole, folded = synclog.read_log(spark, lake, whole=True), synclog.read_log(spark, lake)
+    assert len(whole.inputFiles()) > 1 and len(folded.inputFiles()) > 1  # one task each before
+    assert states(folded) == states(whole) and folded.count() == len(rows)  # every run is live
