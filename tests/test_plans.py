@@ -101,3 +101,18 @@ def test_orphan_names_join_on_a_key_at_any_size(spark):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v)
+
+
+def test_a_source_that_is_loaded_twice_is_made_once(spark, lake_root, tmp_path, monkeypatch):
+    from lakestrata import queries
+    from lakestrata.plans.lake import Lake
+    spark.range(100).selectExpr("id as o_orderkey", "id % 7 as o_custkey",
+                                "date_add(date'2000-01-01', cast(id as int)) as o_orderdate") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    loaded = []
+    monkeypatch.setattr(queries.ingest, "ingest_table", lambda *a, **k: loaded.append(a[4](a[1])))
+    lake = Lake(lake_root)
+    queries._load_in_two(spark, lake, str(tmp_path), "invoice_header")
+    part, whole = (df.count() for df in loaded)
+    assert 60 < part < 75 and whole == 97  # 70 % of the days, all
+    assert all("/_source/" in f for df in loaded for f in df.inputFiles())  # the raw table before, made anew by each load
