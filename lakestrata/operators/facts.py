@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.functions.business import normalize_customer_id, normalize_customer_name
@@ -13,9 +13,11 @@ from lakestrata.functions.coerce import (
 
 def measures(qty_col: str = "qty_invoiced", price_col: str = "price", cost_col: str = "cost") -> dict:
     """M1/M3: quantity (DECIMAL(18,4)) and the three exact products, wide enough never to overflow."""
-    qty = to_decimal_or_zero(F.col(qty_col))
-    price = to_decimal_or_zero(F.col(price_col))
-    cost = to_decimal_or_zero(F.col(cost_col))
+    return products(*[to_decimal_or_zero(F.col(c)) for c in (qty_col, price_col, cost_col)])
+
+
+def products(qty: Column, price: Column, cost: Column) -> dict:
+    """M3 of three coerced values."""
     return {
         "QtyInvoiced": qty,
         "ExtendedPrice": (qty * price).cast(PRODUCT),

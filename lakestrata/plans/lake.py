@@ -151,6 +151,8 @@ def write_partition(df: DataFrame, path: str, partition: str | Column | None, *,
     writer = out.write.mode(mode).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
+    elif fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     if part_cols:
         writer = writer.partitionBy(*part_cols)
     writer.save(path)
